@@ -1,0 +1,189 @@
+"""Driver tables and the input recipes built on them (see FIXTURES.md part B).
+
+Each recipe is a lazy DataFrame over the parquet tables; nothing is collected.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from estuary.functions.exprs import epoch_seconds
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
+          "benchmark labels conversations").split()
+
+# Fixed values of the fixtures: 20 sites whose codes are 4178000 + 500 n and
+# the 30-day calendar of the driver's events table.
+N_SITES = 20
+SITE_BASE = 4178000
+SITE_STEP = 500
+CAL_START = "2024-01-01"
+CAL_END = "2024-01-30"
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def _k(props: str = "props"):
+    return F.get_json_object(F.col(props), "$.k").cast("int")
+
+
+def site_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long series (n, site, date, sediment, discharge); absent rows and NULL
+    cells forced by modular rules."""
+    ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "value")
+    n = (F.col("user_id") % N_SITES).cast("int")
+    day = F.dayofmonth("ts")
+    keep = (F.col("event_type") != "error") & (((F.col("user_id") % N_SITES) + day) % 9 != 0)
+    dec = F.col("value").cast("decimal(18,2)")
+    sed = F.when(F.col("event_type").isin("click", "view") & (((F.col("user_id") % N_SITES) + 2 * day) % 11 != 0), dec)
+    dis = F.when(F.col("event_type").isin("purchase", "signup") & (((F.col("user_id") % N_SITES) + 3 * day) % 13 != 0), dec)
+    return (ev.where(keep)
+            .groupBy(n.alias("n"), (F.lit(SITE_BASE) + SITE_STEP * n).cast("string").alias("site"),
+                     F.col("ts").cast("date").alias("date"))
+            .agg(F.sum(sed).cast("double").alias("sediment"), F.sum(dis).cast("double").alias("discharge")))
+
+
+def site_dim(spark: SparkSession, n_sites: int = N_SITES) -> DataFrame:
+    """Ordered site dimension (n, site); bounded by the parameter."""
+    return spark.range(n_sites).select(
+        F.col("id").cast("int").alias("n"),
+        (F.lit(SITE_BASE) + SITE_STEP * F.col("id")).cast("string").alias("site"))
+
+
+def flow_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events").select("user_id", "props")
+    total = ev.agg((F.count(F.lit(1)) / F.lit(400.0)).alias("_centre"))
+    pairs = ev.groupBy((F.col("user_id") % N_SITES).cast("int").alias("src"),
+                       ((F.col("user_id") + _k()) % N_SITES).cast("int").alias("dst")).agg(F.count(F.lit(1)).alias("_c"))
+    # one-row scalar attached to every pair
+    return pairs.crossJoin(F.broadcast(total)).select(
+        "src", "dst", (F.col("_c").cast("double") - F.col("_centre")).alias("direction"))
+
+
+def conv_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    typ = (F.when(F.col("event_type") == "click", "chat").when(F.col("event_type") == "view", "leftvote")
+           .when(F.col("event_type") == "purchase", "rightvote").when(F.col("event_type") == "signup", "tievote")
+           .otherwise("bothbad_vote"))
+    model = F.concat(F.lit("m"), (F.col("user_id") % 8).cast("string"))
+    models = F.when(_k() % 2 == 0, F.array(F.lit(""), F.lit(""))).otherwise(
+        F.array(model, F.concat(F.lit("m"), ((F.col("user_id") + 1) % 8).cast("string"))))
+    return ev.select("event_id", epoch_seconds("ts").alias("tstamp"), model.alias("model"), typ.alias("type"),
+                     models.alias("models"))
+
+
+def battles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    win = (F.when(F.col("event_type") == "click", "model_a").when(F.col("event_type") == "view", "model_b")
+           .when(F.col("event_type") == "purchase", "tie").otherwise("tie (bothbad)"))
+    return ev.where(F.col("event_type") != "error").select(
+        "event_id", epoch_seconds("ts").alias("tstamp"),
+        F.concat(F.lit("m"), (F.col("user_id") % 8).cast("string")).alias("model_a"),
+        F.concat(F.lit("m"), ((F.col("user_id") + 1 + _k() % 7) % 8).cast("string")).alias("model_b"),
+        win.alias("win"), (_k() % 3 != 0).alias("anony"))
+
+
+def raw_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    convs = table(spark, sf_dir, "conversations").select("conv_id").distinct()
+    typ = (F.when(F.col("event_type") == "click", "leftvote").when(F.col("event_type") == "view", "rightvote")
+           .when(F.col("event_type") == "purchase", "tievote").when(F.col("event_type") == "signup", "bothbad_vote")
+           .otherwise("chat"))
+    r = F.col("event_id") % 5
+    models = (F.when(r == 0, F.array(F.lit(""), F.lit(""))).when(r == 1, F.array(F.lit(""), F.lit("bard")))
+              .when(r == 2, F.array(F.lit("Model A"), F.lit("Model B")))
+              .when(r == 3, F.array(F.lit("<h3>Model A: bard</h3>\n"), F.lit("<h3>Model B: m1</h3>\n")))
+              .otherwise(F.array(F.lit("m0"), F.lit("m1"))))
+    return ev.join(convs, (ev.event_id % 100) == convs.conv_id).select(
+        "event_id", epoch_seconds("ts").alias("tstamp"), typ.alias("type"), models.alias("models"),
+        F.when(F.col("event_id") % 11 == 0, F.lit(None).cast("string")).otherwise(F.lit("bard")).alias("hidden_a"),
+        F.lit("m1").alias("hidden_b"), (F.col("event_id") % 3).cast("int").alias("offset"), "conv_id",
+        F.when(F.col("event_id") % 13 == 0, F.lit(" I am ChatGPT")).otherwise(F.lit("")).alias("leak"))
+
+
+def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "conversations")
+    return c.select("conv_id", "turn", "role", "text",
+                    (F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) - 1).alias("i"))
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return o.select(
+        F.col("o_orderkey").alias("request_id"), F.concat(F.lit("m"), (F.col("o_custkey") % 9).cast("string")).alias("model"),
+        (F.col("o_orderkey") % 600 - 20).cast("int").alias("max_tokens"), (F.col("o_orderkey") % 5).cast("int").alias("n"),
+        ((F.col("o_custkey") % 30) / F.lit(10.0) - 0.4).alias("temperature"),
+        ((F.col("o_orderkey") % 14) / F.lit(10.0) - 0.1).alias("top_p"),
+        (F.col("o_orderkey") % 2100).cast("int").alias("token_num"))
+
+
+def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    steps = F.explode(F.sequence(F.lit(1), F.lit(6)))
+    return (d.select("doc_id", "text", steps.alias("s"))
+            .select(F.col("doc_id").alias("stream_id"), F.col("s").cast("int").alias("seq"),
+                    F.expr("substr(text, 1, 40 * least(s, 5))").alias("text"),
+                    F.when(F.col("s") == 6, F.lit("stop")).alias("finish_reason")))
+
+
+def heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "props")
+    w = F.col("user_id") % 50
+    return ev.select(
+        "event_id", F.concat(F.lit("w"), w.cast("string")).alias("worker"), epoch_seconds("ts").alias("beat"),
+        (_k() % 8).alias("queue_length"), (1 + F.col("user_id") % 3).alias("speed"),
+        (F.col("user_id") % 4 != 0).alias("check_heart_beat"),
+        F.array(F.concat(F.lit("m"), (w % 8).cast("string")), F.concat(F.lit("m"), (w % 5).cast("string"))).alias("model_names"))
+
+
+def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey",
+                                                 "l_extendedprice", "l_discount", "l_tax")
+    w = Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    return li.select(F.col("l_suppkey").alias("run_id"), F.row_number().over(w).alias("epoch"),
+                     (F.col("l_discount") + F.col("l_tax")).alias("loss"))
+
+
+def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    return ev.select("event_id", F.col("value").alias("y_true"), F.lag("value").over(w).alias("y_pred"))
+
+
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "label")
+    return e.select("vec_id", "label",
+                    ((F.col("label") + F.when(F.col("vec_id") % 7 == 0, 1).otherwise(0)) % 10).cast("int").alias("pred"))
+
+
+def params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings")
+    return e.select(F.concat(F.lit("p"), F.col("vec_id").cast("string")).alias("name"),
+                    F.col("embedding").alias("base_values"),
+                    F.transform("embedding", lambda x: x + F.col("label") * F.lit(0.01)).alias("target_values"))
+
+
+def graph_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings").select("vec_id")
+    return e.where(F.col("vec_id") < 100).select(
+        F.concat(F.lit("g_"), F.col("vec_id").cast("string")).alias("id"), F.col("vec_id").alias("node_idx"),
+        F.array(F.col("vec_id"), (F.col("vec_id") + 1) % 500, (F.col("vec_id") + 7) % 500).alias("node_list"),
+        F.array(F.array(F.lit(0).cast("long"), F.lit(0).cast("long")),
+                F.array(F.lit(1).cast("long"), F.lit(2).cast("long"))).alias("edge_index"))
+
+
+def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return d.join(lab, "doc_id", "left").select(
+        "doc_id", (F.col("doc_id") * 7919 % 10007).cast("long").alias("Time"), F.col("source").alias("ProductId"),
+        F.col("quality").alias("Score"), F.substring("text", 1, 20).alias("Summary"), F.col("text").alias("Text"))
+
+
+def content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return d.select("doc_id", F.date_add(F.lit(CAL_START).cast("date"), (F.col("doc_id") % 30).cast("int")).alias("date"),
+                    F.md5("text").alias("h"))
