@@ -51,3 +51,25 @@ def halo_windows(df: DataFrame, key: list[str], t: str, width: int, payload: Col
     return (spread.withColumn(name, F.collect_list(payload).over(w))
             .where(F.col("_bkt") == F.col("_own"))
             .drop("_own", "_bkt"))
+
+
+def blocked_running(df: DataFrame, key: list[str], order: str, value: str, fn: str, block: int = 1024,
+                    inclusive: bool = True, name: str = "running") -> DataFrame:
+    """Running min/max of ``value`` along integer ``order`` within ``key``.
+
+    A two-level prefix scan: rows are grouped into blocks of ``block`` steps;
+    the block aggregates (1/block of the rows) get a running value per key and
+    each row combines it with the running value inside its own block. So no
+    task ever holds a whole key, however long or hot it is.
+    """
+    agg = {"min": F.min, "max": F.max}[fn]
+    combine = F.least if fn == "min" else F.greatest  # both skip NULLs
+    d = df.withColumn("_blk", F.floor(F.col(order) / block).cast("long"))
+    per_block = d.groupBy(*key, "_blk").agg(agg(value).alias("_bv"))
+    prior = per_block.select(*key, "_blk", agg("_bv").over(
+        Window.partitionBy(*key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)).alias("_pv"))
+    within = d.withColumn("_wv", agg(value).over(
+        Window.partitionBy(*key, "_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)))
+    return (within.join(prior, [*key, "_blk"], "left")
+            .withColumn(name, combine(F.col("_wv"), F.col("_pv")))
+            .drop("_blk", "_wv", "_pv"))
