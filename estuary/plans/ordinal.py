@@ -10,27 +10,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def global_ordinal(df: DataFrame, order: list[str | Column], name: str = "pos",
-                   num_partitions: int | None = None) -> DataFrame:
+def global_ordinal(df: DataFrame, order: list[str], name: str = "pos", buckets: int | None = None) -> DataFrame:
     """0-based position of each row in the total order ``order``.
 
-    ``order`` must be a total order (add a unique tie-break column). Rows are
-    range-partitioned and sorted; each partition's row count becomes a one-row-
-    per-partition table (size bounded by the partition count, so broadcast is
-    safe) whose running sum gives the partition's first position.
+    ``order`` must be a total order (end with a unique tie-break column) whose
+    first column is numeric. Rows go to ``buckets`` ranges of the first column,
+    scaled by its exact min/max (a one-row aggregate), so the bucket is a
+    deterministic, monotone function of the key: recomputation after a lost
+    executor gives the same positions. Bucket counts (one row per bucket) get a
+    running sum for the offsets; rows are numbered inside their bucket only.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = counts.select(
-        "_pid", (F.sum("_cnt").over(Window.orderBy("_pid")) - F.col("_cnt")).alias("_off"))
-    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return (tagged.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, F.col("_off") + local)
-            .drop("_pid", "_mid", "_off"))
+    nb = buckets or max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    first = order[0]
+    rng = df.agg(F.min(first).cast("double").alias("_lo"), F.max(first).cast("double").alias("_hi"))
+    span = F.col("_hi") - F.col("_lo")
+    bucket = F.when(span > 0, F.least(
+        F.floor((F.col(first).cast("double") - F.col("_lo")) / span * nb), F.lit(nb - 1))).otherwise(F.lit(0)).cast("int")
+    tagged = df.crossJoin(F.broadcast(rng)).withColumn("_b", bucket).drop("_lo", "_hi")
+    counts = tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    offsets = counts.select("_b", (F.sum("_cnt").over(Window.orderBy("_b")) - F.col("_cnt")).alias("_off"))
+    within = tagged.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy(*order)) - 1)
+    return (within.join(F.broadcast(offsets), "_b")
+            .withColumn(name, F.col("_off") + F.col("_r"))
+            .drop("_b", "_off", "_r"))
 
 
 def halo_windows(df: DataFrame, key: list[str], t: str, width: int, payload: Column,
