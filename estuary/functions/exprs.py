@@ -71,9 +71,12 @@ def portable_uniform(*parts: str | Column) -> Column:
     return (portable_hash(*parts).cast("double") + 1.0) / F.lit(float(2**60 + 1))
 
 
+PY_WS = r"[\s\p{Z}\x{1c}-\x{1f}\x{85}]"
+
+
 def py_strip(c: str | Column) -> Column:
-    """Python ``str.strip()``: all leading/trailing whitespace, not only blanks."""
-    return F.regexp_replace(col(c), r"^\s+|\s+$", "")
+    """Python ``str.strip()``: all leading/trailing (unicode) whitespace, not only blanks."""
+    return F.regexp_replace(col(c), f"^{PY_WS}+|{PY_WS}+$", "")
 
 
 def dot(a: str | Column, b: str | Column) -> Column:

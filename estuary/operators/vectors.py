@@ -12,17 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from estuary.functions.exprs import cosine, dot, norm2, portable_hash
+from estuary.functions.exprs import cosine, portable_hash, py_strip
 from estuary.plans.ordinal import global_ordinal
 
-WS = r"[\s\p{Z}\x{1c}-\x{1f}\x{85}]"
-
-
-def py_strip(c: Column) -> Column:
-    """Python ``str.strip()`` (unicode whitespace on both ends)."""
-    return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
-
-
 def combine_text(reviews: DataFrame) -> DataFrame:
     """``"Title: " + Summary.strip() + "; Content: " + Text.strip()``."""
     return reviews.withColumn("combined", F.concat(F.lit("Title: "), py_strip(F.col("Summary")), F.lit("; Content: "),
