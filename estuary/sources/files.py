@@ -101,15 +101,17 @@ def scan_conv_log(spark: SparkSession, path: str, stream: bool = False) -> DataF
         (F.col("type").isNull() | F.col("tstamp").isNull()).alias("bad_row"))
 
 
-def log_files_index(spark: SparkSession, root: str) -> DataFrame:
-    """Every ``server{i}/{YYYY-MM-DD}-conv.json`` under ``root`` as a row
-    (path, server, date) – listing only, no file content is read."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*-conv.json")
+def log_files_index(spark: SparkSession, root: str, glob: str = "*-conv.json",
+                    server_re: str = r"server(\d+)/", date_re: str = r"(\d{4}-\d{2}-\d{2})-conv\.json$") -> DataFrame:
+    """Every log file under ``root`` as a row (path, server, date); the default
+    layout is ``server{i}/{YYYY-MM-DD}-conv.json``. Only the listing is used:
+    the binary-file source does not read content unless it is selected."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "true").load(root).select("path"))
     return files.select(
         "path",
-        F.regexp_extract("path", r"server(\d+)/", 1).cast("int").alias("server"),
-        F.regexp_extract("path", r"(\d{4}-\d{2}-\d{2})-conv\.json$", 1).alias("date"))
+        F.regexp_extract("path", server_re, 1).cast("int").alias("server"),
+        F.regexp_extract("path", date_re, 1).alias("date"))
 
 
 def select_log_files(index: DataFrame, dates: list[str], max_num_files: int | None = None) -> DataFrame:
@@ -144,9 +146,11 @@ def scan_instructions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(INSTRUCTION).option("multiLine", True).json(path)
 
 
-def scan_reviews(spark: SparkSession, path: str) -> DataFrame:
-    """``read_csv(index_col=0)``, keep six columns, drop rows with any NULL."""
-    cols = ["Time", "ProductId", "UserId", "Score", "Summary", "Text"]
+REVIEW_COLUMNS = ["Time", "ProductId", "UserId", "Score", "Summary", "Text"]
+
+
+def scan_reviews(spark: SparkSession, path: str, cols: list[str] = REVIEW_COLUMNS) -> DataFrame:
+    """``read_csv(index_col=0)``, keep the review columns, drop rows with any NULL."""
     df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     keep = df.select(*[F.col(c) for c in cols])
     return keep.na.drop(how="any")
@@ -171,3 +175,21 @@ def sink_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None
 
 def sink_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
+
+
+def sink_json_arrays(df: DataFrame, path: str, order: list[str], rows_per_file: int = 100_000) -> None:
+    """Write JSON-array documents (the ``json.dump(list)`` layout) of at most
+    ``rows_per_file`` rows each: rows are numbered by a distributed ordinal,
+    each slice becomes one array and one file, so no slice is unbounded."""
+    from estuary.plans.ordinal import global_ordinal
+
+    o = global_ordinal(df, order, "_pos").withColumn("_slice", F.floor(F.col("_pos") / rows_per_file))
+    docs = (o.groupBy("_slice")
+            .agg(F.sort_array(F.collect_list(F.struct("_pos", F.to_json(F.struct(*df.columns)).alias("_j")))).alias("_r"))
+            .select("_slice", F.concat(F.lit("["), F.array_join(F.transform("_r", lambda s: s["_j"]), ",\n"), F.lit("]")).alias("value")))
+    docs.repartition("_slice").write.mode("overwrite").partitionBy("_slice").text(path)
+
+
+def scan_json_arrays(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Each file is one JSON array; every element becomes a row."""
+    return spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).json(path)
