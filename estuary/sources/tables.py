@@ -63,8 +63,8 @@ def flow_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
         "src", "dst", (F.col("_c").cast("double") - F.col("_centre")).alias("direction"))
 
 
-def conv_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+def conv_log(spark: SparkSession, sf_dir: str, source: DataFrame | None = None) -> DataFrame:
+    ev = (source if source is not None else table(spark, sf_dir, "events")).select("event_id", "ts", "user_id", "event_type", "props")
     typ = (F.when(F.col("event_type") == "click", "chat").when(F.col("event_type") == "view", "leftvote")
            .when(F.col("event_type") == "purchase", "rightvote").when(F.col("event_type") == "signup", "tievote")
            .otherwise("bothbad_vote"))
@@ -75,8 +75,8 @@ def conv_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                      models.alias("models"))
 
 
-def battles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+def battles(spark: SparkSession, sf_dir: str, source: DataFrame | None = None) -> DataFrame:
+    ev = (source if source is not None else table(spark, sf_dir, "events")).select("event_id", "ts", "user_id", "event_type", "props")
     win = (F.when(F.col("event_type") == "click", "model_a").when(F.col("event_type") == "view", "model_b")
            .when(F.col("event_type") == "purchase", "tie").otherwise("tie (bothbad)"))
     return ev.where(F.col("event_type") != "error").select(
@@ -120,8 +120,8 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_orderkey") % 2100).cast("int").alias("token_num"))
 
 
-def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+def chunks(spark: SparkSession, sf_dir: str, source: DataFrame | None = None) -> DataFrame:
+    d = (source if source is not None else table(spark, sf_dir, "documents")).select("doc_id", "text")
     steps = F.explode(F.sequence(F.lit(1), F.lit(6)))
     return (d.select("doc_id", "text", steps.alias("s"))
             .select(F.col("doc_id").alias("stream_id"), F.col("s").cast("int").alias("seq"),
@@ -129,8 +129,8 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(F.col("s") == 6, F.lit("stop")).alias("finish_reason")))
 
 
-def heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "props")
+def heartbeats(spark: SparkSession, sf_dir: str, source: DataFrame | None = None) -> DataFrame:
+    ev = (source if source is not None else table(spark, sf_dir, "events")).select("event_id", "ts", "user_id", "props")
     w = F.col("user_id") % 50
     return ev.select(
         "event_id", F.concat(F.lit("w"), w.cast("string")).alias("worker"), epoch_seconds("ts").alias("beat"),
@@ -183,7 +183,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("quality").alias("Score"), F.substring("text", 1, 20).alias("Summary"), F.col("text").alias("Text"))
 
 
-def content(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+def content(spark: SparkSession, sf_dir: str, source: DataFrame | None = None) -> DataFrame:
+    d = (source if source is not None else table(spark, sf_dir, "documents")).select("doc_id", "text")
     return d.select("doc_id", F.date_add(F.lit(CAL_START).cast("date"), (F.col("doc_id") % 30).cast("int")).alias("date"),
                     F.md5("text").alias("h"))
