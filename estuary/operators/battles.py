@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from estuary.operators.activity import VOTES
+from estuary.plans.parallel import spread
 
 # Identity words that disqualify a battle, as listed by the
 # reference (its mixed-case entries can never match lower-cased text; kept).
@@ -61,7 +62,7 @@ def votes_from_fixture(raw_votes: DataFrame, turns: DataFrame) -> DataFrame:
     msgs = turns.groupBy("conv_id").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("i", "role", "text"))),
                     lambda s: F.array(s["role"], s["text"])).alias("messages"))
-    v = raw_votes.join(msgs, "conv_id")
+    v = spread(raw_votes).join(msgs, "conv_id")
     leak_msg = F.when(F.col("leak") != "", F.array(F.array(F.lit("assistant"), F.col("leak")))).otherwise(
         F.array().cast("array<array<string>>"))
     st = lambda name, m: F.struct(F.col(name).alias("model_name"), F.col("offset").alias("offset"), m.alias("messages"))
@@ -79,7 +80,7 @@ def _after_offset_text(state: Column) -> Column:
 
 def battle_reasons(votes: DataFrame) -> DataFrame:
     """Ordered validity checks → ``reason`` (names → anony → mismatch → offset → leak)."""
-    v = votes.where(F.col("type").isin(VOTES))
+    v = spread(votes.where(F.col("type").isin(VOTES)))
     v = strip_h3_col(v, F.element_at("models", 1), "pub0")
     v = strip_h3_col(v, F.element_at("models", 2), "pub1")
     s0, s1 = F.element_at("states", 1), F.element_at("states", 2)
@@ -108,17 +109,26 @@ def language_profile(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "language string, word string")
 
 
+def language_of(text: Column) -> Column:
+    """Profile language with most stop-word hits among the lower-cased letter
+    tokens (tie → alphabetical), ``unknown`` without hits. A per-row expression
+    over a literal word → code map: one pass over the tokens, then the hits
+    (one letter per hit) are counted with string functions – no explode, no
+    shuffle, whole text."""
+    langs = sorted(LANGUAGE_PROFILE)
+    code = {lang: chr(ord("a") + i) for i, lang in enumerate(langs)}
+    words = F.create_map(*[F.lit(x) for lang, ws in LANGUAGE_PROFILE.items() for w in ws for x in (w, code[lang])])
+    hits = F.array_join(F.transform(F.split(F.lower(text), r"[^\p{L}]+"), lambda t: F.try_element_at(words, t)), "")
+    ranked = F.sort_array(F.array(*[
+        F.struct((F.length(F.regexp_replace(hits, f"[^{code[lang]}]", "")) * -1).alias("c"), F.lit(lang).alias("l"))
+        for lang in langs]))
+    best = F.element_at(ranked, 1)
+    return F.when(text.isNull() | (best["c"] == 0), F.lit("unknown")).otherwise(best["l"])
+
+
 def detect_language(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, language): the profile language with most stop-word hits in the
-    lower-cased letter tokens (tie → alphabetical), ``unknown`` without hits.
-    The profile is a fixed list of ~60 words, broadcast by construction."""
-    prof = F.broadcast(language_profile(df.sparkSession))
-    toks = df.select(key, F.explode(F.split(F.lower(F.col(text)), r"[^\p{L}]+")).alias("word"))
-    hits = toks.join(prof, "word").groupBy(key, "language").agg(F.count(F.lit(1)).alias("hits"))
-    best = hits.withColumn("_r", F.row_number().over(
-        Window.partitionBy(key).orderBy(F.col("hits").desc(), F.col("language")))).where("_r = 1")
-    return (df.select(key).join(best.select(key, "language"), key, "left")
-            .select(key, F.coalesce("language", F.lit("unknown")).alias("language")))
+    """(key, language) per row, see :func:`language_of`."""
+    return spread(df).select(key, language_of(F.col(text)).alias("language"))
 
 
 def rename_model(c: Column) -> Column:
@@ -140,8 +150,7 @@ def clean_battles(votes: DataFrame, detect: bool = True) -> DataFrame:
                    vote_to_win(F.col("type")).alias("win"), "anony",
                    F.floor((F.col("n_msgs") - F.col("offset")) / 2).cast("int").alias("rounds"), "tstamp", "first_text")
     if detect:
-        lang = detect_language(out.select("event_id", "first_text"), "event_id", "first_text")
-        out = out.join(lang, "event_id")
+        out = out.withColumn("language", language_of(F.col("first_text")))
     else:
         out = out.withColumn("language", F.lit("unknown"))
     return out.select("event_id", "model_a", "model_b", "win", "anony", "rounds", "language", "tstamp")

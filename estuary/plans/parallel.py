@@ -1,0 +1,17 @@
+"""Parallelism guard for CPU-heavy row-wise stages."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition when the input has fewer partitions than the
+    cluster can run at once (a small file read as one split would otherwise
+    run a heavy projection in a single task). On a large input, which already
+    has many more splits than cores, this is a no-op and adds no shuffle."""
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
