@@ -112,3 +112,10 @@ def py_round(c: str | Column, ndigits: int) -> Column:
 
         _PY_ROUND_UDFS[ndigits] = _r
     return _PY_ROUND_UDFS[ndigits](col(c))
+
+
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and apply ``body`` to it. Filter pushdown inlines
+    column aliases into predicates, so an expensive expression referenced k
+    times can be computed k times; binding it as a lambda argument prevents that."""
+    return F.element_at(F.transform(F.array(value), body), 1)

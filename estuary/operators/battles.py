@@ -3,9 +3,13 @@ kept battles and every counter come from the same scan."""
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from estuary.functions.exprs import let
 from estuary.operators.activity import VOTES
 from estuary.plans.parallel import spread
 
@@ -95,7 +99,9 @@ def battle_reasons(votes: DataFrame) -> DataFrame:
     one_empty = (F.col("pub0") == "") != (F.col("pub1") == "")
     anony = (F.col("pub0") == "") | (F.col("pub0") == "Model A")
     mismatch = ~(F.col("pub0").eqNullSafe(F.col("hid0")) & F.col("pub1").eqNullSafe(F.col("hid1")))
-    leak = F.exists(F.array(*[F.lit(w) for w in IDENTITY_WORDS]), lambda w: F.contains(F.col("_text"), w))
+    # The text is bound once (``let``): pushed-down filters inline it, and
+    # referencing it per word would rebuild it for every word.
+    leak = let(F.col("_text"), lambda t: reduce(lambda a, b: a | b, [F.contains(t, F.lit(w)) for w in IDENTITY_WORDS]))
     reason = (F.when(one_empty, "invalid_names")
               .when(~anony & mismatch, "invalid_mismatch")
               .when(F.col("offset") >= F.col("n_msgs"), "invalid_offset")
@@ -119,10 +125,9 @@ def language_of(text: Column) -> Column:
     code = {lang: chr(ord("a") + i) for i, lang in enumerate(langs)}
     words = F.create_map(*[F.lit(x) for lang, ws in LANGUAGE_PROFILE.items() for w in ws for x in (w, code[lang])])
     hits = F.array_join(F.transform(F.split(F.lower(text), r"[^\p{L}]+"), lambda t: F.try_element_at(words, t)), "")
-    ranked = F.sort_array(F.array(*[
-        F.struct((F.length(F.regexp_replace(hits, f"[^{code[lang]}]", "")) * -1).alias("c"), F.lit(lang).alias("l"))
-        for lang in langs]))
-    best = F.element_at(ranked, 1)
+    best = let(hits, lambda h: F.element_at(F.sort_array(F.array(*[
+        F.struct((F.length(F.regexp_replace(h, f"[^{code[lang]}]", "")) * -1).alias("c"), F.lit(lang).alias("l"))
+        for lang in langs])), 1))
     return F.when(text.isNull() | (best["c"] == 0), F.lit("unknown")).otherwise(best["l"])
 
 
