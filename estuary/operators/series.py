@@ -276,17 +276,20 @@ def nest_conversation(rendered: DataFrame) -> DataFrame:
     return rendered.select("id", conv.alias("conversations"))
 
 
-def assemble_snapshots(windows: DataFrame, in_len: int = 12, out_len: int = 12) -> DataFrame:
+def assemble_snapshots(windows: DataFrame, in_len: int = 12, out_len: int = 12, site_chunk: int = 4096) -> DataFrame:
     """One snapshot per window start t: data_x/data_y shaped (step, site, feature).
-    Grouped by t, i.e. one row per snapshot holding its N sites."""
-    g = windows.groupBy(F.col("t").alias("snapshot")).agg(
+
+    Sites are grouped in chunks of ``site_chunk`` (one row per (snapshot,
+    chunk)), so a snapshot over very many sites never becomes one unbounded
+    row; with up to ``site_chunk`` sites (the reference's 20) it is one row."""
+    g = windows.groupBy(F.col("t").alias("snapshot"), F.floor(F.col("n") / site_chunk).cast("int").alias("site_chunk")).agg(
         F.sort_array(F.collect_list(F.struct("n", "x_sediment", "x_discharge", "y_sediment", "y_discharge"))).alias("_s"))
 
     def cube(prefix: str, length: int) -> Column:
         return F.transform(F.sequence(F.lit(1), F.lit(length)), lambda i: F.transform(
             "_s", lambda s: F.array(F.element_at(s[f"{prefix}_sediment"], i), F.element_at(s[f"{prefix}_discharge"], i))))
 
-    return g.select("snapshot", F.transform("_s", lambda s: s["n"]).alias("sites"),
+    return g.select("snapshot", "site_chunk", F.transform("_s", lambda s: s["n"]).alias("sites"),
                     cube("x", in_len).alias("data_x"), cube("y", out_len).alias("data_y"))
 
 

@@ -132,8 +132,10 @@ def worker_liveness(beats: DataFrame, now: Column | None = None, ttl: int = HEAR
 
 def worker_rollup(workers: DataFrame) -> DataFrame:
     """Controller-as-worker status: union of models, summed speed and queue."""
-    return workers.agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("model_names")))).alias("model_names"),
-                       F.sum("speed").alias("speed"), F.sum("queue_length").alias("queue_length"))
+    models = (workers.select(F.explode("model_names").alias("m")).distinct()
+              .agg(F.sort_array(F.collect_list("m")).alias("model_names")))  # bounded by the number of models
+    totals = workers.agg(F.sum("speed").alias("speed"), F.sum("queue_length").alias("queue_length"))
+    return models.crossJoin(totals)  # two one-row aggregates
 
 
 def model_workers(workers: DataFrame) -> DataFrame:
