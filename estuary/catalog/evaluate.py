@@ -17,11 +17,11 @@ def _ids(spark, d):
 
 
 def q_id_range_slice(spark, d):
-    return flat(EV.id_range_slice(_ids(spark, d), ["t", "n"], 5, 115).select("id", "pos"))
+    return flat(EV.id_range_slice(_ids(spark, d), ["t", "n"], 5, 115, bucket=F.col("t")).select("id", "pos"))
 
 
 def _chunks(spark, d):
-    return EV.chunk_assign(_ids(spark, d), ["t", "n"], 8)
+    return EV.chunk_assign(_ids(spark, d), ["t", "n"], 8, bucket=F.col("t"))
 
 
 def q_chunk_assign(spark, d):

@@ -330,3 +330,129 @@ from b""")
 ORACLE["truncate_at_stop"] = _trunc_sql()
 ORACLE["partial_stop_flag"] = with_recipes("turns", f"""
 select conv_id, turn, {PARTIAL.format(o='text', s=_q('</s>'))} "partial", {PARTIAL.format(o='text', s="'.' || chr(10)")} partial_nl from turns""")
+
+
+# ------------------------------------------------------------------ span and batch oracles
+
+_TC = "(len(list_filter(string_split_regex({x}, '\\s+'), lambda w: w <> '')) + 1)"
+
+
+def _tc(x: str) -> str:
+    return _TC.format(x=x)
+
+
+def _two_conv_sql(tpl: dict) -> str:
+    """Conversation text of the trimmed sources in the TWO style (positional roles)."""
+    role = f"(case when k % 2 = 0 then {_q(tpl['role0'])} else {_q(tpl['role1'])} end)"
+    body = (f"string_agg(case when text <> '' then {role} || ': ' || text || case when k % 2 = 0 then {_q(tpl['sep'])} "
+            f"else {_q(tpl['sep2'])} end else {role} || ':' end, '' order by turn)")
+    return (NS + f""",
+agg as (select conv_id, {body} body from src group by conv_id),
+convs as (select f.conv_id, {_e(tpl['system'])} || {_q(tpl['sep'])} || coalesce(a.body, '') c from fst f left join agg a using (conv_id))""")
+
+
+def _mpt_conv_sql(tpl: dict) -> str:
+    role = f"(case when k % 2 = 0 then {_e(tpl['role0'])} else {_e(tpl['role1'])} end)"
+    body = f"string_agg(case when text <> '' then {role} || text || {_q(tpl['sep'])} else {role} end, '' order by turn)"
+    return (NS + f""",
+agg as (select conv_id, {body} body from src group by conv_id),
+convs as (select f.conv_id, {_e(tpl['system'])} || {_q(tpl['sep'])} || coalesce(a.body, '') c from fst f left join agg a using (conv_id))""")
+
+
+def _spans_tail(spans: str, cur_end: str) -> str:
+    return f"""fin as (select conv_id, total, ({cur_end}) < 2048 and ({cur_end}) <> total mismatch,
+    case when ({cur_end}) < 2048 and ({cur_end}) <> total then [{{'s': 0, 'e': total}}]
+         else list_filter(list_transform({spans}, lambda p: {{'s': least(p.s, total), 'e': least(p.e, total)}}), lambda p: p.e > p.s) end sp
+  from k)
+select conv_id, cast(unnest(range(0, len(sp))) as bigint) span_no, unnest(sp).s span_start, unnest(sp).e span_end,
+       total, mismatch from fin"""
+
+
+def _v1_sql() -> str:
+    t = V1
+    rsep = t["sep"] + t["role1"] + ": "
+    return with_recipes("turns", "with " + _two_conv_sql(t) + f""",
+r as (select conv_id, least({_tc('c')}, 2048) total, string_split(c, {_q(t['sep2'])}) rounds from convs),
+v as (select *, list_position(list_transform(rounds, lambda x: x <> '' and len(string_split(x, {_q(rsep)})) = 2), false) p from r),
+k0 as (select conv_id, total, rounds[1:(case when p is null or p = 0 then len(rounds) else p - 1 end)] kept from v),
+k as (select conv_id, total, kept, list_transform(kept, lambda x: {_tc('x')}) rlen,
+             list_transform(kept, lambda x: {_tc("string_split(x, " + _q(rsep) + ")[1] || " + _q(rsep))} - 2) ilen from k0),
+""" + _spans_tail(
+        "[{'s': 0, 'e': 1}] || list_transform(range(1, len(kept) + 1), lambda j: {'s': 1 + coalesce(list_sum(rlen[1:j - 1]), 0), "
+        "'e': 1 + coalesce(list_sum(rlen[1:j - 1]), 0) + ilen[j]}) || [{'s': 1 + coalesce(list_sum(rlen), 0), 'e': total}]",
+        "1 + coalesce(list_sum(rlen), 0)"))
+
+
+def _mpt_sql() -> str:
+    t = MPT
+    sep, bsep = t["sep"], t["sep"] + t["role1"]
+    return with_recipes("turns", "with " + _mpt_conv_sql(t) + f""",
+r as (select conv_id, least({_tc('c')}, 2048) total, string_split(c, {_q(sep)}) parts from convs),
+rr as (select conv_id, total, [array_to_string(parts[1:3], {_q(sep)})] ||
+          list_transform(list_filter(range(4, len(parts) + 1, 2), lambda i: i <= len(parts)),
+                         lambda i: array_to_string(parts[i:i + 1], {_q(sep)})) rounds from r),
+v as (select *, list_position(list_transform(rounds, lambda x: x <> '' and len(string_split(x, {_e(bsep)})) = 2), false) p from rr),
+k0 as (select conv_id, total, rounds[1:(case when p is null or p = 0 then len(rounds) else p - 1 end)] kept from v),
+k as (select conv_id, total, kept, list_transform(kept, lambda x: {_tc('x')} + {_tc(_q(sep))}) rlen,
+             list_transform(kept, lambda x: {_tc("string_split(x, " + _e(bsep) + ")[1] || " + _e(bsep))}) ilen from k0),
+""" + _spans_tail(
+        "list_transform(range(1, len(kept) + 1), lambda j: {'s': coalesce(list_sum(rlen[1:j - 1]), 0), "
+        "'e': coalesce(list_sum(rlen[1:j - 1]), 0) + ilen[j]}) || [{'s': coalesce(list_sum(rlen), 0), 'e': total}]",
+        "coalesce(list_sum(rlen), 0)"))
+
+
+def _turns_sql() -> str:
+    header = SIMPLE["system"] + "\n\n"
+    hsql = _q(header).replace("\n", "' || chr(10) || '")
+    return with_recipes("turns", f"""
+with ns as (select conv_id, turn, case role when 'user' then 'human' when 'assistant' then 'gpt' end src, text,
+                   row_number() over (partition by conv_id order by turn) j from turns where role <> 'system'),
+pc as (select conv_id, turn, j, src, '### ' || case src when 'human' then 'Human' when 'gpt' then 'Assistant' else 'unknown' end
+              || ': ' || text || chr(10) piece from ns),
+pl as (select *, {_tc('piece')} ln from pc),
+st as (select *, {_tc(hsql)} + coalesce(sum(ln) over (partition by conv_id order by j rows between unbounded preceding and 1 preceding), 0) s0 from pl),
+k as (select conv_id, {_tc(hsql + " || string_agg(piece, '' order by j) || '### '")} total,
+             list(struct_pack(s := s0 + 2, e := s0 + ln) order by j) filter (where src = 'human') hs from st group by conv_id),
+fin as (select conv_id, total, false mismatch,
+    list_filter(list_transform([{{'s': {_tc(hsql)}::bigint * 0, 'e': {_tc(hsql)}::bigint}}] || coalesce(hs, []),
+                               lambda p: {{'s': least(p.s, total), 'e': least(p.e, total)}}), lambda p: p.e > p.s) sp from k)
+select conv_id, cast(unnest(range(0, len(sp))) as bigint) span_no, unnest(sp).s span_start, unnest(sp).e span_end,
+       total, mismatch from fin""")
+
+
+def _pad_sql() -> str:
+    from estuary.catalog.evaluate import TOKIDS
+
+    return with_recipes("turns", """
+with ns as (select conv_id, turn, case role when 'user' then 'human' when 'assistant' then 'gpt' end src, text from turns where role <> 'system'),
+conv as (select conv_id, """ + SPEAKER.format(sys=_q(SIMPLE["system"] + "\n\n").replace("\n", "' || chr(10) || '")) + f""" conversation
+         from ns group by conv_id),
+ids as (select conv_id, conv_id // 4 batch, {TOKIDS.format(x='conversation')} ids from conv),
+b as (select *, max(len(ids)) over (partition by batch) bm from ids)
+select conv_id, batch, cast(bm as bigint) padded_len, cast(len(ids) as bigint) attended, cast(bm - len(ids) as bigint) ignored,
+       cast(list_sum(ids) as bigint) id_sum from b""")
+
+
+def _markdown_sql() -> str:
+    from estuary.catalog.activity import HORIZON
+
+    return with_recipes("conv_log", "with " + HORIZON + """,
+m as (select model, count(*) a, count(*) filter (where in_day) d, count(*) filter (where in_hour) hr from h where "type" = 'chat'
+      group by model having count(*) filter (where in_day) > 0 and count(*) filter (where in_hour) > 0),
+w as (select cast(greatest(max(length(model)), 5) as int) w0, cast(greatest(max(length(cast(a as varchar))), 3) as int) w1,
+             cast(greatest(max(length(cast(d as varchar))), 8) as int) w2, cast(greatest(max(length(cast(hr as varchar))), 9) as int) w3 from m),
+body as (select row_number() over (order by a desc, model) + 2 line_no,
+                '| ' || rpad(model, w0, ' ') || ' | ' || lpad(cast(a as varchar), w1, ' ') || ' | ' || lpad(cast(d as varchar), w2, ' ')
+                || ' | ' || lpad(cast(hr as varchar), w3, ' ') || ' |' line from m, w)
+select 1 line_no, '| ' || rpad('model'::varchar, w0, ' ') || ' | ' || lpad('All'::varchar, w1, ' ') || ' | ' || lpad('Last Day'::varchar, w2, ' ') || ' | '
+       || lpad('Last Hour'::varchar, w3, ' ') || ' |' line from w where exists (select 1 from m)
+union all select 2, '|' || repeat('-', w0 + 2) || '|' || repeat('-', w1 + 2) || '|' || repeat('-', w2 + 2) || '|' || repeat('-', w3 + 2) || '|'
+from w where exists (select 1 from m)
+union all select line_no, line from body""".replace("select 1 line_no", "select cast(1 as bigint) line_no"))
+
+
+ORACLE["supervision_mask_v1"] = _v1_sql()
+ORACLE["supervision_mask_mpt"] = _mpt_sql()
+ORACLE["supervision_mask_turns"] = _turns_sql()
+ORACLE["pad_and_mask_batch"] = _pad_sql()
+ORACLE["markdown_table"] = _markdown_sql()

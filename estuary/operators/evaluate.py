@@ -11,19 +11,19 @@ from estuary.functions.exprs import py_strip
 from estuary.plans.ordinal import global_ordinal
 
 
-def id_range_slice(df: DataFrame, order: list[str], start: int, end: int | None) -> DataFrame:
+def id_range_slice(df: DataFrame, order: list[str], start: int, end: int | None, bucket: Column | None = None) -> DataFrame:
     """``items[start:end]`` by position (half-open), positions from a distributed ordinal."""
-    o = global_ordinal(df, order, "pos")
+    o = global_ordinal(df, order, "pos", bucket=bucket)
     cond = F.col("pos") >= start
     if end is not None:
         cond = cond & (F.col("pos") < end)
     return o.where(cond)
 
 
-def chunk_assign(df: DataFrame, order: list[str], k: int) -> DataFrame:
+def chunk_assign(df: DataFrame, order: list[str], k: int, bucket: Column | None = None) -> DataFrame:
     """Contiguous chunks of ``n // k`` rows, the last chunk takes the rest
     (never fails, unlike the reference when the remainder is large)."""
-    o = global_ordinal(df, order, "pos")
+    o = global_ordinal(df, order, "pos", bucket=bucket)
     n = df.agg(F.count(F.lit(1)).alias("_n"))
     size = F.greatest(F.floor(F.col("_n") / k), F.lit(1))
     return (o.crossJoin(F.broadcast(n))

@@ -362,5 +362,5 @@ def batch_assign(df: DataFrame, keys: list[str], seed: int = 42, batch_size: int
     from estuary.functions.exprs import portable_hash
 
     h = df.withColumn("_h", portable_hash(F.lit(seed), *keys))
-    o = global_ordinal(h, ["_h", *keys], "pos")
+    o = global_ordinal(h, ["_h", *keys], "pos", bucket=F.shiftright("_h", 44))  # 2^16 hash ranges
     return o.withColumn("batch", F.floor(F.col("pos") / batch_size)).drop("_h")

@@ -172,10 +172,17 @@ def weight_of(model: Column) -> Column:
     return F.coalesce(F.element_at(m, model).cast("double"), F.lit(1.0))
 
 
-def weighted_pair_sample(battles: DataFrame, models: DataFrame, seed: int = 0) -> DataFrame:
+MAX_MODELS = 10_000
+
+
+def weighted_pair_sample(battles: DataFrame, models: DataFrame, seed: int = 0, max_models: int = MAX_MODELS) -> DataFrame:
     """For each battle, two distinct models drawn without replacement with
     probability ∝ weight (the two smallest keys of an exponential race); a
-    single served model is used twice. The model set is small and broadcast."""
+    single served model is used twice. The served-model set travels as one
+    broadcast array; its size is checked against ``max_models``."""
+    n_models = models.count()
+    if n_models > max_models:
+        raise ValueError(f"{n_models} served models exceed max_models={max_models}")
     ms = models.select("model", weight_of(F.col("model")).alias("w"))
     arr = ms.agg(F.collect_list(F.struct("model", "w")).alias("_ms"))  # one row: the served models
     b = battles.crossJoin(F.broadcast(arr))

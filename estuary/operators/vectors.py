@@ -77,7 +77,7 @@ def train_test_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int
     """Deterministic split: order by a portable hash of (seed, key); the first
     ⌈test_size·n⌉ rows are the test set."""
     h = df.withColumn("_h", portable_hash(F.lit(seed), key))
-    o = global_ordinal(h, ["_h", key], "_pos")
+    o = global_ordinal(h, ["_h", key], "_pos", bucket=F.shiftright("_h", 44))
     n = df.agg(F.count(F.lit(1)).alias("_n"))
     return (o.crossJoin(F.broadcast(n))
             .withColumn("is_test", F.col("_pos") < F.ceil(F.col("_n") * test_size))

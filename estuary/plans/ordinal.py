@@ -10,25 +10,40 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def global_ordinal(df: DataFrame, order: list[str], name: str = "pos", buckets: int | None = None) -> DataFrame:
+def global_ordinal(df: DataFrame, order: list[str], name: str = "pos", buckets: int | None = None,
+                   rows_per_bucket: int = 2_000_000, bucket: Column | None = None) -> DataFrame:
     """0-based position of each row in the total order ``order``.
 
     ``order`` must be a total order (end with a unique tie-break column) whose
-    first column is numeric. Rows go to ``buckets`` ranges of the first column,
-    scaled by its exact min/max (a one-row aggregate), so the bucket is a
-    deterministic, monotone function of the key: recomputation after a lost
-    executor gives the same positions. Bucket counts (one row per bucket) get a
-    running sum for the offsets; rows are numbered inside their bucket only.
+    first column is numeric. Rows go to ranges of the first column, scaled by
+    its exact min/max (a one-row aggregate), so the bucket is a deterministic,
+    monotone function of the key: recomputation after a lost executor gives the
+    same positions. The bucket count grows with the data (``rows_per_bucket``,
+    taken from the same aggregate) unless ``buckets`` is given. Bucket counts
+    (one row per bucket) get a running sum for the offsets; rows are numbered
+    inside their bucket only.
+
+    ``bucket`` may give any monotone (non-decreasing in ``order``) integer
+    expression instead, e.g. the top bits of a hash or an hour number; then no
+    min/max pass over the input is needed.
     """
+    if bucket is not None:
+        return _ordinal_by_bucket(df.withColumn("_b", bucket.cast("long")), order, name)
     spark = df.sparkSession
-    nb = buckets or max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    floor_nb = max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     first = order[0]
-    rng = df.agg(F.min(first).cast("double").alias("_lo"), F.max(first).cast("double").alias("_hi"))
+    rng = df.agg(F.min(first).cast("double").alias("_lo"), F.max(first).cast("double").alias("_hi"),
+                 F.count(F.lit(1)).alias("_n"))
+    nb = F.lit(buckets) if buckets else F.greatest(F.lit(floor_nb), F.ceil(F.col("_n") / rows_per_bucket))
     span = F.col("_hi") - F.col("_lo")
     bucket = F.when(span > 0, F.least(
-        F.floor((F.col(first).cast("double") - F.col("_lo")) / span * nb), F.lit(nb - 1))).otherwise(F.lit(0)).cast("int")
-    tagged = df.crossJoin(F.broadcast(rng)).withColumn("_b", bucket).drop("_lo", "_hi")
-    counts = tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
+        F.floor((F.col(first).cast("double") - F.col("_lo")) / span * nb), nb - 1)).otherwise(F.lit(0)).cast("long")
+    tagged = df.crossJoin(F.broadcast(rng)).withColumn("_b", bucket).drop("_lo", "_hi", "_n")
+    return _ordinal_by_bucket(tagged, order, name)
+
+
+def _ordinal_by_bucket(tagged: DataFrame, order: list[str], name: str) -> DataFrame:
+    counts = tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))  # one row per bucket
     offsets = counts.select("_b", (F.sum("_cnt").over(Window.orderBy("_b")) - F.col("_cnt")).alias("_off"))
     within = tagged.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy(*order)) - 1)
     return (within.join(F.broadcast(offsets), "_b")
