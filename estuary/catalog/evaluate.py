@@ -114,7 +114,7 @@ from rendered r join agg a on a.n = r.n and a.t = r.t"""),
 select round(avg(abs(y_true - y_pred)) filter (where y_true > 5.0), 6) mae_mask_value,
        round(avg(abs(y_true * (case when y_true > 10 then 1.0 else 0.0 end) - y_pred * (case when y_true > 10 then 1.0 else 0.0 end))), 6) mae_mask
 from p"""),
-    "binarize_labels": with_recipes("predictions", "select event_id, case when y_true / 10 >= 1 then 1.0 else 0.0 end label from predictions"),
+    "binarize_labels": with_recipes("predictions", "select event_id, case when y_true / 10 >= 1 then 1.0::double else 0.0::double end label from predictions"),
     "bce_with_logits": with_recipes("predictions", f"""with {PRED}, x as (select (y_pred - 10) / 5 x, case when y_true / 10 >= 1 then 1.0 else 0.0 end y from p)
 select round(avg(greatest(x, 0.0) - x * y + ln(1 + exp(-abs(x)))), 6) bce from x"""),
     "task_route": CS._with_more(CS.PARSED, """

@@ -133,7 +133,7 @@ UNI = "((('0x' || substr(md5(concat_ws('|', {parts})), 1, 15))::bigint + 1)::dou
 
 ORACLE = {
     "validate_requests": with_recipes("requests", f"""
-select request_id, case when msg is not null then 40302 end error_code, msg error_message from (
+select request_id, case when msg is not null then 40302::bigint end error_code, msg error_message from (
   select request_id,
     case when max_tokens <= 0 then {PYSTR.format(x='max_tokens')} || ' is less than the minimum of 1 - ''max_tokens'''
          when n <= 0 then {PYSTR.format(x='n')} || ' is less than the minimum of 1 - ''n'''
@@ -145,7 +145,7 @@ select request_id, case when msg is not null then 40302 end error_code, msg erro
     "allowed_model_check": with_recipes(["requests", "heartbeats"], """
 with m as (select distinct unnest(model_names) model from heartbeats),
 s as (select string_agg(model, '&&' order by model) served from m)
-select r.request_id, r.model, 40301 error_code, 'Only ' || s.served || ' allowed now, your model ' || r.model error_message
+select r.request_id, r.model, 40301::bigint error_code, 'Only ' || s.served || ' allowed now, your model ' || r.model error_message
 from requests r, s where r.model not in (select model from m)"""),
     "context_fit": with_recipes("requests", """
 select request_id, token_num + max_tokens > 2048 overflow,

@@ -306,7 +306,7 @@ select request_id, case when token_num % 50 = max_tokens - 1 then 'length' when
     "keep_last_context": with_recipes("requests", """
 with r as (select request_id, greatest(token_num, 1) n, 2048 - max_tokens - 8 src from requests),
 s as (select request_id, n, case when src > 0 then greatest(n - src, 0) when src = 0 then 0 else least(-src, n) end start0 from r)
-select request_id, cast(n - start0 as bigint) kept_len, case when n - start0 > 0 then start0 + 1 end first_id from s"""),
+select request_id, cast(n - start0 as bigint) kept_len, cast(case when n - start0 > 0 then start0 + 1 end as bigint) first_id from s"""),
 }
 
 RFIND = "(case when strpos(reverse({o}), reverse({s})) > 0 then length({o}) - strpos(reverse({o}), reverse({s})) + 1 - length({s}) else -1 end)"
@@ -364,7 +364,7 @@ def _spans_tail(spans: str, cur_end: str) -> str:
     case when ({cur_end}) < 2048 and ({cur_end}) <> total then [{{'s': 0, 'e': total}}]
          else list_filter(list_transform({spans}, lambda p: {{'s': least(p.s, total), 'e': least(p.e, total)}}), lambda p: p.e > p.s) end sp
   from k)
-select conv_id, cast(unnest(range(0, len(sp))) as bigint) span_no, unnest(sp).s span_start, unnest(sp).e span_end,
+select conv_id, cast(unnest(range(0, len(sp))) as bigint) span_no, cast(unnest(sp).s as bigint) span_start, cast(unnest(sp).e as bigint) span_end,
        total, mismatch from fin"""
 
 
@@ -416,7 +416,7 @@ k as (select conv_id, {_tc(hsql + " || string_agg(piece, '' order by j) || '###
 fin as (select conv_id, total, false mismatch,
     list_filter(list_transform([{{'s': {_tc(hsql)}::bigint * 0, 'e': {_tc(hsql)}::bigint}}] || coalesce(hs, []),
                                lambda p: {{'s': least(p.s, total), 'e': least(p.e, total)}}), lambda p: p.e > p.s) sp from k)
-select conv_id, cast(unnest(range(0, len(sp))) as bigint) span_no, unnest(sp).s span_start, unnest(sp).e span_end,
+select conv_id, cast(unnest(range(0, len(sp))) as bigint) span_no, cast(unnest(sp).s as bigint) span_start, cast(unnest(sp).e as bigint) span_end,
        total, mismatch from fin""")
 
 
