@@ -177,7 +177,7 @@ def sink_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
-def sink_json_arrays(df: DataFrame, path: str, order: list[str], rows_per_file: int = 100_000) -> None:
+def sink_json_arrays(df: DataFrame, path: str, order: list[str], rows_per_file: int = 20_000) -> None:
     """Write JSON-array documents (the ``json.dump(list)`` layout) of at most
     ``rows_per_file`` rows each: rows are numbered by a distributed ordinal,
     each slice becomes one array and one file, so no slice is unbounded."""
