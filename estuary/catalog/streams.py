@@ -56,7 +56,8 @@ def q_stream_worker_liveness(spark, d):
 
 
 def q_stream_elo(spark, d):
-    b = TB.battles(spark, d, source=ST.stream_table(spark, d, "events")).where(F.col("anony"))
+    b = TB.battles(spark, d, source=ST.stream_table(spark, d, "events")).where(F.col("anony")).withColumn(
+        "ts", from_epoch("tstamp"))
     name = ST.run_to_table(ST.stream_elo(b), scratch_path(spark, "ck"), "update")
     t = spark.table(name)
     last = t.groupBy("board", "model").agg(F.max_by("rating", "folded").alias("rating"))

@@ -125,22 +125,12 @@ def stream_worker_liveness(beats: DataFrame, ttl_seconds: int = 90, watermark: s
 
 
 ELO_OUT = "board long, model string, rating double, folded long, late long"
-ELO_STATE = "ratings string, last_ts double, last_id long, folded long, late long"
+ELO_STATE = "ratings string, buffer string, last_ts double, last_id long, folded long, late long"
 
 
 def _elo_state_fn(k=K_FACTOR, scale=SCALE, base=BASE, init=INIT_RATING):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        (board,) = key
-        if state.exists:
-            rj, last_ts, last_id, folded, late = state.get
-            ratings = json.loads(rj)
-        else:
-            ratings, last_ts, last_id, folded, late = {}, float("-inf"), -1, 0, 0
-        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["tstamp", "event_id"], kind="mergesort")
-        for ts_, eid, a, b, win in zip(batch["tstamp"], batch["event_id"], batch["model_a"], batch["model_b"], batch["win"]):
-            if (ts_, eid) <= (last_ts, last_id):
-                late += 1  # would rewrite history: dropped and counted
-                continue
+    def fold_rows(ratings, rows):
+        for _, _, a, b, win in rows:
             ra = ratings.get(a, init)
             rb = ratings.get(b, init)
             ea = 1 / (1 + base ** ((rb - ra) / scale))
@@ -148,23 +138,49 @@ def _elo_state_fn(k=K_FACTOR, scale=SCALE, base=BASE, init=INIT_RATING):
             sa = {"model_a": 1, "model_b": 0, "tie": 0.5, "tie (bothbad)": 0.5}[win]
             ratings[a] = ra + k * (sa - ea)
             ratings[b] = ratings.get(b, init) + k * (1 - sa - eb)
-            last_ts, last_id = float(ts_), int(eid)
-            folded += 1
-        state.update((json.dumps(ratings), last_ts, last_id, folded, late))
+
+    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        (board,) = key
+        if state.exists:
+            rj, bj, last_ts, last_id, folded, late = state.get
+            ratings, buffer = json.loads(rj), [tuple(r) for r in json.loads(bj)]
+        else:
+            ratings, buffer, last_ts, last_id, folded, late = {}, [], float("-inf"), -1, 0, 0
+        if not state.hasTimedOut:
+            for pdf in pdfs:
+                for row in zip(pdf["tstamp"], pdf["event_id"], pdf["model_a"], pdf["model_b"], pdf["win"]):
+                    row = (float(row[0]), int(row[1]), row[2], row[3], row[4])
+                    if (row[0], row[1]) <= (last_ts, last_id):
+                        late += 1  # older than history already folded: dropped and counted
+                    else:
+                        buffer.append(row)
+        wm_ms = state.getCurrentWatermarkMs()  # event time in milliseconds (Spark's precision)
+        buffer.sort(key=lambda r: (r[0], r[1]))
+        ms = lambda r: round(r[0] * 1_000_000) // 1000  # exact microseconds, then floor to ms
+        ready = [r for r in buffer if ms(r) <= wm_ms]
+        buffer = [r for r in buffer if ms(r) > wm_ms]
+        if ready:
+            fold_rows(ratings, ready)
+            last_ts, last_id = ready[-1][0], ready[-1][1]
+            folded += len(ready)
+        state.update((json.dumps(ratings), json.dumps(buffer), last_ts, last_id, folded, late))
+        if buffer:
+            state.setTimeoutTimestamp(int(buffer[0][0] * 1000) + 1)
         yield pd.DataFrame({"board": [board] * len(ratings), "model": list(ratings), "rating": list(ratings.values()),
                             "folded": [folded] * len(ratings), "late": [late] * len(ratings)})
 
     return fn
 
 
-def stream_elo(battles: DataFrame, board: str | None = None) -> DataFrame:
-    """Running Elo per board. Each micro-batch's rows of a board are folded in
-    (tstamp, event_id) order after the rows already folded; rows older than
-    the last folded one are late, dropped and counted. Output: the board's
-    ratings after every micro-batch (update mode)."""
+def stream_elo(battles: DataFrame, board: str | None = None, ts: str = "ts", delay: str = "0 seconds") -> DataFrame:
+    """Running Elo per board. Rows are buffered in state until the event-time
+    watermark passes them, then folded in (tstamp, event_id) order; a row older
+    than history already folded would rewrite it and is dropped and counted
+    (``late``). State per board: the ratings (O(models)) and the rows still
+    inside the watermark delay. Output: the board's ratings after each fold."""
     b = battles.withColumn("board", F.lit(0).cast("long") if board is None else F.col(board).cast("long"))
-    return (b.groupBy("board")
-            .applyInPandasWithState(_elo_state_fn(), ELO_OUT, ELO_STATE, "update", GroupStateTimeout.NoTimeout))
+    return (b.withWatermark(ts, delay).groupBy("board")
+            .applyInPandasWithState(_elo_state_fn(), ELO_OUT, ELO_STATE, "update", GroupStateTimeout.EventTimeTimeout))
 
 
 DELTA_OUT = "stream_id long, seq int, delta string, finish_reason string"
