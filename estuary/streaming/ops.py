@@ -165,7 +165,8 @@ def _elo_state_fn(k=K_FACTOR, scale=SCALE, base=BASE, init=INIT_RATING):
             folded += len(ready)
         state.update((json.dumps(ratings), json.dumps(buffer), last_ts, last_id, folded, late))
         if buffer:
-            state.setTimeoutTimestamp(int(buffer[0][0] * 1000) + 1)
+            # fires once the watermark reaches the earliest buffered row
+            state.setTimeoutTimestamp(max(ms(buffer[0]) - 1, wm_ms))
         yield pd.DataFrame({"board": [board] * len(ratings), "model": list(ratings), "rating": list(ratings.values()),
                             "folded": [folded] * len(ratings), "late": [late] * len(ratings)})
 
@@ -174,9 +175,11 @@ def _elo_state_fn(k=K_FACTOR, scale=SCALE, base=BASE, init=INIT_RATING):
 
 def stream_elo(battles: DataFrame, board: str | None = None, ts: str = "ts", delay: str = "0 seconds") -> DataFrame:
     """Running Elo per board. Rows are buffered in state until the event-time
-    watermark passes them, then folded in (tstamp, event_id) order; a row older
-    than history already folded would rewrite it and is dropped and counted
-    (``late``). State per board: the ratings (O(models)) and the rows still
+    watermark passes them, then folded in (tstamp, event_id) order. Rows behind
+    the watermark are dropped by Spark before the state function (query
+    progress reports them as ``numRowsDroppedByWatermark``); a row that still
+    reaches the state but is older than history already folded would rewrite
+    it and is dropped and counted (``late``). State per board: the ratings (O(models)) and the rows still
     inside the watermark delay. Output: the board's ratings after each fold."""
     b = battles.withColumn("board", F.lit(0).cast("long") if board is None else F.col(board).cast("long"))
     return (b.withWatermark(ts, delay).groupBy("board")
