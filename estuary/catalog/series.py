@@ -55,9 +55,7 @@ def q_scan_flow_matrix(spark, d):
 
 
 def q_date_spine(spark, d):
-    ev = TB.table(spark, d, "events").agg(F.min(F.col("ts").cast("date")).alias("d0"), F.max(F.col("ts").cast("date")).alias("d1"))
-    spine = ev.select(F.explode(F.sequence("d0", "d1", F.expr("interval 1 day"))).alias("date"), "d0")
-    return flat(spine.select(F.datediff("date", "d0").alias("t"), "date"))
+    return flat(S.date_spine_of(TB.table(spark, d, "events").select("ts"), "ts"))
 
 
 def q_date_membership_filter(spark, d):

@@ -47,6 +47,14 @@ def date_spine(spark: SparkSession, start: str, end: str, unit: str = "day", ste
     return spark.range(total).select(F.col("id").cast("int").alias("t"), step_value(start, F.col("id"), unit).alias("date"))
 
 
+def date_spine_of(df: DataFrame, date_col: str) -> DataFrame:
+    """Inclusive daily calendar spanning the data (min..max of ``date_col``):
+    a one-row aggregate expanded by ``sequence`` (calendar-sized, not data-sized)."""
+    rng = df.agg(F.min(F.col(date_col).cast("date")).alias("_d0"), F.max(F.col(date_col).cast("date")).alias("_d1"))
+    days = rng.select("_d0", F.explode(F.sequence("_d0", "_d1", F.expr("interval 1 day"))).alias("date"))
+    return days.select(F.datediff("date", "_d0").alias("t"), "date")
+
+
 def date_membership_filter(df: DataFrame, start: str, end: str, date_col: str = "date") -> DataFrame:
     """Rows whose date is inside the inclusive range (pushes down to the scan)."""
     return df.where(F.col(date_col).between(F.lit(start).cast("date"), F.lit(end).cast("date")))

@@ -212,3 +212,11 @@ def stream_delta(chunks: DataFrame) -> DataFrame:
     """Cumulative text chunks → deltas with per-stream state (the last length)."""
     return chunks.groupBy("stream_id").applyInPandasWithState(_delta_fn, DELTA_OUT, DELTA_STATE, "append",
                                                              GroupStateTimeout.NoTimeout)
+
+
+def start_refresh(log_stream: DataFrame, counts_path: str, checkpoint: str, interval: str = "300 seconds"):
+    """Dashboard refresh as a long-running query: every ``interval`` the new log
+    lines' counts per type are appended (exactly-once through the checkpoint);
+    readers sum ``counts_path``. Returns the StreamingQuery."""
+    return (log_stream.writeStream.foreachBatch(stream_refresh_batch(counts_path))
+            .option("checkpointLocation", checkpoint).trigger(processingTime=interval).start())
