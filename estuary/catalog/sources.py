@@ -96,18 +96,8 @@ def q_scan_reviews(spark, d):
 
 
 def q_preview_profile(spark, d):
-    parts = []
-    for name in ("events", "documents", "embeddings", "conversations"):
-        t = TB.table(spark, d, name)
-        prof = t.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("name"), "n_rows",
-                                                                F.lit(len(t.columns)).alias("n_cols"))
-        parts.append(prof)
-    emb = TB.table(spark, d, "embeddings").agg(F.max(F.size("embedding")).alias("n_rows")).select(
-        F.lit("embedding_dims").alias("name"), "n_rows", F.lit(1).alias("n_cols"))
-    out = parts[0]
-    for p in parts[1:] + [emb]:
-        out = out.unionByName(p)
-    return flat(out)
+    tabs = {name: TB.table(spark, d, name) for name in ("events", "documents", "embeddings", "conversations")}
+    return flat(files.preview_profile(tabs, array_col=("embeddings", "embedding")))
 
 
 def q_sink_cube(spark, d):
@@ -152,8 +142,7 @@ def q_sink_eval_results(spark, d):
 
 
 def q_content_hash_dedup(spark, d):
-    c = TB.content(spark, d)
-    return flat(c.groupBy("date", "h").agg(F.min("doc_id").alias("doc_id")))
+    return flat(files.content_hash_dedup(TB.content(spark, d)))
 
 
 QUERIES = {k[2:]: v for k, v in globals().items() if k.startswith("q_")}

@@ -193,3 +193,26 @@ def sink_json_arrays(df: DataFrame, path: str, order: list[str], rows_per_file:
 def scan_json_arrays(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Each file is one JSON array; every element becomes a row."""
     return spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).json(path)
+
+
+def preview_profile(tables: dict[str, DataFrame], array_col: tuple[str, str] | None = None) -> DataFrame:
+    """``head()/shape/len`` as one table: per input its row count (a distributed
+    count) and column count; optionally the max size of an array column."""
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("name"), "n_rows",
+                                                              F.lit(len(df.columns)).alias("n_cols"))
+             for name, df in tables.items()]
+    if array_col:
+        name, col = array_col
+        parts.append(tables[name].agg(F.max(F.size(col)).alias("n_rows")).select(
+            F.lit(f"{name[:-1] if name.endswith('s') else name}_dims").alias("name"), "n_rows", F.lit(1).alias("n_cols")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def content_hash_dedup(content: DataFrame, keys: list[str] = ["date", "h"], first: str = "doc_id") -> DataFrame:
+    """Keep one item per (date, content hash): the first writer wins. An
+    aggregate with map-side combine, so a heavily copied item never reaches
+    one task as all its copies."""
+    return content.groupBy(*keys).agg(F.min(first).alias(first))
