@@ -13,7 +13,7 @@ from datetime import date as _date
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from estuary.functions.exprs import fmt2_join, long_date_text
+from estuary.functions.exprs import fmt2, fmt2_join, long_date_text
 from estuary.plans.ordinal import global_ordinal, halo_windows
 
 # Special tokens and instruction wording of the reference dataset.
@@ -223,7 +223,9 @@ def sliding_windows(dense: DataFrame, steps: int, in_len: int = 12, out_len: int
     """
     width = in_len + out_len
     last = steps - width - (1 if drop_last else 0)
-    payload = F.struct("date", "sediment", "discharge")
+    # The two-decimal texts are made once per row here: inside the windows each
+    # value would otherwise be formatted again for each of the windows it is in.
+    payload = F.struct("date", "sediment", "discharge", fmt2("sediment").alias("s_txt"), fmt2("discharge").alias("d_txt"))
     w = halo_windows(dense.where(F.col("t") <= last + width - 1), ["site"], "t", width, payload, bucket)
     w = w.where((F.col("t") <= last) & (F.size("win") == width))
     x = F.slice("win", 1, in_len)
@@ -233,10 +235,16 @@ def sliding_windows(dense: DataFrame, steps: int, in_len: int = 12, out_len: int
         F.transform(x, lambda s: s["sediment"]).alias("x_sediment"),
         F.transform(x, lambda s: s["discharge"]).alias("x_discharge"),
         F.transform(y, lambda s: s["sediment"]).alias("y_sediment"),
-        F.transform(y, lambda s: s["discharge"]).alias("y_discharge"))
+        F.transform(y, lambda s: s["discharge"]).alias("y_discharge"),
+        F.array_join(F.transform(x, lambda s: s["s_txt"]), " ").alias("_sediment_str"),
+        F.array_join(F.transform(x, lambda s: s["d_txt"]), " ").alias("_discharge_str"))
 
 
 def format_values(windows: DataFrame) -> DataFrame:
+    """``" ".join(f"{v:.2f}")`` of the input windows (texts made once per row by
+    :func:`sliding_windows` when available)."""
+    if "_sediment_str" in windows.columns:
+        return windows.withColumnRenamed("_sediment_str", "sediment_str").withColumnRenamed("_discharge_str", "discharge_str")
     return windows.withColumn("sediment_str", fmt2_join("x_sediment")).withColumn("discharge_str", fmt2_join("x_discharge"))
 
 
