@@ -157,7 +157,7 @@ def plateau_detect(curve: DataFrame, patience: int = 30, delta: float = 0.0, run
     the stop (or at the end), epochs seen.
     """
     if delta != 0.0:
-        raise NotImplementedError("delta != 0 needs the sequential fold; use plateau_detect_fold")
+        return plateau_detect_fold(curve, patience, delta, run, epoch, loss)
     c = curve.select(F.col(run).alias("run"), F.col(epoch).alias("e"), F.col(loss).alias("l"))
     prev_min = blocked_running(c, ["run"], "e", "l", "min", block, inclusive=False, name="prev_min")
     improved = prev_min.withColumn("imp", F.col("prev_min").isNull() | (F.col("l") <= F.col("prev_min")))
@@ -171,3 +171,44 @@ def plateau_detect(curve: DataFrame, patience: int = 30, delta: float = 0.0, run
     return (seen.join(best, "run")
             .select(F.col("run").alias(run), "stop_epoch", F.col("_b.l").alias("best_loss"),
                     F.col("_b.e").alias("best_epoch"), "epochs_seen"))
+
+
+PLATEAU_SCHEMA = "run_id long, stop_epoch long, best_loss double, best_epoch long, epochs_seen long"
+
+
+def plateau_detect_fold(curve: DataFrame, patience: int = 30, delta: float = 0.0, run: str = "run_id",
+                        epoch: str = "epoch", loss: str = "loss") -> DataFrame:
+    """Early stopping for any ``delta``: with delta != 0 the best value is not a
+    running minimum, so the rule is folded in epoch order per run. Runs are
+    hash-partitioned and sorted inside their partition (no global sort);
+    state per run is three numbers, carried across Arrow batches."""
+    import pandas as pd
+
+    def fold(batches):
+        out, cur = [], None
+        for pdf in batches:
+            for r, e, l in zip(pdf["run"].to_numpy(), pdf["e"].to_numpy(), pdf["l"].to_numpy()):
+                if cur is None or cur[0] != r:
+                    if cur is not None:
+                        out.append(cur[:5])
+                    cur = [int(r), None, None, None, 0, 0]  # run, stop, best, best_epoch, seen, counter
+                if cur[1] is not None:
+                    continue  # stopped: later epochs are never run
+                cur[4] += 1
+                if cur[2] is None:
+                    cur[2], cur[3] = float(l), int(e)
+                elif l > cur[2] - delta:
+                    cur[5] += 1
+                    if cur[5] >= patience:
+                        cur[1] = int(e)
+                else:
+                    cur[2], cur[3], cur[5] = float(l), int(e), 0
+        if cur is not None:
+            out.append(cur[:5])
+        yield pd.DataFrame(out, columns=["run_id", "stop_epoch", "best_loss", "best_epoch", "epochs_seen"]).astype(
+            {"stop_epoch": "Int64"})
+
+    n = int(curve.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    c = curve.select(F.col(run).cast("long").alias("run"), F.col(epoch).cast("long").alias("e"), F.col(loss).cast("double").alias("l"))
+    out = c.repartition(n, "run").sortWithinPartitions("run", "e").mapInPandas(fold, PLATEAU_SCHEMA)
+    return out.withColumnRenamed("run_id", run) if run != "run_id" else out

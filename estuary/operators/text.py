@@ -351,6 +351,18 @@ def keep_last_context(ids: Column, context_len: Column | int, max_new_tokens: Co
     return F.slice(ids, start0 + 1, n - start0)
 
 
+DEFAULT_MAX_TOKENS = 512
+
+
+def chat_gen_params(requests: DataFrame, model: str = "model", messages: str = "messages", prompt: str = "prompt",
+                    max_tokens: str = "max_tokens") -> DataFrame:
+    """Generation parameters of a chat request: ``max_tokens`` defaults to 512;
+    chatglm models receive the raw message list instead of a rendered prompt."""
+    glm = F.contains(F.lower(F.col(model)), F.lit("chatglm"))
+    return requests.withColumn("gen_max_tokens", F.coalesce(F.col(max_tokens), F.lit(DEFAULT_MAX_TOKENS))).withColumn(
+        "gen_prompt", F.when(glm, F.to_json(F.col(messages))).otherwise(F.col(prompt)))
+
+
 def chat_to_prompt(turns: DataFrame, tpl: dict, key: str = "conv_id") -> DataFrame:
     """OpenAI-style messages → template prompt: the **last** system message
     overrides the template system; user/assistant map to the two roles; an

@@ -220,3 +220,10 @@ def start_refresh(log_stream: DataFrame, counts_path: str, checkpoint: str, inte
     readers sum ``counts_path``. Returns the StreamingQuery."""
     return (log_stream.writeStream.foreachBatch(stream_refresh_batch(counts_path))
             .option("checkpointLocation", checkpoint).trigger(processingTime=interval).start())
+
+
+def start_daily_log_sink(log_stream: DataFrame, path: str, checkpoint: str, ts: str = "tstamp"):
+    """Append log lines to date-partitioned JSON files (the writer's Pacific
+    date), exactly once through the file sink's checkpoint."""
+    return (log_stream.withColumn("date", pacific_day(ts)).writeStream.format("json").partitionBy("date")
+            .option("path", path).option("checkpointLocation", checkpoint).outputMode("append").start())

@@ -37,3 +37,33 @@ def test_plateau_detect_equal_loss_is_improvement(spark):
     df = spark.createDataFrame([(1, i + 1, l) for i, l in enumerate(losses)], "run_id long, epoch long, loss double")
     r = A.plateau_detect(df, patience=3).first()
     assert (r.stop_epoch, r.best_epoch, r.best_loss) == (6, 3, 4.0)
+
+
+def _py_plateau(losses, patience, delta):
+    best, counter, best_e, seen, stop = None, 0, None, 0, None
+    for e, l in enumerate(losses, 1):
+        seen += 1
+        if best is None:
+            best, best_e = l, e
+        elif l > best - delta:
+            counter += 1
+            if counter >= patience:
+                stop = e
+                break
+        else:
+            best, best_e, counter = l, e, 0
+    return stop, best, best_e, seen
+
+
+def test_plateau_fold_with_delta_matches_python(spark):
+    import random
+
+    rng = random.Random(3)
+    curves = {r: [rng.uniform(0, 1) * (0.99 ** i) for i in range(200)] for r in range(5)}
+    df = spark.createDataFrame([(r, i + 1, l) for r, ls in curves.items() for i, l in enumerate(ls)],
+                               "run_id long, epoch long, loss double")
+    for delta in (0.0, 0.01):
+        got = {r.run_id: (r.stop_epoch, r.best_loss, r.best_epoch, r.epochs_seen)
+               for r in A.plateau_detect(df, patience=7, delta=delta).collect()}
+        for r, ls in curves.items():
+            assert got[r] == _py_plateau(ls, 7, delta)
