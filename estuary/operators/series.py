@@ -78,9 +78,19 @@ def to_wide(long: DataFrame, site_codes: list[str], value: str, date_col: str =
     return long.groupBy(date_col).pivot("site", site_codes).agg(F.first(value, ignorenulls=False))
 
 
-def unpivot_sites(wide: DataFrame, value: str, sites: list[str] | None = None, date_col: str = "date") -> DataFrame:
+def duplicate_dates(wide: DataFrame, date_col: str = "date") -> DataFrame:
+    """Dates that occur more than once in a wide table (the reference fails on
+    them; here they are reported and rejected). A partial-aggregated count."""
+    return wide.groupBy(date_col).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
+
+
+def unpivot_sites(wide: DataFrame, value: str, sites: list[str] | None = None, date_col: str = "date",
+                  reject_duplicates: bool = True) -> DataFrame:
     """Wide → long (date, site, value). The column list is cut to the requested
-    sites before ``unpivot`` because Catalyst does not prune through Expand."""
+    sites before ``unpivot`` because Catalyst does not prune through Expand.
+    Rows of duplicated dates are rejected (see :func:`duplicate_dates`)."""
+    if reject_duplicates:
+        wide = wide.join(duplicate_dates(wide, date_col).select(date_col), date_col, "left_anti")
     cols = [c for c in wide.columns if c != date_col]
     if sites is not None:
         wanted = set(sites)

@@ -216,3 +216,15 @@ def content_hash_dedup(content: DataFrame, keys: list[str] = ["date", "h"], firs
     aggregate with map-side combine, so a heavily copied item never reaches
     one task as all its copies."""
     return content.groupBy(*keys).agg(F.min(first).alias(first))
+
+
+def record_at(df: DataFrame, order: list[str], index: int) -> DataFrame:
+    """``items[index]`` of an ordered table (negative counts from the end), via
+    the distributed ordinal – never by collecting the table."""
+    from estuary.plans.ordinal import global_ordinal
+
+    o = global_ordinal(df, order, "_pos")
+    if index >= 0:
+        return o.where(F.col("_pos") == index).drop("_pos")
+    n = df.agg(F.count(F.lit(1)).alias("_n"))
+    return o.crossJoin(F.broadcast(n)).where(F.col("_pos") == F.col("_n") + index).drop("_pos", "_n")

@@ -90,3 +90,19 @@ def test_blocked_running_min(spark):
     ref = df.withColumn("ref", F.min("l").over(Window.partitionBy("run").orderBy("e").rowsBetween(Window.unboundedPreceding, -1)))
     j = b.join(ref, ["run", "e"])
     assert j.where(~F.col("pm").eqNullSafe(F.col("ref"))).count() == 0
+
+
+def test_unpivot_rejects_duplicate_dates(spark):
+    wide = spark.createDataFrame([(date(2024, 1, 1), 1.0, 2.0), (date(2024, 1, 1), 3.0, 4.0), (date(2024, 1, 2), 5.0, None)],
+                                 "date date, a double, b double")
+    assert [r.date for r in S.duplicate_dates(wide).collect()] == [date(2024, 1, 1)]
+    long = S.unpivot_sites(wide, "v", sites=["b"]).collect()
+    assert [(r.date, r.site, r.v) for r in long] == [(date(2024, 1, 2), "b", None)]
+
+
+def test_record_at(spark):
+    from estuary.sources.files import record_at
+
+    df = spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 3).alias("v"))
+    assert record_at(df, ["k"], 7).first().v == 21
+    assert record_at(df, ["k"], -1).first().v == 297
