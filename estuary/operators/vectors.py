@@ -125,13 +125,25 @@ def classification_report(pred: DataFrame, label: str = "label", predicted: str
     return per.select("cls", "precision", "recall", "f1", "support").unionByName(macro).unionByName(weighted).unionByName(acc)
 
 
+def _mean_vector(df: DataFrame, vec: str, by: list[str]) -> DataFrame:
+    """Per-group mean vector with MLlib's Summarizer (a JVM aggregate with
+    partial aggregation: one vector per partition and group is shuffled, never
+    one row per element)."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    v = df.select(*by, array_to_vector(F.col(vec).cast("array<double>")).alias("_v"))
+    g = v.groupBy(*by) if by else v
+    return g.agg(Summarizer.mean(F.col("_v")).alias("_m")).select(*by, vector_to_array("_m").alias("mean"))
+
+
 def masked_mean_pool(tokens: DataFrame, doc: str, vec: str, mask: str, eps: float = 1e-12) -> DataFrame:
-    """Σ(hidden × mask) / Σ mask per document and dimension, then L2-normalised
-    (norm floored at eps). Long form (doc, dim, value)."""
-    e = tokens.where(F.col(mask)).select(doc, F.posexplode(vec).alias("dim", "v"))
-    mean = e.groupBy(doc, "dim").agg(F.avg(F.col("v").cast("double")).alias("m"))
-    nrm = mean.groupBy(doc).agg(F.sqrt(F.sum(F.col("m") * F.col("m"))).alias("_n"))
-    return mean.join(nrm, doc).select(doc, "dim", (F.col("m") / F.greatest(F.col("_n"), F.lit(eps))).alias("value"))
+    """Σ(hidden × mask) / Σ mask per document, then L2-normalised (norm floored
+    at eps). Long form (doc, dim, value)."""
+    m = _mean_vector(tokens.where(F.col(mask)), vec, [doc])
+    nrm = F.sqrt(F.aggregate("mean", F.lit(0.0), lambda a, x: a + x * x))
+    pooled = m.select(doc, F.transform("mean", lambda x: x / F.greatest(nrm, F.lit(eps))).alias("_p"))
+    return pooled.select(doc, F.posexplode("_p").alias("dim", "value"))
 
 
 def batch_index(items: DataFrame, order: list[str], tokens: Column, size: int = 4) -> DataFrame:
@@ -146,31 +158,32 @@ def quantize_groups(df: DataFrame, key: str, vec: str, group: int = 256, bits: i
     last zero-padded (pad zeros take part in min/max); symmetric scale =
     B / max|x|, asymmetric scale = B / (max − min); clamp, round half-even.
     An all-zero group has no finite scale: its codes are 0 (the reference
-    divides by zero). Long form (key, grp, codes, scale, mn)."""
-    e = df.select(key, F.posexplode(vec).alias("pos", "x")).withColumn("grp", F.floor(F.col("pos") / group).cast("int"))
-    n = df.select(key, F.size(vec).alias("_len"))
-    g = e.groupBy(key, "grp").agg(F.sort_array(F.collect_list(F.struct("pos", F.col("x").cast("double").alias("x")))).alias("_v"),
-                                  F.max(F.abs(F.col("x").cast("double"))).alias("_amax"),
-                                  F.min(F.col("x").cast("double")).alias("_mn"), F.max(F.col("x").cast("double")).alias("_mx"))
-    g = g.join(n, key)
-    padded = (F.least((F.col("grp") + 1) * group, F.col("_len")) - F.col("grp") * group) < group
+    divides by zero). Per-row array functions over group slices – no shuffle.
+    Long form (key, grp, codes, scale, mn)."""
+    x = F.col(vec).cast("array<double>")
+    n = F.size(x)
+    groups = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(n / group) - 1, F.lit(0)).cast("int")),
+                         lambda g: F.struct(g.alias("grp"), F.slice(x, g * group + 1, group).alias("v")))
+    e = df.select(key, F.explode(groups).alias("_g")).select(key, "_g.grp", "_g.v")
+    padded = F.size("v") < group
     if symmetric:
         b = 2 ** (bits - 1) - 1
-        scale = F.try_divide(F.lit(float(b)), F.col("_amax"))
-        codes = F.transform("_v", lambda s: F.coalesce(F.bround(F.greatest(F.least(s["x"] * scale, F.lit(float(b))), F.lit(float(-b))), 0)
-                                                       .cast("int"), F.lit(0)))
-        return g.select(key, "grp", codes.alias("codes"), scale.alias("scale"), F.lit(None).cast("double").alias("mn"))
+        scale = F.try_divide(F.lit(float(b)), F.array_max(F.transform("v", F.abs)))
+        codes = F.transform("v", lambda s: F.coalesce(F.bround(F.greatest(F.least(s * scale, F.lit(float(b))), F.lit(float(-b))), 0)
+                                                      .cast("int"), F.lit(0)))
+        return e.select(key, "grp", codes.alias("codes"), scale.alias("scale"), F.lit(None).cast("double").alias("mn"))
     b = 2 ** bits - 1
-    mn = F.when(padded, F.least(F.col("_mn"), F.lit(0.0))).otherwise(F.col("_mn"))
-    mx = F.when(padded, F.greatest(F.col("_mx"), F.lit(0.0))).otherwise(F.col("_mx"))
+    mn = F.when(padded, F.least(F.array_min("v"), F.lit(0.0))).otherwise(F.array_min("v"))
+    mx = F.when(padded, F.greatest(F.array_max("v"), F.lit(0.0))).otherwise(F.array_max("v"))
     scale = F.try_divide(F.lit(float(b)), mx - mn)
-    codes = F.transform("_v", lambda s: F.coalesce(F.bround(F.greatest(F.least((s["x"] - mn) * scale, F.lit(float(b))), F.lit(0.0)), 0)
-                                                   .cast("int"), F.lit(0)))
-    return g.select(key, "grp", codes.alias("codes"), scale.alias("scale"), mn.alias("mn"))
+    codes = F.transform("v", lambda s: F.coalesce(F.bround(F.greatest(F.least((s - mn) * scale, F.lit(float(b))), F.lit(0.0)), 0)
+                                                  .cast("int"), F.lit(0)))
+    return e.select(key, "grp", codes.alias("codes"), scale.alias("scale"), mn.alias("mn"))
 
 
 def dequantize_groups(q: DataFrame, key: str) -> DataFrame:
-    """codes / scale (+ mn), groups re-assembled in order, padding never stored."""
+    """codes / scale (+ mn), groups re-assembled in order (one vector's groups
+    per key – bounded by the vector length), padding never stored."""
     vals = F.transform("codes", lambda c: F.coalesce(F.try_divide(c.cast("double"), F.col("scale")), F.lit(0.0))
                        + F.coalesce(F.col("mn"), F.lit(0.0)))
     g = q.select(key, "grp", vals.alias("_vals"))
@@ -194,11 +207,9 @@ def array_delta_apply(base: DataFrame, delta: DataFrame, key: str = "name") -> D
 
 
 def mean_vector_impute(df: DataFrame, key: str, vec: str, is_new: Column) -> DataFrame:
-    """Rows flagged new get the per-dimension mean of the existing rows."""
-    old = df.where(~is_new).select(F.posexplode(vec).alias("dim", "v"))
-    mean = old.groupBy("dim").agg(F.avg(F.col("v").cast("double")).alias("m"))
-    mvec = mean.agg(F.sort_array(F.collect_list(F.struct("dim", "m"))).alias("_m")).select(
-        F.transform("_m", lambda s: s["m"]).alias("_mean"))  # one row of one vector: broadcast-sized
+    """Rows flagged new get the per-dimension mean of the existing rows (one
+    global Summarizer mean: a single vector, attached by a broadcast)."""
+    mvec = _mean_vector(df.where(~is_new), vec, []).select(F.col("mean").alias("_mean"))
     return df.crossJoin(F.broadcast(mvec)).select(
         key, F.when(is_new, F.col("_mean")).otherwise(F.col(vec).cast("array<double>")).alias(vec), is_new.alias("imputed"))
 
