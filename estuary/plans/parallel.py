@@ -10,8 +10,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     cluster can run at once (a small file read as one split would otherwise
     run a heavy projection in a single task). On a large input, which already
     has many more splits than cores, this is a no-op and adds no shuffle."""
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave the plan as is
+        return df
+    return df.repartition(target) if current < target else df

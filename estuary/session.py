@@ -36,15 +36,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Only when the session has none (local tests) a scratch folder is created.
     """
-    current = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a SparkContext handle (e.g. Spark Connect)
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
-        spark.sparkContext.setCheckpointDir(conf_dir)
+        if sc is not None:
+            sc.setCheckpointDir(conf_dir)
         return conf_dir
     local = tempfile.mkdtemp(prefix="estuary-ckpt-", dir=os.environ.get("ESTUARY_SCRATCH", "/tmp"))
-    spark.sparkContext.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
     return local
 
 
