@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from estuary.functions.exprs import cosine, portable_hash, py_strip
+from estuary.functions.exprs import cosine, let, portable_hash, py_strip
 from estuary.plans.ordinal import global_ordinal
 
 def combine_text(reviews: DataFrame) -> DataFrame:
@@ -168,17 +168,18 @@ def quantize_groups(df: DataFrame, key: str, vec: str, group: int = 256, bits: i
     padded = F.size("v") < group
     if symmetric:
         b = 2 ** (bits - 1) - 1
-        scale = F.try_divide(F.lit(float(b)), F.array_max(F.transform("v", F.abs)))
-        codes = F.transform("v", lambda s: F.coalesce(F.bround(F.greatest(F.least(s * scale, F.lit(float(b))), F.lit(float(-b))), 0)
-                                                      .cast("int"), F.lit(0)))
-        return e.select(key, "grp", codes.alias("codes"), scale.alias("scale"), F.lit(None).cast("double").alias("mn"))
+        e = e.withColumn("scale", F.try_divide(F.lit(float(b)), F.array_max(F.transform("v", F.abs))))
+        # the group's scale is bound once, not re-evaluated for every element of the lambda
+        codes = let(F.col("scale"), lambda sc: F.transform("v", lambda s: F.coalesce(
+            F.bround(F.greatest(F.least(s * sc, F.lit(float(b))), F.lit(float(-b))), 0).cast("int"), F.lit(0))))
+        return e.select(key, "grp", codes.alias("codes"), "scale", F.lit(None).cast("double").alias("mn"))
     b = 2 ** bits - 1
     mn = F.when(padded, F.least(F.array_min("v"), F.lit(0.0))).otherwise(F.array_min("v"))
     mx = F.when(padded, F.greatest(F.array_max("v"), F.lit(0.0))).otherwise(F.array_max("v"))
-    scale = F.try_divide(F.lit(float(b)), mx - mn)
-    codes = F.transform("v", lambda s: F.coalesce(F.bround(F.greatest(F.least((s - mn) * scale, F.lit(float(b))), F.lit(0.0)), 0)
-                                                  .cast("int"), F.lit(0)))
-    return e.select(key, "grp", codes.alias("codes"), scale.alias("scale"), mn.alias("mn"))
+    e = e.withColumn("mn", mn).withColumn("scale", F.try_divide(F.lit(float(b)), mx - F.col("mn")))
+    codes = let(F.struct("mn", "scale"), lambda p: F.transform("v", lambda s: F.coalesce(
+        F.bround(F.greatest(F.least((s - p["mn"]) * p["scale"], F.lit(float(b))), F.lit(0.0)), 0).cast("int"), F.lit(0))))
+    return e.select(key, "grp", codes.alias("codes"), "scale", "mn")
 
 
 def dequantize_groups(q: DataFrame, key: str) -> DataFrame:

@@ -74,3 +74,13 @@ def test_validate_first_failing_rule(spark):
     assert got[2] == "3.0 is greater than the maximum of 2 - 'temperature'"
     assert got[3] == "1.5 is greater than the maximum of 1 - 'temperature'"
     assert got[4] is None
+
+
+def test_asymmetric_quantize_roundtrip(spark):
+    e = _emb(spark)
+    q = V.quantize_groups(e, "vec_id", "embedding", group=16, bits=8, symmetric=False)
+    sc = q.groupBy("vec_id").agg(F.min("scale").alias("smin"))
+    dq = V.dequantize_groups(q, "vec_id").join(sc, "vec_id").join(e, "vec_id")
+    errs = dq.select(F.array_max(F.zip_with("values", "embedding", lambda a, b: F.abs(a - b.cast("double")))).alias("err"),
+                     "smin").collect()
+    assert all(r.err * r.smin <= 0.5 + 1e-9 for r in errs)
