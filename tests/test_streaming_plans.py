@@ -46,3 +46,16 @@ def test_scan_prunes_and_pushes(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_orderdate)" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan
+
+
+AUDITED = ["render_instruction", "sliding_windows", "zscore_by_site", "clean_battles", "elo_online", "pairwise_win_fraction",
+           "battle_counts", "model_call_histogram", "hourly_last_day", "detect_language", "semantic_search", "quantize_groups",
+           "masked_mean_pool", "cumulative_to_delta", "supervision_mask_v1", "plateau_detect", "batch_assign", "usage_totals",
+           "worker_liveness", "weighted_pair_sample"]
+
+
+def test_no_cartesian_product_in_registered_plans(spark):
+    q = E.queries()
+    for key in AUDITED:
+        plan = _plan(q[key](spark, SF001))
+        assert "CartesianProduct" not in plan, key
