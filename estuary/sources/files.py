@@ -89,11 +89,13 @@ def scan_flow_matrix(spark: SparkSession, path: str) -> DataFrame:
             .where(F.col("direction").isNotNull()))
 
 
-def scan_conv_log(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
+def scan_conv_log(spark: SparkSession, path: str, stream: bool = False, mode: str = "FAILFAST") -> DataFrame:
     """JSON lines with the four fields the statistics use; absent ``model`` → ''
-    and absent ``models`` → ['', '']. ``type`` and ``tstamp`` are required:
-    rows missing them are flagged (``bad_row``) rather than dropped silently."""
-    reader = (spark.readStream if stream else spark.read).schema(LOG_LINE).option("mode", "PERMISSIVE")
+    and absent ``models`` → ['', '']. A malformed line fails the scan (as
+    ``json.loads`` does; ``mode="PERMISSIVE"`` keeps going). ``type`` and
+    ``tstamp`` are required: rows missing them are flagged (``bad_row``),
+    since an absent field is NULL even in FAILFAST mode."""
+    reader = (spark.readStream if stream else spark.read).schema(LOG_LINE).option("mode", mode)
     df = reader.json(path)
     return df.select(
         "type", "tstamp", F.coalesce("model", F.lit("")).alias("model"),

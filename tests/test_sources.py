@@ -46,3 +46,14 @@ def test_reviews_csv_multiline_and_dropna(spark):
         f.write(',Time,ProductId,UserId,Score,Summary,Text\n0,5,p,u,1,"sum","line1\nline2 ""q"""\n1,6,p,,2,s,t\n')
     rows = files.scan_reviews(spark, path).collect()
     assert len(rows) == 1 and rows[0].Text == 'line1\nline2 "q"'
+
+
+def test_conv_log_malformed_line_fails(spark):
+    import pytest
+
+    root = tempfile.mkdtemp(prefix="convbad-")
+    with open(os.path.join(root, "2023-05-01-conv.json"), "w") as f:
+        f.write(json.dumps({"type": "chat", "tstamp": 1.5}) + "\n{not json\n")
+    with pytest.raises(Exception):
+        files.scan_conv_log(spark, root).collect()
+    assert files.scan_conv_log(spark, root, mode="PERMISSIVE").count() == 2
