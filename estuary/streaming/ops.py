@@ -222,8 +222,10 @@ def start_refresh(log_stream: DataFrame, counts_path: str, checkpoint: str, inte
             .option("checkpointLocation", checkpoint).trigger(processingTime=interval).start())
 
 
-def start_daily_log_sink(log_stream: DataFrame, path: str, checkpoint: str, ts: str = "tstamp"):
+def start_daily_log_sink(log_stream: DataFrame, path: str, checkpoint: str, ts: str = "tstamp", available_now: bool = False):
     """Append log lines to date-partitioned JSON files (the writer's Pacific
-    date), exactly once through the file sink's checkpoint."""
-    return (log_stream.withColumn("date", pacific_day(ts)).writeStream.format("json").partitionBy("date")
-            .option("path", path).option("checkpointLocation", checkpoint).outputMode("append").start())
+    date), exactly once through the file sink's checkpoint. Runs continuously,
+    or drains what is available when ``available_now``."""
+    w = (log_stream.withColumn("date", pacific_day(ts)).writeStream.format("json").partitionBy("date")
+         .option("path", path).option("checkpointLocation", checkpoint).outputMode("append"))
+    return (w.trigger(availableNow=True) if available_now else w).start()

@@ -34,3 +34,16 @@ def test_stream_elo_restart_and_late_rows(spark):
     _write(spark, src, "b2", [(4, 50.0, "a", "b", "model_b"), (5, 200.0, "a", "b", "model_a")])
     # restart from the checkpoint: t=50 is behind the watermark (dropped, reported); t=200 is folded
     assert run() == ((4, 0), 1)
+
+
+def test_daily_log_file_sink(spark):
+    from tests.conftest import SF001
+    from estuary.sources import tables as TB
+
+    root = tempfile.mkdtemp(prefix="dlog-")
+    log = TB.conv_log(spark, SF001, source=ST.stream_table(spark, SF001, "events")).select("event_id", "tstamp", "type")
+    q = ST.start_daily_log_sink(log, os.path.join(root, "logs"), os.path.join(root, "ck"), available_now=True)
+    q.awaitTermination()
+    back = spark.read.json(os.path.join(root, "logs"))
+    assert back.count() == spark.read.parquet(f"{SF001}/events.parquet").count()
+    assert back.select("date").distinct().count() >= 28
