@@ -32,9 +32,11 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster.
+    """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) a scratch folder is created.
+    A scratch folder is created only for a local[...] session without the
+    setting, where driver and executors are one process. On a cluster a missing
+    setting is an error: a machine-local folder would not be shared.
     """
     try:
         sc = spark.sparkContext
@@ -48,6 +50,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None:
             sc.setCheckpointDir(conf_dir)
         return conf_dir
+    if not spark.conf.get("spark.master", "").startswith("local") or "local-cluster" in spark.conf.get("spark.master"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the driver and all executors")
     local = tempfile.mkdtemp(prefix="estuary-ckpt-", dir=os.environ.get("ESTUARY_SCRATCH", "/tmp"))
     if sc is not None:
         sc.setCheckpointDir(local)
