@@ -64,7 +64,7 @@ def base_rules(docs: DataFrame) -> DataFrame:
         F.length(F.array_join("w", "")).cast("bigint").alias("word_chars"),
         F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
         let(lines, lambda s: F.size(s) - F.size(F.array_distinct(s))).cast("bigint").alias("n_dup_lines"),
-        let(F.transform("w", lambda x: F.xxhash64(x)), repeated_window_words).cast("bigint").alias("n_repeat_words"))
+        let(F.transform("w", lambda x: F.xxhash64(x)), lambda h: repeated_window_words(h)).cast("bigint").alias("n_repeat_words"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return w.withColumn("base_failed", failed)
 
