@@ -26,8 +26,14 @@ CORE_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
+    """Set the session options above and let Python workers import this package
+    from the place the driver imported it from (a no-op where it is installed)."""
     for key, value in CORE_CONF.items():
         spark.conf.set(key, value)
+    env = spark.sparkContext.environment
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, (root, env.get("PYTHONPATH", ""))))
     return spark
 
 
@@ -73,4 +79,4 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return configure(spark)
