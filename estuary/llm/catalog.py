@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estuary.llm import host_rules, mixing, sharding
+from estuary.llm import host_rules, mixing, sharding, simhash
 from estuary.llm.common import table
 
 WORDS_SQL = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
@@ -46,6 +46,11 @@ SELECT doc_id, size::BIGINT AS size, z::BIGINT AS source_size, target,
 FROM p
 """
 
+def op3_simhash(spark: SparkSession, d: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, d, "documents")).select(
+        "doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op6_host_rules(spark: SparkSession, d: str) -> DataFrame:
     return host_rules.judge_documents(table(spark, d, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -83,6 +88,7 @@ def op9_sharding(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op3_simhash": op3_simhash,
     "op6_host_rules": op6_host_rules,
     "op9_sharding": op9_sharding,
 }
