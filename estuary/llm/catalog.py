@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estuary.llm import host_rules, mixing, sharding, simhash
+from estuary.llm import host_rules, mixing, quality, sharding, simhash, toxicity
 from estuary.llm.common import table
 
 WORDS_SQL = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
@@ -51,6 +51,11 @@ def op3_simhash(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_quality(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return quality.classify(docs, quality.fit(docs, table(spark, d, "labels")))
+
+
 def op6_host_rules(spark: SparkSession, d: str) -> DataFrame:
     return host_rules.judge_documents(table(spark, d, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -81,6 +86,11 @@ FROM f JOIN hv ON f.source IS NOT DISTINCT FROM hv.source
 """
 
 
+def op8_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return toxicity.classify(docs, toxicity.fit(docs, table(spark, d, "labels")))
+
+
 def op9_sharding(spark: SparkSession, d: str) -> DataFrame:
     return sharding.shard_documents(table(spark, d, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -89,7 +99,9 @@ def op9_sharding(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_simhash": op3_simhash,
+    "op4_quality": op4_quality,
     "op6_host_rules": op6_host_rules,
+    "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
 }
 ORACLE = {
