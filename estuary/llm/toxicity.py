@@ -143,26 +143,28 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS)
                        F.xxhash64("text").alias("tie"), x("text").alias("x"))
 
 
+def _pass_of(state: Ftrl, k: int):
+    """One FTRL pass over a shard's rows, in an order drawn from the pass number;
+    returns the change of each coordinate it touched."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        s = Ftrl(state.z.copy(), state.n.copy())
+        pdf = pdf.sort_values(["ord", "tie"], kind="stable")
+        xs, ys, last = list(pdf["x"]), pdf["y"].to_numpy(), len(s.z) - 1
+        for i in np.random.default_rng(k).permutation(len(pdf)):
+            s.learn(np.append(np.asarray(xs[i], np.int64), last), int(ys[i]))
+        at = np.flatnonzero((s.z != state.z) | (s.n != state.n))
+        return pd.DataFrame({"c": at, "z": s.z[at] - state.z[at], "n": s.n[at] - state.n[at]})
+
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, passes: int = PASSES) -> Weights:
     """Train and return the sparse weights. Without labelled rows of both kinds
     every weight is zero and every score is the intercept's."""
     rows = materialize(training_rows(docs, labels, max_rows), "toxicity")
     state = Ftrl.empty()
     for k in range(passes):
-        z0, n0 = state.z, state.n
-
-        def run(key, pdf: pd.DataFrame, k=k, z0=z0, n0=n0) -> pd.DataFrame:
-            s = Ftrl(z0.copy(), n0.copy())
-            pdf = pdf.sort_values(["ord", "tie"], kind="stable")
-            order = np.random.default_rng(k).permutation(len(pdf))
-            xs, ys = list(pdf["x"]), pdf["y"].to_numpy()
-            top = len(s.z) - 1
-            for i in order:
-                s.learn(np.append(np.asarray(xs[i], np.int64), top), int(ys[i]))
-            at = np.flatnonzero((s.z != z0) | (s.n != n0))
-            return pd.DataFrame({"c": at, "z": s.z[at] - z0[at], "n": s.n[at] - n0[at]})
-
-        moved = (rows.groupBy("shard").applyInPandas(run, "c bigint, z double, n double")
+        moved = (rows.groupBy("shard").applyInPandas(_pass_of(state, k), "c bigint, z double, n double")
                  .groupBy("c").agg(F.sum("z").alias("z"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"))
                  .toPandas())  # at most 2**BITS + 1 rows
         z, n = state.z.copy(), state.n.copy()
