@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estuary.llm import host_rules, mixing, quality, sharding, simhash, toxicity
+from estuary.llm import host_rules, mixing, quality, sharding, simhash, token_store, toxicity
 from estuary.llm.common import table
 
 WORDS_SQL = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
@@ -96,6 +96,10 @@ def op9_sharding(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op10_tokens(spark: SparkSession, d: str) -> DataFrame:
+    return token_store.token_digests(table(spark, d, "documents"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_simhash": op3_simhash,
@@ -103,6 +107,7 @@ QUERIES = {
     "op6_host_rules": op6_host_rules,
     "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
+    "op10_tokens": op10_tokens,
 }
 ORACLE = {
     "op1_mixing": OP1_SQL,
