@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estuary.llm import host_rules, mixing, quality, sharding, simhash, token_store, toxicity
+from estuary.llm import host_rules, mixing, pieces, quality, sharding, simhash, token_store, toxicity
 from estuary.llm.common import table
 
 WORDS_SQL = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
@@ -46,6 +46,16 @@ SELECT doc_id, size::BIGINT AS size, z::BIGINT AS source_size, target,
 FROM p
 """
 
+def op2_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
+    """Number and hash of the sampled pieces, and the crc32 of the text before
+    encoding and after decoding (equal: the round trip is lossless)."""
+    docs = table(spark, d, "documents").select(
+        "doc_id", "text", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
+    back = pieces.decode(pieces.encode(docs, keep=["doc_id", "text_crc32"]))
+    return back.select("doc_id", F.size("ids").cast("bigint").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
+                       "text_crc32", F.crc32("text").alias("decoded_crc32"))
+
+
 def op3_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, d, "documents")).select(
         "doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
@@ -102,6 +112,7 @@ def op10_tokens(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_simhash": op3_simhash,
     "op4_quality": op4_quality,
     "op6_host_rules": op6_host_rules,
