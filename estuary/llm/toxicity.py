@@ -8,8 +8,9 @@ scoring function.
 
 Training: the labelled rows outside the hold-out split, at most ``max_rows`` of
 them (the smallest id hashes, so the choice does not depend on partitioning).
-Each of ``shards`` tasks runs FTRL over its rows; after every pass the shards'
-states are averaged per coordinate and the next pass starts from the average.
+A round deals their texts to ``SHARDS`` tasks, each of which runs FTRL over its
+rows several times; then the shards' states are averaged per coordinate and the
+next round starts from the average.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ THRESHOLD = 0.7
 PAIR_VALUE = 0.5
 MAX_ROWS = 20_000  # labelled rows that training reads at most
 SHARDS = 4
-PASSES = 8
-ALPHA, BETA, L1, L2 = 5.0, 1.0, 3.0, 0.0
+ROUNDS, PASSES = 3, 3  # averaging rounds, passes of each round
+ALPHA, BETA, L1, L2 = 5.0, 1.0, 2.0, 0.0
 _STRIP = b".,;:!?\"'()[]{}<>*#$%&|-_~`"
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -127,44 +128,43 @@ def held_out(doc_id: str = "doc_id", split: tuple[int, int] = HOLD_OUT) -> Colum
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """(shard, ord, y, x): at most ``max_rows`` labelled rows outside the hold-out
-    split, as coordinate arrays. Chosen by id hash on the labels alone, so only the
-    chosen texts are turned into coordinates."""
+    """(shard, ord, y, tie, text): at most ``max_rows`` labelled rows outside the
+    hold-out split, chosen by id hash on the labels alone."""
     hash_of = F.xxhash64(id_text("doc_id"))
     chosen = (one_label(labels, "toxic").where(~held_out()).withColumn("ord", hash_of)
               .orderBy("ord", "doc_id").limit(max_rows))
 
-    @F.pandas_udf("array<int>")
-    def x(s: pd.Series) -> pd.Series:
-        return pd.Series([coordinates(t) for t in s])
-
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # max_rows rows of three numbers
     return rows.select((F.pmod("ord", F.lit(SHARDS))).cast("int").alias("shard"), "ord", "y",
-                       F.xxhash64("text").alias("tie"), x("text").alias("x"))
+                       F.xxhash64("text").alias("tie"), "text")
 
 
-def _pass_of(state: Ftrl, k: int):
-    """One FTRL pass over a shard's rows, in an order drawn from the pass number;
-    returns the change of each coordinate it touched."""
+def _round_of(state: Ftrl, k: int, passes: int):
+    """FTRL passes over a shard's rows, each in an order drawn from its number;
+    returns the change of every coordinate that moved."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         s = Ftrl(state.z.copy(), state.n.copy())
         pdf = pdf.sort_values(["ord", "tie"], kind="stable")
-        xs, ys, last = list(pdf["x"]), pdf["y"].to_numpy(), len(s.z) - 1
-        for i in np.random.default_rng(k).permutation(len(pdf)):
-            s.learn(np.append(np.asarray(xs[i], np.int64), last), int(ys[i]))
+        last = len(s.z) - 1
+        xs = [np.append(coordinates(t), np.int32(last)) for t in pdf["text"]]
+        ys = pdf["y"].tolist()
+        for e in range(passes):
+            for i in np.random.default_rng(k * passes + e).permutation(len(xs)):
+                s.learn(xs[i], ys[i])
         at = np.flatnonzero((s.z != state.z) | (s.n != state.n))
         return pd.DataFrame({"c": at, "z": s.z[at] - state.z[at], "n": s.n[at] - state.n[at]})
 
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, passes: int = PASSES) -> Weights:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, rounds: int = ROUNDS,
+        passes: int = PASSES) -> Weights:
     """Train and return the sparse weights. Without labelled rows of both kinds
     every weight is zero and every score is the intercept's."""
     rows = materialize(training_rows(docs, labels, max_rows), "toxicity")
     state = Ftrl.empty()
-    for k in range(passes):
-        moved = (rows.groupBy("shard").applyInPandas(_pass_of(state, k), "c bigint, z double, n double")
+    for k in range(rounds):
+        moved = (rows.groupBy("shard").applyInPandas(_round_of(state, k, passes), "c bigint, z double, n double")
                  .groupBy("c").agg(F.sum("z").alias("z"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"))
                  .toPandas())  # at most 2**BITS + 1 rows
         z, n = state.z.copy(), state.n.copy()
