@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estuary.llm import host_rules, mixing, pieces, quality, sharding, simhash, token_store, toxicity
+from estuary.llm import (ann, host_rules, mixing, pieces, quality, sharding, simhash, token_store, toxicity)
 from estuary.llm.common import table
 
 WORDS_SQL = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
@@ -66,6 +66,10 @@ def op4_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.classify(docs, quality.fit(docs, table(spark, d, "labels")))
 
 
+def op5_ann(spark: SparkSession, d: str) -> DataFrame:
+    return ann.search(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op6_host_rules(spark: SparkSession, d: str) -> DataFrame:
     return host_rules.judge_documents(table(spark, d, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -115,6 +119,7 @@ QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_simhash": op3_simhash,
     "op4_quality": op4_quality,
+    "op5_ann": op5_ann,
     "op6_host_rules": op6_host_rules,
     "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,

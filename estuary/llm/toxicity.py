@@ -135,6 +135,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS)
               .orderBy("ord", "doc_id").limit(max_rows))
 
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # max_rows rows of three numbers
+    # one text for each chosen id, however often it is repeated
+    rows = rows.groupBy("doc_id", "ord", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     return rows.select((F.pmod("ord", F.lit(SHARDS))).cast("int").alias("shard"), "ord", "y",
                        F.xxhash64("text").alias("tie"), "text")
 
