@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estuary.llm import (ann, host_rules, mixing, pieces, quality, sharding, simhash, token_store, toxicity)
+from estuary.llm import (ann, host_rules, mixing, pieces, quality, sharding, simhash, token_store, toxicity,
+                         url_rules)
 from estuary.llm.common import table
 
 WORDS_SQL = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
@@ -100,6 +101,50 @@ FROM f JOIN hv ON f.source IS NOT DISTINCT FROM hv.source
 """
 
 
+def op7_url_rules(spark: SparkSession, d: str) -> DataFrame:
+    return url_rules.judge_urls(table(spark, d, "pages"))
+
+
+# Every subset of a labelled URL's tokens is counted, so no mining order matters.
+OP7_SQL = r"""
+WITH r AS (SELECT row_number() OVER () AS r, page_id, CASE WHEN contains(url, '://')
+                  THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS h0 FROM r),
+q AS (SELECT *, translate(h0, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             substr(rest, length(h0) + 1) AS tail FROM p),
+u AS (SELECT *, regexp_extract(tail, '^[^?#]*') AS path, regexp_extract(tail, '^[^?#]*\?([^#]*)', 1) AS query,
+             regexp_extract(tail, '#(.*)$', 1) AS frag FROM q),
+rules(verdict, rh, rp) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+  ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+fit AS (SELECT r, arg_max(verdict, length(rh || rp)) AS given, arg_max(rh || rp, length(rh || rp)) AS rule
+        FROM u JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY r),
+lab AS (SELECT *, list_filter(string_split(host, '.'), lambda x: x <> '') AS labels FROM u),
+tok AS (SELECT r, page_id, host, path, list_sort(list_distinct(
+    list_concat(list_transform(labels, lambda x: 'h:' || x),
+    list_transform(list_filter(flatten(list_transform(list_filter(labels, lambda x: contains(x, '-')),
+                   lambda x: string_split(x, '-'))), lambda x: x <> ''), lambda x: 'w:' || x),
+    list_filter(['d:' || regexp_extract(path, '^/+([^/0-9.][^/]*)/', 1)], lambda x: x <> 'd:'),
+    list_filter(['x:' || lower(regexp_extract(path, '\.([A-Za-z][A-Za-z0-9]*)$', 1))], lambda x: x <> 'x:'),
+    list_transform(list_filter(list_transform(string_split(query, '&'), lambda x: regexp_extract(x, '^([^=]*)', 1)),
+                   lambda x: x <> ''), lambda x: 'q:' || x),
+    CASE WHEN frag <> '' THEN ['f:'] ELSE [] END))) AS tokens FROM lab),
+t AS (SELECT tok.*, rule, given FROM tok LEFT JOIN fit USING (r)),
+n AS (SELECT count(*) AS n FROM t WHERE given IS NOT NULL),
+sub AS (SELECT given, m.a AS a FROM (SELECT given, unnest(list_transform(range(1, (1 << len(tokens))::BIGINT),
+          lambda b: {'a': list_filter(tokens, lambda x, i: (b >> (i - 1)) & 1 = 1)})) AS m
+        FROM t WHERE given IS NOT NULL)),
+c AS (SELECT a, given AS verdict, count(*) AS f FROM sub GROUP BY ALL),
+tot AS (SELECT a, sum(f) AS fa FROM c GROUP BY a),
+rl AS (SELECT a, verdict, f::DOUBLE / fa::DOUBLE AS conf, f AS sup FROM c JOIN tot USING (a), n
+       WHERE f >= ceil(0.01 * n.n) AND f::DOUBLE / fa::DOUBLE >= 0.8),
+open AS (SELECT DISTINCT tokens FROM t WHERE given IS NULL),
+best AS (SELECT tokens, arg_max(verdict, (conf, sup, verdict = 'allow')) AS found
+         FROM open JOIN rl ON list_has_all(tokens, a) GROUP BY tokens)
+SELECT page_id, host, path, rule, coalesce(given, found, 'allow') AS verdict
+FROM t LEFT JOIN best USING (tokens)
+"""
+
+
 def op8_toxicity(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     return toxicity.classify(docs, toxicity.fit(docs, table(spark, d, "labels")))
@@ -121,6 +166,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_ann": op5_ann,
     "op6_host_rules": op6_host_rules,
+    "op7_url_rules": op7_url_rules,
     "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
     "op10_tokens": op10_tokens,
@@ -128,4 +174,5 @@ QUERIES = {
 ORACLE = {
     "op1_mixing": OP1_SQL,
     "op6_host_rules": OP6_SQL,
+    "op7_url_rules": OP7_SQL,
 }
