@@ -155,6 +155,34 @@ def op9_sharding(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+OP9_SQL = r"""
+WITH RECURSIVE k(i, v, s) AS (SELECT i, i::BIGINT, 0 FROM range(256) x(i)
+  UNION ALL SELECT i, CASE WHEN v & 1 = 1 THEN xor(3988292384, v >> 1) ELSE v >> 1 END, s + 1 FROM k WHERE s < 8),
+crc AS (SELECT list(v ORDER BY i) AS t FROM k WHERE s = 8),
+b AS (SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id::VARCHAR, '') AS key,
+             string_split(regexp_replace(hex(coalesce(text, '')), '(..)', '\1 ', 'g'), ' ')[:-2] AS h FROM documents),
+d AS (SELECT r, doc_id, key, len(h)::BIGINT + 1 AS size,
+             xor(4294967295, list_reduce(list_transform(h, lambda x: ('0x' || x)::BIGINT),
+                 lambda a, x: xor(a >> 8, t[xor(a & 255, x) + 1]), 4294967295::BIGINT))::BIGINT AS text_crc32
+      FROM b, crc),
+leaf AS (SELECT n, s // 8 AS region, s // 4 % 2 AS rack, s AS shard FROM range(16) x(s), (VALUES (16), (17)) y(n)
+         UNION ALL SELECT 17, 2, 0, 16),
+w AS (SELECT n, region, rack, shard, count(*) OVER (PARTITION BY n, region) AS wr,
+             count(*) OVER (PARTITION BY n, region, rack) AS wk FROM leaf),
+c1 AS (SELECT DISTINCT n, region, wr FROM w), c2 AS (SELECT DISTINCT n, region, rack, wk FROM w),
+s1 AS (SELECT r, key, n, arg_min(region, (-ln((('0x' || substr(md5(key || ':' || region), 1, 13))::BIGINT + 0.5)
+              / 4503599627370496.0) / wr, region)) AS region FROM d, c1 GROUP BY ALL),
+s2 AS (SELECT r, key, n, region, arg_min(rack, (-ln((('0x' || substr(md5(key || ':' || region || '/' || rack), 1, 13))
+              ::BIGINT + 0.5) / 4503599627370496.0) / wk, rack)) AS rack FROM s1 JOIN c2 USING (n, region) GROUP BY ALL),
+s3 AS (SELECT r, n, arg_min(shard, (-ln((('0x' || substr(md5(key || ':' || region || '/' || rack || '/' || shard), 1, 13))
+              ::BIGINT + 0.5) / 4503599627370496.0), shard)) AS shard FROM s2 JOIN w USING (n, region, rack) GROUP BY r, n)
+SELECT doc_id, size, text_crc32, 'key' AS law, a.shard::INT AS shard,
+       row_number() OVER (PARTITION BY a.shard ORDER BY md5('slot:' || key || ':' || size || ':' || text_crc32),
+                          doc_id, size, text_crc32) - 1 AS slot, g.shard::INT AS grown_shard
+FROM d JOIN s3 a ON d.r = a.r AND a.n = 16 JOIN s3 g ON d.r = g.r AND g.n = 17
+"""
+
+
 def op10_tokens(spark: SparkSession, d: str) -> DataFrame:
     return token_store.token_digests(table(spark, d, "documents"))
 
@@ -175,4 +203,5 @@ ORACLE = {
     "op1_mixing": OP1_SQL,
     "op6_host_rules": OP6_SQL,
     "op7_url_rules": OP7_SQL,
+    "op9_sharding": OP9_SQL,
 }
