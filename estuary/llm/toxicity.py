@@ -38,6 +38,8 @@ ALPHA, BETA, L1, L2 = 5.0, 1.0, 2.0, 0.0
 _STRIP = b".,;:!?\"'()[]{}<>*#$%&|-_~`"
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+BLOCK = 1 << 14  # coordinates that travel as one binary value
+_BLOCKS = "block int, z binary, n binary"
 CACHE_WORDS = 300_000
 _word_hashes: dict[bytes, int] = {}
 
@@ -141,9 +143,17 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS)
                        F.xxhash64("text").alias("tie"), "text")
 
 
+def _average(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Mean change of each coordinate of a block over the shards that moved it."""
+    z, n = (np.array([np.frombuffer(x, np.float32) for x in pdf[c]], np.float64) for c in ("z", "n"))
+    moved = np.maximum((n != 0).sum(0), 1)
+    return pd.DataFrame({"block": pdf["block"].iloc[:1], "z": [(z.sum(0) / moved).tobytes()],
+                         "n": [(n.sum(0) / moved).tobytes()]})
+
+
 def _round_of(state: Ftrl, k: int, passes: int):
     """FTRL passes over a shard's rows, each in an order drawn from its number;
-    returns the change of every coordinate that moved."""
+    returns the change of the state in blocks of coordinates."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         s = Ftrl(state.z.copy(), state.n.copy())
         pdf = pdf.sort_values(["ord", "tie"], kind="stable")
@@ -153,8 +163,10 @@ def _round_of(state: Ftrl, k: int, passes: int):
         for e in range(passes):
             for i in np.random.default_rng(k * passes + e).permutation(len(xs)):
                 s.learn(xs[i], ys[i])
-        at = np.flatnonzero((s.z != state.z) | (s.n != state.n))
-        return pd.DataFrame({"c": at, "z": s.z[at] - state.z[at], "n": s.n[at] - state.n[at]})
+        dz, dn = (s.z - state.z).astype(np.float32), (s.n - state.n).astype(np.float32)
+        blocks = range(0, len(dz), BLOCK)
+        return pd.DataFrame({"block": range(len(blocks)), "z": [dz[i:i + BLOCK].tobytes() for i in blocks],
+                             "n": [dn[i:i + BLOCK].tobytes() for i in blocks]})
 
     return run
 
@@ -166,12 +178,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, rounds: in
     rows = materialize(training_rows(docs, labels, max_rows), "toxicity")
     state = Ftrl.empty()
     for k in range(rounds):
-        moved = (rows.groupBy("shard").applyInPandas(_round_of(state, k, passes), "c bigint, z double, n double")
-                 .groupBy("c").agg(F.sum("z").alias("z"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"))
-                 .toPandas())  # at most 2**BITS + 1 rows
+        moved = (rows.groupBy("shard").applyInPandas(_round_of(state, k, passes), _BLOCKS)
+                 .groupBy("block").applyInPandas(_average, _BLOCKS).collect())  # 2**BITS + 1 pairs of numbers
         z, n = state.z.copy(), state.n.copy()
-        z[moved["c"]] += moved["z"] / moved["k"]
-        n[moved["c"]] += moved["n"] / moved["k"]
+        for r in moved:
+            at = slice(r["block"] * BLOCK, (r["block"] + 1) * BLOCK)
+            z[at] += np.frombuffer(r["z"])
+            n[at] += np.frombuffer(r["n"])
         state = Ftrl(z, n)
     w = state.weights()
     at = np.flatnonzero(w[:-1])
