@@ -13,8 +13,10 @@ Inner products of vectors of unequal length are reduced to cosines by one more
 component (sqrt(1 - |x|^2 / max|x|^2)), which no query has.
 
 The index is fitted on a bounded sample (``SAMPLE`` vectors, smallest id hashes),
-which gives the cosine s to expect at rank k. The number of directions follows
-the number of rows, so that buckets hold about ``BUCKET_ROWS`` rows at any size.
+which gives the cosine s to expect at rank k. The sample also gives each query a
+floor, its 3k/2-th best score there: only better candidates leave their bucket. The
+number of directions follows the number of rows, so that buckets hold about
+``BUCKET_ROWS`` rows at any size.
 A bucket with more rows than ``BLOCK``, or more queries, is dealt into blocks;
 every block of its rows meets every block of its queries.
 """
@@ -36,10 +38,11 @@ K = 20
 TABLES = 2
 WIDTH = 1.0
 SUCCESS = 0.72  # estimated mass visited in each table
-SAMPLE = 2048
-BUCKET_ROWS = 512
+SAMPLE = 8192
+PAIRS = 2048  # of the sample, whose pairs are looked at for the expected cosine
+BUCKET_ROWS = 2048
 BLOCK = 4096
-MAX_PROBES = 4096  # buckets visited by a query in a table at most
+MAX_PROBES = 4096  # buckets visited by a query in a table at most; a query left short is compared with every row
 _BIN_NATS = 1.42 - math.log(WIDTH)  # entropy of a unit normal cut into bins of that width
 _erf = np.frompyfunc(math.erf, 1, 1)
 
@@ -52,6 +55,18 @@ class Index:
     offset: np.ndarray  # (tables, bins per bucket)
     cosine: float
     longest: float
+    sample_ids: np.ndarray
+    sample: np.ndarray
+
+    def floors(self, ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
+        """A score that more than k rows are sure to reach, for each query: its
+        3k/2-th best in the sample, its own row left out (-inf in a small sample)."""
+        rank = k + (k + 1) // 2
+        if len(self.sample) <= rank:
+            return np.full(len(ids), -np.inf)
+        s = x @ self.sample.T
+        s[ids[:, None] == self.sample_ids[None, :]] = -np.inf
+        return np.partition(s, s.shape[1] - rank, axis=1)[:, s.shape[1] - rank]
 
     def project(self, x: np.ndarray, query: bool) -> np.ndarray:
         """(tables, rows, directions) of rows scaled to length 1."""
@@ -124,20 +139,22 @@ def fit(rows: DataFrame, k: int = K, tables: int = TABLES, sample: int = SAMPLE,
     n, longest, dim = rows.agg(F.count(F.lit(1)), F.sqrt(F.max(norm2)), F.max(F.size("v"))).first()
     if not n:
         return None
-    some = np.array([r.v for r in rows.orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(sample)
-                     .select("v").collect()])
-    unit = some / np.sqrt((some * some).sum(1, keepdims=True))
-    scaled = some / longest
+    picked = rows.orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(sample).select("vec_id", "v").toArrow()
+    ids, some = picked["vec_id"].to_numpy(), _vectors(picked["v"])
+    pairs = some[:PAIRS]
+    unit = pairs / np.sqrt((pairs * pairs).sum(1, keepdims=True))
     # cosine, in the lifted space, that a share k / n of all pairs exceeds
-    sims = np.sort((unit @ scaled.T)[~np.eye(len(some), dtype=bool)])[::-1] if len(some) > 1 else np.ones(1)
+    sims = np.sort((unit @ (pairs / longest).T)[~np.eye(len(pairs), dtype=bool)])[::-1] if len(pairs) > 1 else np.ones(1)
     cosine = float(np.clip(sims[min(len(sims) - 1, int(len(sims) * min(1.0, k / n)))], 0.0, 0.98))
     m = int(np.clip(round(math.log(max(n / BUCKET_ROWS, 1.0)) / _BIN_NATS), 1, 24))
     rng = np.random.default_rng(seed)
-    return Index(rng.standard_normal((tables, m, dim + 1)), rng.uniform(0, WIDTH, (tables, m)), cosine, float(longest)), n
+    return Index(rng.standard_normal((tables, m, dim + 1)), rng.uniform(0, WIDTH, (tables, m)), cosine, float(longest),
+                 ids, some), n
 
 
-def _best(query_ids, q, row_ids, b, k: int):
-    """The k best rows (by inner product, then smaller id) of each query among ``b``.
+def _best(query_ids, q, floors, row_ids, b, k: int):
+    """The k best rows (by inner product, then smaller id) of each query among ``b``,
+    without those below the query's floor.
 
     A matrix product finds all that can be among the k best, equal ones included;
     their scores are then summed in one fixed order, so equal vectors tie exactly.
@@ -154,6 +171,7 @@ def _best(query_ids, q, row_ids, b, k: int):
             least = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
         else:
             least = np.full(len(ids), -np.inf)
+        least = np.maximum(least, floors[a:a + step])
         slack = 1e-9 * (np.abs(least) + 1e-300)
         qi, bi = np.nonzero((s >= np.where(np.isfinite(least), least - slack, -np.inf)[:, None]) & (s > -np.inf))
         exact = np.concatenate([(qa[qi[i:i + 65536]] * b[bi[i:i + 65536]]).sum(1)
@@ -179,22 +197,22 @@ def _rank_blocks(rows: DataFrame, queries: DataFrame, keys: list[str], k: int) -
     a bucket is dealt into blocks of rows and of queries first."""
     many = lambda df, name: df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name))
     blocks = many(rows, "rn").join(many(queries, "qn"), keys)  # buckets that have both
-    deal = lambda df, own, other, own_n, other_n: (
+    deal = lambda df, own, other, own_n, other_n, *more: (
         df.join(blocks, keys).withColumn(own, F.pmod(F.xxhash64("vec_id", F.lit(own)), F.col(own_n)).cast("int"))
         .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_n) - 1)))
-        .select(*keys, "rb", "qb", "vec_id", "v"))
+        .select(*keys, "rb", "qb", F.col("vec_id").alias("vec_id"), F.col("v").alias("v"), *more))
 
     def rank(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()),
                              "score": pa.array([], pa.float64())})
-        q, v, s = _best(right["vec_id"].to_numpy(), _vectors(right["v"]), left["vec_id"].to_numpy(),
-                        _vectors(left["v"]), k)
+        q, v, s = _best(right["vec_id"].to_numpy(), _vectors(right["v"]), right["floor"].to_numpy(),
+                        left["vec_id"].to_numpy(), _vectors(left["v"]), k)
         return pa.table({"query_id": q, "vec_id": v, "score": s})
 
     by = [*keys, "rb", "qb"]
     return (deal(rows, "rb", "qb", "rn", "qn").groupBy(*by)
-            .cogroup(deal(queries, "qb", "rb", "qn", "rn").groupBy(*by)).applyInArrow(rank, _FOUND))
+            .cogroup(deal(queries, "qb", "rb", "qn", "rn", "floor").groupBy(*by)).applyInArrow(rank, _FOUND))
 
 
 def _top(found: DataFrame, k: int) -> DataFrame:
@@ -215,25 +233,28 @@ def search(df: DataFrame, is_query, k: int = K, tables: int = TABLES) -> DataFra
     if fitted is None:
         return df.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     index, n = fitted
-    schema = "t int, bucket bigint, vec_id bigint, v array<double>"
+    schema = "t int, bucket bigint, vec_id bigint, v array<double>, floor double"
 
     def put(batches: Iterator[pa.RecordBatch], query: bool) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for start in range(0, big.num_rows, 256 if query else 4096):
                 b = big.slice(start, 256 if query else 4096)
                 x = _vectors(b.column("v"))
+                floor = index.floors(b.column("vec_id").to_numpy(), x, k) if query else np.zeros(len(x))
                 found = index.probes(x) if query else ((t, np.arange(len(x)), key) for t, key in enumerate(index.keys(x)))
                 for t, row, key in found:
                     some = b.take(pa.array(row))
                     yield pa.record_batch([pa.array(np.full(len(row), t, np.int32)), pa.array(key),
-                                           some.column("vec_id"), some.column("v")], names=["t", "bucket", "vec_id", "v"])
+                                           some.column("vec_id"), some.column("v"), pa.array(floor[row])],
+                                          names=["t", "bucket", "vec_id", "v", "floor"])
 
     stored = rows.mapInArrow(lambda it: put(it, False), schema)
     asked = rows.where(is_query).mapInArrow(lambda it: put(it, True), schema)
     found = materialize(_top(_rank_blocks(stored, asked, ["t", "bucket"], k), k), "neighbours")
     want = min(k, n - 1)
     short = (rows.where(is_query).join(found.groupBy(F.col("query_id").alias("vec_id")).count(), "vec_id", "left")
-             .where(F.coalesce("count", F.lit(0)) < want).select("vec_id", "v"))
+             .where(F.coalesce("count", F.lit(0)) < want)
+             .select("vec_id", "v", F.lit(float("-inf")).alias("floor")))
     if want > 0 and not short.isEmpty():
         groups = math.ceil(n / BLOCK)
         every = rows.withColumn("g", F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int"))
