@@ -59,7 +59,8 @@ def test_empty_and_single(spark):
 def test_probes_come_in_order_of_success():
     """The beam over directions gives the best products, best first."""
     rng = np.random.default_rng(0)
-    index = ann.Index(rng.standard_normal((1, 3, 5)), rng.uniform(0, 1, (1, 3)), 0.5, 1.0)
+    index = ann.Index(rng.standard_normal((1, 3, 5)), rng.uniform(0, 1, (1, 3)), 0.5, 1.0, np.empty(0, int),
+                      np.empty((0, 4)))
     x = rng.normal(size=(4, 4))
     t, row, keys = next(index.probes(x))
     u = index.project(x, True)[0]
