@@ -1,8 +1,8 @@
 """Session settings shared by the library, the tests and the bench.
 
-On a cluster the session is built by the platform; ``configure`` only adds what
-the operators rely on (UTC session zone, AQE) and never overrides a value the
-cluster already set (for instance ``spark.checkpoint.dir``).
+On a cluster the session is built by the platform. ``configure`` sets what results
+depend on (UTC session zone, ANSI mode, Arrow transfer) in every session, and
+performance settings only where the cluster's own configuration names no value.
 """
 
 from __future__ import annotations
@@ -12,24 +12,32 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every operator assumes. AQE coalesces small shuffles, splits skewed
-# join partitions and turns sort-merge joins into broadcast joins only when the
-# runtime size of a side is under the threshold (a checked broadcast).
-CORE_CONF = {
+# Results depend on these; they are set in every session.
+SEMANTIC_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+# Set only where the cluster's configuration has no value of its own. AQE coalesces
+# small shuffles, splits skewed join partitions and turns sort-merge joins into
+# broadcast joins only when the runtime size of a side is under the threshold. Small
+# Arrow batches bound the memory of Python workers that handle long texts.
+DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.ansi.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
+CORE_CONF = SEMANTIC_CONF | DEFAULT_CONF
 
 
 def configure(spark: SparkSession) -> SparkSession:
     """Set the session options above and let Python workers import this package
     from the place the driver imported it from (a no-op where it is installed)."""
+    given = spark.sparkContext.getConf()
     for key, value in CORE_CONF.items():
-        spark.conf.set(key, value)
+        if key in SEMANTIC_CONF or not given.contains(key):
+            spark.conf.set(key, value)
     env = spark.sparkContext.environment
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
