@@ -37,7 +37,7 @@ from estuary.llm.common import id_text, rebatched
 
 MODEL = "piece_bpe_32k.model"
 THETA = 0.3
-CACHE_UNITS = 120_000
+CACHE_UNITS = 100_000
 _MARK = "▁"
 _UNITS = re.compile(r"\n| *[^ \n]+| +")
 
@@ -82,7 +82,7 @@ class Sampler:
         self.log_w = theta * v.log_p
         self.units: dict[str, int] = {"": 0}  # last node of each unit
         self.first_arc = array("q", [0, 0])
-        self.piece, self.previous, self.upto = array("i"), array("q"), array("d")
+        self.piece, self.previous, self.upto = array("i"), array("i"), array("f")
         hashes = np.array([_substrings(_codes(u))(0, len(u)) for u in v.ids], np.uint64)
         order = np.argsort(hashes)
         self.hashes, self.hash_ids = hashes[order], np.array(list(v.ids.values()), np.int32)[order]
@@ -159,9 +159,9 @@ class Sampler:
         self.first_arc.extend(range(arcs + len(end) + 1, arcs + len(end) + 1 + len(extra_piece)))
         self.piece.frombytes(piece.astype(np.int32).tobytes())
         self.piece.extend(extra_piece)
-        self.previous.frombytes(before.astype(np.int64).tobytes())
+        self.previous.frombytes(before.astype(np.int32).tobytes())
         self.previous.extend(extra_before)
-        self.upto.frombytes(upto.tobytes())
+        self.upto.frombytes(upto.astype(np.float32).tobytes())
         self.upto.extend([2.0] * len(extra_piece))
         return dict(zip(units, (base + last).tolist()))
 
@@ -209,7 +209,7 @@ class Sampler:
     def _walk(self, node: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sample every unit backwards from its last node, one piece each a step."""
         first, piece = np.frombuffer(self.first_arc, np.int64), np.frombuffer(self.piece, np.int32)
-        previous, upto = np.frombuffer(self.previous, np.int64), np.frombuffer(self.upto, np.float64)
+        previous, upto = np.frombuffer(self.previous, np.int32), np.frombuffer(self.upto, np.float32)
         steps, who = [], np.flatnonzero(node)
         node = node[who]
         n = np.zeros(len(base), np.int64)
@@ -295,7 +295,7 @@ def encode(docs: DataFrame, keep: list[str] = ("doc_id",), model: str | None = N
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = _sampler(path, theta)
-        for b in rebatched(batches, "_text", 1 << 20):
+        for b in rebatched(batches, "_text", 1 << 19):
             seeds = b.column("_seed").to_numpy().view(np.uint64)
             ids, n = sampler.encode(b.column("_text").to_pylist(), seeds)
             offsets = pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32())

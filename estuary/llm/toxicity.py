@@ -40,7 +40,7 @@ _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 BLOCK = 1 << 14  # coordinates that travel as one binary value
 _BLOCKS = "block int, z binary, n binary"
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 _word_hashes: dict[bytes, int] = {}
 
 
