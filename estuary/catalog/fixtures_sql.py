@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+NAMES = "['gpt-4', 'gpt-3.5-turbo', 'claude-v1', 'vicuna-13b', 'vicuna-7b', 'koala-13b', 'm6', 'm7']"
+
 RECIPES = {
     "site_day": """
 select cast(user_id % 20 as int) n, cast(4178000 + 500 * (user_id % 20) as varchar) site, cast(ts as date) "date",
@@ -23,12 +25,12 @@ select event_id, epoch(ts) tstamp, 'm' || (user_id % 8) model,
        when 'signup' then 'tievote' else 'bothbad_vote' end "type",
   case when cast(json_extract(props,'$.k') as int) % 2 = 0 then ['',''] else ['m' || (user_id % 8), 'm' || ((user_id+1) % 8)] end models
 from events""",
-    "battles": """
-select event_id, epoch(ts) tstamp, 'm' || (user_id % 8) model_a,
-  'm' || ((user_id + 1 + cast(json_extract(props,'$.k') as int) % 7) % 8) model_b,
+    "battles": f"""
+select user_id::bigint board, event_id, epoch(ts) tstamp, {NAMES}[1 + user_id % 8] model_a,
+  {NAMES}[1 + (user_id + 1 + cast(json_extract(props,'$.k') as int) % 7) % 8] model_b,
   case event_type when 'click' then 'model_a' when 'view' then 'model_b' when 'purchase' then 'tie' else 'tie (bothbad)' end win,
   cast(json_extract(props,'$.k') as int) % 3 <> 0 anony
-from events where event_type <> 'error'""",
+from events""",
     "raw_votes": """
 select e.event_id, epoch(e.ts) tstamp,
   case e.event_type when 'click' then 'leftvote' when 'view' then 'rightvote' when 'purchase' then 'tievote' when 'signup' then 'bothbad_vote' else 'chat' end "type",
@@ -45,9 +47,9 @@ select o_orderkey request_id, 'm' || (o_custkey % 9) model, cast(o_orderkey % 60
     "chunks": """
 select doc_id stream_id, cast(s as int) seq, substr(text, 1, 40 * least(s, 5)) text, case when s = 6 then 'stop' end finish_reason
 from documents, range(1, 7) r(s)""",
-    "heartbeats": """
+    "heartbeats": f"""
 select event_id, 'w' || (user_id % 50) worker, epoch(ts) beat, cast(json_extract(props,'$.k') as int) % 8 queue_length,
-  1 + user_id % 3 speed, user_id % 4 <> 0 check_heart_beat, ['m' || (user_id % 50 % 8), 'm' || (user_id % 50 % 5)] model_names from events""",
+  1 + user_id % 3 speed, user_id % 4 <> 0 check_heart_beat, [{NAMES}[1 + user_id % 50 % 8], {NAMES}[1 + user_id % 50 % 5]] model_names from events""",
     "metric_log": """
 select l_suppkey run_id, row_number() over (partition by l_suppkey order by l_orderkey, l_linenumber, l_partkey, l_extendedprice) epoch, l_discount + l_tax loss from lineitem""",
     "predictions": """

@@ -1,8 +1,7 @@
 """Registered queries of the ratings group and their DuckDB oracles.
 
-Bootstrap-based keys have no SQL oracle (a recursive CTE over 1000 replicates
-is too slow on whole tables); they are tested against a plain-Python fold on
-small fixtures in tests/test_ratings.py.
+A board is a user: ratings, replicates, ranks and leaderboards are per board. The
+oracles fold all boards (and replicates) together, one recursion step a position.
 """
 
 from __future__ import annotations
@@ -31,7 +30,7 @@ def q_rating_input(spark, d):
 
 
 def q_elo_online(spark, d):
-    return flat(R.elo_online(_anony(spark, d)).select("model", F.round("rating", 6).alias("rating")))
+    return flat(R.elo_online(_anony(spark, d)).select("board", "model", F.round("rating", 6).alias("rating")))
 
 
 def _boot(spark, d):
@@ -39,7 +38,7 @@ def _boot(spark, d):
 
 
 def q_bootstrap_elo(spark, d):
-    return flat(_boot(spark, d).select("replicate", "model", F.round("rating", 6).alias("rating")))
+    return flat(_boot(spark, d).select("board", "replicate", "model", F.round("rating", 6).alias("rating")))
 
 
 def q_elo_median(spark, d):
@@ -48,12 +47,12 @@ def q_elo_median(spark, d):
 
 def q_elo_interval(spark, d):
     i = R.elo_interval(_boot(spark, d))
-    return flat(i.select("model", *[F.round(c, 6).alias(c) for c in
+    return flat(i.select("board", "model", *[F.round(c, 6).alias(c) for c in
                                     ("lower", "rating", "upper", "error_y", "error_y_minus", "rating_rounded")]))
 
 
 def q_model_order(spark, d):
-    return flat(R.model_order(R.elo_online(_anony(spark, d))).select("model", "rank"))
+    return flat(R.model_order(R.elo_online(_anony(spark, d))).select("board", "model", "rank"))
 
 
 def q_pairwise_win_fraction(spark, d):
@@ -77,28 +76,44 @@ def q_battle_counts(spark, d):
 
 def q_leaderboard(spark, d):
     lb = R.leaderboard(R.elo_online(_anony(spark, d)), R.registry(spark))
-    return flat(lb.select("rank", "model", "line"))
+    return flat(lb.select("board", "rank", "model", "line"))
 
 
 QUERIES = {k[2:]: v for k, v in globals().items() if k.startswith("q_")}
 
-ELO = """ab as (select row_number() over (order by tstamp, event_id) pos, event_id, model_a, model_b, win from battles where anony),
+NAMED = """ab as (select row_number() over (partition by board order by tstamp, event_id) - 1 pos, board, event_id, model_a, model_b, win
+       from battles where anony),
 names as (select m, row_number() over (order by m) k from (select model_a m from ab union select model_b from ab)),
-firsts as (select m, min(p) first_pos from (select model_a m, pos * 2 p from ab union all select model_b, pos * 2 + 1 from ab) group by m),
-seq as (select ab.pos, na.k ia, nb.k ib,
+seq as (select ab.board, ab.pos, na.k ia, nb.k ib,
                case win when 'model_a' then 1.0 when 'model_b' then 0.0 else 0.5 end::double sa
         from ab join names na on na.m = ab.model_a join names nb on nb.m = ab.model_b),
-r(pos, ratings) as (
-  select 0::bigint, list_transform(range((select count(*) from names)), lambda x: 1000.0::double)
+n_of as (select board, count(*) n from ab group by board)"""
+# one step of all folds: the ratings of both models, others as they were (NULL: not met yet)
+STEP = """list_transform(range(1, len(r.ratings) + 1), lambda k:
+      case when k = s.ia then coalesce(r.ratings[s.ia], 1000.0) + 4 * (s.sa - 1 / (1 + pow(10, (coalesce(r.ratings[s.ib], 1000.0) - coalesce(r.ratings[s.ia], 1000.0)) / 400)))
+           when k = s.ib then coalesce(r.ratings[s.ib], 1000.0) + 4 * (1 - s.sa - 1 / (1 + pow(10, (coalesce(r.ratings[s.ia], 1000.0) - coalesce(r.ratings[s.ib], 1000.0)) / 400)))
+           else r.ratings[k] end)"""
+NONE_MET = "list_transform(range((select count(*) from names)), lambda x: null::double)"
+
+ELO = f"""{NAMED},
+firsts as (select board, m, min(p) first_pos from (select board, model_a m, pos * 2 p from ab union all select board, model_b, pos * 2 + 1 from ab) group by all),
+r(board, pos, ratings) as (
+  select board, -1::bigint, {NONE_MET} from n_of
   union all
-  select s.pos, list_transform(range(1, len(r.ratings) + 1), lambda k:
-      case when k = s.ia then r.ratings[s.ia] + 4 * (s.sa - 1 / (1 + pow(10, (r.ratings[s.ib] - r.ratings[s.ia]) / 400)))
-           when k = s.ib then r.ratings[s.ib] + 4 * (1 - s.sa - 1 / (1 + pow(10, (r.ratings[s.ia] - r.ratings[s.ib]) / 400)))
-           else r.ratings[k] end)
-  from r join seq s on s.pos = r.pos + 1),
-fin as (select ratings from r order by pos desc limit 1),
-elo as (select n.m model, fin.ratings[n.k] rating, f.first_pos from fin, names n join firsts f on f.m = n.m),
-ranked as (select model, rating, row_number() over (order by rating desc, first_pos) "rank" from elo)"""
+  select r.board, s.pos, {STEP} from r join seq s on s.board = r.board and s.pos = r.pos + 1),
+fin as (select board, arg_max(ratings, pos) ratings from r group by board),
+elo as (select f.board, f.m model, fin.ratings[n.k] rating, f.first_pos from firsts f join fin using (board) join names n on n.m = f.m),
+ranked as (select board, model, rating, row_number() over (partition by board order by rating desc, first_pos) "rank" from elo)"""
+
+BOOT = f"""{NAMED},
+d(board, replicate, j, ratings, n) as (
+  select board, cast(x.i as bigint), -1::bigint, {NONE_MET}, n from n_of, range({BOOT_ROUNDS}) x(i)
+  union all
+  select r.board, r.replicate, r.j + 1, {STEP}, r.n
+  from d r join seq s on s.board = r.board and r.j + 1 < r.n
+   and s.pos = ('0x' || substr(md5('42|' || r.board || '|' || r.replicate || '|' || (r.j + 1)), 1, 15))::bigint % r.n),
+last as (select board, replicate, ratings from d where j = n - 1),
+boot as (select board, replicate, m model, ratings[k] rating from last, names where ratings[k] is not null)"""
 
 PAIRS = """b as (select * from battles where anony and win not like '%tie%'),
 pc as (select model_a, model_b, count(*) filter (where win = 'model_a') a_wins, count(*) filter (where win = 'model_b') b_wins,
@@ -120,11 +135,21 @@ ord as (select model, row_number() over (order by avg_win_rate desc nulls last,
 ORACLE = {
     "rating_input": with_recipes("battles", """
 select event_id, model_a, model_b, win, win not like '%tie%' no_tie from battles where anony"""),
-    "elo_online": with_recipes("battles", "with recursive " + ELO + "\nselect model, round(rating, 6) rating from elo"),
-    "model_order": with_recipes("battles", "with recursive " + ELO + "\nselect model, \"rank\" from ranked"),
-    "leaderboard": with_recipes("battles", "with recursive " + ELO + """
-select "rank", model, '| ' || "rank" || ' | ' || case "rank" when 1 then '🥇' when 2 then '🥈' when 3 then '🥉' else '' end
-       || ' [' || model || '](None) | ' || printf('%.0f', rating) || ' | None |' line from ranked"""),
+    "elo_online": with_recipes("battles", "with recursive " + ELO + "\nselect board, model, round(rating, 6) rating from elo"),
+    "model_order": with_recipes("battles", "with recursive " + ELO + "\nselect board, model, \"rank\" from ranked"),
+    "leaderboard": with_recipes("battles", "with recursive " + ELO + f""",
+reg(full_name, link, description) as (values {", ".join("(" + ", ".join("'" + x.replace("'", "''") + "'" for x in (e[0], e[2], e[3])) + ")" for e in R.MODEL_REGISTRY)})
+select board, "rank", model, '| ' || "rank" || ' | ' || case "rank" when 1 then '🥇' when 2 then '🥈' when 3 then '🥉' else '' end
+       || ' [' || model || '](' || coalesce(link, 'None') || ') | ' || printf('%.0f', rating) || ' | ' || coalesce(description, 'None')
+       || ' |' line from ranked left join reg on full_name = model"""),
+    "bootstrap_elo": with_recipes("battles", "with recursive " + BOOT + "\nselect board, replicate, model, round(rating, 6) rating from boot"),
+    "elo_median": with_recipes("battles", "with recursive " + BOOT + """
+select board, model, cast(floor(quantile_cont(rating, 0.5) + 0.5) as bigint) rating from boot group by all"""),
+    "elo_interval": with_recipes("battles", "with recursive " + BOOT + """,
+q as (select board, model, quantile_cont(rating, 0.025) lower, quantile_cont(rating, 0.5) rating, quantile_cont(rating, 0.975) upper
+      from boot group by all)
+select board, model, round(lower, 6) lower, round(rating, 6) rating, round(upper, 6) upper, round(upper - rating, 6) error_y,
+       round(rating - lower, 6) error_y_minus, round_even(rating, 2) rating_rounded from q"""),
     "pairwise_win_fraction": with_recipes("battles", "with " + PAIRS + """
 select model_a, model_b, wins, battles, round(fraction, 6) fraction from frac"""),
     "win_fraction_order": with_recipes("battles", "with " + PAIRS + """

@@ -1,6 +1,7 @@
 """Registered streaming queries: each drains the driver table as a file stream
-(``availableNow``) into a memory table with its own checkpoint folder and
-returns that table."""
+(``availableNow``) into Parquet files on the shared checkpoint location, with a
+checkpoint folder of its own, and reads them back. Aggregates run in update mode;
+of each key the last update counts."""
 
 from __future__ import annotations
 
@@ -20,9 +21,12 @@ def _log_stream(spark, d):
     return TB.conv_log(spark, d, source=ev).withColumn("ts", from_epoch("tstamp"))
 
 
+def _drain(spark, df, mode="append"):
+    return ST.drain(df, scratch_path(spark, "stream"), scratch_path(spark, "ck"), mode)
+
+
 def q_stream_log_source(spark, d):
-    name = ST.run_to_table(_log_stream(spark, d).select("event_id", "tstamp", "model", "type"), scratch_path(spark, "ck"))
-    return flat(spark.table(name))
+    return flat(_drain(spark, _log_stream(spark, d).select("event_id", "tstamp", "model", "type")).drop("_batch"))
 
 
 def q_stream_refresh(spark, d):
@@ -34,46 +38,41 @@ def q_stream_refresh(spark, d):
 
 
 def q_stream_daily_activity(spark, d):
-    name = ST.run_to_table(ST.stream_daily_activity(_log_stream(spark, d)), scratch_path(spark, "ck"), "complete")
-    return flat(spark.table(name))
+    return flat(ST.latest(_drain(spark, ST.stream_daily_activity(_log_stream(spark, d)), "update"), ["series", "day"]))
 
 
 def q_stream_hourly_calls(spark, d):
-    name = ST.run_to_table(ST.stream_hourly_calls(_log_stream(spark, d)), scratch_path(spark, "ck"), "complete")
-    return flat(spark.table(name))
+    return flat(ST.latest(_drain(spark, ST.stream_hourly_calls(_log_stream(spark, d)), "update"), ["window_start"]))
 
 
 def q_stream_trailing_activity(spark, d):
-    name = ST.run_to_table(ST.stream_trailing_activity(_log_stream(spark, d)), scratch_path(spark, "ck"), "complete")
-    return flat(spark.table(name))
+    return flat(ST.latest(_drain(spark, ST.stream_trailing_activity(_log_stream(spark, d)), "update"),
+                          ["window_start", "window_end", "type"]))
 
 
 def q_stream_worker_liveness(spark, d):
+    """Last beat and beats of each worker, and whether the stream saw it expire."""
     hb = TB.heartbeats(spark, d, source=ST.stream_table(spark, d, "events")).withColumn("ts", from_epoch("beat"))
-    name = ST.run_to_table(ST.stream_worker_liveness(hb), scratch_path(spark, "ck"), "update")
-    out = spark.table(name).groupBy("worker").agg(F.max("last_beat").alias("last_beat"), F.max("beats").alias("beats"))
-    return flat(out)
+    out = _drain(spark, ST.stream_worker_liveness(hb), "update")
+    return flat(out.groupBy("worker").agg(F.max("last_beat").alias("last_beat"), F.max("beats").alias("beats"),
+                                          F.max_by("expired", F.struct("_batch", "expired")).alias("expired")))
 
 
 def q_stream_elo(spark, d):
     b = TB.battles(spark, d, source=ST.stream_table(spark, d, "events")).where(F.col("anony")).withColumn(
         "ts", from_epoch("tstamp"))
-    name = ST.run_to_table(ST.stream_elo(b), scratch_path(spark, "ck"), "update")
-    t = spark.table(name)
-    last = t.groupBy("board", "model").agg(F.max_by("rating", "folded").alias("rating"))
-    return flat(last.select("model", F.round("rating", 6).alias("rating")))
+    last = ST.latest(_drain(spark, ST.stream_elo(b), "update"), ["board", "model"])
+    return flat(last.select("board", "model", F.round("rating", 6).alias("rating")))
 
 
 def q_stream_delta(spark, d):
     c = TB.chunks(spark, d, source=ST.stream_table(spark, d, "documents"))
-    name = ST.run_to_table(ST.stream_delta(c), scratch_path(spark, "ck"), "append")
-    return flat(spark.table(name))
+    return flat(_drain(spark, ST.stream_delta(c)).drop("_batch"))
 
 
 def q_stream_content_dedup(spark, d):
     c = TB.content(spark, d, source=ST.stream_table(spark, d, "documents")).withColumn("ts", F.col("date").cast("timestamp"))
-    name = ST.run_to_table(ST.stream_content_dedup(c).select("date", "h"), scratch_path(spark, "ck"), "append")
-    return flat(spark.table(name))
+    return flat(_drain(spark, ST.stream_content_dedup(c).select("date", "h")).drop("_batch"))
 
 
 QUERIES = {k[2:]: v for k, v in globals().items() if k.startswith("q_")}
@@ -90,7 +89,9 @@ with w as (select "type", date_trunc('hour', to_timestamp(tstamp)::timestamp) -
            from conv_log, range(0, 24) r(k))
 select strftime(s, '%Y-%m-%d %H:%M:%S') window_start, strftime(s + interval 1 day, '%Y-%m-%d %H:%M:%S') window_end, "type",
        count(*) "count" from w group by all"""),
-    "stream_worker_liveness": with_recipes("heartbeats", "select worker, max(beat) last_beat, count(*) beats from heartbeats group by 1"),
+    "stream_worker_liveness": with_recipes("heartbeats", """
+select worker, max(beat) last_beat, count(*) beats,
+       floor(max(beat) * 1000) + 90000 <= (select floor(max(beat) * 1000) - 90000 from heartbeats) expired from heartbeats group by 1"""),
     "stream_elo": CR.ORACLE["elo_online"],
     "stream_delta": with_recipes("chunks", """
 with c as (select stream_id, seq, replace(text, '�', '') t, finish_reason from chunks),

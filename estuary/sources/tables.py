@@ -75,14 +75,22 @@ def conv_log(spark: SparkSession, sf_dir: str, source: DataFrame | None = None)
                      models.alias("models"))
 
 
+# Names of served models: registered ones and two that the registry does not know.
+MODEL_NAMES = ("gpt-4", "gpt-3.5-turbo", "claude-v1", "vicuna-13b", "vicuna-7b", "koala-13b", "m6", "m7")
+
+
+def model_name(n):
+    """Name number ``n`` (taken modulo the list)."""
+    return F.element_at(F.array(*[F.lit(m) for m in MODEL_NAMES]), (n % len(MODEL_NAMES) + 1).cast("int"))
+
+
 def battles(spark: SparkSession, sf_dir: str, source: DataFrame | None = None) -> DataFrame:
     ev = (source if source is not None else table(spark, sf_dir, "events")).select("event_id", "ts", "user_id", "event_type", "props")
     win = (F.when(F.col("event_type") == "click", "model_a").when(F.col("event_type") == "view", "model_b")
            .when(F.col("event_type") == "purchase", "tie").otherwise("tie (bothbad)"))
-    return ev.where(F.col("event_type") != "error").select(
-        "event_id", epoch_seconds("ts").alias("tstamp"),
-        F.concat(F.lit("m"), (F.col("user_id") % 8).cast("string")).alias("model_a"),
-        F.concat(F.lit("m"), ((F.col("user_id") + 1 + _k() % 7) % 8).cast("string")).alias("model_b"),
+    return ev.select(
+        F.col("user_id").cast("long").alias("board"), "event_id", epoch_seconds("ts").alias("tstamp"),
+        model_name(F.col("user_id")).alias("model_a"), model_name(F.col("user_id") + 1 + _k() % 7).alias("model_b"),
         win.alias("win"), (_k() % 3 != 0).alias("anony"))
 
 
@@ -136,7 +144,7 @@ def heartbeats(spark: SparkSession, sf_dir: str, source: DataFrame | None = None
         "event_id", F.concat(F.lit("w"), w.cast("string")).alias("worker"), epoch_seconds("ts").alias("beat"),
         (_k() % 8).alias("queue_length"), (1 + F.col("user_id") % 3).alias("speed"),
         (F.col("user_id") % 4 != 0).alias("check_heart_beat"),
-        F.array(F.concat(F.lit("m"), (w % 8).cast("string")), F.concat(F.lit("m"), (w % 5).cast("string"))).alias("model_names"))
+        F.array(model_name(w), model_name(w % 5)).alias("model_names"))
 
 
 def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:

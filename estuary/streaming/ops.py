@@ -10,17 +10,17 @@ length per stream for deltas, one beat per worker for liveness.
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from estuary.functions.exprs import pacific_day
 from estuary.operators.activity import is_anony_vote
-from estuary.operators.ratings import BASE, INIT_RATING, K_FACTOR, SCALE
+from estuary.operators.ratings import BASE, INIT_RATING, K_FACTOR, SCALE, SCORES, elo_shift
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
@@ -33,16 +33,29 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int | N
     return r.parquet(sf_dir)
 
 
-def run_to_table(df: DataFrame, ckpt: str, mode: str = "append", name: str | None = None) -> str:
-    """Drain all available input (``availableNow``) into a memory table and
-    return its name. Used by the registered queries and tests."""
-    name = name or f"s_{uuid.uuid4().hex[:10]}"
-    q = (df.writeStream.format("memory").queryName(name).outputMode(mode)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+def drain(df: DataFrame, path: str, ckpt: str, mode: str = "append") -> DataFrame:
+    """Run over all available input (``availableNow``), append every micro-batch's
+    rows with its number (column ``_batch``) to Parquet files at ``path``, and read
+    them back. Nothing is kept on the driver. A batch that is run again after a
+    failure writes the same folder again, so its rows count once."""
+    spark = df.sparkSession
+
+    def store(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/_batch={number}")
+
+    q = (df.writeStream.outputMode(mode).foreachBatch(store).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return name
+    return spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_batch", T.LongType())])).parquet(path)
+
+
+def latest(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The last update of each key from ``drain`` in update mode."""
+    values = [c for c in rows.columns if c not in (*keys, "_batch")]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "_batch").alias("_v"))
+    return newest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
 
 
 # ---------------------------------------------------------------- stateless / aggregate
@@ -130,14 +143,11 @@ ELO_STATE = "ratings string, buffer string, last_ts double, last_id long, folded
 
 def _elo_state_fn(k=K_FACTOR, scale=SCALE, base=BASE, init=INIT_RATING):
     def fold_rows(ratings, rows):
-        for _, _, a, b, win in rows:
-            ra = ratings.get(a, init)
-            rb = ratings.get(b, init)
-            ea = 1 / (1 + base ** ((rb - ra) / scale))
-            eb = 1 / (1 + base ** ((ra - rb) / scale))
-            sa = {"model_a": 1, "model_b": 0, "tie": 0.5, "tie (bothbad)": 0.5}[win]
-            ratings[a] = ra + k * (sa - ea)
-            ratings[b] = ratings.get(b, init) + k * (1 - sa - eb)
+        for _, _, left, right, win in rows:
+            gap = ratings.setdefault(left, init) - ratings.setdefault(right, init)
+            points = elo_shift(gap, SCORES[win], k, scale, base)
+            ratings[left] += points
+            ratings[right] -= points
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         (board,) = key
@@ -173,7 +183,7 @@ def _elo_state_fn(k=K_FACTOR, scale=SCALE, base=BASE, init=INIT_RATING):
     return fn
 
 
-def stream_elo(battles: DataFrame, board: str | None = None, ts: str = "ts", delay: str = "0 seconds") -> DataFrame:
+def stream_elo(battles: DataFrame, ts: str = "ts", delay: str = "0 seconds") -> DataFrame:
     """Running Elo per board. Rows are buffered in state until the event-time
     watermark passes them, then folded in (tstamp, event_id) order. Rows behind
     the watermark are dropped by Spark before the state function (query
@@ -181,8 +191,7 @@ def stream_elo(battles: DataFrame, board: str | None = None, ts: str = "ts", del
     reaches the state but is older than history already folded would rewrite
     it and is dropped and counted (``late``). State per board: the ratings (O(models)) and the rows still
     inside the watermark delay. Output: the board's ratings after each fold."""
-    b = battles.withColumn("board", F.lit(0).cast("long") if board is None else F.col(board).cast("long"))
-    return (b.withWatermark(ts, delay).groupBy("board")
+    return (battles.withColumn("board", F.col("board").cast("long")).withWatermark(ts, delay).groupBy("board")
             .applyInPandasWithState(_elo_state_fn(), ELO_OUT, ELO_STATE, "update", GroupStateTimeout.EventTimeTimeout))
 
 
