@@ -372,7 +372,7 @@ def _v1_sql() -> str:
     t = V1
     rsep = t["sep"] + t["role1"] + ": "
     return with_recipes("turns", "with " + _two_conv_sql(t) + f""",
-r as (select conv_id, least({_tc('c')}, 2048) total, string_split(c, {_q(t['sep2'])}) rounds from convs),
+r as (select conv_id, least({_tc('replace(c, ' + _q(t['sep2']) + ', ' + _q(' ' + t['sep2'] + ' ') + ')')}, 2048) total, string_split(c, {_q(t['sep2'])}) rounds from convs),
 v as (select *, list_position(list_transform(rounds, lambda x: x <> '' and len(string_split(x, {_q(rsep)})) = 2), false) p from r),
 k0 as (select conv_id, total, rounds[1:(case when p is null or p = 0 then len(rounds) else p - 1 end)] kept from v),
 k as (select conv_id, total, kept, list_transform(kept, lambda x: {_tc('x')}) rlen,

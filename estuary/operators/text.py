@@ -185,8 +185,10 @@ def _span(s: Column, e: Column) -> Column:
 def supervision_mask_v1(conversation: Column, sep: str, sep2: str, role1: str, max_len: int = 2048) -> Column:
     """Masked token spans of ``preprocess_v1`` (TWO style): the first token, each
     round's instruction part (length − 2), everything after the last round;
-    everything when the counted length disagrees with the total."""
-    total = F.least(tok_len(conversation), F.lit(max_len))
+    everything when the counted length disagrees with the total. ``sep2`` is a
+    token of its own, as the first token that each round's count includes."""
+    apart = F.replace(conversation, F.lit(sep2), F.lit(f" {sep2} "))
+    total = F.least(tok_len(apart), F.lit(max_len))
     rsep = sep + role1 + ": "
     rounds = F.split(conversation, re.escape(sep2), -1)
     valid = F.transform(rounds, lambda r: (r != "") & (F.size(F.split(r, re.escape(rsep), -1)) == 2))

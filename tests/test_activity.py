@@ -39,31 +39,14 @@ def test_plateau_detect_equal_loss_is_improvement(spark):
     assert (r.stop_epoch, r.best_epoch, r.best_loss) == (6, 3, 4.0)
 
 
-def _py_plateau(losses, patience, delta):
-    best, counter, best_e, seen, stop = None, 0, None, 0, None
-    for e, l in enumerate(losses, 1):
-        seen += 1
-        if best is None:
-            best, best_e = l, e
-        elif l > best - delta:
-            counter += 1
-            if counter >= patience:
-                stop = e
-                break
-        else:
-            best, best_e, counter = l, e, 0
-    return stop, best, best_e, seen
-
-
-def test_plateau_fold_with_delta_matches_python(spark):
-    import random
-
-    rng = random.Random(3)
-    curves = {r: [rng.uniform(0, 1) * (0.99 ** i) for i in range(200)] for r in range(5)}
-    df = spark.createDataFrame([(r, i + 1, l) for r, ls in curves.items() for i, l in enumerate(ls)],
+def test_plateau_with_delta(spark):
+    curves = {1: [1.0, 0.95, 0.85, 0.84, 0.8], 2: [2.0, 3.0, 1.0, 1.5, 1.2, 0.5], 3: [0.5]}
+    df = spark.createDataFrame([(r, i + 1, x) for r, xs in curves.items() for i, x in enumerate(xs)],
                                "run_id long, epoch long, loss double")
-    for delta in (0.0, 0.01):
+    # stop epoch, best loss, its epoch, epochs seen
+    want = {0.0: {1: (None, 0.8, 5, 5), 2: (5, 1.0, 3, 5), 3: (None, 0.5, 1, 1)},
+            0.1: {1: (5, 0.85, 3, 5), 2: (5, 1.0, 3, 5), 3: (None, 0.5, 1, 1)}}
+    for delta, expected in want.items():
         got = {r.run_id: (r.stop_epoch, r.best_loss, r.best_epoch, r.epochs_seen)
-               for r in A.plateau_detect(df, patience=7, delta=delta).collect()}
-        for r, ls in curves.items():
-            assert got[r] == _py_plateau(ls, 7, delta)
+               for r in A.plateau_detect(df, patience=2, delta=delta).collect()}
+        assert got == expected

@@ -5,11 +5,11 @@ from pyspark.sql import functions as F
 
 from estuary.streaming import ops as ST
 
-SCHEMA = "event_id long, tstamp double, model_a string, model_b string, win string"
+SCHEMA = "board long, event_id long, tstamp double, model_a string, model_b string, win string"
 
 
 def _write(spark, root, name, rows):
-    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("overwrite").parquet(os.path.join(root, name))
+    spark.createDataFrame([(0, *r) for r in rows], SCHEMA).coalesce(1).write.mode("overwrite").parquet(os.path.join(root, name))
 
 
 def test_stream_elo_restart_and_late_rows(spark):
