@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -18,7 +19,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 __all__ = ["WORD", "SPACE", "SPACE_CHARS", "table", "words", "word_count", "materialize", "scratch", "id_text",
-           "id_crc32", "rebatched"]
+           "id_crc32", "rebatched", "trimmed", "release_memory"]
 
 
 def words(text: Column | str) -> Column:
@@ -80,3 +81,19 @@ def rebatched(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 4 <
                 start, held = i, 0
             held += int(n) + 16
         yield b.slice(start)
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system: a Python worker lives on after its task
+    and shares the executor's memory with later tasks of other kinds."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
+def trimmed(batches: Iterator) -> Iterator:
+    """The same batches; memory is released after the last one."""
+    yield from batches
+    release_memory()

@@ -33,11 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from estuary.llm.common import id_text, rebatched
+from estuary.llm.common import id_text, rebatched, trimmed
 
 MODEL = "piece_bpe_32k.model"
 THETA = 0.3
-CACHE_UNITS = 100_000
+CACHE_UNITS = 80_000
 _MARK = "▁"
 _UNITS = re.compile(r"\n| *[^ \n]+| +")
 
@@ -304,7 +304,7 @@ def encode(docs: DataFrame, keep: list[str] = ("doc_id",), model: str | None = N
 
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.xxhash64(id_text("doc_id"), F.lit(seed)).alias("_seed"),
                        F.coalesce("text", F.lit("")).alias("_text"))
-    return rows.mapInArrow(run, T.StructType(fields))
+    return rows.mapInArrow(lambda it: trimmed(run(it)), T.StructType(fields))
 
 
 def decode(encoded: DataFrame, model: str | None = None, theta: float = THETA) -> DataFrame:
@@ -322,4 +322,4 @@ def decode(encoded: DataFrame, model: str | None = None, theta: float = THETA) -
                 yield pa.record_batch([*(part.column(c) for c in keep), pa.array(texts, pa.string())],
                                       names=[*keep, "text"])
 
-    return encoded.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, T.StructType(fields))
+    return encoded.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(lambda it: trimmed(run(it)), T.StructType(fields))

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estuary.llm.common import id_crc32
+from estuary.llm.common import id_crc32, release_memory
 
 HOLD_OUT = (5, 0)  # rows whose crc32(doc_id) % 5 is 0 are never trained on
 POOL = 0.8  # weight of the pooled covariance
@@ -96,6 +96,7 @@ class Discriminant:
         def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for s in batches:
                 yield pd.Series(self.scores(_matrix(s)))
+            release_memory()
 
         return of(text)
 
@@ -150,8 +151,10 @@ def fit(docs: DataFrame, labels: DataFrame, pool: float = POOL, diagonal: float
     d = len(FEATURES)
 
     @F.pandas_udf("array<double>")
-    def stats(s: pd.Series) -> pd.Series:
-        return pd.Series(list(_matrix(s)))
+    def stats(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in batches:
+            yield pd.Series(list(_matrix(s)))
+        release_memory()
 
     def moments(batches):
         n, s1, s2 = np.zeros(2), np.zeros((2, d)), np.zeros((2, d, d))

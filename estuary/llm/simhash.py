@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estuary.llm.common import materialize
+from estuary.llm.common import materialize, release_memory, trimmed
 
 SHINGLE = 3
 RADIUS = 3
@@ -69,6 +69,7 @@ def fingerprint(text: Column, shingle: int = SHINGLE) -> Column:
         for s in batches:
             out = np.fromiter((fingerprint_of(shingle_hashes(t, shingle)) for t in s), np.uint64, len(s))
             yield pd.Series(out.view(np.int64))
+        release_memory()
 
     return of(text)
 
@@ -225,7 +226,7 @@ def link_fingerprints(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
              .select("shard", "tree", (F.col("own") == F.col("tree")).alias("member"), "fp"))
     return (dealt.repartition("shard", "tree")
             .sortWithinPartitions("shard", "tree", F.col("member").desc(), "fp")
-            .mapInArrow(lambda it: _shard_links(it, radius), "u bigint, v bigint"))
+            .mapInArrow(lambda it: trimmed(_shard_links(it, radius)), "u bigint, v bigint"))
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:

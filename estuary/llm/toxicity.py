@@ -24,14 +24,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estuary.llm.common import id_crc32, id_text, materialize
+from estuary.llm.common import id_crc32, id_text, materialize, release_memory
 from estuary.llm.quality import one_label
 
 HOLD_OUT = (3, 1)  # rows whose crc32(doc_id) % 3 is 1 are never trained on
 BITS = 20  # 2**20 hashed coordinates
 THRESHOLD = 0.7
 PAIR_VALUE = 0.5
-MAX_ROWS = 20_000  # labelled rows that training reads at most
+MAX_ROWS = 16_000  # labelled rows that training reads at most
 SHARDS = 4
 ROUNDS, PASSES = 3, 3  # averaging rounds, passes of each round
 ALPHA, BETA, L1, L2 = 5.0, 1.0, 2.0, 0.0
@@ -40,7 +40,7 @@ _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 BLOCK = 1 << 14  # coordinates that travel as one binary value
 _BLOCKS = "block int, z binary, n binary"
-CACHE_WORDS = 150_000
+CACHE_WORDS = 100_000
 _word_hashes: dict[bytes, int] = {}
 
 
@@ -121,6 +121,7 @@ class Weights:
         def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for s in batches:
                 yield pd.Series(self.scores(s))
+            release_memory()
 
         return of(text)
 
@@ -163,6 +164,8 @@ def _round_of(state: Ftrl, k: int, passes: int):
         for e in range(passes):
             for i in np.random.default_rng(k * passes + e).permutation(len(xs)):
                 s.learn(xs[i], ys[i])
+        xs = None
+        release_memory()
         dz, dn = (s.z - state.z).astype(np.float32), (s.n - state.n).astype(np.float32)
         blocks = range(0, len(dz), BLOCK)
         return pd.DataFrame({"block": range(len(blocks)), "z": [dz[i:i + BLOCK].tobytes() for i in blocks],
