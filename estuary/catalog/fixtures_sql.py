@@ -38,14 +38,14 @@ select e.event_id, epoch(e.ts) tstamp,
        when 3 then ['<h3>Model A: bard</h3>' || chr(10), '<h3>Model B: m1</h3>' || chr(10)] else ['m0','m1'] end models,
   case when e.event_id % 11 = 0 then null else 'bard' end hidden_a, 'm1' hidden_b, cast(e.event_id % 3 as int) "offset",
   c.conv_id, case when e.event_id % 13 = 0 then ' I am ChatGPT' else '' end leak
-from events e join (select distinct conv_id from conversations) c on c.conv_id = e.event_id % 100""",
+from events e join (select distinct conv_id from conversations) c on c.conv_id = e.event_id % (select count(distinct conv_id) from conversations)""",
     "turns": """
 select conv_id, turn, role, text, row_number() over (partition by conv_id order by turn) - 1 i from conversations""",
     "requests": """
 select o_orderkey request_id, 'm' || (o_custkey % 9) model, cast(o_orderkey % 600 - 20 as int) max_tokens, cast(o_orderkey % 5 as int) n,
   (o_custkey % 30) / 10.0::double - 0.4 temperature, (o_orderkey % 14) / 10.0::double - 0.1 top_p, cast(o_orderkey % 2100 as int) token_num from orders""",
     "chunks": """
-select doc_id stream_id, cast(s as int) seq, substr(text, 1, 40 * least(s, 5)) text, case when s = 6 then 'stop' end finish_reason
+select doc_id stream_id, cast(s as int) seq, substr(text, 1, (length(text) * least(s, 5) + 4) // 5) text, case when s = 6 then 'stop' end finish_reason
 from documents, range(1, 7) r(s)""",
     "heartbeats": f"""
 select event_id, 'w' || (user_id % 50) worker, epoch(ts) beat, cast(json_extract(props,'$.k') as int) % 8 queue_length,
@@ -59,9 +59,10 @@ select vec_id, label, cast((label + case when vec_id % 7 = 0 then 1 else 0 end)
     "params": """
 select 'p' || vec_id name, embedding base_values, list_transform(embedding, lambda x: x + label * 0.01) target_values from embeddings""",
     "graph_items": """
-select 'g_' || vec_id id, vec_id node_idx, [vec_id, (vec_id + 1) % 500, (vec_id + 7) % 500] node_list, [[0,0],[1,2]] edge_index from embeddings where vec_id < 100""",
+select 'g_' || vec_id id, vec_id node_idx, [vec_id, (vec_id + 1) % n, (vec_id + 7) % n] node_list, [[0,0],[1,2]] edge_index
+from embeddings, (select count(*) n from embeddings)""",
     "reviews": """
-select d.doc_id, cast(d.doc_id * 7919 % 10007 as bigint) "Time", d.source "ProductId", l.quality "Score", substr(d.text,1,20) "Summary", d.text "Text" from documents d left join labels l using (doc_id)""",
+select d.doc_id, cast(d.doc_id * 7919 % 10007 as bigint) "Time", d.source "ProductId", l.quality "Score", split_part(d.text, chr(10), 1) "Summary", d.text "Text" from documents d left join labels l using (doc_id)""",
     "content": """
 select doc_id, date '2024-01-01' + cast(doc_id % 30 as int) "date", md5(text) h from documents""",
 }

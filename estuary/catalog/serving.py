@@ -187,11 +187,15 @@ union all select 1, 0, 'gpt-4' union all select 1, 1, 'gpt-3.5-turbo'
 union all select 2, pos, model from m""".replace("select 0 group_ord, 0 pos", "select cast(0 as bigint) group_ord, cast(0 as bigint) pos")),
     "priority_order": with_recipes("heartbeats", """
 with m as (select distinct unnest(model_names) model from heartbeats),
-r as (select * from (values ('gpt-4', 0), ('gpt-3.5-turbo', 1), ('claude-v1', 2)) t(model, reg_pos))
+r as (select unnest(""" + str([m[0] for m in R.MODEL_REGISTRY]) + """) model, generate_subscripts(""" + str([m[0] for m in R.MODEL_REGISTRY]) + """, 1) - 1 reg_pos)
 select m.model, coalesce(printf('___%02d', r.reg_pos), m.model) sort_key from m left join r using (model)"""),
     "model_cards": with_recipes("heartbeats", """
 with m as (select model, row_number() over (order by model) - 1 pos from (select distinct unnest(model_names) model from heartbeats)),
-c as (select pos, model, '[' || model || '](): Add the description at the model registry' card, row_number() over (order by pos) - 1 ct from m)
+reg(model, simple, link, description) as (values """ + ", ".join(str(tuple(x.replace("'", "`") for x in e)) for e in R.MODEL_REGISTRY) + """),
+j as (select m.*, simple, link, description, row_number() over (partition by coalesce(simple, m.model) order by pos) rn from m left join reg using (model)),
+c as (select pos, model, coalesce('[' || simple || '](' || link || '): ' || description,
+             '[' || model || '](): Add the description at the model registry') card, row_number() over (order by pos) - 1 ct
+      from j where rn = 1 or simple is null)
 select pos, model, card, ct, ct // 3 "row", ct % 3 col from c"""),
     "worker_liveness": with_recipes("heartbeats", "with " + LIVE + "\nselect worker, beat, check_heart_beat, expired from live"),
     "worker_rollup": with_recipes("heartbeats", "with " + LIVE + """
@@ -203,11 +207,16 @@ select model, arg_min(worker, (queue_length / speed, worker)) worker from mw gro
 k as (select model, worker, speed, -ln({UNI.format(parts="'7', '0', model, worker")}) / speed k from mw where speed > 0)
 select model, arg_min(worker, k) worker from k group by model having sum(speed) >= 1e-4"""),
     "weighted_pair_sample": with_recipes(["battles", "heartbeats"], f"""
-with m as (select distinct unnest(model_names) model from heartbeats),
-w as (select model, 1.0::double w from m),
-k as (select b.event_id battle_id, w.model, -ln({UNI.format(parts="'3', cast(b.event_id as varchar), w.model")}) / w.w k from battles b, w),
-r as (select *, row_number() over (partition by battle_id order by k, model) rn from k)
-select battle_id, max(model) filter (where rn = 1) model_left, max(model) filter (where rn = 2) model_right from r group by battle_id"""),
+with wt(model, w) as (values {", ".join(f"('{k}', {float(v)}::double)" for k, v in SV.DEFAULT_WEIGHTS.items())}),
+m as (select distinct unnest(model_names) model from heartbeats),
+line as (select model, coalesce(w, 1.0) w, sum(coalesce(w, 1.0)) over (order by model) hi from m left join wt using (model)),
+p as (select model, w, hi, coalesce(lag(hi) over (order by model), 0) lo from line),
+t as (select max(hi) total, count(*) n from p),
+l as (select b.event_id battle_id, p.*, t.* from battles b, t join p on
+        {UNI.format(parts="'3', cast(b.event_id as varchar), 'left'")} * total >= lo and {UNI.format(parts="'3', cast(b.event_id as varchar), 'left'")} * total < hi),
+y as (select *, {UNI.format(parts="'3', cast(battle_id as varchar), 'right'")} * (total - w) y from l),
+x as (select battle_id, model, case when n = 1 then lo when y < lo then y else y + w end x from y)
+select battle_id, x.model model_left, p.model model_right from x join p on x >= p.lo and x < p.hi"""),
 }
 
 

@@ -145,8 +145,8 @@ with {REV}, c as (select doc_id, {COMBINED} combined from rv)
 select doc_id, length(combined) n_chars, md5(combined) md5, substr(combined, 1, 60) head from c"""),
     "recent_top_n": with_recipes("reviews", f"""
 with {REV}, c as (select doc_id, "Time", length({COMBINED}) n_tokens from rv),
-t as (select * from c order by "Time" desc limit 2000)
-select doc_id, "Time", n_tokens from t where n_tokens <= 500 order by "Time" desc limit 1000"""),
+t as (select * from c order by "Time" desc, doc_id limit 2000)
+select doc_id, "Time", n_tokens from t where n_tokens <= 500 order by "Time" desc, doc_id limit 1000"""),
     "cosine_similarity": f"""
 with e as (select vec_id, embedding from embeddings), n as (select count(*) n from e)
 select a.vec_id, b.vec_id j, round({COS.format(a='a.embedding', b='b.embedding')}, 6) similarity

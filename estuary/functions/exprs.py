@@ -3,7 +3,6 @@ expressions, so it stays inside whole-stage codegen."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -98,20 +97,13 @@ def round6(c: str | Column) -> Column:
     return F.round(col(c), 6)
 
 
-_PY_ROUND_UDFS: dict = {}
-
-
 def py_round(c: str | Column, ndigits: int) -> Column:
-    """Python ``round(x, n)``: half-even on the exact binary value. Spark's
-    ``bround`` rounds the shortest decimal text instead, so ties such as
-    1704097739.36385 differ; this small Arrow-batched helper keeps Python's rule."""
-    if ndigits not in _PY_ROUND_UDFS:
-        @F.pandas_udf("double")
-        def _r(s: pd.Series) -> pd.Series:
-            return s.map(lambda v: v if v != v else round(float(v), ndigits))
-
-        _PY_ROUND_UDFS[ndigits] = _r
-    return _PY_ROUND_UDFS[ndigits](col(c))
+    """Python ``round(x, n)`` for n >= 1: half-even on the exact binary value.
+    ``format_number`` with a pattern does that (``bround`` rounds the shortest
+    decimal text instead, so ties such as 1704097739.36385 differ)."""
+    v = col(c).cast("double")
+    text = F.call_function("format_number", v, F.lit("0." + "0" * ndigits))
+    return F.when(F.isnan(v) | (F.abs(v) == float("inf")), v).otherwise(text.try_cast("double"))
 
 
 def let(value: Column, body) -> Column:

@@ -3,14 +3,13 @@ kept battles and every counter come from the same scan."""
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estuary.functions.exprs import let
 from estuary.operators.activity import VOTES
-from estuary.plans.parallel import spread
 
 # Identity words that disqualify a battle, as listed by the
 # reference (its mixed-case entries can never match lower-cased text; kept).
@@ -65,7 +64,7 @@ def votes_from_fixture(raw_votes: DataFrame, turns: DataFrame) -> DataFrame:
     msgs = turns.groupBy("conv_id").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("i", "role", "text"))),
                     lambda s: F.array(s["role"], s["text"])).alias("messages"))
-    v = spread(raw_votes).join(msgs, "conv_id")
+    v = raw_votes.repartition("event_id").join(msgs, "conv_id")  # narrow rows; the texts come with the join
     leak_msg = F.when(F.col("leak") != "", F.array(F.array(F.lit("assistant"), F.col("leak")))).otherwise(
         F.array().cast("array<array<string>>"))
     st = lambda name, m: F.struct(F.col(name).alias("model_name"), F.col("offset").alias("offset"), m.alias("messages"))
@@ -83,7 +82,7 @@ def _after_offset_text(state: Column) -> Column:
 
 def battle_reasons(votes: DataFrame) -> DataFrame:
     """Ordered validity checks → ``reason`` (names → anony → mismatch → offset → leak)."""
-    v = spread(votes.where(F.col("type").isin(VOTES)))
+    v = votes.where(F.col("type").isin(VOTES))
     v = strip_h3_col(v, F.element_at("models", 1), "pub0")
     v = strip_h3_col(v, F.element_at("models", 2), "pub1")
     s0, s1 = F.element_at("states", 1), F.element_at("states", 2)
@@ -98,9 +97,7 @@ def battle_reasons(votes: DataFrame) -> DataFrame:
     one_empty = (F.col("pub0") == "") != (F.col("pub1") == "")
     anony = (F.col("pub0") == "") | (F.col("pub0") == "Model A")
     mismatch = ~(F.col("pub0").eqNullSafe(F.col("hid0")) & F.col("pub1").eqNullSafe(F.col("hid1")))
-    # The text is bound once (``let``): pushed-down filters inline it, and
-    # referencing it per word would rebuild it for every word.
-    leak = let(F.col("_text"), lambda t: reduce(lambda a, b: a | b, [F.contains(t, F.lit(w)) for w in IDENTITY_WORDS]))
+    leak = F.col("_text").rlike("|".join(re.escape(w) for w in IDENTITY_WORDS))
     reason = (F.when(one_empty, "invalid_names")
               .when(~anony & mismatch, "invalid_mismatch")
               .when(F.col("offset") >= F.col("n_msgs"), "invalid_offset")
@@ -111,14 +108,15 @@ def battle_reasons(votes: DataFrame) -> DataFrame:
 
 def language_of(text: Column) -> Column:
     """Profile language with most stop-word hits among the lower-cased letter
-    tokens (tie → alphabetical), ``unknown`` without hits. A per-row expression
-    over a literal word → code map: one pass over the tokens, then the hits
-    (one letter per hit) are counted with string functions – no explode, no
-    shuffle, whole text."""
+    tokens (tie → alphabetical), ``unknown`` without hits. A per-row expression:
+    tokens outside the literal word set are dropped first, the rest become one
+    letter each, counted with string functions – no explode, no shuffle, whole text."""
     langs = sorted(LANGUAGE_PROFILE)
     code = {lang: chr(ord("a") + i) for i, lang in enumerate(langs)}
+    every = sorted({w for ws in LANGUAGE_PROFILE.values() for w in ws})
     words = F.create_map(*[F.lit(x) for lang, ws in LANGUAGE_PROFILE.items() for w in ws for x in (w, code[lang])])
-    hits = F.array_join(F.transform(F.split(F.lower(text), r"[^\p{L}]+"), lambda t: F.try_element_at(words, t)), "")
+    known = F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda t: t.isin(every))  # a hash-set test for each token
+    hits = F.array_join(F.transform(known, lambda t: F.try_element_at(words, t)), "")
     best = let(hits, lambda h: F.element_at(F.sort_array(F.array(*[
         F.struct((F.length(F.regexp_replace(h, f"[^{code[lang]}]", "")) * -1).alias("c"), F.lit(lang).alias("l"))
         for lang in langs])), 1))
@@ -127,7 +125,7 @@ def language_of(text: Column) -> Column:
 
 def detect_language(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, language) per row, see :func:`language_of`."""
-    return spread(df).select(key, language_of(F.col(text)).alias("language"))
+    return df.select(key, language_of(F.col(text)).alias("language"))
 
 
 def rename_model(c: Column) -> Column:

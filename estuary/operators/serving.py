@@ -172,26 +172,35 @@ def weight_of(model: Column) -> Column:
     return F.coalesce(F.element_at(m, model).cast("double"), F.lit(1.0))
 
 
-MAX_MODELS = 10_000
-
-
-def weighted_pair_sample(battles: DataFrame, models: DataFrame, seed: int = 0, max_models: int = MAX_MODELS) -> DataFrame:
+def weighted_pair_sample(battles: DataFrame, models: DataFrame, seed: int = 0) -> DataFrame:
     """For each battle, two distinct models drawn without replacement with
-    probability ∝ weight (the two smallest keys of an exponential race); a
-    single served model is used twice. The served-model set travels as one
-    broadcast array; its size is checked against ``max_models``."""
-    n_models = models.count()
-    if n_models > max_models:
-        raise ValueError(f"{n_models} served models exceed max_models={max_models}")
-    ms = models.select("model", weight_of(F.col("model")).alias("w"))
-    arr = ms.agg(F.collect_list(F.struct("model", "w")).alias("_ms"))  # one row: the served models
-    b = battles.crossJoin(F.broadcast(arr))
-    keyed = F.transform("_ms", lambda m: F.struct((-F.log(portable_uniform(F.lit(seed), F.col("battle_id"), m["model"])) / m["w"]).alias("k"),
-                                                  m["model"].alias("model")))
-    s = F.sort_array(keyed)
-    one = F.size("_ms") == 1
-    return b.select("battle_id", F.element_at(s, 1)["model"].alias("model_left"),
-                    F.when(one, F.element_at(s, 1)["model"]).otherwise(F.element_at(s, 2)["model"]).alias("model_right"))
+    probability ∝ weight; a single served model is used twice.
+
+    Models lie end to end on a line, each as long as its weight. One uniform number
+    picks the left model; the right one is drawn on the line without the left
+    model's piece. The line is cut into as many equal cells as there are models, so
+    a point finds its model by an equi-join on the cell (two pieces a cell on
+    average) instead of a comparison with every model.
+    """
+    by_name = Window.orderBy("model")  # the served models
+    line = models.select("model", weight_of(F.col("model")).alias("w")).withColumn("hi", F.sum("w").over(by_name))
+    line = line.withColumn("lo", F.coalesce(F.lag("hi").over(by_name), F.lit(0.0)))
+    whole = line.agg(F.max("hi").alias("_w"), F.count(F.lit(1)).alias("_n"))  # one row
+    cell = lambda x: F.least(F.floor(x * F.col("_n") / F.col("_w")), F.col("_n") - 1)
+    cells = (line.crossJoin(F.broadcast(whole))
+             .select(F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi")))).alias("_cell"), "model", "lo", "hi", "w"))
+
+    def at(df: DataFrame, point: Column, name: str) -> DataFrame:
+        """Attach the piece (struct ``name``) under each row's point."""
+        c = cells.select("_cell", F.struct("model", "lo", "hi", "w").alias(name))
+        return (df.withColumn("_x", point).withColumn("_cell", cell(F.col("_x"))).join(c, "_cell")
+                .where((F.col("_x") >= F.col(name)["lo"]) & (F.col("_x") < F.col(name)["hi"])).drop("_cell", "_x"))
+
+    u = lambda side: portable_uniform(F.lit(seed), "battle_id", F.lit(side))
+    b = at(battles.select("battle_id").crossJoin(F.broadcast(whole)), u("left") * F.col("_w"), "l")
+    y = u("right") * (F.col("_w") - F.col("l.w"))
+    point = F.when(F.col("_n") == 1, F.col("l.lo")).when(y < F.col("l.lo"), y).otherwise(y + F.col("l.w"))
+    return at(b, point, "r").select("battle_id", F.col("l.model").alias("model_left"), F.col("r.model").alias("model_right"))
 
 
 def model_pool(models: DataFrame, groups: list[tuple[str, list[str]]]) -> DataFrame:

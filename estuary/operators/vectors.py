@@ -9,8 +9,12 @@ vector set is ever collected into one row.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from estuary.functions.exprs import cosine, let, portable_hash, py_strip
 from estuary.plans.ordinal import global_ordinal
@@ -26,47 +30,75 @@ def unlabel_text(c: Column) -> Column:
     return F.replace(F.replace(c, F.lit("Title: "), F.lit("")), F.lit("; Content:"), F.lit(": "))
 
 
-def recent_top_n(reviews: DataFrame, n: int = 1000, max_chars: int = 500, time_col: str = "Time") -> DataFrame:
-    """Newest 2n rows by time, keep combined texts of ≤ max_chars characters,
-    then the newest n of those (a top-k report: limit is the feature)."""
+def recent_top_n(reviews: DataFrame, n: int = 1000, max_chars: int = 500, time_col: str = "Time",
+                 key: str = "doc_id") -> DataFrame:
+    """Newest 2n rows by time (ties: smaller key), keep combined texts of ≤ max_chars
+    characters, then the newest n of those (a top-k report: limit is the feature)."""
     c = combine_text(reviews).withColumn("n_tokens", F.length("combined"))
-    newest = c.orderBy(F.col(time_col).desc()).limit(2 * n)
-    return newest.where(F.col("n_tokens") <= max_chars).orderBy(F.col(time_col).desc()).limit(n)
+    order = [F.col(time_col).desc(), F.col(key)]
+    return c.orderBy(*order).limit(2 * n).where(F.col("n_tokens") <= max_chars).orderBy(*order).limit(n)
 
 
-def semantic_search(corpus: DataFrame, queries: DataFrame, k: int = 3, key: str = "vec_id", vec: str = "embedding",
-                    max_queries: int = 10000, buckets: int = 64) -> DataFrame:
-    """Top-k corpus rows by cosine similarity for each query.
+SEARCH_BLOCK = 4096  # corpus rows, and queries, that meet in one task
 
-    The query set must be bounded (checked by a count against ``max_queries``);
-    it travels as one broadcast array and every corpus row is scored against it
-    where it lives. The top-k is two-staged (per corpus bucket, then global), so
-    no task sorts all corpus rows of one query.
+
+def _unit_rows(column) -> np.ndarray:
+    """Rows scaled to length 1; NULL and zero vectors become NaN rows."""
+    rows = column.to_pylist()
+    dim = max((len(r) for r in rows if r is not None), default=1)
+    x = np.array([np.zeros(dim) if r is None else r for r in rows], np.float64).reshape(len(rows), dim)
+    length = np.sqrt((x * x).sum(1, keepdims=True))
+    return np.divide(x, length, out=np.full_like(x, np.nan), where=length > 0)
+
+
+def semantic_search(corpus: DataFrame, queries: DataFrame, k: int = 3, key: str = "vec_id",
+                    vec: str = "embedding") -> DataFrame:
+    """Top-k corpus rows by cosine similarity for each query (query_id, qvec); ties
+    go to the smaller key, undefined similarities come last as NULL.
+
+    Corpus and queries are dealt into blocks whose number follows their row counts.
+    Each block of one meets each block of the other in one matrix product, which
+    keeps k rows a query; a window ranks the k-row lists of all blocks.
     """
-    nq = queries.count()
-    if nq > max_queries:
-        raise ValueError(f"{nq} queries exceed max_queries={max_queries}; search in batches")
-    qarr = queries.agg(F.collect_list(F.struct(F.col("query_id"), F.col("qvec"))).alias("_q"))
-    scored = (corpus.select(key, vec).crossJoin(F.broadcast(qarr))  # one row holding ≤ max_queries vectors
-              .select(key, F.explode(F.transform("_q", lambda q: F.struct(q["query_id"].alias("query_id"),
-                                                                         cosine(F.col(vec), q["qvec"]).alias("similarity")))).alias("_s"))
-              .select(key, "_s.query_id", "_s.similarity"))
-    order = [F.col("similarity").desc_nulls_last(), F.col(key)]
-    local = scored.withColumn("_b", F.pmod(F.hash(key), F.lit(buckets))).withColumn(
-        "_r", F.row_number().over(Window.partitionBy("query_id", "_b").orderBy(*order))).where(F.col("_r") <= k)
-    return local.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order))).where(
-        F.col("rank") <= k).select("query_id", "rank", key, "similarity")
-
-
-def pairwise_similarity(df: DataFrame, block: Column, key: str = "vec_id", vec: str = "embedding",
-                        max_block: int = 64) -> DataFrame:
-    """All i<j pairs within a block (the reference compares one short list of
-    sentences). Blocks are bounded: a block larger than ``max_block`` fails
-    instead of emitting a quadratic number of pairs."""
+    def dealt(df, name):
+        n = df.agg(F.greatest(F.ceil(F.count(F.lit(1)) / SEARCH_BLOCK), F.lit(1)).cast("int").alias(name))
+        return n  # one row
+
+    nb, nq = dealt(corpus, "_nb"), dealt(queries, "_nq")
+    span = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    both = nb.crossJoin(nq)
+    rows = (corpus.select(F.col(key).alias("_key"), F.col(vec).alias("_vec")).crossJoin(F.broadcast(both))
+            .select("_key", "_vec", F.pmod(F.xxhash64("_key"), F.col("_nb")).cast("int").alias("_b"), span("_nq").alias("_q")))
+    asks = (queries.select("query_id", "qvec").crossJoin(F.broadcast(both))
+            .select("query_id", "qvec", F.pmod(F.xxhash64("query_id"), F.col("_nq")).cast("int").alias("_q"),
+                    span("_nb").alias("_b")))
+    schema = T.StructType([T.StructField("query_id", queries.schema["query_id"].dataType),
+                           T.StructField(key, corpus.schema[key].dataType), T.StructField("similarity", T.DoubleType())])
+    kinds = [(f.name, to_arrow_type(f.dataType)) for f in schema]
+
+    def rank(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return pa.table({n: pa.array([], t) for n, t in kinds})
+        left = left.sort_by("_key")
+        sim = _unit_rows(right["qvec"]) @ _unit_rows(left["_vec"]).T
+        best = np.argsort(np.where(np.isnan(sim), np.inf, -sim), axis=1, kind="stable")[:, :k]
+        found = np.take_along_axis(sim, best, 1).ravel()
+        at = pa.array(np.repeat(np.arange(right.num_rows), best.shape[1]))
+        out = (right["query_id"].take(at), left["_key"].take(pa.array(best.ravel())),
+               pa.array(found, pa.float64(), mask=np.isnan(found)))
+        return pa.table({n: c.cast(t) for (n, t), c in zip(kinds, out)})
+
+    local = rows.groupBy("_b", "_q").cogroup(asks.groupBy("_b", "_q")).applyInArrow(rank, schema)
+    w = Window.partitionBy("query_id").orderBy(F.col("similarity").desc_nulls_last(), F.col(key))
+    return local.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(
+        "query_id", "rank", key, "similarity")
+
+
+def pairwise_similarity(df: DataFrame, block: Column, key: str = "vec_id", vec: str = "embedding") -> DataFrame:
+    """All i<j pairs within a block, as the comparison matrix of one short list of
+    sentences asks for. The result is quadratic in a block by definition; the
+    caller's block key names the lists."""
     b = df.select(block.alias("_blk"), key, vec)
-    biggest = b.groupBy("_blk").count().agg(F.max("count")).first()[0] or 0
-    if biggest > max_block:
-        raise ValueError(f"block of {biggest} rows exceeds max_block={max_block}; choose a finer block key")
     l = b.select("_blk", F.col(key).alias("i"), F.col(vec).alias("vi"))
     r = b.select("_blk", F.col(key).alias("j"), F.col(vec).alias("vj"))
     return (l.join(r, "_blk").where(F.col("i") < F.col("j"))

@@ -97,6 +97,7 @@ def battles(spark: SparkSession, sf_dir: str, source: DataFrame | None = None) -
 def raw_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
     convs = table(spark, sf_dir, "conversations").select("conv_id").distinct()
+    n = convs.agg(F.count(F.lit(1)).alias("_n"))  # one row
     typ = (F.when(F.col("event_type") == "click", "leftvote").when(F.col("event_type") == "view", "rightvote")
            .when(F.col("event_type") == "purchase", "tievote").when(F.col("event_type") == "signup", "bothbad_vote")
            .otherwise("chat"))
@@ -105,7 +106,8 @@ def raw_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
               .when(r == 2, F.array(F.lit("Model A"), F.lit("Model B")))
               .when(r == 3, F.array(F.lit("<h3>Model A: bard</h3>\n"), F.lit("<h3>Model B: m1</h3>\n")))
               .otherwise(F.array(F.lit("m0"), F.lit("m1"))))
-    return ev.join(convs, (ev.event_id % 100) == convs.conv_id).select(
+    ev = ev.crossJoin(F.broadcast(n)).withColumn("_c", F.col("event_id") % F.col("_n"))
+    return ev.join(convs, F.col("_c") == F.col("conv_id")).select(
         "event_id", epoch_seconds("ts").alias("tstamp"), typ.alias("type"), models.alias("models"),
         F.when(F.col("event_id") % 11 == 0, F.lit(None).cast("string")).otherwise(F.lit("bard")).alias("hidden_a"),
         F.lit("m1").alias("hidden_b"), (F.col("event_id") % 3).cast("int").alias("offset"), "conv_id",
@@ -133,7 +135,7 @@ def chunks(spark: SparkSession, sf_dir: str, source: DataFrame | None = None) ->
     steps = F.explode(F.sequence(F.lit(1), F.lit(6)))
     return (d.select("doc_id", "text", steps.alias("s"))
             .select(F.col("doc_id").alias("stream_id"), F.col("s").cast("int").alias("seq"),
-                    F.expr("substr(text, 1, 40 * least(s, 5))").alias("text"),
+                    F.expr("substr(text, 1, int((length(text) * least(s, 5) + 4) div 5))").alias("text"),
                     F.when(F.col("s") == 6, F.lit("stop")).alias("finish_reason")))
 
 
@@ -176,9 +178,10 @@ def params(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def graph_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings").select("vec_id")
-    return e.where(F.col("vec_id") < 100).select(
+    n = F.col("_n")
+    return e.crossJoin(F.broadcast(e.agg(F.count(F.lit(1)).alias("_n")))).select(
         F.concat(F.lit("g_"), F.col("vec_id").cast("string")).alias("id"), F.col("vec_id").alias("node_idx"),
-        F.array(F.col("vec_id"), (F.col("vec_id") + 1) % 500, (F.col("vec_id") + 7) % 500).alias("node_list"),
+        F.array(F.col("vec_id"), (F.col("vec_id") + 1) % n, (F.col("vec_id") + 7) % n).alias("node_list"),
         F.array(F.array(F.lit(0).cast("long"), F.lit(0).cast("long")),
                 F.array(F.lit(1).cast("long"), F.lit(2).cast("long"))).alias("edge_index"))
 
@@ -188,7 +191,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
     return d.join(lab, "doc_id", "left").select(
         "doc_id", (F.col("doc_id") * 7919 % 10007).cast("long").alias("Time"), F.col("source").alias("ProductId"),
-        F.col("quality").alias("Score"), F.substring("text", 1, 20).alias("Summary"), F.col("text").alias("Text"))
+        F.col("quality").alias("Score"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("Summary"), F.col("text").alias("Text"))
 
 
 def content(spark: SparkSession, sf_dir: str, source: DataFrame | None = None) -> DataFrame:
