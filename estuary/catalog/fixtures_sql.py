@@ -12,13 +12,21 @@ NAMES = "['gpt-4', 'gpt-3.5-turbo', 'claude-v1', 'vicuna-13b', 'vicuna-7b', 'koa
 
 RECIPES = {
     "site_day": """
+select cast(user_id as int) n, cast(4178000 + 500 * (user_id) as varchar) site, cast(ts as date) "date",
+  cast(sum(cast(value as decimal(18,2))) filter (event_type not in ('purchase','signup')) as double) sediment,
+  cast(sum(cast(value as decimal(18,2))) filter (event_type in ('purchase','signup')) as double) discharge
+from events group by 1, 2, 3""",
+    "site_fold": """
 select cast(user_id % 20 as int) n, cast(4178000 + 500 * (user_id % 20) as varchar) site, cast(ts as date) "date",
-  cast(sum(cast(value as decimal(18,2))) filter (event_type in ('click','view') and (user_id % 20 + 2 * day(ts)) % 11 <> 0) as double) sediment,
-  cast(sum(cast(value as decimal(18,2))) filter (event_type in ('purchase','signup') and (user_id % 20 + 3 * day(ts)) % 13 <> 0) as double) discharge
-from events where event_type <> 'error' and (user_id % 20 + day(ts)) % 9 <> 0 group by 1, 2, 3""",
+  cast(sum(cast(value as decimal(18,2))) filter (event_type not in ('purchase','signup')) as double) sediment,
+  cast(sum(cast(value as decimal(18,2))) filter (event_type in ('purchase','signup')) as double) discharge
+from events group by 1, 2, 3""",
     "flow_edge": """
-select cast(user_id % 20 as int) src, cast((user_id + cast(json_extract(props,'$.k') as int)) % 20 as int) dst,
-  cast(count(*) as double) - (select count(*) / 400.0::double from events) direction from events group by 1, 2""",
+select cast(user_id % 20 as int) src, cast((user_id + cast(json_extract(props,'$.k') as int)) % (20) as int) dst,
+  count(*) - avg(count(*)) over () direction from events group by 1, 2""",
+    "flow_user": """
+select cast(user_id as int) src, cast((user_id + cast(json_extract(props,'$.k') as int)) % (select max(user_id) + 1 from events) as int) dst,
+  count(*) - avg(count(*)) over () direction from events group by 1, 2""",
     "conv_log": """
 select event_id, epoch(ts) tstamp, 'm' || (user_id % 8) model,
   case event_type when 'click' then 'chat' when 'view' then 'leftvote' when 'purchase' then 'rightvote'

@@ -10,24 +10,27 @@ from estuary.operators import series as S
 from estuary.sources import files
 from estuary.sources import tables as TB
 
-T_STEPS = S.n_steps(TB.CAL_START, TB.CAL_END)  # 30 daily steps
 CODES = [str(TB.SITE_BASE + TB.SITE_STEP * i) for i in range(TB.N_SITES)]
 
 
+def _folded(spark, d):
+    return TB.site_fold(spark, d).select("n", "site").distinct()
+
+
 def _dense(spark, d):
-    return S.densify_series(TB.site_day(spark, d), TB.site_dim(spark), TB.CAL_START, T_STEPS)
+    return S.densify_series(TB.site_day(spark, d), TB.site_dim(spark, d), TB.calendar(spark, d))
 
 
 def _windows(spark, d, drop_last=True):
-    return S.sliding_windows(_dense(spark, d), T_STEPS, 12, 12, drop_last=drop_last)
+    return S.sliding_windows(_dense(spark, d), drop_last=drop_last)
 
 
 def _flow_text(spark, d):
-    return S.flow_description(S.flow_neighbors(TB.flow_edge(spark, d), TB.site_dim(spark)))
+    return S.flow_description(S.flow_neighbors(TB.flow_user(spark, d), TB.site_dim(spark, d)))
 
 
 def _rendered(spark, d):
-    return S.render_instruction(_windows(spark, d), _flow_text(spark, d), TB.site_dim(spark), TB.N_SITES)
+    return S.render_instruction(_windows(spark, d), _flow_text(spark, d), TB.site_dim(spark, d))
 
 
 def _snapshots(spark, d):
@@ -42,12 +45,12 @@ def _window_cells(w):
 
 def q_scan_wide_series(spark, d):
     path = scratch_path(spark, "sediment_wide")
-    files.sink_csv(S.to_wide(TB.site_day(spark, d), CODES, "sediment"), path)
+    files.sink_csv(S.to_wide(TB.site_fold(spark, d), CODES, "sediment"), path)
     return flat(files.scan_wide_series(spark, path, CODES))
 
 
 def q_scan_flow_matrix(spark, d):
-    m = S.flow_matrix_edges(TB.flow_edge(spark, d), TB.site_dim(spark))
+    m = S.flow_matrix_edges(TB.flow_edge(spark, d), _folded(spark, d))
     wide = m.groupBy("src_id").pivot("dst_col", [c.zfill(8) for c in CODES]).agg(F.first("direction"))
     path = scratch_path(spark, "flow_matrix")
     files.sink_csv(wide.withColumnRenamed("src_id", "Unnamed: 0"), path)
@@ -67,7 +70,7 @@ def q_fill_missing_zero(spark, d):
 
 
 def q_unpivot_sites(spark, d):
-    wide = S.to_wide(TB.site_day(spark, d), CODES, "sediment")
+    wide = S.to_wide(TB.site_fold(spark, d), CODES, "sediment")
     return flat(S.unpivot_sites(wide, "sediment"))
 
 
@@ -92,7 +95,7 @@ def q_stack_cube(spark, d):
 
 def _lookup_requests(spark, d):
     ev = TB.table(spark, d, "events").select("user_id", "ts")
-    return ev.select((F.lit(TB.SITE_BASE) + TB.SITE_STEP * (F.col("user_id") % 25)).cast("string").alias("site"),
+    return ev.select((F.lit(TB.SITE_BASE) + TB.SITE_STEP * (F.col("user_id") + 5)).cast("string").alias("site"),
                      F.col("ts").cast("date").alias("date")).distinct()
 
 
@@ -101,7 +104,7 @@ def q_point_lookup(spark, d):
 
 
 def q_range_missing_report(spark, d):
-    sites = spark.range(22).select((F.lit(TB.SITE_BASE) + TB.SITE_STEP * F.col("id")).cast("string").alias("site"))
+    sites = TB.site_dim(spark, d).select((F.lit(TB.SITE_BASE) + TB.SITE_STEP * (F.col("n") + 2)).cast("string").alias("site"))
     r = S.range_missing_report(TB.site_day(spark, d), sites, "2024-01-05", "2024-01-25")
     return flat(r.withColumn("missing_dates", F.array_join(F.transform("missing_dates", lambda x: x.cast("string")), ",")))
 
@@ -115,12 +118,12 @@ def q_flow_lookup(spark, d):
     ev = TB.table(spark, d, "events").select("user_id")
     code = lambda k: (F.lit(TB.SITE_BASE) + TB.SITE_STEP * ((F.col("user_id") + k) % 20)).cast("string")
     pairs = ev.select(code(0).alias("src"), code(3).alias("dst")).distinct()
-    m = S.flow_matrix_edges(TB.flow_edge(spark, d), TB.site_dim(spark))
+    m = S.flow_matrix_edges(TB.flow_edge(spark, d), _folded(spark, d))
     return flat(S.flow_lookup(pairs, m))
 
 
 def q_flow_neighbors(spark, d):
-    nb = S.flow_neighbors(TB.flow_edge(spark, d), TB.site_dim(spark))
+    nb = S.flow_neighbors(TB.flow_user(spark, d), TB.site_dim(spark, d))
     return flat(nb.select("n", "site", F.array_join("incoming", ", ").alias("incoming"),
                           F.array_join("outgoing", ", ").alias("outgoing")))
 
@@ -150,7 +153,7 @@ def q_render_instruction(spark, d):
 
 
 def q_instruction_id(spark, d):
-    return flat(S.instruction_id(_windows(spark, d), TB.N_SITES).select("n", "t", "id"))
+    return flat(S.instruction_id(_windows(spark, d)).select("n", "t", "id"))
 
 
 def q_nest_conversation(spark, d):
@@ -179,8 +182,7 @@ def q_join_snapshot(spark, d):
 
 def q_slice_region(spark, d):
     cells = S.snapshot_cells(_snapshots(spark, d))
-    j = _parsed(spark, d).join(cells, "snapshot")
-    return flat(S.slice_region(j).select("id", "step", "site_n", "x_sediment", "x_discharge", "y_sediment", "y_discharge"))
+    return flat(S.slice_region(_parsed(spark, d), cells).select("id", "step", "site_n", "x_sediment", "x_discharge", "y_sediment", "y_discharge"))
 
 
 def q_zscore_by_site(spark, d):
@@ -207,11 +209,12 @@ DENSE = """dense as (
   select g.n, g.site, g.t, g."date", coalesce(s.sediment, 0.0) sediment,
          case when s.site is null then 0.0 else coalesce(s.discharge, 'nan'::double) end discharge
   from (select cast(a.n as bigint) n, cast(4178000 + 500 * a.n as varchar) site, cast(b.t as bigint) t,
-               date '2024-01-01' + cast(b.t as int) "date"
-        from range(0, 20) a(n), range(0, 30) b(t)) g
+               (select min(cast(ts as date)) from events) + cast(b.t as int) "date"
+        from (select distinct user_id n from events) a,
+             range((select datediff('day', min(cast(ts as date)), max(cast(ts as date))) + 1 from events)) b(t)) g
   left join site_day s on s.site = g.site and s."date" = g."date")"""
 
-WINDOWS = """starts as (select n, site, t, "date" from dense where t <= {last}),
+WINDOWS = """starts as (select n, site, t, "date" from dense where t <= (select max(t) from dense) - {last}),
 wcells as (select s.n, s.site, s.t, d.t - s.t k, d."date", d.sediment, d.discharge
            from starts s join dense d on d.site = s.site and d.t between s.t and s.t + 23)"""
 
@@ -224,14 +227,15 @@ WINDOW_TEXT = """wtext as (
     strftime(min("date"), '%B %d, %Y, %H:%M, %A') || ' to ' || strftime(min("date") + 11, '%B %d, %Y, %H:%M, %A') time_range
   from wcells group by n, site, t)"""
 
-FLOW = """lab as (select n, 'site ' || chr(cast(65 + n as int)) label from range(0, 20) r(n)),
+FLOW = """users as (select distinct user_id n from events),
+lab as (select n, 'site ' || chr(cast(65 + n as int)) label from users),
 inc as (select e.dst n, string_agg('from ' || l.label, ', ' order by e.src) s
-        from flow_edge e join lab l on l.n = e.src where e.direction > 0 and e.src <> e.dst group by e.dst),
+        from flow_user e join lab l on l.n = e.src where e.direction > 0 and e.src <> e.dst group by e.dst),
 outg as (select e.src n, string_agg('to ' || l.label, ', ' order by e.dst) s
-         from flow_edge e join lab l on l.n = e.dst where e.direction > 0 and e.src <> e.dst group by e.src),
+         from flow_user e join lab l on l.n = e.dst where e.direction > 0 and e.src <> e.dst group by e.src),
 nb as (select cast(r.n as bigint) n, cast(4178000 + 500 * r.n as varchar) site,
               coalesce(inc.s, '') incoming, coalesce(outg.s, '') outgoing
-       from range(0, 20) r(n) left join inc on inc.n = r.n left join outg on outg.n = r.n),
+       from users r left join inc on inc.n = r.n left join outg on outg.n = r.n),
 ft as (select n, site, case when incoming <> '' then 'The water flows into this site: ' || incoming || '. ' else '' end
                      || case when outgoing <> '' then 'The water flows out from this site: ' || outgoing || '. ' else '' end flow_text
        from nb)"""
@@ -251,12 +255,12 @@ RENDER = """rendered as (
   from wtext w join ft on ft.n = w.n)"""
 
 
-def _wsql(body: str, last: int = 5, flow: bool = False) -> str:
+def _wsql(body: str, last: int = 24, flow: bool = False) -> str:
     parts = [DENSE, WINDOWS.format(last=last), WINDOW_TEXT]
     rec = ["site_day"]
     if flow:
         parts += [FLOW, RENDER]
-        rec.append("flow_edge")
+        rec.append("flow_user")
     return with_recipes(rec, "with " + ",\n".join(parts) + "\n" + body)
 
 
@@ -276,8 +280,8 @@ zz as (select fl.n, fl.t, fl.f, case when zs.std = 0 then null else (fl.v - zs.m
        from fl join zs on zs.n = fl.n)"""
 
 ORACLE = {
-    "scan_wide_series": with_recipes("site_day", f"""
-select strftime("date", '%Y-%m-%d') "date", {_pivot_cols} from site_day group by "date" """),
+    "scan_wide_series": with_recipes("site_fold", f"""
+select strftime("date", '%Y-%m-%d') "date", {_pivot_cols} from site_fold group by "date" """),
     "scan_flow_matrix": with_recipes("flow_edge", """
 select cast(4178000 + 500 * src as bigint) src_id, lpad(cast(4178000 + 500 * dst as varchar), 8, '0') dst_col, direction
 from flow_edge"""),
@@ -290,11 +294,11 @@ select cast(n as bigint) n, site, strftime("date", '%Y-%m-%d') "date", sediment,
 where "date" between date '2024-01-05' and date '2024-01-20'"""),
     "fill_missing_zero": with_recipes("site_day", """
 select cast(n as bigint) n, site, strftime("date", '%Y-%m-%d') "date", coalesce(sediment, 0.0) sediment, discharge from site_day"""),
-    "unpivot_sites": with_recipes("site_day", """
-with wide_dates as (select distinct "date" from site_day),
+    "unpivot_sites": with_recipes("site_fold", """
+with wide_dates as (select distinct "date" from site_fold),
 codes as (select cast(4178000 + 500 * n as varchar) site from range(0, 20) r(n))
 select strftime(w."date", '%Y-%m-%d') "date", c.site, s.sediment
-from wide_dates w cross join codes c left join site_day s on s."date" = w."date" and s.site = c.site"""),
+from wide_dates w cross join codes c left join site_fold s on s."date" = w."date" and s.site = c.site"""),
     "densify_series": with_recipes("site_day", "with " + DENSE + """
 select n, site, t, strftime("date", '%Y-%m-%d') "date", sediment, discharge from dense"""),
     "merge_features": with_recipes("site_day", """
@@ -306,13 +310,13 @@ from sed full outer join dis on sed.site = dis.site and sed."date" = dis."date"
     "stack_cube": with_recipes("site_day", "with " + DENSE + """
 select n, site, cast(t // 16 as bigint) chunk, cast(t % 16 as bigint) i, sediment, discharge from dense"""),
     "point_lookup": with_recipes("site_day", """
-with req as (select distinct cast(4178000 + 500 * (user_id % 25) as varchar) site, cast(ts as date) "date" from events)
+with req as (select distinct cast(4178000 + 500 * (user_id + 5) as varchar) site, cast(ts as date) "date" from events)
 select r.site, strftime(r."date", '%Y-%m-%d') "date",
        case when s.site is not null then coalesce(s.sediment, 0.0) end sediment,
        case when s.site is not null then coalesce(s.discharge, 'nan'::double) end discharge
 from req r left join site_day s on s.site = r.site and s."date" = r."date" """),
     "range_missing_report": with_recipes("site_day", """
-with sites as (select cast(4178000 + 500 * n as varchar) site from range(0, 22) r(n)),
+with sites as (select distinct cast(4178000 + 500 * (user_id + 2) as varchar) site from events),
 inside as (select * from site_day where "date" between date '2024-01-05' and date '2024-01-25'),
 agg as (select site, count(*) "rows", count(*) filter (where sediment is null) missing,
                coalesce(string_agg(strftime("date", '%Y-%m-%d'), ',' order by "date") filter (where sediment is null), '') missing_dates
@@ -328,10 +332,10 @@ with pairs as (select distinct cast(4178000 + 500 * (user_id % 20) as varchar) s
                                cast(4178000 + 500 * ((user_id + 3) % 20) as varchar) dst from events)
 select p.src, p.dst, e.direction from pairs p
 left join flow_edge e on cast(4178000 + 500 * e.src as varchar) = p.src and cast(4178000 + 500 * e.dst as varchar) = p.dst"""),
-    "flow_neighbors": with_recipes("flow_edge", "with " + FLOW + "\nselect n, site, incoming, outgoing from nb"),
-    "flow_description": with_recipes("flow_edge", "with " + FLOW + "\nselect n, site, flow_text from ft"),
+    "flow_neighbors": with_recipes("flow_user", "with " + FLOW + "\nselect n, site, incoming, outgoing from nb"),
+    "flow_description": with_recipes("flow_user", "with " + FLOW + "\nselect n, site, flow_text from ft"),
     "sliding_windows": _wsql("select n, site, t, cast(k as bigint) k, sediment, discharge from wcells"),
-    "sliding_windows_encoder": _wsql("select n, site, t, cast(k as bigint) k, sediment, discharge from wcells", last=6),
+    "sliding_windows_encoder": _wsql("select n, site, t, cast(k as bigint) k, sediment, discharge from wcells", last=23),
     "format_values": _wsql("select n, t, sediment_str, discharge_str from wtext"),
     "time_range_phrase": _wsql("select n, t, time_range from wtext"),
     "render_instruction": _wsql("select id, n, t, human, gpt from rendered", flow=True),
@@ -349,18 +353,19 @@ select cast(n as bigint) n, t, cast(f as bigint) f, round(z * std + mean, 6) "va
 
 
 def _with_more(extra: str, body: str, flow: bool = True) -> str:
-    parts = [DENSE, WINDOWS.format(last=5), WINDOW_TEXT]
+    parts = [DENSE, WINDOWS.format(last=24), WINDOW_TEXT]
     rec = ["site_day"]
     if flow:
         parts += [FLOW, RENDER]
-        rec.append("flow_edge")
+        rec.append("flow_user")
     parts.append(extra)
     return with_recipes(rec, "with " + ",\n".join(parts) + "\n" + body)
 
 
 ORACLE["assemble_snapshots"] = _with_more(SNAP, "select snapshot, step, site_n, x_sediment, x_discharge, y_sediment, y_discharge from snap", flow=False)
 ORACLE["join_snapshot"] = _with_more(PARSED, """select id, cast(snapshot as bigint) snapshot, cast(region_start as bigint) region_start,
-  cast(region_end as bigint) region_end, cast(12 as bigint) steps, cast(20 as bigint) width from parsed""")
+  cast(region_end as bigint) region_end, cast(12 as bigint) steps,
+  (select count(distinct user_id) from events) width from parsed""")
 ORACLE["slice_region"] = _with_more(PARSED + ",\n" + SNAP, """select p.id, s.step, s.site_n, s.x_sediment, s.x_discharge, s.y_sediment, s.y_discharge
 from parsed p join snap s on s.snapshot = p.snapshot where p.region_start <= s.site_n and s.site_n < p.region_end""")
 ORACLE["parse_instruction_id"] = _with_more(PARSED, """select id, cast(region_start as bigint) region_start, cast(region_end as bigint) region_end,

@@ -73,7 +73,7 @@ def q_scan_instructions(spark, d):
     nc = S.nest_conversation(CS._rendered(spark, d))
     path = scratch_path(spark, "instructions")
     files.sink_json_arrays(nc.join(CS._rendered(spark, d).select("id", "t", "n"), "id").select("id", "conversations", "t", "n")
-                           .withColumn("k", F.col("t") * 100 + F.col("n")).select("id", "conversations", "k"),
+                           .withColumn("k", F.col("t").cast("long") * 1_000_000_000 + F.col("n")).select("id", "conversations", "k"),
                            path, ["k"], rows_per_file=50)
     s = files.scan_json_arrays(spark, path, files.INSTRUCTION)
     e = s.select("id", F.posexplode("conversations").alias("pos", "c"))

@@ -70,7 +70,8 @@ def fill_missing_zero(df: DataFrame, cols: list[str] = ["sediment"]) -> DataFram
 
 def site_labels(sites: DataFrame) -> DataFrame:
     """``"site " + chr(65 + n)`` for the ordered site dimension."""
-    return sites.withColumn("label", F.concat(F.lit("site "), F.expr("char(65 + n)")))
+    letter = F.decode(F.unhex(F.lpad(F.hex(F.col("n") + 65), 8, "0")), "UTF-32")  # any code point
+    return sites.withColumn("label", F.concat(F.lit("site "), letter))
 
 
 def to_wide(long: DataFrame, site_codes: list[str], value: str, date_col: str = "date") -> DataFrame:
@@ -107,16 +108,24 @@ def merge_features(sediment: DataFrame, discharge: DataFrame) -> DataFrame:
     return s.join(d, ["site", "date"], "full")
 
 
-def densify_series(facts: DataFrame, sites: DataFrame, start: str, steps: int, unit: str = "day",
-                   policy: str = "reference") -> DataFrame:
+def densify_series(facts: DataFrame, sites: DataFrame, start: str | DataFrame, steps: int | None = None,
+                   unit: str = "day", policy: str = "reference") -> DataFrame:
     """Dense (site × calendar) series with the reference's missing rules:
     sediment empty or absent → 0; discharge absent → 0, empty → NaN.
 
-    The grid is generated per site with ``explode(sequence)`` (no cross join);
-    the facts are joined on (site, date) which has unique keys, so no key is hot.
+    The calendar is a start and a number of steps, or a one-row DataFrame (start
+    date, steps) made from the data. The grid is generated per site with
+    ``explode(sequence)``; the facts are joined on (site, date), which has unique
+    keys, so no key is hot.
     """
-    grid = sites.select("n", "site", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("t"))
-    grid = grid.withColumn("date", step_value(start, F.col("t"), unit))
+    if isinstance(start, DataFrame):
+        one = start.select(F.col("start").alias("_start"), F.col("steps").alias("_steps"))
+        grid = sites.crossJoin(F.broadcast(one)).select(
+            "n", "site", "_start", F.explode(F.sequence(F.lit(0), F.col("_steps") - 1)).alias("t"))
+        grid = grid.select("n", "site", "t", F.date_add("_start", F.col("t")).alias("date"))
+    else:
+        grid = sites.select("n", "site", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("t"))
+        grid = grid.withColumn("date", step_value(start, F.col("t"), unit))
     if "_dp" not in facts.columns:
         facts = facts.select("site", "date", "sediment", "discharge", F.lit(True).alias("_sp"), F.lit(True).alias("_dp"))
     joined = grid.join(facts.drop("n") if "n" in facts.columns else facts, ["site", "date"], "left")
@@ -224,20 +233,22 @@ def flow_description(neighbors: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- windows
 
 
-def sliding_windows(dense: DataFrame, steps: int, in_len: int = 12, out_len: int = 12,
+def sliding_windows(dense: DataFrame, steps: int | None = None, in_len: int = 12, out_len: int = 12,
                     drop_last: bool = True, bucket: int = 4096) -> DataFrame:
     """Input window t..t+in-1 and target window t+in..t+in+out-1 per site.
 
     ``drop_last=True`` keeps the training loop's ``range(T-24)`` (the last full
-    window is dropped); ``False`` is the encoder's ``range(T-in-out+1)``.
+    window is dropped); ``False`` is the encoder's ``range(T-in-out+1)``. T is each
+    site's own length unless ``steps`` cuts it.
     """
     width = in_len + out_len
-    last = steps - width - (1 if drop_last else 0)
+    full = width + (1 if drop_last else 0)  # the dropped window is the one nothing follows
+    if steps is not None:
+        dense = dense.where(F.col("t") < steps)
     # The two-decimal texts are made once per row here: inside the windows each
     # value would otherwise be formatted again for each of the windows it is in.
     payload = F.struct("date", "sediment", "discharge", fmt2("sediment").alias("s_txt"), fmt2("discharge").alias("d_txt"))
-    w = halo_windows(dense.where(F.col("t") <= last + width - 1), ["site"], "t", width, payload, bucket)
-    w = w.where((F.col("t") <= last) & (F.size("win") == width))
+    w = halo_windows(dense, ["site"], "t", full, payload, bucket).where(F.size("win") == full)
     x = F.slice("win", 1, in_len)
     y = F.slice("win", in_len + 1, out_len)
     return w.select(
@@ -262,22 +273,21 @@ def time_range_phrase(windows: DataFrame) -> DataFrame:
     return windows.withColumn("time_range", F.concat(long_date_text("start_date"), F.lit(" to "), long_date_text("end_date")))
 
 
-def instruction_id(windows: DataFrame, n_sites: int) -> DataFrame:
-    """``train_discharge_site_{n}_{n+1}_len_{idx // N}`` with idx = t·N + n."""
-    idx = F.col("t").cast("long") * n_sites + F.col("n")
+def instruction_id(windows: DataFrame) -> DataFrame:
+    """``train_discharge_site_{n}_{n+1}_len_{idx // N}`` with idx = t·N + n, so the
+    last part is t for any number N of sites."""
     return windows.withColumn("id", F.concat_ws("_", F.lit("train_discharge_site"), F.col("n").cast("string"),
                                                 (F.col("n") + 1).cast("string"), F.lit("len"),
-                                                F.floor(idx / n_sites).cast("string")))
+                                                F.col("t").cast("string")))
 
 
 GPT_TEXT = f"Based on the given information, the predicted tokens in this region are {ST_PRE}."
 
 
-def render_instruction(windows: DataFrame, flow_text: DataFrame, sites: DataFrame, n_sites: int,
-                       interval: str = "1-day") -> DataFrame:
+def render_instruction(windows: DataFrame, flow_text: DataFrame, sites: DataFrame, interval: str = "1-day") -> DataFrame:
     """(id, n, t, human, gpt) for each window, the reference's wording."""
     lab = site_labels(sites).select("n", "label")
-    w = instruction_id(time_range_phrase(format_values(windows)), n_sites)
+    w = instruction_id(time_range_phrase(format_values(windows)))
     w = w.join(lab, "n").join(flow_text.select("n", "flow_text"), "n", "left")
     human = F.concat(
         F.lit("Given the historical data for sediment and discharge over 12 time steps in "), F.col("label"),
@@ -341,18 +351,23 @@ def parse_instruction_id(instructions: DataFrame, id_col: str = "id") -> DataFra
     return out.withColumn("bad_id", F.col("region_start").isNull() | F.col("region_end").isNull() | F.col("snapshot").isNull())
 
 
-def join_snapshot(parsed: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """Attach data_x/data_y by snapshot number (N dialogues : 1 snapshot)."""
-    return parsed.join(snapshots, "snapshot", "inner")
+def join_snapshot(parsed: DataFrame, snapshots: DataFrame, site_chunk: int = 4096) -> DataFrame:
+    """Attach data_x/data_y by snapshot number (N dialogues : 1 snapshot), of a chunked
+    snapshot the chunk that holds the dialogue's first site."""
+    p = parsed.withColumn("site_chunk", F.floor(F.col("region_start") / site_chunk).cast("int"))
+    return p.join(snapshots, ["snapshot", "site_chunk"], "inner")
 
 
 def unmatched_snapshots(parsed: DataFrame, snapshots: DataFrame) -> DataFrame:
     return parsed.join(snapshots.select("snapshot"), "snapshot", "left_anti")
 
 
-def slice_region(cells: DataFrame, rs: str = "region_start", re_: str = "region_end", site: str = "site_n") -> DataFrame:
-    """Half-open node slice ``x[:, :, rs:re, f]`` on the long form."""
-    return cells.where((F.col(rs) <= F.col(site)) & (F.col(site) < F.col(re_)))
+def slice_region(parsed: DataFrame, cells: DataFrame, rs: str = "region_start", re_: str = "region_end",
+                 site: str = "site_n") -> DataFrame:
+    """Half-open node slice ``x[:, :, rs:re, f]`` on the long form: each region lists
+    its sites and meets its cells by (snapshot, site)."""
+    p = parsed.where(F.col(rs) < F.col(re_)).withColumn(site, F.explode(F.sequence(F.col(rs), F.col(re_) - 1)))
+    return p.join(cells, ["snapshot", site])
 
 
 # ---------------------------------------------------------------- scaling

@@ -13,8 +13,8 @@ from estuary.functions.exprs import epoch_seconds
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
-# Fixed values of the fixtures: 20 sites whose codes are 4178000 + 500 n and
-# the 30-day calendar of the driver's events table.
+# Fixed values of the fixtures: site codes are 4178000 + 500 n, wide files have 20
+# sites; the calendar of the driver's events table, for synthetic dates only.
 N_SITES = 20
 SITE_BASE = 4178000
 SITE_STEP = 500
@@ -30,37 +30,60 @@ def _k(props: str = "props"):
     return F.get_json_object(F.col(props), "$.k").cast("int")
 
 
-def site_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long series (n, site, date, sediment, discharge); absent rows and NULL
-    cells forced by modular rules."""
+def _site_facts(spark: SparkSession, sf_dir: str, n) -> DataFrame:
+    """Sums of a day's events by site: clicks, views and errors are sediment,
+    purchases and signups are discharge. A day without events of a kind leaves a
+    NULL cell, a day without any leaves no row."""
     ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "value")
-    n = (F.col("user_id") % N_SITES).cast("int")
-    day = F.dayofmonth("ts")
-    keep = (F.col("event_type") != "error") & (((F.col("user_id") % N_SITES) + day) % 9 != 0)
     dec = F.col("value").cast("decimal(18,2)")
-    sed = F.when(F.col("event_type").isin("click", "view") & (((F.col("user_id") % N_SITES) + 2 * day) % 11 != 0), dec)
-    dis = F.when(F.col("event_type").isin("purchase", "signup") & (((F.col("user_id") % N_SITES) + 3 * day) % 13 != 0), dec)
-    return (ev.where(keep)
-            .groupBy(n.alias("n"), (F.lit(SITE_BASE) + SITE_STEP * n).cast("string").alias("site"),
-                     F.col("ts").cast("date").alias("date"))
-            .agg(F.sum(sed).cast("double").alias("sediment"), F.sum(dis).cast("double").alias("discharge")))
+    flow = F.col("event_type").isin("purchase", "signup")
+    return (ev.groupBy(n.cast("int").alias("n"), (F.lit(SITE_BASE) + SITE_STEP * n).cast("string").alias("site"),
+                       F.col("ts").cast("date").alias("date"))
+            .agg(F.sum(F.when(~flow, dec)).cast("double").alias("sediment"),
+                 F.sum(F.when(flow, dec)).cast("double").alias("discharge")))
+
 
+def site_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long series (n, site, date, sediment, discharge): one site for each user."""
+    return _site_facts(spark, sf_dir, F.col("user_id"))
 
-def site_dim(spark: SparkSession, n_sites: int = N_SITES) -> DataFrame:
-    """Ordered site dimension (n, site); bounded by the parameter."""
-    return spark.range(n_sites).select(
-        F.col("id").cast("int").alias("n"),
-        (F.lit(SITE_BASE) + SITE_STEP * F.col("id")).cast("string").alias("site"))
 
+def site_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, users folded to N_SITES sites: wide files name their sites as columns."""
+    return _site_facts(spark, sf_dir, F.col("user_id") % N_SITES)
 
-def flow_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def site_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Site dimension (n, site) from the data."""
+    u = table(spark, sf_dir, "events").select(F.col("user_id").alias("u")).distinct()
+    return u.select(F.col("u").cast("int").alias("n"), (F.lit(SITE_BASE) + SITE_STEP * F.col("u")).cast("string").alias("site"))
+
+
+def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row (start, steps): first day of the data and number of days to the last."""
+    day = F.col("ts").cast("date")
+    c = table(spark, sf_dir, "events").agg(F.min(day).alias("start"), F.max(day).alias("end"))
+    return c.select("start", (F.datediff("end", "start") + 1).alias("steps"))
+
+
+def _flow(spark: SparkSession, sf_dir: str, src, dst) -> DataFrame:
+    """Directed pairs with their count less the mean count of a pair."""
     ev = table(spark, sf_dir, "events").select("user_id", "props")
-    total = ev.agg((F.count(F.lit(1)) / F.lit(400.0)).alias("_centre"))
-    pairs = ev.groupBy((F.col("user_id") % N_SITES).cast("int").alias("src"),
-                       ((F.col("user_id") + _k()) % N_SITES).cast("int").alias("dst")).agg(F.count(F.lit(1)).alias("_c"))
-    # one-row scalar attached to every pair
-    return pairs.crossJoin(F.broadcast(total)).select(
-        "src", "dst", (F.col("_c").cast("double") - F.col("_centre")).alias("direction"))
+    top = ev.agg((F.max("user_id") + 1).alias("_users"))  # one row
+    pairs = ev.crossJoin(F.broadcast(top)).groupBy(src.cast("int").alias("src"), dst.cast("int").alias("dst")).agg(
+        F.count(F.lit(1)).alias("_c"))
+    mean = pairs.agg(F.avg("_c").alias("_mean"))  # one row
+    return pairs.crossJoin(F.broadcast(mean)).select("src", "dst", (F.col("_c") - F.col("_mean")).alias("direction"))
+
+
+def flow_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flow between the folded sites, for the wide matrix file."""
+    return _flow(spark, sf_dir, F.col("user_id") % N_SITES, (F.col("user_id") + _k()) % N_SITES)
+
+
+def flow_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flow between all sites."""
+    return _flow(spark, sf_dir, F.col("user_id"), (F.col("user_id") + _k()) % F.col("_users"))
 
 
 def conv_log(spark: SparkSession, sf_dir: str, source: DataFrame | None = None) -> DataFrame:
