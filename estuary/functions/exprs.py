@@ -98,7 +98,8 @@ def round6(c: str | Column) -> Column:
 
 
 def py_round(c: str | Column, ndigits: int) -> Column:
-    """Python ``round(x, n)`` for n >= 1: half-even on the exact binary value.
+    """Python ``round(x, n)`` for n >= 1 and |x| >= 10**-n, such as log timestamps:
+    half-even on the exact binary value.
     ``format_number`` with a pattern does that (``bround`` rounds the shortest
     decimal text instead, so ties such as 1704097739.36385 differ)."""
     v = col(c).cast("double")

@@ -1,9 +1,10 @@
 from pyspark.sql import functions as F
 
+from estuary.functions.exprs import py_round
+
 from estuary.functions.exprs import let
 from estuary.operators import serving as SV
 from estuary.operators import text as X
-from estuary.plans.parallel import spread
 
 
 def test_chat_gen_params(spark):
@@ -21,14 +22,17 @@ def test_generation_budget(spark):
     assert got == [100, 48, None]
 
 
-def test_spread_only_when_few_partitions(spark):
-    small = spark.range(10).coalesce(1)
-    assert spread(small, 4).rdd.getNumPartitions() == 4
-    big = spark.range(100).repartition(16)
-    assert spread(big, 4).rdd.getNumPartitions() == 16
-
 
 def test_let_binds_value(spark):
     df = spark.createDataFrame([("abc",)], "s string")
     out = df.select(let(F.upper("s"), lambda v: F.concat(v, F.lit("-"), v)).alias("o")).first().o
     assert out == "ABC-ABC"
+
+
+def test_py_round_is_pythons(spark):
+    """Half-even on the exact binary value, also where the shortest decimal text ends in 5."""
+    values = [1704097739.36385, 1704097739.36375, 1.00005, 1.00015, 2.67505, -2.67515, 123456789.98765, 0.0, 0.25, 1e-9]
+    df = spark.createDataFrame([(v,) for v in [*values, float("nan"), float("inf")]], "v double")
+    got = [r.x for r in df.select(py_round("v", 4).alias("x")).collect()]
+    assert got[:len(values)] == [round(v, 4) for v in values]
+    assert got[-2] != got[-2] and got[-1] == float("inf")
