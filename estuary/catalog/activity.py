@@ -95,6 +95,11 @@ def q_plateau_detect(spark, d):
     return flat(p.select("run_id", "stop_epoch", F.round("best_loss", 6).alias("best_loss"), "best_epoch", "epochs_seen"))
 
 
+def q_plateau_detect_delta(spark, d):
+    p = A.plateau_detect(TB.metric_log(spark, d), patience=10, delta=0.005)
+    return flat(p.select("run_id", "stop_epoch", F.round("best_loss", 6).alias("best_loss"), "best_epoch", "epochs_seen"))
+
+
 QUERIES = {k[2:]: v for k, v in globals().items() if k.startswith("q_")}
 
 VOTES_SQL = "('tievote', 'leftvote', 'rightvote', 'bothbad_vote')"
@@ -160,4 +165,17 @@ j as (select c.*, s.stop_epoch from c left join s using (run_id) where s.stop_ep
 select run_id, any_value(stop_epoch) stop_epoch, round(arg_max(loss, epoch) filter (where imp), 6) best_loss,
        max(epoch) filter (where imp) best_epoch, count(*) epochs_seen
 from j group by run_id"""),
+    # one step an epoch, all runs together: (best, its epoch, losses without improvement, stop)
+    "plateau_detect_delta": with_recipes("metric_log", """
+with recursive m as (select run_id, epoch, cast(loss as double) loss from metric_log),
+r(run_id, epoch, best, best_epoch, bad, stop) as (
+  select run_id, epoch, loss, epoch, 0::bigint, null::bigint from m where epoch = 1
+  union all
+  select r.run_id, m.epoch, case when m.loss > r.best - 0.005 then r.best else m.loss end,
+         case when m.loss > r.best - 0.005 then r.best_epoch else m.epoch end,
+         case when m.loss > r.best - 0.005 then r.bad + 1 else 0 end,
+         case when m.loss > r.best - 0.005 and r.bad + 1 >= 10 then m.epoch end
+  from r join m on m.run_id = r.run_id and m.epoch = r.epoch + 1 where r.stop is null)
+select run_id, max(stop) stop_epoch, round(arg_max(best, epoch), 6) best_loss, arg_max(best_epoch, epoch) best_epoch,
+       max(epoch) epochs_seen from r group by run_id"""),
 }

@@ -65,6 +65,14 @@ def q_win_fraction_order(spark, d):
     return flat(o.select("model_a", "model_b", F.round("fraction", 6).alias("fraction"), "row_rank", "col_rank"))
 
 
+def q_win_fraction_given_order(spark, d):
+    """The matrix in a given order: registered models by registry position."""
+    names = [m[0] for m in R.MODEL_REGISTRY]
+    order = spark.createDataFrame([(m, k + 1) for k, m in enumerate(names)], "model string, rank int")
+    o = R.win_fraction_order(R.pairwise_win_fraction(_no_ties(spark, d)), order)
+    return flat(o.select("model_a", "model_b", F.round("fraction", 6).alias("fraction"), "row_rank", "col_rank"))
+
+
 def q_average_win_rate(spark, d):
     a = R.average_win_rate(R.pairwise_win_fraction(_no_ties(spark, d)))
     return flat(a.select("model", F.round("avg_win_rate", 6).alias("avg_win_rate")))
@@ -155,6 +163,11 @@ select model_a, model_b, wins, battles, round(fraction, 6) fraction from frac"""
     "win_fraction_order": with_recipes("battles", "with " + PAIRS + """
 select f.model_a, f.model_b, round(f.fraction, 6) fraction, r1."rank" row_rank, r2."rank" col_rank
 from frac f join ord r1 on r1.model = f.model_a join ord r2 on r2.model = f.model_b"""),
+    "win_fraction_given_order": with_recipes("battles", "with " + PAIRS + f""",
+given as (select unnest({[m[0] for m in R.MODEL_REGISTRY]}) model, unnest(range(1, {len(R.MODEL_REGISTRY) + 1})) "rank"),
+ranked_cells as (select f.*, g."rank" col_rank from frac f join given g on g.model = f.model_b)
+select g.model model_a, c.model_b, round(c.fraction, 6) fraction, cast(g."rank" as bigint) row_rank, cast(c.col_rank as bigint) col_rank
+from given g left join ranked_cells c on c.model_a = g.model"""),
     "average_win_rate": with_recipes("battles", "with " + PAIRS + "\nselect model, round(avg_win_rate, 6) avg_win_rate from avgw"),
     "battle_counts": with_recipes("battles", """
 with b as (select * from battles where anony and win not like '%tie%')

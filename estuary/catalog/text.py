@@ -136,8 +136,11 @@ def q_pair_turns(spark, d):
 
 
 def q_fix_code_blocks(spark, d):
+    """Every third turn gets a closed code block, every third an open one."""
     t = _turns(spark, d)
-    return flat(t.select("conv_id", "turn", X.fix_code_blocks(F.col("text")).alias("text")))
+    block = F.when(F.col("turn") % 3 == 1, F.lit("\n```a\\_b\n```c\\_d")).when(F.col("turn") % 3 == 2, F.lit("\n```a\\_b"))
+    text = F.concat("text", F.coalesce(block, F.lit("")))
+    return flat(t.select("conv_id", "turn", X.fix_code_blocks(text).alias("text")))
 
 
 def q_marker_balance(spark, d):
@@ -147,7 +150,7 @@ def q_marker_balance(spark, d):
 
 def q_strip_marker(spark, d):
     docs = TB.table(spark, d, "documents").select("doc_id", "text")
-    s = X.strip_marker(F.col("text"))
+    s = X.strip_marker(F.concat("text", F.when(F.col("doc_id") % 2 == 0, F.lit(" <graph> end<graph>")).otherwise(F.lit(""))))
     return flat(docs.select("doc_id", F.length(s).alias("n_chars"), F.md5(s).alias("md5")))
 
 
@@ -295,11 +298,15 @@ from turns where role = 'user'"""),
 select conv_id, cast(i // 2 as bigint) pair, max(text) filter (where i % 2 = 0) "user", max(text) filter (where i % 2 = 1) assistant
 from turns group by conv_id, i // 2"""),
     "fix_code_blocks": with_recipes("turns", """
+with f as (select conv_id, turn, text || case turn % 3 when 1 then chr(10) || '```a\\_b' || chr(10) || '```c\\_d'
+                                          when 2 then chr(10) || '```a\\_b' else '' end as text from turns)
 select conv_id, turn, case when contains(text, chr(10) || '```') and len(string_split(text, chr(10) || '```')) % 2 = 1
   then array_to_string(list_transform(string_split(text, chr(10) || '```'), lambda b, i: case when i % 2 = 0 then replace(b, '\\_', '_') else b end), chr(10) || '```')
-  else text end text from turns"""),
+  else text end text from f"""),
     "marker_balance": CS._with_more("dummy as (select 1)", "select id, true balanced from rendered"),
-    "strip_marker": """select doc_id, length(replace(text, '<graph>', '')) n_chars, md5(replace(text, '<graph>', '')) md5 from documents""",
+    "strip_marker": """
+with d as (select doc_id, text || case when doc_id % 2 = 0 then ' <graph> end<graph>' else '' end text from documents)
+select doc_id, length(replace(text, '<graph>', '')) n_chars, md5(replace(text, '<graph>', '')) md5 from d""",
     "stop_keyword_hit": with_recipes("turns", "select conv_id, turn, " + " or ".join(f"contains(text, {_q(k)})" for k in KEYWORDS) + " hit from turns"),
     "finish_reason": with_recipes("requests", """
 select request_id, case when token_num % 50 = max_tokens - 1 then 'length' when n % 2 = 0 then 'stop' end finish_reason from requests"""),

@@ -93,6 +93,13 @@ def q_quantize_groups(spark, d):
     return flat(q.select("vec_id", "grp", F.posexplode("codes").alias("pos", "code"), F.round("scale", 6).alias("scale")))
 
 
+def q_quantize_groups_asymmetric(spark, d):
+    """Groups of 24 over 64 values: three groups, the last one padded."""
+    q = V.quantize_groups(_emb(spark, d), "vec_id", "embedding", group=24, bits=8, symmetric=False)
+    return flat(q.select("vec_id", "grp", F.posexplode("codes").alias("pos", "code"), F.round("scale", 6).alias("scale"),
+                         F.round("mn", 6).alias("mn")))
+
+
 def q_dequantize_groups(spark, d):
     dq = V.dequantize_groups(_q(spark, d), "vec_id")
     j = dq.join(_emb(spark, d), "vec_id")
@@ -192,6 +199,14 @@ select e.vec_id, cast(0 as bigint) grp, cast(e.pos as bigint) pos,
        cast(coalesce(round_even(greatest(least(x * (127 / nullif(amax, 0)), 127), -127), 0), 0) as bigint) code,
        round(127 / nullif(amax, 0), 6) scale
 from e join g using (vec_id)""",
+    "quantize_groups_asymmetric": """
+with e as (select vec_id, unnest(range(0, len(embedding))) pos, unnest(embedding::double[]) x, len(embedding) n from embeddings),
+g as (select vec_id, pos // 24 grp, min(x) mn0, max(x) mx0, count(*) < 24 padded from e group by all),
+s as (select vec_id, grp, case when padded then least(mn0, 0.0) else mn0 end mn, case when padded then greatest(mx0, 0.0) else mx0 end mx from g)
+select e.vec_id, cast(s.grp as bigint) grp, cast(e.pos % 24 as bigint) pos,
+       cast(coalesce(round_even(greatest(least((x - mn) * (255 / nullif(mx - mn, 0)), 255), 0), 0), 0) as bigint) code,
+       round(255 / nullif(mx - mn, 0), 6) scale, round(mn, 6) mn
+from e join s on s.vec_id = e.vec_id and s.grp = e.pos // 24""",
     "dequantize_groups": """
 with e as (select vec_id, unnest(range(0, len(embedding))) pos, unnest(embedding::double[]) x from embeddings),
 g as (select vec_id, 127 / nullif(max(abs(x)), 0) scale from e group by vec_id),

@@ -131,13 +131,14 @@ def forest_classifier(split: DataFrame, vec: str = "embedding", label: str = "la
 def classification_report(pred: DataFrame, label: str = "label", predicted: str = "pred") -> DataFrame:
     """Per-class precision/recall/F1/support, then macro avg, weighted avg and
     accuracy rows (zero division → 0)."""
-    t = pred.select(F.col(label).cast("string").alias("y"), F.col(predicted).cast("string").alias("p"))
-    tp = t.where(F.col("y") == F.col("p")).groupBy(F.col("y").alias("cls")).agg(F.count(F.lit(1)).alias("tp"))
-    sup = t.groupBy(F.col("y").alias("cls")).agg(F.count(F.lit(1)).alias("support"))
-    npred = t.groupBy(F.col("p").alias("cls")).agg(F.count(F.lit(1)).alias("npred"))
-    per = (sup.join(npred, "cls", "full").join(tp, "cls", "left")
-           .select("cls", F.coalesce("tp", F.lit(0)).alias("tp"), F.coalesce("support", F.lit(0)).alias("support"),
-                   F.coalesce("npred", F.lit(0)).alias("npred")))
+    cells = pred.groupBy(F.col(label).cast("string").alias("y"), F.col(predicted).cast("string").alias("p")).agg(
+        F.count(F.lit(1)).alias("c"))  # the confusion table: one scan, classes squared rows
+    zero = F.lit(0).cast("bigint")
+    both = F.array(F.struct(F.col("y").alias("cls"), F.when(F.col("y") == F.col("p"), F.col("c")).otherwise(zero).alias("tp"),
+                            F.col("c").alias("support"), zero.alias("npred")),
+                   F.struct(F.col("p").alias("cls"), zero.alias("tp"), zero.alias("support"), F.col("c").alias("npred")))
+    per = cells.select(F.explode(both).alias("e")).groupBy("e.cls").agg(
+        *[F.sum(f"e.{c}").alias(c) for c in ("tp", "support", "npred")])
     z = lambda a, b: F.coalesce(F.try_divide(a.cast("double"), b), F.lit(0.0))
     per = per.select("cls", z(F.col("tp"), F.col("npred")).alias("precision"), z(F.col("tp"), F.col("support")).alias("recall"),
                      "support", "tp")
