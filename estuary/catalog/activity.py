@@ -66,9 +66,10 @@ def _throughput_pairs(spark, d):
     ev = TB.table(spark, d, "events").select("event_id", epoch_seconds("ts").alias("at"))
     u = t.where(F.col("role") == "user").select("conv_id", "i", F.col("text").alias("prompt"))
     a = t.where(F.col("role") == "assistant").select("conv_id", (F.col("i") - 1).alias("i"), F.col("text").alias("reply"))
-    p = u.join(a, ["conv_id", "i"]).select(
+    n = ev.agg(F.max("event_id").alias("_n"))  # one row: pairs are timed by events (e0, e0 + 1), all of them in turn
+    p = u.join(a, ["conv_id", "i"]).crossJoin(F.broadcast(n)).select(
         "conv_id", "i", "prompt", F.concat_ws(" ", "prompt", "reply").alias("output"),
-        (F.col("conv_id") * 10 + F.col("i")).alias("e0"))
+        ((F.col("conv_id") * 10 + F.col("i")) % F.col("_n")).alias("e0"))
     return (p.join(ev.withColumnRenamed("event_id", "e0").withColumnRenamed("at", "start"), "e0")
             .join(ev.select((F.col("event_id") - 1).alias("e0"), F.col("at").alias("finish")), "e0"))
 
@@ -143,9 +144,11 @@ select {STAMP.format(x='m')} last_updated from (select max(tstamp) m from conv_l
     "throughput": """
 with t as (select conv_id, turn, role, text, row_number() over (partition by conv_id order by turn) - 1 i from conversations),
 ev as (select event_id, epoch(ts) ev_at from events),
+n as (select max(event_id) n from events),
 p as (select u.conv_id, u.i, u.text prompt, u.text || ' ' || a.text output, e0.ev_at start, e1.ev_at finish
       from t u join t a on a.conv_id = u.conv_id and a.i = u.i + 1 and a.role = 'assistant'
-      join ev e0 on e0.event_id = u.conv_id * 10 + u.i join ev e1 on e1.event_id = u.conv_id * 10 + u.i + 1
+      cross join n
+      join ev e0 on e0.event_id = (u.conv_id * 10 + u.i) % n.n join ev e1 on e1.event_id = (u.conv_id * 10 + u.i) % n.n + 1
       where u.role = 'user')
 select count(*) requests, cast(sum(len(string_split(output, ' ')) - len(string_split(prompt, ' '))) as bigint) new_words,
        round(max(finish) - min(start), 6) elapsed,

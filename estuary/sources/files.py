@@ -122,11 +122,11 @@ def select_log_files(index: DataFrame, dates: list[str], max_num_files: int | No
     size is the number of files, not of log rows."""
     from pyspark.sql import Window
 
-    ranked = index.where(F.col("date").isin(dates)).withColumn(
-        "rank_from_end", F.row_number().over(Window.orderBy(F.col("date").desc(), F.col("server").desc())))
+    order = [F.col("date").desc(), F.col("server").desc()]
+    wanted = index.where(F.col("date").isin(dates))
     if max_num_files:
-        ranked = ranked.where(F.col("rank_from_end") <= max_num_files)
-    return ranked
+        wanted = wanted.orderBy(*order).limit(max_num_files)  # a top-k; only its rows are ranked
+    return wanted.withColumn("rank_from_end", F.row_number().over(Window.orderBy(*order)))
 
 
 def default_dates() -> list[str]:
