@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from estuary.functions.exprs import pacific_day, pacific_stamp
-from estuary.plans.ordinal import blocked_running
 
 # The four vote actions of the arena logs.
 VOTES = ["tievote", "leftvote", "rightvote", "bothbad_vote"]
@@ -150,27 +149,40 @@ def plateau_detect(curve: DataFrame, patience: int = 30, delta: float = 0.0, run
     """Early stopping: the first loss sets the best; a later loss counts as no
     improvement when ``loss > best - delta``; stop once the counter reaches
     ``patience``. For ``delta = 0`` best is the running min and the counter is
-    the distance to the last improvement, both computed with blocked prefix
-    scans (no single task holds a whole run).
+    the distance to the last improvement: two prefix scans over blocks of a run
+    (no single task holds a whole run), then one aggregate per run. Epochs of a
+    run are consecutive.
 
     Returns per run: stop_epoch (NULL if never), best_loss and best_epoch at
     the stop (or at the end), epochs seen.
     """
     if delta != 0.0:
         return plateau_detect_fold(curve, patience, delta, run, epoch, loss)
-    c = curve.select(F.col(run).alias("run"), F.col(epoch).alias("e"), F.col(loss).alias("l"))
-    prev_min = blocked_running(c, ["run"], "e", "l", "min", block, inclusive=False, name="prev_min")
-    improved = prev_min.withColumn("imp", F.col("prev_min").isNull() | (F.col("l") <= F.col("prev_min")))
-    last_imp = blocked_running(improved.withColumn("_ie", F.when(F.col("imp"), F.col("e"))), ["run"], "e", "_ie", "max",
-                               block, inclusive=True, name="last_imp")
-    flagged = last_imp.withColumn("counter", F.col("e") - F.col("last_imp"))
-    stops = flagged.where(F.col("counter") >= patience).groupBy("run").agg(F.min("e").alias("stop_epoch"))
-    j = flagged.join(stops, "run", "left").where(F.col("stop_epoch").isNull() | (F.col("e") <= F.col("stop_epoch")))
-    best = j.where("imp").groupBy("run").agg(F.max_by(F.struct("l", "e"), "e").alias("_b"))
-    seen = j.groupBy("run", "stop_epoch").agg(F.count(F.lit(1)).alias("epochs_seen"))
-    return (seen.join(best, "run")
-            .select(F.col("run").alias(run), "stop_epoch", F.col("_b.l").alias("best_loss"),
-                    F.col("_b.e").alias("best_epoch"), "epochs_seen"))
+    d = curve.select(F.col(run).alias("run"), F.col(epoch).alias("e"), F.col(loss).alias("l"))
+    # rows are dealt by (run, block) once; everything row-sized stays dealt that way
+    d = d.withColumn("b", F.floor(F.col("e") / block).cast("long")).repartition("run", "b")
+    earlier = Window.partitionBy("run").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("run", "b").orderBy("e")
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+
+    def carried(rows, value, agg, name):
+        """``agg`` of ``value`` over the blocks before each block (one row a block)."""
+        per = rows.groupBy("run", "b").agg(agg(value).alias("_v"))
+        return per.select("run", "b", agg("_v").over(earlier).alias(name))
+
+    d = d.join(carried(d, F.col("l"), F.min, "low"), ["run", "b"])
+    prev = F.least(F.col("low"), F.min("l").over(before))  # least skips NULLs
+    d = d.withColumn("prev", prev).withColumn("hit", F.when(F.col("prev").isNull() | (F.col("l") <= F.col("prev")), F.col("e")))
+    d = d.join(carried(d, F.col("hit"), F.max, "last"), ["run", "b"])
+    d = d.withColumn("at", F.greatest(F.col("last"), F.max("hit").over(upto)))
+    # epochs are consecutive: the counter is the distance to the last improvement
+    stop = F.when(F.col("e") - F.col("at") >= patience, F.struct("e", F.least("prev", "l").alias("l"), "at"))
+    r = d.groupBy("run").agg(F.min(stop).alias("s"), F.min("l").alias("l"), F.max("at").alias("at"), F.min("e").alias("first"),
+                             F.count(F.lit(1)).alias("n"))
+    return r.select(F.col("run").alias(run), F.col("s.e").alias("stop_epoch"), F.coalesce("s.l", "l").alias("best_loss"),
+                    F.coalesce("s.at", "at").alias("best_epoch"),
+                    F.coalesce(F.col("s.e") - F.col("first") + 1, F.col("n")).alias("epochs_seen"))
 
 
 PLATEAU_SCHEMA = "run_id long, stop_epoch long, best_loss double, best_epoch long, epochs_seen long"
