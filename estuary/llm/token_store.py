@@ -31,6 +31,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import public_tokenizers
@@ -72,7 +73,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end_id, self.cache = Tokenizer.from_file(path), end_id, cache
-        self.known: dict[bytes, int] = {}
+        self.known: dict[bytes, int] = {b"": 0}
         self.flat, self.start = array("I", [end_id]), array("q", [0, 1])
 
     def _learn(self, words: list[bytes]) -> dict[bytes, int]:
@@ -110,26 +111,24 @@ class WordEncoder:
         """All ids (uint32), each text followed by the end id, and the ids per text."""
         if not texts:
             return np.empty(0, np.uint32), np.empty(0, np.int64)
-        at: list[int | None] = []
-        counts, split, get = [], [], self.known.get
+        words: list[bytes] = []  # of all texts, an empty word (number 0) after each text
+        counts = []
         for t in texts:
             raw = (t or "").encode()
-            words = (raw if b"<|" in raw else raw.translate(_LOWER)).split()
-            split.append(words)
-            at.extend(map(get, words))
-            at.append(0)
-            counts.append(len(words) + 1)
+            own = (raw if b"<|" in raw else raw.translate(_LOWER)).split()
+            words += own
+            words.append(b"")
+            counts.append(len(own) + 1)
+        which = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
         kept = len(self.start)
-        if None in at:
-            every = [w for words in split for w in (*words, b"")]
-            holes = [i for i, n in enumerate(at) if n is None]
-            new = self._learn(list(dict.fromkeys(every[i] for i in holes)))
-            for i in holes:
-                at[i] = new[every[i]]
+        holes = np.flatnonzero(which < 0).tolist()
+        if holes:
+            missing = [words[i] for i in holes]
+            new = self._learn(list(dict.fromkeys(missing)))
+            which[holes] = np.fromiter(map(new.__getitem__, missing), np.int64, len(missing))
             if len(self.known) < self.cache:
                 self.known |= new
                 kept = len(self.start)
-        which = np.array(at, np.int64)
         start = np.array(self.start, np.int64)
         flat = np.array(self.flat, np.uint32)
         n = (start[1:] - start[:-1])[which]
