@@ -25,6 +25,7 @@ import math
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import public_tokenizers
@@ -180,20 +181,19 @@ class Sampler:
     def encode(self, texts: list[str | None], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all texts (int32) and their number per text. NULL and empty
         texts have none. ``seeds`` (uint64) has one per text."""
-        at: list[int | None] = []
-        counts, units, get = [], [], self.units.get
+        units: list[str] = []  # of all texts
+        counts = []
         for t in texts:
-            u = self.split(t) if t else []
-            units.append(u)
-            at.extend(map(get, u))
-            counts.append(len(u))
+            own = self.split(t) if t else []
+            units += own
+            counts.append(len(own))
+        last = np.fromiter(map(self.units.get, units, repeat(-1)), np.int64, len(units))
         kept = len(self.first_arc) - 1
-        if None in at:
-            every = [u for us in units for u in us]
-            holes = [i for i, k in enumerate(at) if k is None]
-            new = self._learn(list(dict.fromkeys(every[i] for i in holes)))
-            for i in holes:
-                at[i] = new[every[i]]
+        holes = np.flatnonzero(last < 0).tolist()
+        if holes:
+            missing = [units[i] for i in holes]
+            new = self._learn(list(dict.fromkeys(missing)))
+            last[holes] = np.fromiter(map(new.__getitem__, missing), np.int64, len(missing))
             if len(self.units) < self.cache:
                 self.units |= new
                 kept = len(self.first_arc) - 1
@@ -201,7 +201,7 @@ class Sampler:
         owner = np.repeat(np.arange(len(texts)), counts)
         place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
         base = _mix(seeds[owner] + place.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
-        pieces, n = self._walk(np.array(at, np.int64), base)
+        pieces, n = self._walk(last, base)
         self._forget(kept)
         per_text = np.bincount(owner, n, len(texts)).astype(np.int64) if len(owner) else np.zeros(len(texts), np.int64)
         return pieces, per_text
