@@ -12,9 +12,12 @@ the original vectors in double precision.
 Inner products of vectors of unequal length are reduced to cosines by one more
 component (sqrt(1 - |x|^2 / max|x|^2)), which no query has.
 
-The index is fitted on a bounded sample (``SAMPLE`` vectors, smallest id hashes),
-which gives the cosine s to expect at rank k. The sample also gives each query a
-floor, its 3k/2-th best score there: only better candidates leave their bucket. The
+The index is fitted on a bounded sample (``SAMPLE`` vectors, smallest id hashes).
+It gives each query the cosine s to expect at rank k, from the query's own scores
+there: the best that, with 95% certainty, k rows of the table reach. So a group of
+copies changes what its own members expect and nothing for others. The sample also
+gives each query a floor, its 3k/2-th best score there: only better candidates leave
+their bucket. The
 number of directions follows the number of rows, so that buckets hold about
 ``BUCKET_ROWS`` rows at any size.
 A bucket with more rows than ``BLOCK``, or more queries, is dealt into blocks;
@@ -39,7 +42,7 @@ TABLES = 2
 WIDTH = 1.0
 SUCCESS = 0.72  # estimated mass visited in each table
 SAMPLE = 8192
-PAIRS = 2048  # of the sample, whose pairs are looked at for the expected cosine
+MISSED = 0.05  # share of queries that may expect a higher cosine than that of rank k
 BUCKET_ROWS = 2048
 BLOCK = 4096
 MAX_PROBES = 4096  # buckets visited by a query in a table at most; a query left short is compared with every row
@@ -50,23 +53,28 @@ _erf = np.frompyfunc(math.erf, 1, 1)
 @dataclass(frozen=True)
 class Index:
     """Projections of all tables, and what the probe order needs. ``cosine`` is the
-    expected cosine at rank k, ``longest`` the largest norm of a vector."""
+    expected cosine at rank k where a query has none of its own, ``longest`` the largest
+    norm of a vector, ``rank`` the rank in the sample that stands for rank k of all rows."""
     directions: np.ndarray  # (tables, bins per bucket, dim + 1)
     offset: np.ndarray  # (tables, bins per bucket)
     cosine: float
     longest: float
     sample_ids: np.ndarray
     sample: np.ndarray
+    rank: int = K
 
-    def floors(self, ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
-        """A score that more than k rows are sure to reach, for each query: its
-        3k/2-th best in the sample, its own row left out (-inf in a small sample)."""
-        rank = k + (k + 1) // 2
-        if len(self.sample) <= rank:
-            return np.full(len(ids), -np.inf)
+    def expect(self, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each query, from its scores in the sample without its own row: the floor,
+        a score that more than k rows are sure to reach (its 3k/2-th best; -inf in a
+        small sample), and the expected cosine at rank k (``cosine`` in a small sample)."""
         s = x @ self.sample.T
         s[ids[:, None] == self.sample_ids[None, :]] = -np.inf
-        return np.partition(s, s.shape[1] - rank, axis=1)[:, s.shape[1] - rank]
+        at = [s.shape[1] - (k + (k + 1) // 2), s.shape[1] - self.rank]
+        s = np.partition(s, [i for i in at if i > 0], axis=1) if max(at) > 0 else s
+        floor = s[:, at[0]] if at[0] > 0 else np.full(len(ids), -np.inf)
+        if at[1] <= 0:
+            return floor, np.full(len(ids), self.cosine)
+        return floor, np.clip(s[:, at[1]] / (np.sqrt((x * x).sum(1)) * self.longest), 0.0, 0.98)
 
     def project(self, x: np.ndarray, query: bool) -> np.ndarray:
         """(tables, rows, directions) of rows scaled to length 1."""
@@ -78,17 +86,19 @@ class Index:
     def bins(self, u: np.ndarray, t: int) -> np.ndarray:
         return np.floor((u + self.offset[t]) / WIDTH).astype(np.int64)
 
-    def probes(self, x: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Per table: (table, row numbers, bucket keys) in the order of estimated success."""
+    def probes(self, x: np.ndarray, cosines: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Per table: (table, row numbers, bucket keys) in the order of estimated success,
+        for neighbours of the queries' expected ``cosines``."""
         proj = self.project(x, True)
-        s, sd = self.cosine, math.sqrt(max(1e-6, 1 - self.cosine ** 2))
+        s = np.full(len(x), self.cosine) if cosines is None else cosines
+        sd = np.sqrt(np.maximum(1e-6, 1 - s * s))[:, None]
         reach = np.arange(-math.ceil(4 / WIDTH), math.ceil(4 / WIDTH) + 1)
         for t, u in enumerate(proj):
             keys = np.zeros((len(x), 1), np.int64)
             mass = np.ones((len(x), 1))
             for j in range(u.shape[1]):  # the best products of the first j bins hold the best of all
                 bins = self.bins(s * u[:, j], np.s_[t, j])[:, None] + reach
-                edge = (np.concatenate((bins, bins[:, -1:] + 1), 1) * WIDTH - self.offset[t, j] - s * u[:, j:j + 1]) / sd
+                edge = (np.concatenate((bins, bins[:, -1:] + 1), 1) * WIDTH - self.offset[t, j] - (s * u[:, j])[:, None]) / sd
                 part = np.diff(_erf(edge / math.sqrt(2)).astype(np.float64), axis=1) / 2
                 mass = (mass[:, :, None] * part[:, None, :]).reshape(len(x), -1)
                 keys = (_mix_key(keys)[:, :, None] + bins[:, None, :]).reshape(len(x), -1)
@@ -133,6 +143,13 @@ def valid_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddi
     return rows.join(F.broadcast(dim.select("_d")), F.size("v") == F.col("_d"), "left_semi")
 
 
+def sample_rank(k: int, share: float, missed: float = MISSED) -> int:
+    """The least rank in a sample of that share whose score the k-th best of all rows
+    reaches, but for ``missed`` of the samples (k where all rows are sampled)."""
+    held = np.cumsum([math.comb(k - 1, i) * share ** i * (1 - share) ** (k - 1 - i) for i in range(k)])
+    return 1 + min(int(np.searchsorted(held, 1 - missed)), k - 1)
+
+
 def fit(rows: DataFrame, k: int = K, tables: int = TABLES, sample: int = SAMPLE, seed: int = 7) -> tuple[Index, int] | None:
     """The index and the number of rows; None for an empty table."""
     norm2 = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
@@ -141,15 +158,10 @@ def fit(rows: DataFrame, k: int = K, tables: int = TABLES, sample: int = SAMPLE,
         return None
     picked = rows.orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(sample).select("vec_id", "v").toArrow()
     ids, some = picked["vec_id"].to_numpy(), _vectors(picked["v"])
-    pairs = some[:PAIRS]
-    unit = pairs / np.sqrt((pairs * pairs).sum(1, keepdims=True))
-    # cosine, in the lifted space, that a share k / n of all pairs exceeds
-    sims = np.sort((unit @ (pairs / longest).T)[~np.eye(len(pairs), dtype=bool)])[::-1] if len(pairs) > 1 else np.ones(1)
-    cosine = float(np.clip(sims[min(len(sims) - 1, int(len(sims) * min(1.0, k / n)))], 0.0, 0.98))
     m = int(np.clip(round(math.log(max(n / BUCKET_ROWS, 1.0)) / _BIN_NATS), 1, 24))
     rng = np.random.default_rng(seed)
-    return Index(rng.standard_normal((tables, m, dim + 1)), rng.uniform(0, WIDTH, (tables, m)), cosine, float(longest),
-                 ids, some), n
+    return Index(rng.standard_normal((tables, m, dim + 1)), rng.uniform(0, WIDTH, (tables, m)), 0.0, float(longest),
+                 ids, some, sample_rank(k, min(1.0, len(ids) / n))), n
 
 
 def _best(query_ids, q, floors, row_ids, b, k: int):
@@ -240,8 +252,12 @@ def search(df: DataFrame, is_query, k: int = K, tables: int = TABLES) -> DataFra
             for start in range(0, big.num_rows, 256 if query else 4096):
                 b = big.slice(start, 256 if query else 4096)
                 x = _vectors(b.column("v"))
-                floor = index.floors(b.column("vec_id").to_numpy(), x, k) if query else np.zeros(len(x))
-                found = index.probes(x) if query else ((t, np.arange(len(x)), key) for t, key in enumerate(index.keys(x)))
+                floor = np.zeros(len(x))
+                if query:
+                    floor, cosines = index.expect(b.column("vec_id").to_numpy(), x, k)
+                    found = index.probes(x, cosines)
+                else:
+                    found = ((t, np.arange(len(x)), key) for t, key in enumerate(index.keys(x)))
                 for t, row, key in found:
                     some = b.take(pa.array(row))
                     yield pa.record_batch([pa.array(np.full(len(row), t, np.int32)), pa.array(key),

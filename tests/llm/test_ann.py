@@ -72,3 +72,20 @@ def test_probes_come_in_order_of_success():
         share = {k: c / 40_000 for k, c in zip(*np.unique(key, return_counts=True))}
         mine = [share.get(k, 0.0) for k in keys[row == i]]
         assert abs(sum(mine) - ann.SUCCESS) < 0.1 and all(a >= b - 0.02 for a, b in zip(mine, mine[1:]))
+
+
+def test_copies_do_not_cost_others_recall(spark):
+    """A tenth of the rows are copies; queries outside them still find their neighbours."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(20_000, 32)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[rng.permutation(20_000)[:2000]] = x[1]
+    queries = [i for i in range(0, 20_000, 100) if not np.array_equal(x[i], x[1])]
+    df = frame(spark, [(i, v.tolist(), "a", "b", "c") for i, v in enumerate(x)])
+    got = {}
+    for r in ann.search(df, F.col("vec_id").isin(queries)).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    s = x[queries].astype(float) @ x.astype(float).T
+    s[np.arange(len(queries)), queries] = -np.inf
+    truth = np.argsort(-s, axis=1, kind="stable")[:, :20]
+    assert np.mean([len(got[q] & set(t)) / 20 for q, t in zip(queries, truth.tolist())]) >= 0.88
