@@ -5,7 +5,9 @@ cuts every projection into bins of width ``WIDTH``; the bins are the bucket. A
 query visits perturbed buckets in the order of their estimated success: given its
 own projection u, the projection of a neighbour of cosine s is normal with mean
 s*u and variance 1 - s*s, so a bucket's success is a product of interval masses.
-It goes on until the visited buckets hold ``SUCCESS`` of the mass in each table.
+It goes on until the visited buckets hold ``SUCCESS`` of the mass in each table. A
+query that would need more than ``MAX_PROBES`` buckets for that visits none; it is
+compared with every row.
 The candidates of all tables are merged and ranked by the exact inner product of
 the original vectors in double precision.
 
@@ -19,7 +21,9 @@ copies changes what its own members expect and nothing for others. The sample al
 gives each query a floor, its 3k/2-th best score there: only better candidates leave
 their bucket. The
 number of directions follows the number of rows, so that buckets hold about
-``BUCKET_ROWS`` rows at any size.
+``BUCKET_ROWS`` rows, up to the size where queries begin to need more than
+``MAX_PROBES`` buckets. From there on it is the number that has the fewest rows
+compared for queries of the sample, and buckets may grow.
 A bucket with more rows than ``BLOCK``, or more queries, is dealt into blocks;
 every block of its rows meets every block of its queries.
 """
@@ -28,7 +32,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +49,8 @@ SAMPLE = 8192
 MISSED = 0.05  # share of queries that may expect a higher cosine than that of rank k
 BUCKET_ROWS = 2048
 BLOCK = 4096
-MAX_PROBES = 4096  # buckets visited by a query in a table at most; a query left short is compared with every row
+MAX_PROBES = 4096  # buckets visited by a query in a table at most; one that needs more is compared with every row
+PILOTS = 64  # queries of the sample that try a number of directions
 _BIN_NATS = 1.42 - math.log(WIDTH)  # entropy of a unit normal cut into bins of that width
 _erf = np.frompyfunc(math.erf, 1, 1)
 
@@ -88,11 +93,13 @@ class Index:
 
     def probes(self, x: np.ndarray, cosines: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Per table: (table, row numbers, bucket keys) in the order of estimated success,
-        for neighbours of the queries' expected ``cosines``."""
+        for neighbours of the queries' expected ``cosines``. A query whose first
+        ``MAX_PROBES`` buckets hold less than ``SUCCESS`` in some table has no rows in any."""
         proj = self.project(x, True)
         s = np.full(len(x), self.cosine) if cosines is None else cosines
         sd = np.sqrt(np.maximum(1e-6, 1 - s * s))[:, None]
         reach = np.arange(-math.ceil(4 / WIDTH), math.ceil(4 / WIDTH) + 1)
+        whole, out = np.ones(len(x), bool), []
         for t, u in enumerate(proj):
             keys = np.zeros((len(x), 1), np.int64)
             mass = np.ones((len(x), 1))
@@ -107,7 +114,10 @@ class Index:
             total = np.cumsum(mass, axis=1)
             visit = (total - mass < SUCCESS) & (mass > 0)
             row, at = np.nonzero(visit)
-            yield t, row, keys[row, at]
+            whole &= total[:, -1] >= SUCCESS
+            out.append((row, keys[row, at]))
+        for t, (row, key) in enumerate(out):
+            yield t, row[whole[row]], key[whole[row]]
 
     def keys(self, x: np.ndarray) -> np.ndarray:
         """(tables, rows) bucket keys of rows."""
@@ -160,8 +170,27 @@ def fit(rows: DataFrame, k: int = K, tables: int = TABLES, sample: int = SAMPLE,
     ids, some = picked["vec_id"].to_numpy(), _vectors(picked["v"])
     m = int(np.clip(round(math.log(max(n / BUCKET_ROWS, 1.0)) / _BIN_NATS), 1, 24))
     rng = np.random.default_rng(seed)
-    return Index(rng.standard_normal((tables, m, dim + 1)), rng.uniform(0, WIDTH, (tables, m)), 0.0, float(longest),
-                 ids, some, sample_rank(k, min(1.0, len(ids) / n))), n
+    index = Index(rng.standard_normal((tables, m, dim + 1)), rng.uniform(0, WIDTH, (tables, m)), 0.0, float(longest),
+                  ids, some, sample_rank(k, min(1.0, len(ids) / n)))
+    return fewest_compared(index, k), n
+
+
+def fewest_compared(index: Index, k: int) -> Index:
+    """The index with as many of its directions as have the fewest rows compared for
+    queries of the sample (all of them where every query keeps to ``MAX_PROBES``)."""
+    x = index.sample[:PILOTS]
+    cosines = index.expect(index.sample_ids[:PILOTS], x, k)[1]
+    best, least = index, math.inf
+    for m in range(index.offset.shape[1], 0, -1):
+        one = replace(index, directions=index.directions[:, :m], offset=index.offset[:, :m])
+        buckets = sum(np.bincount(row, minlength=len(x)) for _, row, _ in one.probes(x, cosines))
+        # shares of all rows; a query without buckets meets every row
+        compared = np.where(buckets > 0, buckets * math.exp(-_BIN_NATS * m), 1.0).mean()
+        if compared < least:
+            best, least = one, compared
+        if buckets.all():
+            break
+    return best
 
 
 def _best(query_ids, q, floors, row_ids, b, k: int):
@@ -238,7 +267,8 @@ def search(df: DataFrame, is_query, k: int = K, tables: int = TABLES) -> DataFra
 
     ``is_query`` is a condition on vec_id. Candidates are all rows that take part
     (see ``valid_vectors``) but the query's own. A query whose buckets held fewer
-    than k rows is compared with every row, in blocks, so it gets k (or all).
+    than k rows, or that needs too many buckets (see ``Index.probes``), is compared
+    with every row, in blocks, so it gets k (or all).
     """
     rows = materialize(valid_vectors(df), "vectors")
     fitted = fit(rows, k, tables)

@@ -89,3 +89,29 @@ def test_copies_do_not_cost_others_recall(spark):
     s[np.arange(len(queries)), queries] = -np.inf
     truth = np.argsort(-s, axis=1, kind="stable")[:, :20]
     assert np.mean([len(got[q] & set(t)) / 20 for q, t in zip(queries, truth.tolist())]) >= 0.88
+
+
+def test_a_cut_query_has_no_probes():
+    """The buckets of a query hold the wanted mass in every table, or it has none and meets every row."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(6, 5))
+    wide = ann.Index(rng.standard_normal((2, 9, 6)), rng.uniform(0, 1, (2, 9)), 0.0, 1.0, np.empty(0, int), np.empty((0, 5)))
+    cosines = np.array([0.2, 0.98, 0.2, 0.98, 0.2, 0.98])
+    rows = [set(row.tolist()) for _, row, _ in wide.probes(x, cosines)]
+    assert rows == [{1, 3, 5}, {1, 3, 5}]
+
+
+def test_recall_where_probes_do_not_suffice(spark, monkeypatch):
+    """Directions as for a hundred million rows: queries that need too many buckets are not left with some."""
+    monkeypatch.setattr(ann, "BUCKET_ROWS", 0.3)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(20_000, 32)).astype(np.float32)
+    queries = list(range(0, 20_000, 500))
+    df = frame(spark, [(i, v.tolist(), "a", "b", "c") for i, v in enumerate(x)])
+    got = {}
+    for r in ann.search(df, F.col("vec_id").isin(queries)).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    s = x[queries].astype(float) @ x.astype(float).T
+    s[np.arange(len(queries)), queries] = -np.inf
+    truth = np.argsort(-s, axis=1, kind="stable")[:, :20]
+    assert np.mean([len(got[q] & set(t)) / 20 for q, t in zip(queries, truth.tolist())]) >= 0.88
