@@ -3,7 +3,8 @@
 Documents are dealt into ascending doc_id ranges, encoded, ended with an end id
 and packed into blocks of about ``BLOCK_IDS`` ids. Each block is compressed by
 Re-Pair: frequent neighbouring pairs of ids are replaced by nonterminals, round
-after round, and the rules are stored with the length each expands to. No rule
+after round until none is left, and the rules are stored with the length each expands
+to. No rule
 spans two documents, so a document is a slice of the block's symbols and can be
 decoded alone; expansion lengths find any token range inside it.
 
@@ -31,7 +32,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import count, repeat
 
 import numpy as np
 import public_tokenizers
@@ -45,7 +46,7 @@ from estuary.llm.common import rebatched, scratch
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 BLOCK_IDS = 1_000_000
-ROUNDS, PER_ROUND, MIN_COUNT = 5, 512, 16  # Re-Pair: rules per round, least count of a pair
+PER_ROUND, MIN_COUNT = 512, 16  # Re-Pair: rules of the first round, least count of a pair
 CACHE_WORDS = 600_000
 MAGIC = b"RPAIR01\n"
 _HEAD = struct.Struct("<8s4I2Q")
@@ -150,38 +151,41 @@ def _encoder(path: str, end_id: int) -> WordEncoder:
 
 # ---- Re-Pair --------------------------------------------------------------------------------
 
-def compress(ids: np.ndarray, closes: np.ndarray, base: int, rounds: int = ROUNDS, per_round: int = PER_ROUND,
+def compress(ids: np.ndarray, closes: np.ndarray, base: int, rounds: int | None = None, per_round: int = PER_ROUND,
              min_count: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, rules (n, 2), expansion lengths). ``closes[i]`` marks the last id
-    of a document: no pair starts there. A round replaces the most frequent
-    pairs; where two chosen pairs overlap, the more frequent one wins."""
+    of a document: no pair starts there. A round replaces the most frequent pairs
+    (``per_round`` in the first, then twice as many as the round before); where two
+    chosen pairs overlap, the more frequent one wins. Rounds go on until no pair is
+    left that occurs ``min_count`` times, or for ``rounds`` rounds."""
     seq, last = ids.astype(np.uint32), closes.copy()
-    rules: list[np.ndarray] = []
-    n_rules = 0
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        code = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
+    live = np.ones(len(seq), bool)  # every place of a pair that may occur min_count times
+    made: dict[int, int] = {}  # pair -> nonterminal
+    for done in count() if rounds is None else range(rounds):
+        live &= ~last
+        live[-1:] = False
+        where = np.flatnonzero(live)
+        code = (seq[where].astype(np.uint64) << np.uint64(32)) | seq[where + 1]
         slot = ((code * _MIX) >> np.uint64(64 - _SLOT_BITS)).astype(np.int32)
-        open_ = ~last[:-1]
-        counts = np.bincount(slot[open_], minlength=1 << _SLOT_BITS)
-        order = np.argpartition(-counts, per_round)[:per_round]
-        busy = np.zeros(1 << _SLOT_BITS, bool)
-        busy[order[counts[order] >= min_count]] = True
-        at = np.flatnonzero(busy[slot] & open_)
-        if not len(at):
+        counts = np.bincount(slot, minlength=1 << _SLOT_BITS)
+        often = (counts >= min_count)[slot]  # other pairs never become frequent again
+        live[where[~often]] = False
+        if not often.any():
             break
-        pairs, back, n = np.unique(code[at], return_inverse=True, return_counts=True)
+        limit, full = per_round << min(done, _SLOT_BITS), counts[counts >= min_count]
+        least = np.partition(full, -limit)[-limit] if len(full) > limit else min_count
+        look = np.flatnonzero((counts >= least)[slot] if least > min_count else often)
+        at = where[look]
+        pairs, back, n = np.unique(code[look], return_inverse=True, return_counts=True)
+        live[at[n[back] < min_count]] = False
         by_count = np.argsort(-n, kind="stable")
-        by_count = by_count[n[by_count] >= min_count][:per_round]
-        if not len(by_count):
-            break
+        by_count = by_count[n[by_count] >= min_count][:limit]
         rank = np.full(len(pairs), -1, np.int64)
         rank[by_count] = np.arange(len(by_count))
         r = rank[back]
         at, r = at[r >= 0], r[r >= 0]
         # a run of one repeated id: every other position
-        same = np.concatenate(([False], (np.diff(at) == 1) & (r[1:] == r[:-1])))
+        same = np.concatenate(([False], (np.diff(at) == 1) & (r[1:] == r[:-1])))[:len(at)]
         offset = np.arange(len(at)) - np.maximum.accumulate(np.where(same, 0, np.arange(len(at))))
         at, r = at[offset % 2 == 0], r[offset % 2 == 0]
         touch = np.diff(at) == 1
@@ -189,16 +193,19 @@ def compress(ids: np.ndarray, closes: np.ndarray, base: int, rounds: int = ROUND
         beaten[1:] |= touch & (r[1:] > r[:-1])
         beaten[:-1] |= touch & (r[:-1] > r[1:])
         at, r = at[~beaten], r[~beaten]
+        # a pair that lost most of its places waits; the most frequent one loses none
+        enough = np.bincount(r, minlength=1)[r] >= min_count // 2
+        at, r = at[enough], r[enough]
         used, r = np.unique(r, return_inverse=True)
-        chosen = pairs[by_count[used]]
-        rules.append(np.stack((chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)), 1).astype(np.uint32))
-        seq[at] = base + n_rules + r
+        symbols = [made.setdefault(c, base + len(made)) for c in pairs[by_count[used]].tolist()]
+        seq[at] = np.array(symbols, np.uint32)[r]
         last[at] = last[at + 1]
-        n_rules += len(chosen)
+        live[at] = live[at[at > 0] - 1] = True
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        seq, last = seq[keep], last[keep]
-    table = np.concatenate(rules) if rules else np.empty((0, 2), np.uint32)
+        seq, last, live = seq[keep], last[keep], live[keep]
+    codes = np.array(list(made), np.uint64)
+    table = np.stack((codes >> np.uint64(32), codes & np.uint64(0xFFFFFFFF)), 1).astype(np.uint32)
     return seq, table, rule_lengths(table, base)
 
 

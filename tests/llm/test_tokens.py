@@ -152,3 +152,19 @@ def test_blocks_survive_a_read_of_the_store(spark, docs_of, tmp_path):
     assert blocks.agg(F.sum("n_docs")).first()[0] == 300
     with pytest.raises(ValueError):
         token_store.Block(b"\0" * 64)
+
+
+def test_pairs_are_replaced_until_none_is_frequent():
+    """Twenty copies of each of ten documents become one symbol each; elsewhere no pair occurs 16 times."""
+    rng = np.random.default_rng(4)
+    copies = np.tile(np.hstack((rng.integers(2, 40_000, (10, 400)), np.ones((10, 1), int))), (20, 1))
+    words = np.append((rng.pareto(1.0, 60_000) * 3).astype(int) + 2, 1)
+    ids = np.concatenate((copies.ravel(), words)).astype(np.uint32)
+    closes = np.zeros(len(ids), bool)
+    closes[400:copies.size:401] = closes[-1] = True
+    symbols, rules, lengths = token_store.compress(ids, closes, 1 << 25)
+    assert np.array_equal(token_store.expand(symbols, rules, lengths, 1 << 25), ids)
+    ends = np.cumsum([1 if s < 1 << 25 else int(lengths[s - (1 << 25)]) for s in symbols.tolist()])
+    assert np.searchsorted(ends, copies.size) + 1 == 200
+    inside = ~closes[ends[:-1] - 1]
+    assert Counter(zip(symbols[:-1][inside].tolist(), symbols[1:][inside].tolist())).most_common(1)[0][1] < 16
