@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estuary.llm import (ann, host_rules, mixing, pieces, quality, sharding, simhash, token_store, toxicity,
-                         url_rules)
+from estuary.llm import (ann, host_rules, mixing, pieces, quality, sharding, simhash, token_counts, token_store, toxicity,
+                         trie, url_rules, whitening)
 from estuary.llm.common import table
 
 WORDS_SQL = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
@@ -187,6 +187,44 @@ def op10_tokens(spark: SparkSession, d: str) -> DataFrame:
     return token_store.token_digests(table(spark, d, "documents"))
 
 
+def op11_trie(spark: SparkSession, d: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, d, "conversations"))
+
+
+OP11_SQL = r"""
+WITH RECURSIVE k(i, v, s) AS (SELECT i, i::BIGINT, 0 FROM range(256) x(i)
+  UNION ALL SELECT i, CASE WHEN v & 1 = 1 THEN xor(3988292384, v >> 1) ELSE v >> 1 END, s + 1 FROM k WHERE s < 8),
+crc AS (SELECT list(v ORDER BY i) AS t FROM k WHERE s = 8),
+own AS (SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS own
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT conv_id, own, (xor(4294967295, list_reduce(list_transform(string_split(conv_id::VARCHAR, ''),
+                    lambda c: ascii(c)::BIGINT), lambda a, x: xor(a >> 8, t[xor(a & 255, x) + 1]), 4294967295::BIGINT)) % 6)::INT AS h
+      FROM own, crc),
+c AS (SELECT h.conv_id, list_concat(coalesce(b.own[1:h.h], []), h.own[h.h + 1:]) AS turns
+      FROM h LEFT JOIN own b ON b.conv_id = h.conv_id - h.conv_id % 100),
+p AS (SELECT conv_id, d, turns[1:d] AS path, d = len(turns) AS last FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM c)),
+n AS (SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+      FROM p GROUP BY path, d),
+kids AS (SELECT path[1:d - 1] AS path, count(*) AS k FROM n WHERE d > 0 GROUP BY 1),
+f AS (SELECT n.*, coalesce(k, 0) AS k, CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * length(path[d].text) END AS saved
+      FROM n LEFT JOIN kids USING (path)),
+up AS (SELECT path[1:a] AS path, sum((k = 0)::INT) AS leaves, sum(saved) AS saved
+       FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM f) GROUP BY 1)
+SELECT f.conv_id, f.d::BIGINT AS depth, q.conv_id AS parent_conv_id, f.n_convs::BIGINT AS n_convs, f.k::BIGINT AS n_children,
+       up.leaves::BIGINT AS n_leaves, up.saved::BIGINT AS saved_tokens, f.ends_sha256
+FROM f JOIN up USING (path) LEFT JOIN n q ON f.d > 0 AND q.path = f.path[1:f.d - 1]
+"""
+
+
+def op12_whitening(spark: SparkSession, d: str) -> DataFrame:
+    return whitening.whiten(table(spark, d, "embeddings"))
+
+
+def op13_counts(spark: SparkSession, d: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, d, "documents"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_sentencepiece": op2_sentencepiece,
@@ -198,10 +236,14 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
     "op10_tokens": op10_tokens,
+    "op11_trie": op11_trie,
+    "op12_whitening": op12_whitening,
+    "op13_counts": op13_counts,
 }
 ORACLE = {
     "op1_mixing": OP1_SQL,
     "op6_host_rules": OP6_SQL,
     "op7_url_rules": OP7_SQL,
     "op9_sharding": OP9_SQL,
+    "op11_trie": OP11_SQL,
 }
