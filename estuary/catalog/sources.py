@@ -118,7 +118,7 @@ def q_sink_instructions(spark, d):
 
 def q_sink_clean_battles(spark, d):
     path = scratch_path(spark, "clean_battle_20240125")
-    files.sink_json(B.clean_battles(CB._votes(spark, d)), path)
+    files.sink_json(B.clean_battles(CB._votes(spark, d, detect=True)), path)
     schema = T.StructType([T.StructField("event_id", T.LongType())] + list(files.BATTLE.fields))
     return flat(spark.read.schema(schema).json(path))
 

@@ -1,11 +1,13 @@
 """Battle cleaning: one projection computes an ordered ``reason`` per vote, so
-kept battles and every counter come from the same scan."""
+kept battles and every counter come from the same scan. Conversations are indexed once,
+by the place a vote may start from; a vote only looks its place up."""
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from estuary.functions.exprs import let
@@ -35,42 +37,76 @@ IDENTITY_WORDS = [
 # Vote action → battle outcome.
 VOTE_TO_WIN = {"leftvote": "model_a", "rightvote": "model_b", "tievote": "tie", "bothbad_vote": "tie (bothbad)"}
 
-# Our own stop-word profile for language detection (the library
-# detector of the reference is not available). Each word belongs to one language.
-LANGUAGE_PROFILE = {
-    "English": ["the", "and", "of", "is", "with", "by", "for", "are", "this", "to", "it", "was", "that", "on", "as"],
-    "German": ["der", "die", "das", "und", "nicht", "mit", "von", "den", "dem", "sich", "zu", "ein", "ist", "auf", "als"],
-    "French": ["le", "les", "des", "du", "un", "une", "qui", "et", "par", "pas", "elle", "au", "aux", "sur", "est"],
-    "Spanish": ["el", "los", "las", "y", "para", "no", "se", "por", "con", "del", "una", "es", "lo", "como", "pero"],
-}
-
-
-def strip_h3_col(df: DataFrame, src: Column, name: str) -> DataFrame:
+def strip_h3(raw: Column) -> Column:
     """``remove_html``: when the name starts with ``<h3>``, keep
     ``raw[raw.find(": ") + 2 : -6]`` (python slice semantics: a missing ``": "``
     gives find = -1, i.e. start 1; the 6-character suffix is cut blindly)."""
-    s0 = F.when(F.locate(": ", F.col("_raw")) == 0, F.lit(1)).otherwise(F.locate(": ", F.col("_raw")) + 1)
-    e0 = F.greatest(F.length("_raw") - 6, F.lit(0))
-    body = F.when(F.col("_e0") > F.col("_s0"), F.expr("substring(_raw, _s0 + 1, _e0 - _s0)")).otherwise(F.lit(""))
-    return (df.withColumn("_raw", src).withColumn("_s0", s0).withColumn("_e0", e0)
-            .withColumn(name, F.when(F.col("_raw").startswith("<h3>"), body).otherwise(F.col("_raw")))
-            .drop("_raw", "_s0", "_e0"))
-
-
-def votes_from_fixture(raw_votes: DataFrame, turns: DataFrame) -> DataFrame:
-    """Raw votes + conversation turns → vote rows shaped like the log lines:
-    ``states[i] = {model_name, offset, messages[[role, text]]}``; the leak text
-    is an extra message of the second state."""
-    msgs = turns.groupBy("conv_id").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("i", "role", "text"))),
-                    lambda s: F.array(s["role"], s["text"])).alias("messages"))
-    v = raw_votes.repartition("event_id").join(msgs, "conv_id")  # narrow rows; the texts come with the join
-    leak_msg = F.when(F.col("leak") != "", F.array(F.array(F.lit("assistant"), F.col("leak")))).otherwise(
-        F.array().cast("array<array<string>>"))
-    st = lambda name, m: F.struct(F.col(name).alias("model_name"), F.col("offset").alias("offset"), m.alias("messages"))
-    return v.select("event_id", "tstamp", "type", "models",
-                    F.array(st("hidden_a", F.col("messages")), st("hidden_b", F.concat("messages", leak_msg))).alias("states"))
-
+    at = F.locate(": ", raw)
+    start = F.when(at == 0, F.lit(1)).otherwise(at + 1)
+    size = F.greatest(F.length(raw) - 6 - start, F.lit(0))
+    return F.when(raw.startswith("<h3>"), F.substring(raw, start + 1, size)).otherwise(raw)
+
+
+# ---- one row per place of a conversation ----------------------------------------------------------
+
+# Texts are lower-cased before the search, so entries with capitals never match.
+_LEAK_WORDS = [w for w in IDENTITY_WORDS if w == w.lower()]
+_LEAK = "|".join(re.escape(w) for w in _LEAK_WORDS)
+_EDGE = max(map(len, _LEAK_WORDS)) - 1  # characters that a word can reach into the next text
+
+
+def conversation_index(turns: DataFrame, language: Callable[[Column], Column] | None = None) -> DataFrame:
+    """What a vote needs to know of the messages from place ``i`` on, one row per place:
+    ``n_msgs`` of the conversation, ``leak`` (an identity word begins there or later; words across
+    the joins of messages count), ``head`` and ``tail`` (first and last characters of the joined
+    lower-cased texts, as many as a word can reach over) and the ``language`` of message i.
+
+    Messages meet their neighbours in narrow rows: only the edges of a text are
+    sorted by conversation, and no row holds more than a few of them. NULL and empty
+    messages have a place but no text."""
+    text = F.lower(F.coalesce("text", F.lit("")))
+    lang = language(F.col("text")) if language else F.lit("unknown")
+    rows = turns.select("conv_id", "i", lang.alias("language"), F.nullif(F.left(text, F.lit(_EDGE)), F.lit("")).alias("_l"),
+                        F.nullif(F.right(text, F.lit(_EDGE)), F.lit("")).alias("_r"), text.rlike(_LEAK).alias("_own"))
+    conv = Window.partitionBy("conv_id")
+    # numbers of the messages with text: _EDGE of them always hold _EDGE characters
+    rows = rows.withColumn("_k", F.count("_l").over(conv.orderBy("i").rowsBetween(Window.unboundedPreceding, 0)))
+    after = conv.orderBy("_k").rangeBetween(1, _EDGE)
+    own = F.when(F.col("_l").isNotNull(), F.col("_k"))
+    rows = rows.select("*", F.array_join(F.collect_list("_l").over(after), "").alias("_next"),
+                       F.array_join(F.collect_list("_r").over(after), "").alias("_ends"),
+                       F.max("_k").over(conv).alias("_last"), F.count(F.lit(1)).over(conv).alias("n_msgs"))
+    edge = lambda c, side: side(c, F.lit(_EDGE))
+    text_l, text_r = F.coalesce("_l", F.lit("")), F.coalesce("_r", F.lit(""))
+    rows = rows.select(
+        "conv_id", "i", "n_msgs", "language", own.alias("_own_k"),
+        (F.col("_own") | F.concat(text_r, edge(F.col("_next"), F.left)).rlike(_LEAK)).alias("_leak"),
+        edge(F.concat(text_l, F.when(F.length(text_l) < _EDGE, F.col("_next")).otherwise("")), F.left).alias("head"),
+        F.concat(text_r, "_ends").alias("_ends"), (F.col("_last") - F.col("_k")).alias("_left"))
+    rest = conv.orderBy("i").rowsBetween(0, Window.unboundedFollowing)
+    # the last characters of a long rest are those of the place _EDGE messages before the end
+    far = F.max(F.when((F.col("_left") == _EDGE - 1) & F.col("_own_k").isNotNull(), edge(F.col("_ends"), F.right))).over(conv)
+    return rows.select("conv_id", "i", "n_msgs", "language", F.max("_leak").over(rest).alias("leak"), "head",
+                       F.when(F.col("_left") >= _EDGE, far).otherwise(edge(F.col("_ends"), F.right)).alias("tail"))
+
+
+def indexed_votes(votes: DataFrame, index: DataFrame) -> DataFrame:
+    """Votes (event_id, tstamp, type, models, hidden_a, hidden_b, offset, conv_id, leak) with the
+    row of their conversation's index at the vote's offset, as :func:`battle_reasons` takes them.
+
+    Both states share the conversation from the offset on; ``leak`` is a last message that
+    only the second one has. A vote is a lookup of one narrow row: no message is copied."""
+    at = index.select("conv_id", F.col("i").cast("int").alias("offset"), "n_msgs", "language",
+                      F.struct("leak", "head", "tail").alias("_at"))
+    v = votes.where(F.col("type").isin(VOTES)).join(at, ["conv_id", "offset"], "left")
+    joined = F.concat(F.col("_at.tail"), F.col("_at.head"))
+    last = F.concat(F.right(F.concat(F.col("_at.tail"), F.col("_at.tail")), F.lit(_EDGE)), F.lower(F.coalesce("leak", F.lit(""))))
+    leaked = F.col("_at.leak") | joined.rlike(_LEAK) | last.rlike(_LEAK)
+    return v.select("event_id", "tstamp", "type", "models", F.col("hidden_a").alias("_hid0"), F.col("hidden_b").alias("_hid1"),
+                    "offset", "n_msgs", "language", F.coalesce(leaked, F.lit(False)).alias("_leaked"))
+
+
+# ---- votes as they stand in the log ----------------------------------------------------------------
 
 def _after_offset_text(state: Column) -> Column:
     """Lower-cased message texts after the state's offset, joined with no separator."""
@@ -80,52 +116,42 @@ def _after_offset_text(state: Column) -> Column:
     return F.array_join(F.transform(kept, lambda m: F.lower(m[1])), "")
 
 
-def battle_reasons(votes: DataFrame) -> DataFrame:
-    """Ordered validity checks → ``reason`` (names → anony → mismatch → offset → leak)."""
+def logged_votes(votes: DataFrame, language: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Votes of the log, whose ``states[i] = {model_name, offset, messages[[role, text]]}`` carry
+    their own messages, in the form that :func:`battle_reasons` takes."""
     v = votes.where(F.col("type").isin(VOTES))
-    v = strip_h3_col(v, F.element_at("models", 1), "pub0")
-    v = strip_h3_col(v, F.element_at("models", 2), "pub1")
     s0, s1 = F.element_at("states", 1), F.element_at("states", 2)
-    hid_present = s0["model_name"].isNotNull()
-    v = v.select(
-        "*",
-        F.when(hid_present, s0["model_name"]).otherwise(F.col("pub0")).alias("hid0"),
-        F.when(hid_present, s1["model_name"]).otherwise(F.col("pub1")).alias("hid1"),
-        s0["offset"].alias("offset"), F.size(s0["messages"]).alias("n_msgs"),
-        F.concat(_after_offset_text(s0), _after_offset_text(s1)).alias("_text"),
-        F.try_element_at(F.try_element_at(s0["messages"], s0["offset"] + 1), F.lit(2)).alias("first_text"))
-    one_empty = (F.col("pub0") == "") != (F.col("pub1") == "")
-    anony = (F.col("pub0") == "") | (F.col("pub0") == "Model A")
-    mismatch = ~(F.col("pub0").eqNullSafe(F.col("hid0")) & F.col("pub1").eqNullSafe(F.col("hid1")))
-    leak = F.col("_text").rlike("|".join(re.escape(w) for w in IDENTITY_WORDS))
-    reason = (F.when(one_empty, "invalid_names")
-              .when(~anony & mismatch, "invalid_mismatch")
-              .when(F.col("offset") >= F.col("n_msgs"), "invalid_offset")
-              .when(leak, "leaked_identity")
-              .otherwise("kept"))
-    return v.select("*", anony.alias("anony"), reason.alias("reason")).drop("_text")
-
-
-def language_of(text: Column) -> Column:
-    """Profile language with most stop-word hits among the lower-cased letter
-    tokens (tie → alphabetical), ``unknown`` without hits. A per-row expression:
-    tokens outside the literal word set are dropped first, the rest become one
-    letter each, counted with string functions – no explode, no shuffle, whole text."""
-    langs = sorted(LANGUAGE_PROFILE)
-    code = {lang: chr(ord("a") + i) for i, lang in enumerate(langs)}
-    every = sorted({w for ws in LANGUAGE_PROFILE.values() for w in ws})
-    words = F.create_map(*[F.lit(x) for lang, ws in LANGUAGE_PROFILE.items() for w in ws for x in (w, code[lang])])
-    known = F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda t: t.isin(every))  # a hash-set test for each token
-    hits = F.array_join(F.transform(known, lambda t: F.try_element_at(words, t)), "")
-    best = let(hits, lambda h: F.element_at(F.sort_array(F.array(*[
-        F.struct((F.length(F.regexp_replace(h, f"[^{code[lang]}]", "")) * -1).alias("c"), F.lit(lang).alias("l"))
-        for lang in langs])), 1))
-    return F.when(text.isNull() | (best["c"] == 0), F.lit("unknown")).otherwise(best["l"])
-
-
-def detect_language(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, language) per row, see :func:`language_of`."""
-    return df.select(key, language_of(F.col(text)).alias("language"))
+    first = F.try_element_at(F.try_element_at(s0["messages"], s0["offset"] + 1), F.lit(2))
+    return v.select("event_id", "tstamp", "type", "models", s0["model_name"].alias("_hid0"), s1["model_name"].alias("_hid1"),
+                    s0["offset"].alias("offset"), F.size(s0["messages"]).alias("n_msgs"),
+                    (language(first) if language else F.lit("unknown")).alias("language"),
+                    F.concat(_after_offset_text(s0), _after_offset_text(s1)).rlike(_LEAK).alias("_leaked"))
+
+
+def battle_reasons(votes: DataFrame) -> DataFrame:
+    """Ordered validity checks → ``reason`` (names → anony → mismatch → offset → leak) of
+    :func:`indexed_votes` or :func:`logged_votes`."""
+    # bound once: a filter on the reason would otherwise spell the names out many times
+    names = let(F.struct(strip_h3(F.element_at("models", 1)).alias("a"), strip_h3(F.element_at("models", 2)).alias("b")),
+                lambda p: F.struct(p["a"].alias("pub0"), p["b"].alias("pub1"),
+                                   F.when(F.col("_hid0").isNotNull(), F.col("_hid0")).otherwise(p["a"]).alias("hid0"),
+                                   F.when(F.col("_hid0").isNotNull(), F.col("_hid1")).otherwise(p["b"]).alias("hid1")))
+
+    def judged(n: Column) -> Column:
+        one_empty = (n["pub0"] == "") != (n["pub1"] == "")
+        anony = (n["pub0"] == "") | (n["pub0"] == "Model A")
+        mismatch = ~(n["pub0"].eqNullSafe(n["hid0"]) & n["pub1"].eqNullSafe(n["hid1"]))
+        reason = (F.when(one_empty, "invalid_names")
+                  .when(~anony & mismatch, "invalid_mismatch")
+                  .when(F.col("n_msgs").isNull() | (F.col("offset") >= F.col("n_msgs")), "invalid_offset")
+                  .when(F.col("_leaked"), "leaked_identity")
+                  .otherwise("kept"))
+        return F.struct(n["pub0"].alias("pub0"), n["pub1"].alias("pub1"), n["hid0"].alias("hid0"), n["hid1"].alias("hid1"),
+                        anony.alias("anony"), reason.alias("reason"))
+
+    return votes.select("event_id", "tstamp", "type", "offset", "n_msgs", "language",
+                        let(names, judged).alias("_j")).select("event_id", "tstamp", "type", "offset", "n_msgs", "language",
+                                                               "_j.*")
 
 
 def rename_model(c: Column) -> Column:
@@ -137,20 +163,15 @@ def vote_to_win(c: Column) -> Column:
     return F.element_at(m, c)
 
 
-def clean_battles(votes: DataFrame, detect: bool = True) -> DataFrame:
+def clean_battles(votes: DataFrame) -> DataFrame:
     """Kept battles: model_a, model_b, win, anony, rounds, language, tstamp
     (+ event_id, the tie-break of the time order)."""
     r = battle_reasons(votes).where(F.col("reason") == "kept")
     m0 = F.when(F.col("anony"), F.col("hid0")).otherwise(F.col("pub0"))
     m1 = F.when(F.col("anony"), F.col("hid1")).otherwise(F.col("pub1"))
-    out = r.select("event_id", rename_model(m0).alias("model_a"), rename_model(m1).alias("model_b"),
-                   vote_to_win(F.col("type")).alias("win"), "anony",
-                   F.floor((F.col("n_msgs") - F.col("offset")) / 2).cast("int").alias("rounds"), "tstamp", "first_text")
-    if detect:
-        out = out.withColumn("language", language_of(F.col("first_text")))
-    else:
-        out = out.withColumn("language", F.lit("unknown"))
-    return out.select("event_id", "model_a", "model_b", "win", "anony", "rounds", "language", "tstamp")
+    return r.select("event_id", rename_model(m0).alias("model_a"), rename_model(m1).alias("model_b"),
+                    vote_to_win(F.col("type")).alias("win"), "anony",
+                    F.floor((F.col("n_msgs") - F.col("offset")) / 2).cast("int").alias("rounds"), "language", "tstamp")
 
 
 def cleaning_counters(votes: DataFrame) -> DataFrame:
@@ -171,21 +192,22 @@ def model_catalog(votes: DataFrame) -> DataFrame:
     return r.select(F.explode(F.array("hid0", "hid1")).alias("model")).distinct()
 
 
-def won_conversations(votes: DataFrame, loser: str, winner: str) -> DataFrame:
+def won_conversations(votes: DataFrame, turns: DataFrame, loser: str, winner: str) -> DataFrame:
     """Winner/loser by vote (left/right only; the reference's bothbad branch
     reuses a stale winner and is excluded) for one (loser, winner) pair, with
-    both conversations as rows (event_id, side, i, role, text)."""
-    s0, s1 = F.element_at("states", 1), F.element_at("states", 2)
-    v = votes.where(F.col("type").isin("leftvote", "rightvote"))
+    both conversations as rows (event_id, side, i, role, text). The second state's extra
+    message ``leak`` comes last; it is an assistant's."""
     left = F.col("type") == "leftvote"
-    v = v.select("event_id",
-                 F.when(left, s0["model_name"]).otherwise(s1["model_name"]).alias("winner"),
-                 F.when(left, s1["model_name"]).otherwise(s0["model_name"]).alias("loser"),
-                 F.when(left, s0["messages"]).otherwise(s1["messages"]).alias("w_msgs"),
-                 F.when(left, s1["messages"]).otherwise(s0["messages"]).alias("l_msgs"))
+    v = votes.where(F.col("type").isin("leftvote", "rightvote")).select(
+        "event_id", "conv_id", F.when(left, F.col("hidden_a")).otherwise(F.col("hidden_b")).alias("winner"),
+        F.when(left, F.col("hidden_b")).otherwise(F.col("hidden_a")).alias("loser"),
+        F.when(left, "loser").otherwise("winner").alias("second"), "leak")
     v = v.where((F.col("loser") == loser) & (F.col("winner") == winner))
-    sides = v.select("event_id", "winner", "loser", F.explode(F.array(
-        F.struct(F.lit("winner").alias("side"), F.col("w_msgs").alias("m")),
-        F.struct(F.lit("loser").alias("side"), F.col("l_msgs").alias("m")))).alias("_s"))
-    return sides.select("event_id", "winner", "loser", "_s.side", F.posexplode("_s.m").alias("i", "_m")).select(
-        "event_id", "winner", "loser", "side", "i", F.col("_m")[0].alias("role"), F.col("_m")[1].alias("text"))
+    sides = v.select("*", F.explode(F.array(F.lit("winner"), F.lit("loser"))).alias("side"))
+    own = sides.join(turns.select("conv_id", "i", "role", "text"), "conv_id").select(
+        "event_id", "winner", "loser", "side", "i", "role", "text")
+    sizes = turns.groupBy("conv_id").agg(F.count(F.lit(1)).cast("int").alias("i"))
+    extra = v.where(F.col("leak") != "").join(sizes, "conv_id").select(
+        "event_id", "winner", "loser", F.col("second").alias("side"), "i", F.lit("assistant").alias("role"),
+        F.col("leak").alias("text"))
+    return own.unionByName(extra)
