@@ -27,6 +27,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # streaming state outside the heap; processors with lists, maps and timers need it
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 CORE_CONF = SEMANTIC_CONF | DEFAULT_CONF
 
