@@ -65,7 +65,73 @@ class Vocabulary:
                 if plain and "\n" not in plain and " " not in plain.lstrip(" "):
                     self.ids[plain] = i
                 self.text[i] = plain.encode()
-        self.longest = max(map(len, self.ids))
+        at = np.cumsum([0, *map(len, self.text)])
+        self.flat, self.start = np.frombuffer(b"".join(self.text), np.uint8), at[:-1]
+        self.size = np.diff(at)
+
+    def spell(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
+        """Texts of many id sequences, one after the other in ``ids``."""
+        n = self.size[ids]
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        raw = self.flat[np.repeat(self.start[ids] - (ends - n), n) + np.arange(total)].tobytes()
+        cut = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))].tolist()
+        return [raw[a:b].decode("utf-8", "replace")[1:] for a, b in zip(cut, cut[1:])]
+
+
+class PieceTrie:
+    """Trie of the pieces, as a table addressed by node and next character.
+
+    The key of an edge, node << 21 | character, is exact, so no two edges are ever
+    mistaken for one another. Node 0 is the root."""
+
+    _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, ids: dict[str, int]):
+        edges: dict[int, int] = {}
+        piece = [-1]
+        for text, k in ids.items():
+            node = 0
+            for c in text:
+                node = edges.setdefault(node << 21 | ord(c), len(piece))
+                if node == len(piece):
+                    piece.append(-1)
+            piece[node] = k
+        self.piece = np.array(piece, np.int32)
+        bits = max(4, (4 * len(edges)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.keys, self.child = np.full((1 << bits) + 1, -1, np.int64), np.zeros((1 << bits) + 1, np.int64)
+        keys, nodes = np.array(list(edges), np.int64), np.array(list(edges.values()), np.int64)
+        slot = self._slot(keys)
+        while len(keys):  # of the edges that want a slot the first takes it, the others go on to the next
+            free = self.keys[slot] < 0
+            _, first = np.unique(slot, return_index=True)
+            first = first[free[first]]
+            self.keys[slot[first]], self.child[slot[first]] = keys[first], nodes[first]
+            rest = np.ones(len(keys), bool)
+            rest[first] = False
+            keys, nodes, slot = keys[rest], nodes[rest], self._next(slot[rest])
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * self._GOLDEN) >> self.shift).astype(np.int64)
+
+    def _next(self, slot: np.ndarray) -> np.ndarray:
+        return (slot + 1) % (len(self.keys) - 1)
+
+    def step(self, node: np.ndarray, char: np.ndarray) -> np.ndarray:
+        """Child of each node by its character; 0 where there is none."""
+        key = node << 21 | char
+        slot = self._slot(key)
+        there = self.keys[slot]
+        out = np.where(there == key, self.child[slot], 0)
+        on = np.flatnonzero((there != key) & (there >= 0))
+        while len(on):
+            slot_on = slot[on] = self._next(slot[on])
+            there = self.keys[slot_on]
+            hit = there == key[on]
+            out[on[hit]] = self.child[slot_on[hit]]
+            on = on[~hit & (there >= 0)]
+        return out
 
 
 class Sampler:
@@ -73,8 +139,8 @@ class Sampler:
 
     Node k stands for a position of a unit; its arcs (the pieces that end there)
     are first_arc[k] to first_arc[k + 1]. Node 0 is where every unit begins. The
-    table keeps the first ``cache`` units it meets, among them nearly all of the
-    frequent ones; others are filtered where they occur.
+    table keeps up to ``cache`` units, the first that two batches have met; others
+    are filtered where they occur. Shares are kept as 32-bit floats.
     """
 
     def __init__(self, path: str, theta: float = THETA, cache: int = CACHE_UNITS):
@@ -82,28 +148,42 @@ class Sampler:
         self.theta, self.cache = theta, cache
         self.log_w = theta * v.log_p
         self.units: dict[str, int] = {"": 0}  # last node of each unit
+        self.met: set[int] = set()  # hashes of units that were met, while there is room for more
         self.first_arc = array("q", [0, 0])
         self.piece, self.previous, self.upto = array("i"), array("i"), array("f")
-        hashes = np.array([_substrings(_codes(u))(0, len(u)) for u in v.ids], np.uint64)
-        order = np.argsort(hashes)
-        self.hashes, self.hash_ids = hashes[order], np.array(list(v.ids.values()), np.int32)[order]
+        self.trie = PieceTrie(v.ids)
 
     def _arcs(self, codes: np.ndarray, place: np.ndarray):
-        """(end character, length, piece) of every vocabulary piece inside a unit."""
-        sub = _substrings(codes)
-        ends, lengths, pieces = [], [], []
-        at = np.arange(len(codes))
-        for n in range(1, self.vocabulary.longest + 1):
-            at = at[place[at] >= n - 1]
-            if not len(at):
-                break
-            h = sub(at - n + 1, n)
-            k = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-            hit = self.hashes[k] == h
-            ends.append(at[hit])
-            lengths.append(np.full(int(hit.sum()), n))
-            pieces.append(self.hash_ids[k[hit]])
-        return np.concatenate(ends), np.concatenate(lengths), np.concatenate(pieces)
+        """(end character, length, piece) of every vocabulary piece inside a unit, in the
+        order of (end, length): all characters walk down the trie together, as far as
+        their unit and the trie go."""
+        ends, ranks, pieces, lengths = [], [], [], []
+        at, node, n = np.arange(len(codes), dtype=np.int32), np.zeros(len(codes), np.int64), 0
+        count = np.zeros(len(codes) + 1, np.int32)  # arcs that end at each character so far
+        while len(at):
+            node = self.trie.step(node, codes[at])
+            on = node > 0
+            at, node, n = at[on], node[on], n + 1
+            piece = self.trie.piece[node]
+            hit = piece >= 0
+            end = at[hit]
+            rank = count[end]
+            count[end] = rank + 1
+            ends.append(end)
+            ranks.append(rank)
+            pieces.append(piece[hit])
+            lengths.append(np.full(len(end), n, np.int32))
+            at = at + 1
+            on = at < len(codes)
+            on[on] = place[at[on]] > 0
+            at, node = at[on], node[on]
+        first = np.cumsum(count, dtype=np.int32) - count
+        out = [np.empty(int(count.sum()), np.int32) for _ in range(3)]
+        for end, rank, piece, length in zip(ends, ranks, pieces, lengths):
+            to = first[end] + rank
+            for x, v in zip(out, (end, length, piece)):
+                x[to] = v
+        return out
 
     def _learn(self, units: list[str]) -> dict[str, int]:
         """Filter new units together, position by position; returns their last nodes.
@@ -111,13 +191,13 @@ class Sampler:
         The filter runs on logarithms: unit lengths are not bounded.
         """
         text = "".join(units)
-        codes = _codes(text)
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
         size = np.fromiter(map(len, units), np.int64, len(units))
         last = np.cumsum(size) - 1
-        place = np.arange(len(codes)) - np.repeat(last + 1 - size, size)
+        place = (np.arange(len(codes)) - np.repeat(last + 1 - size, size)).astype(np.int32)
         end, length, piece = self._arcs(codes, place)
         base = len(self.first_arc) - 1  # node of character c: base + c
-        before = np.where(length > place[end], 0, base + end - length)
+        before = np.where(length > place[end], 0, np.int32(base) + end - length)
         log_w = self.log_w[piece]
         extra_piece, extra_before = [], []
         spelled = np.ones(len(codes), bool)
@@ -136,11 +216,13 @@ class Sampler:
             end, length = np.concatenate((end, c)), np.concatenate((length, n))
             piece, before = np.concatenate((piece, k.astype(np.int32))), np.concatenate((before, at))
             log_w = np.concatenate((log_w, w))
-        order = np.lexsort((length, end))
-        end, length, piece, before, log_w = (x[order] for x in (end, length, piece, before, log_w))
+            order = np.lexsort((length, end))
+            end, length, piece, before, log_w = (x[order] for x in (end, length, piece, before, log_w))
         mass, upto = np.zeros(len(codes)), np.empty(len(end))
-        by_place = np.argsort(place[end], kind="stable")
-        bounds = np.searchsorted(place[end[by_place]], np.arange(int(place.max()) + 2))
+        level = place[end]
+        longest = int(place.max())
+        by_place = np.argsort(level.astype(np.uint16) if longest < 1 << 16 else level, kind="stable")
+        bounds = np.concatenate(([0], np.cumsum(np.bincount(level, minlength=longest + 1))))
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
             arc = by_place[a:b]
             e, n = end[arc], length[arc]
@@ -166,6 +248,21 @@ class Sampler:
         self.upto.extend([2.0] * len(extra_piece))
         return dict(zip(units, (base + last).tolist()))
 
+    def _admit(self, units: dict[str, None]) -> tuple[list[str], list[str]]:
+        """Units that the table takes, and the others: it takes a unit that an earlier batch met too,
+        as long as there is room, so units that occur once do not fill it."""
+        room = self.cache - len(self.units)
+        if room <= 0:
+            return [], list(units)
+        codes = [hash(u) for u in units]
+        again, once = [], []
+        for u, c in zip(units, codes):
+            (again if c in self.met and len(again) < room else once).append(u)
+        if len(self.met) + len(codes) > 4 * self.cache:
+            self.met.clear()
+        self.met.update(codes)
+        return again, once
+
     def _forget(self, nodes: int) -> None:
         """Drop every node after the first ``nodes``."""
         del self.first_arc[nodes + 1:]
@@ -192,11 +289,14 @@ class Sampler:
         holes = np.flatnonzero(last < 0).tolist()
         if holes:
             missing = [units[i] for i in holes]
-            new = self._learn(list(dict.fromkeys(missing)))
-            last[holes] = np.fromiter(map(new.__getitem__, missing), np.int64, len(missing))
-            if len(self.units) < self.cache:
+            again, once = self._admit(dict.fromkeys(missing))
+            new = self._learn(again) if again else {}
+            if again:
                 self.units |= new
                 kept = len(self.first_arc) - 1
+            if once:
+                new |= self._learn(once)
+            last[holes] = np.fromiter(map(new.__getitem__, missing), np.int64, len(missing))
         counts = np.array(counts, np.int64)
         owner = np.repeat(np.arange(len(texts)), counts)
         place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -235,32 +335,7 @@ class Sampler:
 
     def decode(self, ids) -> str:
         """The text that the ids were made from."""
-        return b"".join(map(self.vocabulary.text.__getitem__, ids)).decode("utf-8", "replace")[1:]
-
-
-def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
-
-
-_BASE = 0x5851F42D4C957F2D
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
-def _substrings(codes: np.ndarray):
-    """Hash of any substring: ``f(start, length)``, vectorised over the starts.
-    Equal substrings have equal hashes; 64 bits of a polynomial over mixed characters."""
-    n, one = len(codes), np.ones(1, np.uint64)
-    with np.errstate(over="ignore"):
-        up = np.cumprod(np.concatenate((one, np.full(n, _BASE, np.uint64))))
-        down = np.cumprod(np.concatenate((one, np.full(n, _INVERSE, np.uint64))))
-        terms = _mix(codes.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) * up[:n]
-        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)))
-
-    def f(start, length):
-        with np.errstate(over="ignore"):
-            return _mix((total[start + length] - total[start]) * down[start] + np.uint64(length))
-
-    return f
+        return self.vocabulary.spell(np.asarray(ids, np.int64), np.array([len(ids)]))[0]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -318,7 +393,9 @@ def decode(encoded: DataFrame, model: str | None = None, theta: float = THETA) -
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                texts = [sampler.decode(x or ()) for x in part.column("ids").to_pylist()]
+                ids = part.column("ids")
+                counts = pa.compute.fill_null(pa.compute.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+                texts = sampler.vocabulary.spell(ids.flatten().to_numpy(zero_copy_only=False), counts)
                 yield pa.record_batch([*(part.column(c) for c in keep), pa.array(texts, pa.string())],
                                       names=[*keep, "text"])
 
