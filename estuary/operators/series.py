@@ -373,22 +373,32 @@ def slice_region(parsed: DataFrame, cells: DataFrame, rs: str = "region_start",
 # ---------------------------------------------------------------- scaling
 
 
-def feature_long(dense: DataFrame) -> DataFrame:
-    return dense.select("n", "site", "t", F.explode(F.array(
-        F.struct(F.lit(0).alias("f"), F.col("sediment").alias("v")),
-        F.struct(F.lit(1).alias("f"), F.col("discharge").alias("v")))).alias("_c")).select("n", "site", "t", "_c.f", "_c.v")
+def _both() -> tuple[Column, Column]:
+    """Mean and population std of both features together, from counts, means and variances of each:
+    no row is doubled."""
+    n = [F.count(c) for c in ("sediment", "discharge")]
+    m = [F.coalesce(F.avg(c), F.lit(0.0)) for c in ("sediment", "discharge")]
+    v = [F.coalesce(F.var_pop(c), F.lit(0.0)) for c in ("sediment", "discharge")]
+    total = n[0] + n[1]
+    mean = F.try_divide(n[0] * m[0] + n[1] * m[1], total)
+    spread = F.try_divide(n[0] * v[0] + n[1] * v[1], total) + F.try_divide(
+        n[0] * n[1] * (m[0] - m[1]) * (m[0] - m[1]), total * total)
+    return mean, F.sqrt(spread)
 
 
 def zscore_stats(dense: DataFrame) -> DataFrame:
     """Per-site mean and population std over time and both features together."""
-    return feature_long(dense).groupBy("n", "site").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"))
+    mean, std = _both()
+    return dense.groupBy("n", "site").agg(mean.alias("mean"), std.alias("std"))
 
 
 def zscore_by_site(dense: DataFrame) -> DataFrame:
+    """Both features of each row less the site's mean, over its std: the small per-site statistics
+    meet the rows once, and the two features are written out at the very end."""
     stats = zscore_stats(dense)
-    return (feature_long(dense).join(stats, ["n", "site"])
-            .select("n", "site", "t", "f", F.try_divide(F.col("v") - F.col("mean"), F.col("std")).alias("z"),
-                    "mean", "std"))
+    z = lambda c: F.try_divide(F.col(c) - F.col("mean"), F.col("std"))
+    rows = dense.join(stats, ["n", "site"])
+    return rows.select("n", "site", "t", F.posexplode(F.array(z("sediment"), z("discharge"))).alias("f", "z"), "mean", "std")
 
 
 def zscore_inverse(scaled: DataFrame, stats: DataFrame) -> DataFrame:

@@ -6,44 +6,71 @@ every row into one task); both stay in the DataFrame API.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 
+MAX_RANGES = 4096
+RANGE_SAMPLES = 32  # sampled rows for each range
+
+
+def range_splitters(df: DataFrame, order: list[str], ranges: int | None = None,
+                    rows_per_range: int = 2_000_000) -> list[Row]:
+    """Keys that cut the rows of ``df``, in the order ``order``, into ranges of about equal size.
+
+    They come from a sample of whole keys (rows whose key hash is below a threshold, so the
+    choice is the same in every run): however many rows share the first columns, the
+    following ones split them. ``ranges`` grows with the rows, up to MAX_RANGES; at most
+    MAX_RANGES * RANGE_SAMPLES keys reach the driver. Keys are whole, so order by short columns."""
+    n = df.count()
+    if not ranges:
+        floor = max(64, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        ranges = min(MAX_RANGES, max(floor, -(-n // rows_per_range)))
+    keys = df.select(*order)
+    share = ranges * RANGE_SAMPLES / max(n, 1)
+    if share < 1:
+        keys = keys.where(F.pmod(F.xxhash64(*order), F.lit(1 << 30)) < int(share * (1 << 30)))
+    sample = keys.orderBy(*order).collect()
+    picks = [sample[k * len(sample) // ranges] for k in range(1, ranges)] if sample else []
+    return [p for p, q in zip(picks, [None, *picks]) if p != q]
+
+
+def range_of(df: DataFrame, order: list[str], splitters: list[Row]) -> Column:
+    """Number of splitters that are not after a row's key: a binary search in a constant array."""
+    if not splitters:
+        return F.lit(0).cast("long")
+    kind = dict(df.dtypes)
+    key = F.struct(*[F.col(c) for c in order])
+    all_keys = F.array(*[F.struct(*[F.lit(v).cast(kind[c]).alias(c) for c, v in zip(order, s)]) for s in splitters])
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(splitters).bit_length()))])
+    # try_element_at: beyond the last splitter there is none, and the comparison is NULL
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        F.try_element_at(all_keys, at + step) <= key, at + step).otherwise(at)).cast("long")
+
+
 def global_ordinal(df: DataFrame, order: list[str], name: str = "pos", buckets: int | None = None,
                    rows_per_bucket: int = 2_000_000, bucket: Column | None = None) -> DataFrame:
-    """0-based position of each row in the total order ``order``.
-
-    ``order`` must be a total order (end with a unique tie-break column) whose
-    first column is numeric. Rows go to ranges of the first column, scaled by
-    its exact min/max (a one-row aggregate), so the bucket is a deterministic,
-    monotone function of the key: recomputation after a lost executor gives the
-    same positions. The bucket count grows with the data (``rows_per_bucket``,
-    taken from the same aggregate) unless ``buckets`` is given. Bucket counts
-    (one row per bucket) get a running sum for the offsets; rows are numbered
-    inside their bucket only.
-
-    ``bucket`` may give any monotone (non-decreasing in ``order``) integer
-    expression instead, e.g. the top bits of a hash or an hour number; then no
-    min/max pass over the input is needed.
+    """0-based position of each row in the total order ``order`` (end with a unique tie-break
+    column; any sortable types, NULL first).
+
+    Rows go to ranges of the whole order, bounded by sampled keys (see
+    :func:`range_splitters`; the sample is taken when this is called), so a first key that
+    most rows share is split by the columns after it. The range is a deterministic function of the key:
+    recomputation after a lost executor gives the same positions. Range counts (at most
+    MAX_RANGES rows) get a running sum for the offsets; rows are numbered inside their
+    range only.
+
+    ``bucket`` may give a monotone (non-decreasing in ``order``) integer expression
+    instead whose values are known to be even, e.g. the top bits of a hash; then nothing is
+    sampled.
     """
-    if bucket is not None:
-        return _ordinal_by_bucket(df.withColumn("_b", bucket.cast("long")), order, name)
-    spark = df.sparkSession
-    floor_nb = max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    first = order[0]
-    rng = df.agg(F.min(first).cast("double").alias("_lo"), F.max(first).cast("double").alias("_hi"),
-                 F.count(F.lit(1)).alias("_n"))
-    nb = F.lit(buckets) if buckets else F.greatest(F.lit(floor_nb), F.ceil(F.col("_n") / rows_per_bucket))
-    span = F.col("_hi") - F.col("_lo")
-    bucket = F.when(span > 0, F.least(
-        F.floor((F.col(first).cast("double") - F.col("_lo")) / span * nb), nb - 1)).otherwise(F.lit(0)).cast("long")
-    tagged = df.crossJoin(F.broadcast(rng)).withColumn("_b", bucket).drop("_lo", "_hi", "_n")
-    return _ordinal_by_bucket(tagged, order, name)
+    if bucket is None:
+        bucket = range_of(df, order, range_splitters(df, order, buckets, rows_per_bucket))
+    return _ordinal_by_bucket(df.withColumn("_b", bucket.cast("long")), order, name)
 
 
 def _ordinal_by_bucket(tagged: DataFrame, order: list[str], name: str) -> DataFrame:
-    counts = tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))  # one row per bucket
+    counts = tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))  # one row per range, at most MAX_RANGES (or hash buckets)
     offsets = counts.select("_b", (F.sum("_cnt").over(Window.orderBy("_b")) - F.col("_cnt")).alias("_off"))
     within = tagged.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy(*order)) - 1)
     return (within.join(F.broadcast(offsets), "_b")

@@ -83,6 +83,33 @@ def test_global_ordinal_matches_row_number(spark):
     assert j.where("rn != pos").count() == 0 and j.count() == 5000
 
 
+def test_ordinal_splits_equal_first_keys_text_keys_and_nulls(spark):
+    """90 % of the rows share the first key: no range holds more than twice the median rows."""
+    from estuary.plans.ordinal import range_of, range_splitters
+
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 10 == 0, F.col("id").cast("string")).when(F.col("id") % 1001 != 1, "hot" * 10).alias("k"),
+        F.md5(F.col("id").cast("string")).alias("t"), F.col("id").alias("tie"))
+    order = ["k", "t", "tie"]
+    splitters = range_splitters(df, order, 16)
+    sizes = sorted(r["count"] for r in df.groupBy(range_of(df, order, splitters).alias("r")).count().collect())
+    assert len(sizes) == 16 and sizes[-1] < 2 * sizes[8]
+    o = global_ordinal(df, order, "pos", buckets=16)
+    ref = df.withColumn("rn", F.row_number().over(Window.orderBy(*order)) - 1).select("tie", "rn")
+    j = o.join(ref, "tie")
+    assert j.where("rn != pos").count() == 0 and j.count() == 60_000
+
+
+def test_ordinal_of_an_empty_table_and_other_types(spark):
+    df = spark.createDataFrame([], "k string, tie long")
+    assert global_ordinal(df, ["k", "tie"]).collect() == []
+    days = spark.range(300).select(F.date_add(F.lit("2024-01-01"), (F.col("id") % 7).cast("int")).alias("d"),
+                                   (F.col("id") / 3).cast("decimal(10,2)").alias("x"), F.col("id").alias("tie"))
+    got = global_ordinal(days, ["d", "x", "tie"], buckets=9).orderBy("pos").collect()
+    assert [r.pos for r in got] == list(range(300))
+    assert [tuple(r)[:3] for r in got] == sorted(tuple(r)[:3] for r in got)
+
+
 def test_blocked_running_min(spark):
     df = spark.range(3000).select((F.col("id") % 3).alias("run"), F.col("id").alias("e"),
                                   ((F.col("id") * 37) % 101).cast("double").alias("l"))
