@@ -9,6 +9,7 @@ from estuary.catalog import series as CS
 from estuary.catalog.common import flat
 from estuary.catalog.fixtures_sql import with_recipes
 from estuary.operators import text as X
+from estuary.operators import tokens as TK
 from estuary.sources import tables as TB
 
 SRC_ROLES = {"user": "human", "assistant": "gpt"}
@@ -88,6 +89,26 @@ def q_supervision_mask_v1(spark, d):
     return _span_rows(s.select("conv_id", X.supervision_mask_v1(conv, V1["sep"], V1["sep2"], V1["role1"]).alias("r")))
 
 
+def _pieces():
+    """The public sentencepiece model; ``</s>`` is one token."""
+    import public_tokenizers
+
+    return TK.Pieces(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def q_supervision_mask_v1_pieces(spark, d):
+    s = _sources(spark, d)
+    conv = X.render_prompt(_positional(F.col("messages"), V1), "TWO", V1["system"], V1["sep"], V1["sep2"])
+    mask = X.supervision_mask_v1(conv, V1["sep"], V1["sep2"], V1["role1"], measure=TK.lengths(_pieces()))
+    return _span_rows(s.select("conv_id", mask.alias("r")))
+
+
+def q_token_lengths_pieces(spark, d):
+    t = _turns(spark, d)
+    n = F.element_at(TK.lengths(_pieces())(F.array("text")), 1)
+    return flat(t.select("conv_id", "turn", F.least(n, F.lit(2048)).alias("ids_len")))
+
+
 def q_supervision_mask_mpt(spark, d):
     s = _sources(spark, d)
     conv = X.render_prompt(_positional(F.col("messages"), MPT), "MPT", MPT["system"], MPT["sep"])

@@ -9,10 +9,12 @@ no operator collects across conversations.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from estuary.functions.exprs import let
 from estuary.operators.series import ST_END, ST_HIS, ST_PATCH, ST_PRE, ST_START
 
 IGNORE_INDEX = -100
@@ -182,74 +184,101 @@ def _span(s: Column, e: Column) -> Column:
     return F.struct(s.cast("int").alias("s"), e.cast("int").alias("e"))
 
 
-def supervision_mask_v1(conversation: Column, sep: str, sep2: str, role1: str, max_len: int = 2048) -> Column:
+Measure = Callable[[Column], Column]
+
+
+def word_lengths(apart: str | None = None) -> Measure:
+    """Lengths of the texts of an array by the whitespace tokenizer; ``apart`` is a string that is a
+    token of its own wherever it stands. ``estuary.operators.tokens.lengths`` measures with a model."""
+    cut = (lambda t: F.replace(t, F.lit(apart), F.lit(f" {apart} "))) if apart else (lambda t: t)
+    return lambda texts: F.transform(texts, lambda t: tok_len(cut(t)))
+
+
+def _valid_rounds(rounds: Column, sep: str) -> Column:
+    """Rounds before the first one that is empty or has not exactly one ``sep``."""
+    valid = F.transform(rounds, lambda r: (r != "") & (F.size(F.split(r, re.escape(sep), -1)) == 2))
+    pos = F.array_position(valid, False)
+    return F.slice(rounds, 1, F.when(pos == 0, F.size(rounds)).otherwise(pos - 1).cast("int"))
+
+
+def _instructions(rounds: Column, sep: str) -> Column:
+    return F.transform(rounds, lambda r: F.concat(F.element_at(F.split(r, re.escape(sep), -1), 1), F.lit(sep)))
+
+
+def _round_mask(measured: Column, begin: int, before: int, max_len: int, lead: list[Column], sep_len: bool = False) -> Column:
+    """Spans from one array of lengths: the whole text, then (the separator, if ``sep_len``) then the rounds, then
+    the instruction part of each round. Counting starts at ``begin``; ``before`` tokens of an
+    instruction part are not masked. A counted length that differs from the total masks everything."""
+    skip = 2 if sep_len else 1
+
+    def of(m: Column) -> Column:
+        total = F.least(F.element_at(m, 1), F.lit(max_len))
+        n = ((F.size(m) - skip) / 2).cast("int")
+        each = F.element_at(m, 2) if sep_len else F.lit(0)
+        rlen = F.transform(F.slice(m, F.lit(skip + 1), n), lambda x: x + each)
+        ilen = F.transform(F.slice(m, n + skip + 1, n), lambda x: x - before)
+        starts = F.transform(rlen, lambda _, k: F.aggregate(F.slice(rlen, F.lit(1), k), F.lit(begin), lambda a, x: a + x))
+        cur_end = F.aggregate(rlen, F.lit(begin), lambda a, x: a + x)
+        spans = F.concat(*([F.array(*lead)] if lead else []),
+                         F.zip_with(starts, ilen, lambda s, i: _span(s, s + i)), F.array(_span(cur_end, total)))
+        mismatch = (cur_end < max_len) & (cur_end != total)
+        return F.struct(total.alias("total"), mismatch.alias("mismatch"),
+                        F.when(mismatch, F.array(_span(F.lit(0), total))).otherwise(_clip_spans(spans, total)).alias("spans"))
+
+    return let(measured, of)
+
+
+def supervision_mask_v1(conversation: Column, sep: str, sep2: str, role1: str, max_len: int = 2048,
+                        measure: Measure | None = None) -> Column:
     """Masked token spans of ``preprocess_v1`` (TWO style): the first token, each
     round's instruction part (length − 2), everything after the last round;
     everything when the counted length disagrees with the total. ``sep2`` is a
-    token of its own, as the first token that each round's count includes."""
-    apart = F.replace(conversation, F.lit(sep2), F.lit(f" {sep2} "))
-    total = F.least(tok_len(apart), F.lit(max_len))
+    token of its own, as the first token that each round's count includes. ``measure`` gives the
+    tokens of each text of an array (whitespace words by default)."""
+    measure = measure or word_lengths(sep2)
     rsep = sep + role1 + ": "
-    rounds = F.split(conversation, re.escape(sep2), -1)
-    valid = F.transform(rounds, lambda r: (r != "") & (F.size(F.split(r, re.escape(rsep), -1)) == 2))
-    pos = F.array_position(valid, False)
-    n = F.when(pos == 0, F.size(rounds)).otherwise(pos - 1).cast("int")
-    kept = F.slice(rounds, 1, n)
-    rlen = F.transform(kept, tok_len)
-    ilen = F.transform(kept, lambda r: tok_len(F.concat(F.element_at(F.split(r, re.escape(rsep), -1), 1), F.lit(rsep))) - 2)
-    starts = F.transform(kept, lambda r, k: F.aggregate(F.slice(rlen, 1, k), F.lit(1), lambda a, x: a + x))
-    cur_end = F.aggregate(rlen, F.lit(1), lambda a, x: a + x)
-    spans = F.concat(F.array(_span(F.lit(0), F.lit(1))),
-                     F.transform(starts, lambda s, k: _span(s, s + F.element_at(ilen, k + 1))),
-                     F.array(_span(cur_end, total)))
-    mismatch = (cur_end < max_len) & (cur_end != total)
-    return F.struct(total.alias("total"), mismatch.alias("mismatch"),
-                    F.when(mismatch, F.array(_span(F.lit(0), total))).otherwise(_clip_spans(spans, total)).alias("spans"))
-
-
-def supervision_mask_mpt(conversation: Column, sep: str, role1: str, max_len: int = 2048) -> Column:
+    kept = _valid_rounds(F.split(conversation, re.escape(sep2), -1), rsep)
+    measured = measure(F.concat(F.array(conversation), kept, _instructions(kept, rsep)))
+    return _round_mask(measured, 1, 2, max_len, [_span(F.lit(0), F.lit(1))])
+
+
+def supervision_mask_mpt(conversation: Column, sep: str, role1: str, max_len: int = 2048,
+                         measure: Measure | None = None) -> Column:
     """``preprocess_mpt``: first round = system + user + gpt parts, later rounds =
     pairs; a round's length adds the separator's length; counting starts at 0."""
-    total = F.least(tok_len(conversation), F.lit(max_len))
+    measure = measure or word_lengths()
     bsep = sep + role1
     parts = F.split(conversation, re.escape(sep), -1)
     n_parts = F.size(parts)
     first = F.array_join(F.slice(parts, 1, 3), sep)
     later = F.transform(F.filter(F.sequence(F.lit(4), F.greatest(n_parts, F.lit(4)), F.lit(2)), lambda i: i <= n_parts),
                         lambda i: F.array_join(F.slice(parts, i, 2), sep))
-    rounds = F.concat(F.array(first), later)
-    valid = F.transform(rounds, lambda r: (r != "") & (F.size(F.split(r, re.escape(bsep), -1)) == 2))
-    pos = F.array_position(valid, False)
-    n = F.when(pos == 0, F.size(rounds)).otherwise(pos - 1).cast("int")
-    kept = F.slice(rounds, 1, n)
-    sep_len = tok_len(F.lit(sep))
-    rlen = F.transform(kept, lambda r: tok_len(r) + sep_len)
-    ilen = F.transform(kept, lambda r: tok_len(F.concat(F.element_at(F.split(r, re.escape(bsep), -1), 1), F.lit(bsep))))
-    starts = F.transform(kept, lambda r, k: F.aggregate(F.slice(rlen, 1, k), F.lit(0), lambda a, x: a + x))
-    cur_end = F.aggregate(rlen, F.lit(0), lambda a, x: a + x)
-    spans = F.concat(F.transform(starts, lambda s, k: _span(s, s + F.element_at(ilen, k + 1))),
-                     F.array(_span(cur_end, total)))
-    mismatch = (cur_end < max_len) & (cur_end != total)
-    return F.struct(total.alias("total"), mismatch.alias("mismatch"),
-                    F.when(mismatch, F.array(_span(F.lit(0), total))).otherwise(_clip_spans(spans, total)).alias("spans"))
-
-
-def supervision_mask_turns(system: str, messages: Column, roles=("Human", "Assistant")) -> Column:
+    kept = _valid_rounds(F.concat(F.array(first), later), bsep)
+    measured = measure(F.concat(F.array(conversation, F.lit(sep)), kept, _instructions(kept, bsep)))
+    return _round_mask(measured, 0, 0, max_len, [], sep_len=True)
+
+
+def supervision_mask_turns(system: str, messages: Column, roles=("Human", "Assistant"), measure: Measure | None = None) -> Column:
     """``_mask_targets``: the header is masked; a human turn is masked from
     ``cur + 2`` to its end; lengths are per-piece token counts."""
+    measure = measure or word_lengths()
     header = system + "\n\n"
     role = lambda m: (F.when(F.lower(m["role"]) == "human", F.lit(roles[0]))
                       .when(F.lower(m["role"]) == "gpt", F.lit(roles[1])).otherwise(F.lit("unknown")))
     pieces = F.transform(messages, lambda m: F.concat(F.lit("### "), role(m), F.lit(": "), m["msg"], F.lit("\n")))
-    lens = F.transform(pieces, tok_len)
-    h = tok_len(F.lit(header))
-    total = tok_len(add_speaker_signal(system, messages, roles))
-    starts = F.transform(pieces, lambda p, k: F.aggregate(F.slice(lens, 1, k), h, lambda a, x: a + x))
     human = F.transform(messages, lambda m: m["role"] == "human")
-    spans = F.concat(F.array(_span(F.lit(0), h)), F.transform(
-        F.filter(F.arrays_zip(starts.alias("st"), lens.alias("ln"), human.alias("hu")), lambda z: z["hu"]),
-        lambda z: _span(z["st"] + 2, z["st"] + z["ln"])))
-    return F.struct(total.alias("total"), F.lit(False).alias("mismatch"), _clip_spans(spans, total).alias("spans"))
+    measured = measure(F.concat(F.array(add_speaker_signal(system, messages, roles), F.lit(header)), pieces))
+
+    def of(m: Column) -> Column:
+        total, h = F.element_at(m["m"], 1), F.element_at(m["m"], 2)
+        lens = F.slice(m["m"], F.lit(3), F.greatest(F.size(m["m"]) - 2, F.lit(0)))
+        starts = F.transform(lens, lambda _, k: F.aggregate(F.slice(lens, F.lit(1), k), h, lambda a, x: a + x))
+        spans = F.concat(F.array(_span(F.lit(0), h)), F.transform(
+            F.filter(F.arrays_zip(starts.alias("st"), lens.alias("ln"), m["hu"].alias("hu")), lambda z: z["hu"]),
+            lambda z: _span(z["st"] + 2, z["st"] + z["ln"])))
+        return F.struct(total.alias("total"), F.lit(False).alias("mismatch"), _clip_spans(spans, total).alias("spans"))
+
+    return let(F.struct(measured.alias("m"), human.alias("hu")), of)
 
 
 def pad_and_mask(ids: Column, labels: Column, batch_max: Column, pad_id: int = 0) -> Column:
