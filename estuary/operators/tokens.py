@@ -113,7 +113,8 @@ def offsets(tokenizer: Tokenizer) -> Callable[[Column], Column]:
 
 
 def token_span(tokens: Column, start: Column, end: Column) -> Column:
-    """Half-open range (s, e) of the tokens of :func:`offsets` that lie inside characters ``start`` to ``end``."""
-    inside = F.filter(F.sequence(F.lit(1), F.size(tokens)), lambda k: (F.element_at(tokens, k)["s"] >= start)
-                      & (F.element_at(tokens, k)["e"] <= end) & (F.element_at(tokens, k)["e"] > F.element_at(tokens, k)["s"]))
+    """Half-open range (s, e) of the tokens of :func:`offsets` whose last character is one of ``start`` to
+    ``end`` (half-open; a space belongs to the token of the word after it); NULL if there is none."""
+    inside = F.filter(F.sequence(F.lit(1), F.size(tokens)), lambda k: (F.element_at(tokens, k)["e"] > start)
+                      & (F.element_at(tokens, k)["e"] <= end))
     return F.when(F.size(inside) > 0, F.struct((F.element_at(inside, 1) - 1).alias("s"), F.element_at(inside, -1).alias("e")))
