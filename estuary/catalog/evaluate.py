@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from estuary.catalog import series as CS
-from estuary.catalog.common import flat
+from estuary.catalog.common import flat, scratch_path
 from estuary.catalog.fixtures_sql import with_recipes
 from estuary.operators import evaluate as EV
+from estuary.operators import runner as RN
 from estuary.operators import text as X
 from estuary.sources import tables as TB
 
@@ -34,6 +35,18 @@ def q_resume_pending(spark, d):
     return flat(EV.resume_pending(c, done).select("id", "chunk"))
 
 
+def _answer_sizes(batches):
+    """A stand-in for a model run: any callable over pandas frames."""
+    for b in batches:
+        yield b[["id"]].assign(n_chars=b["gpt"].str.len(), n_words=b["gpt"].str.split().str.len())
+
+
+def q_run_resumable(spark, d):
+    out = RN.run_resumable(_ids(spark, d).select("id", "gpt"), "id", _answer_sizes, "id string, n_chars long, n_words long",
+                           scratch_path(spark, "runs"), slices=8)
+    return flat(out)
+
+
 def q_assemble_results(spark, d):
     w = CS._windows(spark, d)
     ids = _ids(spark, d).select("id", "n", "t", "gpt")
@@ -102,6 +115,8 @@ ORACLE = {
     "id_range_slice": CS._with_more(ORD, "select id, pos from o where pos >= 5 and pos < 115"),
     "chunk_assign": CS._with_more(ORD + ",\n" + CH, "select id, pos, cast(chunk as bigint) chunk from c"),
     "resume_pending": CS._with_more(ORD + ",\n" + CH, "select id, cast(chunk as bigint) chunk from c where pos - chunk * sz >= 7"),
+    "run_resumable": CS._wsql("""select id, length(gpt) n_chars,
+  cast(len(list_filter(string_split_regex(gpt, '\\s+'), lambda w: w <> '')) as bigint) n_words from rendered""", flow=True),
     "assemble_results": CS._with_more("""agg as (select n, t, sum(sediment) filter (where k < 12) xs, sum(discharge) filter (where k < 12) xd,
   sum(sediment) filter (where k >= 12) ys, sum(discharge) filter (where k >= 12) yd,
   max(sediment) filter (where k = 11) ls, max(discharge) filter (where k = 11) ld from wcells group by n, t)""", """

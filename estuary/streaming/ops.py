@@ -34,6 +34,11 @@ def _hadoop(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _hadoop(spark, path)
+    return bool(fs.exists(at))
+
+
 def stream_files(spark: SparkSession, path: str, schema: T.StructType, format: str = "parquet", max_files: int | None = None,
                  nested: bool = False) -> DataFrame:
     """A growing folder (or one file) as a stream.
