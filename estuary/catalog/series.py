@@ -115,11 +115,13 @@ def q_site_labels(spark, d):
 
 
 def q_flow_lookup(spark, d):
+    """Every site and the one three places on, in the flow between all sites."""
     ev = TB.table(spark, d, "events").select("user_id")
-    code = lambda k: (F.lit(TB.SITE_BASE) + TB.SITE_STEP * ((F.col("user_id") + k) % 20)).cast("string")
-    pairs = ev.select(code(0).alias("src"), code(3).alias("dst")).distinct()
-    m = S.flow_matrix_edges(TB.flow_edge(spark, d), _folded(spark, d))
-    return flat(S.flow_lookup(pairs, m))
+    code = lambda n: (F.lit(TB.SITE_BASE) + TB.SITE_STEP * n).cast("string")
+    pairs = ev.select(code(F.col("user_id")).alias("src"), code(F.col("user_id") + 3).alias("dst")).distinct()
+    edges = TB.flow_user(spark, d).select(code(F.col("src")).cast("long").alias("src_id"),
+                                          F.lpad(code(F.col("dst")), 8, "0").alias("dst_col"), "direction")
+    return flat(S.flow_lookup(pairs, edges))
 
 
 def q_flow_neighbors(spark, d):
@@ -327,11 +329,10 @@ select s.site, p.site is not null found, a."rows", a.missing,
 from sites s left join present p on p.site = s.site left join agg a on a.site = s.site"""),
     "site_labels": with_recipes("site_day", """
 select distinct cast(n as bigint) n, site, 'site ' || chr(cast(65 + n as int)) label from site_day"""),
-    "flow_lookup": with_recipes("flow_edge", """
-with pairs as (select distinct cast(4178000 + 500 * (user_id % 20) as varchar) src,
-                               cast(4178000 + 500 * ((user_id + 3) % 20) as varchar) dst from events)
+    "flow_lookup": with_recipes("flow_user", """
+with pairs as (select distinct cast(4178000 + 500 * user_id as varchar) src, cast(4178000 + 500 * (user_id + 3) as varchar) dst from events)
 select p.src, p.dst, e.direction from pairs p
-left join flow_edge e on cast(4178000 + 500 * e.src as varchar) = p.src and cast(4178000 + 500 * e.dst as varchar) = p.dst"""),
+left join flow_user e on cast(4178000 + 500 * e.src as varchar) = p.src and cast(4178000 + 500 * e.dst as varchar) = p.dst"""),
     "flow_neighbors": with_recipes("flow_user", "with " + FLOW + "\nselect n, site, incoming, outgoing from nb"),
     "flow_description": with_recipes("flow_user", "with " + FLOW + "\nselect n, site, flow_text from ft"),
     "sliding_windows": _wsql("select n, site, t, cast(k as bigint) k, sediment, discharge from wcells"),

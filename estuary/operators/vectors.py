@@ -186,43 +186,55 @@ def batch_index(items: DataFrame, order: list[str], tokens: Column, size: int =
     return o.withColumn("batch", F.floor(F.col("index") / size)).withColumn("i", F.col("index") % size)
 
 
-def quantize_groups(df: DataFrame, key: str, vec: str, group: int = 256, bits: int = 8, symmetric: bool = True) -> DataFrame:
-    """Group-wise quantisation of each vector: groups of ``group`` values, the
+def quantized(vec: Column, group: int = 256, bits: int = 8, symmetric: bool = True) -> Column:
+    """Group-wise quantisation of a vector, its groups kept in the row: array<struct<grp, codes, scale,
+    mn>>. Groups of ``group`` values, the
     last zero-padded (pad zeros take part in min/max); symmetric scale =
     B / max|x|, asymmetric scale = B / (max − min); clamp, round half-even.
     An all-zero group has no finite scale: its codes are 0 (the reference
-    divides by zero). Per-row array functions over group slices – no shuffle.
-    Long form (key, grp, codes, scale, mn)."""
-    x = F.col(vec).cast("array<double>")
-    n = F.size(x)
-    groups = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(n / group) - 1, F.lit(0)).cast("int")),
-                         lambda g: F.struct(g.alias("grp"), F.slice(x, g * group + 1, group).alias("v")))
-    e = df.select(key, F.explode(groups).alias("_g")).select(key, "_g.grp", "_g.v")
-    padded = F.size("v") < group
-    if symmetric:
-        b = 2 ** (bits - 1) - 1
-        e = e.withColumn("scale", F.try_divide(F.lit(float(b)), F.array_max(F.transform("v", F.abs))))
-        # the group's scale is bound once, not re-evaluated for every element of the lambda
-        codes = let(F.col("scale"), lambda sc: F.transform("v", lambda s: F.coalesce(
-            F.bround(F.greatest(F.least(s * sc, F.lit(float(b))), F.lit(float(-b))), 0).cast("int"), F.lit(0))))
-        return e.select(key, "grp", codes.alias("codes"), "scale", F.lit(None).cast("double").alias("mn"))
-    b = 2 ** bits - 1
-    mn = F.when(padded, F.least(F.array_min("v"), F.lit(0.0))).otherwise(F.array_min("v"))
-    mx = F.when(padded, F.greatest(F.array_max("v"), F.lit(0.0))).otherwise(F.array_max("v"))
-    e = e.withColumn("mn", mn).withColumn("scale", F.try_divide(F.lit(float(b)), mx - F.col("mn")))
-    codes = let(F.struct("mn", "scale"), lambda p: F.transform("v", lambda s: F.coalesce(
-        F.bround(F.greatest(F.least((s - p["mn"]) * p["scale"], F.lit(float(b))), F.lit(0.0)), 0).cast("int"), F.lit(0))))
-    return e.select(key, "grp", codes.alias("codes"), "scale", "mn")
+    divides by zero)."""
+    x = vec.cast("array<double>")
+    b = float(2 ** (bits - 1) - 1 if symmetric else 2 ** bits - 1)
+
+    def codes(v: Column, scaled, low: float) -> Column:
+        return F.transform(v, lambda s: F.coalesce(
+            F.bround(F.greatest(F.least(scaled(s), F.lit(b)), F.lit(low)), 0).cast("int"), F.lit(0)))
+
+    def symmetric_group(g: Column, v: Column) -> Column:
+        # the group's scale is bound once, not evaluated again for every element of the lambda
+        return let(F.try_divide(F.lit(b), F.array_max(F.transform(v, F.abs))), lambda sc: F.struct(
+            g.alias("grp"), codes(v, lambda s: s * sc, -b).alias("codes"), sc.alias("scale"), F.lit(None).cast("double").alias("mn")))
+
+    def asymmetric_group(g: Column, v: Column) -> Column:
+        pad = F.when(F.size(v) < group, F.lit(0.0))  # least and greatest skip NULL
+        low, high = F.least(F.array_min(v), pad), F.greatest(F.array_max(v), pad)
+        return let(F.struct(low.alias("mn"), F.try_divide(F.lit(b), high - low).alias("scale")), lambda p: F.struct(
+            g.alias("grp"), codes(v, lambda s: (s - p["mn"]) * p["scale"], 0.0).alias("codes"), p["scale"].alias("scale"),
+            p["mn"].alias("mn")))
+
+    one = symmetric_group if symmetric else asymmetric_group
+    last = F.greatest(F.ceil(F.size(x) / group) - 1, F.lit(0)).cast("int")
+    return let(x, lambda xs: F.transform(F.sequence(F.lit(0), last),
+                                         lambda g: let(F.slice(xs, g * group + 1, F.lit(group)), lambda v: one(g, v))))
+
+
+def dequantized(groups: Column) -> Column:
+    """codes / scale (+ mn) of all groups, in order; padding is never stored. One row's groups make its
+    vector: no shuffle."""
+    return F.flatten(F.transform(groups, lambda g: F.transform(g["codes"], lambda c: F.coalesce(
+        F.try_divide(c.cast("double"), g["scale"]), F.lit(0.0)) + F.coalesce(g["mn"], F.lit(0.0)))))
+
+
+def quantize_groups(df: DataFrame, key: str, vec: str, group: int = 256, bits: int = 8, symmetric: bool = True) -> DataFrame:
+    """:func:`quantized` in long form (key, grp, codes, scale, mn): one row for each group."""
+    return df.select(key, F.explode(quantized(F.col(vec), group, bits, symmetric)).alias("_g")).select(key, "_g.*")
 
 
 def dequantize_groups(q: DataFrame, key: str) -> DataFrame:
-    """codes / scale (+ mn), groups re-assembled in order (one vector's groups
-    per key – bounded by the vector length), padding never stored."""
-    vals = F.transform("codes", lambda c: F.coalesce(F.try_divide(c.cast("double"), F.col("scale")), F.lit(0.0))
-                       + F.coalesce(F.col("mn"), F.lit(0.0)))
-    g = q.select(key, "grp", vals.alias("_vals"))
-    return g.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("grp", "_vals"))).alias("_g")).select(
-        key, F.flatten(F.transform("_g", lambda s: s["_vals"])).alias("values"))
+    """:func:`dequantized` of the long form, whose rows have to be brought together again (one vector's
+    groups per key – bounded by the vector length)."""
+    g = q.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("grp", "codes", "scale", "mn"))).alias("_g"))
+    return g.select(key, dequantized(F.col("_g")).alias("values"))
 
 
 def array_delta_make(base: DataFrame, target: DataFrame, key: str = "name") -> tuple[DataFrame, DataFrame]:

@@ -15,6 +15,10 @@ def test_quantize_roundtrip_error_half_step(spark):
     e = _emb(spark)
     q = V.quantize_groups(e, "vec_id", "embedding", group=256, bits=8, symmetric=True)
     dq = V.dequantize_groups(q, "vec_id").join(q.select("vec_id", "scale"), "vec_id").join(e, "vec_id")
+    packed = e.select("vec_id", V.dequantized(V.quantized(F.col("embedding"), 24, 8, False)).alias("v"))
+    long = V.dequantize_groups(V.quantize_groups(e, "vec_id", "embedding", 24, 8, False), "vec_id")
+    assert packed.join(long, "vec_id").where("v = values").count() == e.count()
+    assert "Exchange" not in packed._jdf.queryExecution().executedPlan().toString()
     worst = dq.select(F.array_max(F.zip_with("values", "embedding", lambda a, b: F.abs(a - b.cast("double")) * F.col("scale"))).alias("w")) \
         .agg(F.max("w")).first()[0]
     assert worst <= 0.5 + 1e-9
