@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from estuary.functions.exprs import fmt2, fmt2_join, long_date_text
-from estuary.plans.ordinal import global_ordinal, halo_windows
+from estuary.plans.ordinal import global_ordinal, halo_slices
 
 # Special tokens and instruction wording of the reference dataset.
 ST_HIS = "<ST_HIS>"
@@ -247,18 +247,16 @@ def sliding_windows(dense: DataFrame, steps: int | None = None, in_len: int = 12
         dense = dense.where(F.col("t") < steps)
     # The two-decimal texts are made once per row here: inside the windows each
     # value would otherwise be formatted again for each of the windows it is in.
-    payload = F.struct("date", "sediment", "discharge", fmt2("sediment").alias("s_txt"), fmt2("discharge").alias("d_txt"))
-    w = halo_windows(dense, ["site"], "t", full, payload, bucket).where(F.size("win") == full)
-    x = F.slice("win", 1, in_len)
-    y = F.slice("win", in_len + 1, out_len)
+    texts = dense.select("n", "site", "t", "date", "sediment", "discharge", fmt2("sediment").alias("_s"), fmt2("discharge").alias("_d"))
+    w = halo_slices(texts, ["n", "site"], "t", full, ["t", "date", "sediment", "discharge", "_s", "_d"], bucket)
+    x = lambda c: F.slice(c, F.col("at"), F.lit(in_len))
+    y = lambda c: F.slice(c, F.col("at") + in_len, F.lit(out_len))
     return w.select(
-        "n", "site", "t", F.col("date").alias("start_date"), F.element_at("win", in_len)["date"].alias("end_date"),
-        F.transform(x, lambda s: s["sediment"]).alias("x_sediment"),
-        F.transform(x, lambda s: s["discharge"]).alias("x_discharge"),
-        F.transform(y, lambda s: s["sediment"]).alias("y_sediment"),
-        F.transform(y, lambda s: s["discharge"]).alias("y_discharge"),
-        F.array_join(F.transform(x, lambda s: s["s_txt"]), " ").alias("_sediment_str"),
-        F.array_join(F.transform(x, lambda s: s["d_txt"]), " ").alias("_discharge_str"))
+        "n", "site", F.element_at("t", F.col("at")).alias("t"), F.element_at("date", F.col("at")).alias("start_date"),
+        F.element_at("date", F.col("at") + (in_len - 1)).alias("end_date"),
+        x("sediment").alias("x_sediment"), x("discharge").alias("x_discharge"),
+        y("sediment").alias("y_sediment"), y("discharge").alias("y_discharge"),
+        F.array_join(x("_s"), " ").alias("_sediment_str"), F.array_join(x("_d"), " ").alias("_discharge_str"))
 
 
 def format_values(windows: DataFrame) -> DataFrame:

@@ -78,24 +78,26 @@ def _ordinal_by_bucket(tagged: DataFrame, order: list[str], name: str) -> DataFr
             .drop("_b", "_off", "_r"))
 
 
-def halo_windows(df: DataFrame, key: list[str], t: str, width: int, payload: Column,
-                 bucket: int = 4096, name: str = "win") -> DataFrame:
-    """For each row, the list of ``payload`` over positions ``t .. t+width-1`` of
-    the same key (dense integer ``t`` assumed).
+def halo_slices(df: DataFrame, key: list[str], t: str, width: int, columns: list[str], bucket: int = 4096,
+                at: str = "at") -> DataFrame:
+    """Rows (``key``, an array of each of ``columns``, ``at``): for each position t that ``width`` - 1 others
+    follow in its key, place ``at`` (from 1) of the arrays is t and the following places are t + 1 and so
+    on (dense integer ``t`` assumed). Take windows with ``slice(column, at, n)``.
 
-    Long series are cut into buckets of ``bucket`` steps; the first ``width-1``
+    Long series are cut into buckets of ``bucket`` steps; the first ``width`` - 1
     rows of a bucket are copied to the previous one (the halo), so one series
-    never has to fit in one task and a hot key is spread over many tasks.
+    never has to fit in one task and a hot key is spread over many tasks. A bucket's values are
+    gathered once, in arrays of at most ``bucket`` + ``width`` places, and each window is a slice of them:
+    no value is copied for each window that it is in.
     """
     bucket = max(bucket, width)
     b = F.floor(F.col(t) / bucket).cast("long")
     halo = (F.col(t) % bucket < width - 1) & (b > 0)
-    spread = df.withColumn("_own", b).withColumn(
-        "_bkt", F.explode(F.when(halo, F.array(b, b - 1)).otherwise(F.array(b))))
-    w = Window.partitionBy(*key, "_bkt").orderBy(t).rowsBetween(0, width - 1)
-    return (spread.withColumn(name, F.collect_list(payload).over(w))
-            .where(F.col("_bkt") == F.col("_own"))
-            .drop("_own", "_bkt"))
+    spread = df.withColumn("_bkt", F.explode(F.when(halo, F.array(b, b - 1)).otherwise(F.array(b))))
+    held = spread.groupBy(*key, "_bkt").agg(F.sort_array(F.collect_list(F.struct(t, *[c for c in columns if c != t]))).alias("_w"))
+    arrays = held.select(*key, *[F.col(f"_w.{c}").alias(c) for c in columns])
+    n = F.size(columns[0]) - (width - 1)
+    return arrays.where(n > 0).select("*", F.explode(F.sequence(F.lit(1), n)).alias(at))
 
 
 def blocked_running(df: DataFrame, key: list[str], order: str, value: str, fn: str, block: int = 1024,
