@@ -118,15 +118,22 @@ rules(verdict, rh, rp) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org'
   ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
 fit AS (SELECT r, arg_max(verdict, length(rh || rp)) AS given, arg_max(rh || rp, length(rh || rp)) AS rule
         FROM u JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY r),
-lab AS (SELECT *, list_filter(string_split(host, '.'), lambda x: x <> '') AS labels FROM u),
+fl AS (SELECT *, regexp_extract(path, '([^/]*)$', 1) AS file FROM u),
+lab AS (SELECT *, list_filter(string_split(host, '.'), lambda x: x <> '') AS labels,
+               list_transform(list_filter(string_split(left(path, length(path) - length(file)), '/'), lambda x: x <> ''),
+                              lambda x: regexp_replace(x, '^[0-9]+$', '#')) AS folders,
+               regexp_replace(regexp_replace(file, '\.[A-Za-z][A-Za-z0-9]*$', ''), '^[0-9]+$', '#') AS name FROM fl),
 tok AS (SELECT r, page_id, host, path, list_sort(list_distinct(
     list_concat(list_transform(labels, lambda x: 'h:' || x),
     list_transform(list_filter(flatten(list_transform(list_filter(labels, lambda x: contains(x, '-')),
                    lambda x: string_split(x, '-'))), lambda x: x <> ''), lambda x: 'w:' || x),
-    list_filter(['d:' || regexp_extract(path, '^/+([^/0-9.][^/]*)/', 1)], lambda x: x <> 'd:'),
-    list_filter(['x:' || lower(regexp_extract(path, '\.([A-Za-z][A-Za-z0-9]*)$', 1))], lambda x: x <> 'x:'),
+    list_transform(folders, lambda x: 'd:' || x), list_filter(['p:' || name], lambda x: x <> 'p:'),
+    list_filter(['x:' || lower(regexp_extract(file, '\.([A-Za-z][A-Za-z0-9]*)$', 1))], lambda x: x <> 'x:'),
     list_transform(list_filter(list_transform(string_split(query, '&'), lambda x: regexp_extract(x, '^([^=]*)', 1)),
                    lambda x: x <> ''), lambda x: 'q:' || x),
+    list_transform(list_filter(string_split(query, '&'), lambda x: regexp_matches(x, '^[^=]+=.')),
+                   lambda x: 'v:' || regexp_extract(x, '^([^=]*=)', 1)
+                             || regexp_replace(regexp_extract(x, '^[^=]*=(.*)', 1), '^[0-9]+$', '#')),
     CASE WHEN frag <> '' THEN ['f:'] ELSE [] END))) AS tokens FROM lab),
 t AS (SELECT tok.*, rule, given FROM tok LEFT JOIN fit USING (r)),
 n AS (SELECT count(*) AS n FROM t WHERE given IS NOT NULL),

@@ -6,7 +6,7 @@ labelled set. FP-growth mines frequent combinations of URL tokens with a verdict
 rules of low support or confidence are dropped, and so are rules that a shorter
 rule of the same verdict covers with at least their confidence. Other URLs take
 the verdict of their most confident matching rule, found by an inverted index: a
-rule is filed under its rarest token, looked up by the tokens of a URL, and then
+rule is filed under the token that the fewest URLs have, looked up by the tokens of a URL, and then
 checked against the whole token set. URLs with equal token sets are looked up once.
 
 All steps are DataFrame operations; FP-growth is the distributed one of Spark ML.
@@ -55,19 +55,26 @@ def explicit_rule(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def url_tokens(host: Column, path: Column, query: Column, fragment: Column) -> Column:
-    """Sorted distinct tokens: host labels (h:) and their words (w:), the first path
-    segment (d:) unless it starts with a digit, the file extension (x:), the names of
-    query parameters (q:) and whether there is a fragment (f:)."""
-    labels = F.filter(F.split(host, r"\."), lambda x: x != "")
-    words = F.filter(F.flatten(F.transform(F.filter(labels, lambda x: x.contains("-")), lambda x: F.split(x, "-"))),
-                     lambda x: x != "")
-    first = F.regexp_extract(path, r"^/+([^/0-9.][^/]*)/", 1)
-    extension = F.lower(F.regexp_extract(path, r"\.([A-Za-z][A-Za-z0-9]*)$", 1))
-    names = F.filter(F.transform(F.split(query, "&"), lambda x: F.regexp_extract(x, "^([^=]*)", 1)), lambda x: x != "")
-    one = lambda c, kind: F.when(c != "", F.array(F.concat(F.lit(kind), c))).otherwise(F.array().cast("array<string>"))
+    """Sorted distinct tokens: host labels (h:) and their words (w:), every directory of the path (d:), the
+    last segment without its extension (p:), the extension (x:), the names of query parameters (q:) and
+    their values (v:name=value), and whether there is a fragment (f:). Numbers are one
+    class, written #. How many tokens a URL has is not limited; minimum support decides what is mined."""
+    none = F.array().cast("array<string>")
     tag = lambda c, kind: F.transform(c, lambda x: F.concat(F.lit(kind), x))
-    parts = F.concat(tag(labels, "h:"), tag(words, "w:"), one(first, "d:"), one(extension, "x:"), tag(names, "q:"),
-                     F.when(fragment != "", F.array(F.lit("f:"))).otherwise(F.array().cast("array<string>")))
+    kind_of = lambda x: F.when(x.rlike("^[0-9]+$"), F.lit("#")).otherwise(x)
+    some = lambda c: F.filter(c, lambda x: x != "")
+    labels = some(F.split(host, r"\."))
+    words = some(F.flatten(F.transform(F.filter(labels, lambda x: x.contains("-")), lambda x: F.split(x, "-"))))
+    file = F.regexp_extract(path, "([^/]*)$", 1)
+    folders = F.transform(some(F.split(F.left(path, F.length(path) - F.length(file)), "/")), kind_of)
+    name = kind_of(F.regexp_replace(file, r"\.[A-Za-z][A-Za-z0-9]*$", ""))
+    extension = F.lower(F.regexp_extract(file, r"\.([A-Za-z][A-Za-z0-9]*)$", 1))
+    names = some(F.transform(F.split(query, "&"), lambda x: F.regexp_extract(x, "^([^=]*)", 1)))
+    valued = F.filter(F.split(query, "&"), lambda x: x.rlike("^[^=]+=."))
+    values = F.transform(valued, lambda x: F.concat(F.regexp_extract(x, "^([^=]*=)", 1), kind_of(F.regexp_extract(x, "(?s)^[^=]*=(.*)", 1))))
+    one = lambda c, kind: F.when(c != "", F.array(F.concat(F.lit(kind), c))).otherwise(none)
+    parts = F.concat(tag(labels, "h:"), tag(words, "w:"), tag(folders, "d:"), one(name, "p:"), one(extension, "x:"),
+                     tag(names, "q:"), tag(values, "v:"), F.when(fragment != "", F.array(F.lit("f:"))).otherwise(none))
     return F.array_sort(F.array_distinct(parts))
 
 
@@ -85,23 +92,43 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
     rules = model.associationRules.where(F.col("consequent")[0].startswith("=")
                                          & ~F.exists("antecedent", lambda t: t.startswith("=")))
-    rules = materialize(rules.select(F.array_sort("antecedent").alias("antecedent"),
-                                     F.substring(F.col("consequent")[0], 2, 100).alias("verdict"),
-                                     "confidence", "support"), "rules")
-    # a rule's proper parts, found by one of their tokens
-    part = rules.select(F.col("antecedent").alias("_a"), F.col("verdict").alias("_v"), F.col("confidence").alias("_c"),
-                        F.col("antecedent")[0].alias("_t"))
-    covered = (rules.withColumn("_t", F.explode("antecedent")).join(part, "_t")
-               .where((F.col("_v") == F.col("verdict")) & (F.col("_c") >= F.col("confidence"))
-                      & (F.size("_a") < F.size("antecedent")) & (F.size(F.array_except("_a", "antecedent")) == 0))
-               .select("antecedent", "verdict").distinct())
-    return materialize(rules.join(covered, ["antecedent", "verdict"], "left_anti"), "url-rules")
+    rules = rules.select(F.array_sort("antecedent").alias("antecedent"),
+                         F.substring(F.col("consequent")[0], 2, 100).alias("verdict"), "confidence", "support")
+    # every frequent token set of a verdict, with the confidence of its rule where it is one
+    sets = model.freqItemsets.select(
+        F.array_sort(F.filter("items", lambda t: ~t.startswith("="))).alias("antecedent"),
+        F.substring(F.get(F.filter("items", lambda t: t.startswith("=")), F.lit(0)), 2, 100).alias("verdict"))
+    sets = materialize(sets.where(F.col("verdict").isNotNull() & (F.size("antecedent") > 0))
+                       .join(rules, ["antecedent", "verdict"], "left"), "itemsets")
+    return materialize(_uncovered(sets), "url-rules")
+
+
+def _uncovered(sets: DataFrame) -> DataFrame:
+    """The rules among ``sets`` that no rule with a part of their tokens matches in confidence.
+
+    All parts of a frequent set are frequent, so the best confidence below a set is the best of those of
+    its parts with one token less: one equi-join for each size, from the smallest on."""
+    longest = sets.agg(F.max(F.size("antecedent"))).first()[0] or 0
+    own = F.coalesce("confidence", F.lit(0.0))
+    level = sets.where(F.size("antecedent") == 1).withColumn("below", F.lit(0.0))
+    kept = level
+    for n in range(2, longest + 1):
+        best = level.select(F.col("antecedent").alias("_part"), F.col("verdict").alias("_v"), F.greatest(own, "below").alias("_best"))
+        cur = sets.where(F.size("antecedent") == n)
+        parts = cur.select("antecedent", "verdict", F.explode("antecedent").alias("_t")).select(
+            "antecedent", "verdict", F.array_remove("antecedent", F.col("_t")).alias("_part"))
+        below = (parts.join(best, (parts["_part"] == best["_part"]) & (parts["verdict"] == best["_v"]))
+                 .groupBy("antecedent", "verdict").agg(F.max("_best").alias("below")))
+        level = materialize(cur.join(below, ["antecedent", "verdict"]), f"itemsets{n}")
+        kept = kept.unionByName(level)
+    return kept.where(F.col("confidence") > F.col("below")).select("antecedent", "verdict", "confidence", "support")
 
 
 def match(token_sets: DataFrame, rules: DataFrame) -> DataFrame:
     """(tokens, verdict) of every distinct token set that a rule matches: the most
     confident rule, then the best supported, then allow before block."""
-    frequency = rules.select(F.explode("antecedent").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n"))
+    # of the token sets: a rule with a token that none of them has matches nothing and needs no place
+    frequency = token_sets.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n"))
     filed = (rules.select("antecedent", "verdict", "confidence", "support", F.explode("antecedent").alias("t"))
              .join(frequency, "t").groupBy("antecedent", "verdict", "confidence", "support")
              .agg(F.min(F.struct("n", "t"))["t"].alias("t")))
@@ -113,7 +140,8 @@ def match(token_sets: DataFrame, rules: DataFrame) -> DataFrame:
 
 def judge_urls(pages: DataFrame, rules=RULES, min_support: float = MIN_SUPPORT,
                min_confidence: float = MIN_CONFIDENCE, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """page_id, host, path, rule (NULL where none fits) and verdict of every page.
+    """page_id, host, path, rule (NULL where none fits) and verdict of every page. Of explicit rules of
+    equal length the one that sorts last wins. URLs are read whole, however long.
 
     NULL and malformed urls have an empty host and path and no tokens: they fit no
     rule and get the default verdict, allow. Repeated rows give repeated rows.

@@ -88,6 +88,33 @@ def test_url_parts_and_explicit_rules(spark):
     assert [r.verdict for r in url_rules.judge_urls(pages_df(spark, [None, "https://x.net/"])).collect()] == ["allow"] * 2
 
 
+def test_tokens_of_every_part(spark):
+    cases = {
+        "https://shop-win.a.net/de/12/x.y/7.html?utm=feed&page=3&&flag&=v#t":
+            {"h:shop-win", "h:a", "h:net", "w:shop", "w:win", "d:de", "d:#", "d:x.y", "p:#", "x:html", "q:utm", "q:page", "q:flag",
+             "v:utm=feed", "v:page=#", "f:"},
+        "http://a/b/b/": {"h:a", "d:b"}, "http://a/b": {"h:a", "p:b"}, "http://a": {"h:a"}, "none": set(), None: set(),
+        "http://a/.x/9a.GZ": {"h:a", "d:.x", "p:9a", "x:gz"},
+        "http://a/" + "deep/" * 3000 + "z" * 5000: {"h:a", "d:deep", "p:" + "z" * 5000},
+    }
+    df = pages_df(spark, list(cases))
+    parts = url_rules.url_parts(df["url"])
+    out = df.select("page_id", url_rules.url_tokens(*parts.values()).alias("t")).collect()
+    for r in out:
+        want = list(cases.values())[r.page_id]
+        assert set(r.t) == want and len(r.t) == len(want)
+
+
+def test_a_deep_segment_decides_and_repeated_rows_stay(spark):
+    """The telling token stands deep in the path or in a query value; long URLs and copies are kept."""
+    urls = [f"https://h{i}.example.org/en/{'1' if i % 2 else '2'}/k/{'bad' if i % 2 else 'good'}/p?s={'spam' if i % 2 else 'ok'}"
+            for i in range(40)]
+    ask = ["https://q.net/x/y/bad/z", "https://q.net/x/y/good/z", "https://q.net/?s=spam", "https://q.net/" + "long/" * 2000 + "bad/"]
+    out = url_rules.judge_urls(pages_df(spark, urls + ask * 2)).orderBy("page_id").collect()
+    assert [r.verdict for r in out[40:]] == ["block", "allow", "block", "block"] * 2
+    assert all(r.rule is None for r in out[40:])
+
+
 def test_mining_and_matching_match_brute_force(spark):
     sets = [(("a", "b", "hot"), "block"), (("a", "c", "hot"), "block"), (("b", "c"), "allow"), (("a", "b", "c"), "block"),
             (("c", "d", "hot"), "allow"), (("d",), "allow"), (("b", "d", "hot"), "allow"), (("a", "d"), "block"), ((), "allow")] * 7
