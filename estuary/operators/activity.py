@@ -220,7 +220,6 @@ def plateau_detect_fold(curve: DataFrame, patience: int = 30, delta: float = 0.0
         yield pd.DataFrame(out, columns=["run_id", "stop_epoch", "best_loss", "best_epoch", "epochs_seen"]).astype(
             {"stop_epoch": "Int64"})
 
-    n = int(curve.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     c = curve.select(F.col(run).cast("long").alias("run"), F.col(epoch).cast("long").alias("e"), F.col(loss).cast("double").alias("l"))
-    out = c.repartition(n, "run").sortWithinPartitions("run", "e").mapInPandas(fold, PLATEAU_SCHEMA)
+    out = c.repartition("run").sortWithinPartitions("run", "e").mapInPandas(fold, PLATEAU_SCHEMA)
     return out.withColumnRenamed("run_id", run) if run != "run_id" else out

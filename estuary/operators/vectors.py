@@ -117,7 +117,8 @@ def train_test_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int
 
 
 def forest_classifier(split: DataFrame, vec: str = "embedding", label: str = "label", trees: int = 100, seed: int = 42):
-    """MLlib random forest on the train rows; predictions for the test rows."""
+    """MLlib random forest on all train rows (trained where they lie, level by level; nothing is
+    collected but split statistics); predictions for the test rows."""
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.functions import array_to_vector
 
