@@ -28,6 +28,7 @@ store that Spark writes to can hold them. Order: part, then block.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from array import array
@@ -53,6 +54,9 @@ _HEAD = struct.Struct("<8s4I2Q")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SLOT_BITS = 18
 _SEPARATOR = "\u241e".encode()
+# A word of Latin-1 letters, perhaps with ASCII punctuation after it: two pre-tokens at most.
+_PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:;=?@\[-`{}~]{0,4})")
+_TAILS = 10_000  # tails whose ids are kept
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -76,14 +80,71 @@ class WordEncoder:
         self.tokenizer, self.end_id, self.cache = Tokenizer.from_file(path), end_id, cache
         self.known: dict[bytes, int] = {b"": 0}
         self.flat, self.start = array("I", [end_id]), array("q", [0, 1])
+        self.model, self.mapped = self.tokenizer.model, self._plain_map()
+        self.tails: dict[bytes, list[int]] = {b"": []}
+
+    def _plain_map(self) -> dict[int, str] | None:
+        """Characters that the model knows the bytes of plain words by, or None if this
+        tokenizer does not cut such a word into its letters and its punctuation."""
+        t = self.tokenizer
+        letters = bytes(range(97, 123)).decode() + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
+        tail = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+        word = letters + tail
+        if t.pre_tokenizer is None or (t.normalizer and any(
+                t.normalizer.normalize_str(w) != word for w in (word, letters.upper().replace("SS", "ß") + tail))):
+            return None
+        if any(_PLAIN.fullmatch(a.content.lower().encode()) for a in t.get_added_tokens_decoder().values()):
+            return None
+        cut = [p for p, _ in t.pre_tokenizer.pre_tokenize_str(word)]
+        raw = letters.encode()
+        return dict(zip(raw, cut[0])) if len(cut) == 2 and cut[1] == tail and len(cut[0]) == len(raw) else None
+
+    def _model_ids(self, stem: bytes) -> list[int]:
+        text = stem.decode()
+        if not text.isascii():
+            text = text.lower().encode().decode("latin-1").translate(self.mapped)
+        return [t.id for t in self.model.tokenize(text)]
 
     def _learn(self, words: list[bytes]) -> dict[bytes, int]:
         """Numbers of words that are not in the table; they are appended to it.
 
-        The words are encoded in one call, with a separator word between them
-        whose ids no other text without its character can give. A word that holds
-        this character is encoded alone.
+        Letters and punctuation of a plain word go straight to the model, letters that
+        are a word of the table are copied from there; other words go through the
+        whole tokenizer.
         """
+        if self.mapped is None:
+            return self._learn_whole(words)
+        whole, plain, stems = [], [], {}
+        first, known, flat, start = len(self.start) - 1, self.known, self.flat, self.start
+        for w, m in zip(words, map(_PLAIN.fullmatch, words)):
+            if m is None:
+                whole.append(w)
+                continue
+            stem, tail = m.groups()
+            k = known.get(stem, -1)
+            if k >= 0:
+                flat += flat[start[k]:start[k + 1]]
+            else:
+                ids = stems.get(stem)
+                if ids is None:
+                    ids = stems[stem] = self._model_ids(stem)
+                flat.extend(ids)
+            if tail:
+                ids = self.tails.get(tail)
+                if ids is None:
+                    ids = self._model_ids(tail)
+                    if len(self.tails) < _TAILS:
+                        self.tails[tail] = ids
+                flat.extend(ids)
+            start.append(len(flat))
+            plain.append(w)
+        new = dict(zip(plain, range(first, first + len(plain))))
+        return new | self._learn_whole(whole) if whole else new
+
+    def _learn_whole(self, words: list[bytes]) -> dict[bytes, int]:
+        """Numbers of words, encoded in one call with a separator word between them
+        whose ids no other text without its character can give. A word that holds
+        this character is encoded alone."""
         first = len(self.start) - 1
         odd = [w for w in words if _SEPARATOR in w]
         words = [w for w in words if _SEPARATOR not in w] if odd else words
@@ -211,39 +272,50 @@ def compress(ids: np.ndarray, closes: np.ndarray, base: int, rounds: int | None
 
 def rule_lengths(rules: np.ndarray, base: int) -> np.ndarray:
     """Ids that each rule expands to; a rule refers to earlier rules only."""
-    out: list[int] = []
-    for a, b in rules.tolist():
-        out.append((1 if a < base else out[a - base]) + (1 if b < base else out[b - base]))
-    return np.array(out, np.uint32)
+    side = rules.astype(np.int64) - base
+    made, side, out = side >= 0, np.maximum(side, 0), np.zeros(len(rules), np.int64)
+    todo = np.arange(len(rules))
+    while len(todo):  # rules whose two sides are known, as often as rules are nested
+        n = np.where(made[todo], out[side[todo]], 1)
+        ready = (n > 0).all(1)
+        out[todo[ready]] = n[ready].sum(1)
+        todo = todo[~ready]
+    return out.astype(np.uint32)
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
     """The ids that the symbols stand for."""
     start = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
     flat = np.empty(int(start[-1]), np.uint32)  # the ids of every rule, one after the other
-    for k, pair in enumerate(rules.tolist()):
-        at = int(start[k])
-        for s in pair:
-            if s < base:
-                flat[at] = s
-                at += 1
-            else:
-                n = int(lengths[s - base])
-                flat[at:at + n] = flat[int(start[s - base]):int(start[s - base]) + n]
-                at += n
+    side = rules.astype(np.int64)
+    size = np.where(side < base, 1, lengths[np.maximum(side - base, 0)].astype(np.int64)) if len(side) else side
+    todo, done = np.arange(len(side)), np.zeros(len(side), bool)
+    while len(todo):  # rules whose two sides are there, as often as rules are nested
+        own = side[todo] - base
+        ready = ((own < 0) | done[np.maximum(own, 0)]).all(1)
+        now, todo = todo[ready], todo[~ready]
+        for k, at in ((0, start[now]), (1, start[now] + size[now, 0])):
+            s = side[now, k]
+            flat[at[s < base]] = s[s < base]
+            at, m, s = at[s >= base], size[now, k][s >= base], s[s >= base] - base
+            _copy(flat, at, flat, start[s], m)
+        done[now] = True
     sym = symbols.astype(np.int64)
     is_rule = sym >= base
     n = np.ones(len(sym), np.int64)
     n[is_rule] = lengths[sym[is_rule] - base]
     out = np.repeat(symbols.astype(np.uint32), n)
     if is_rule.any():
-        ends = np.cumsum(n)
-        m, first = n[is_rule], (ends - n)[is_rule]
-        step = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
-        out[np.repeat(first, m) + step] = flat[np.repeat(start[sym[is_rule] - base], m) + step]
+        _copy(out, (np.cumsum(n) - n)[is_rule], flat, start[sym[is_rule] - base], n[is_rule])
     return out
 
 
+def _copy(to: np.ndarray, at: np.ndarray, source: np.ndarray, start: np.ndarray, n: np.ndarray) -> None:
+    """``to[at[i]:at[i] + n[i]] = source[start[i]:start[i] + n[i]]`` for every i."""
+    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    to[np.repeat(at, n) + step] = source[np.repeat(start, n) + step]
+
+
 # ---- blocks -----------------------------------------------------------------------------------
 
 def pack(doc_ids: list[int | None], ids: np.ndarray, per_doc: np.ndarray, base: int) -> bytes:
