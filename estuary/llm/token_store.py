@@ -191,11 +191,11 @@ class WordEncoder:
             if len(self.known) < self.cache:
                 self.known |= new
                 kept = len(self.start)
-        start = np.array(self.start, np.int64)
-        flat = np.array(self.flat, np.uint32)
+        start, flat = np.frombuffer(self.start, np.int64), np.frombuffer(self.flat, np.uint32)  # no copies
         n = (start[1:] - start[:-1])[which]
         ends = np.cumsum(n)
         ids = flat[np.repeat(start[which] - (ends - n), n) + np.arange(ends[-1])]
+        del start, flat  # an array that is looked at keeps its size
         del self.start[kept:]
         del self.flat[self.start[-1]:]
         return ids, np.add.reduceat(n, np.concatenate(([0], np.cumsum(counts)[:-1])))
@@ -219,57 +219,79 @@ def compress(ids: np.ndarray, closes: np.ndarray, base: int, rounds: int | None
     (``per_round`` in the first, then twice as many as the round before); where two
     chosen pairs overlap, the more frequent one wins. Rounds go on until no pair is
     left that occurs ``min_count`` times, or for ``rounds`` rounds."""
-    seq, last = ids.astype(np.uint32), closes.copy()
-    live = np.ones(len(seq), bool)  # every place of a pair that may occur min_count times
+    seq = ids.astype(np.uint32)
+    flags = closes.astype(np.uint8) | np.uint8(2)  # 1: closes a document, 2: its pair may occur min_count times
+    flags[-1:] |= 1
     made: dict[int, int] = {}  # pair -> nonterminal
     for done in count() if rounds is None else range(rounds):
-        live &= ~last
-        live[-1:] = False
-        where = np.flatnonzero(live)
+        where = np.flatnonzero(flags == 2)
         code = (seq[where].astype(np.uint64) << np.uint64(32)) | seq[where + 1]
-        slot = ((code * _MIX) >> np.uint64(64 - _SLOT_BITS)).astype(np.int32)
+        slot = ((code * _MIX) >> np.uint64(64 - _SLOT_BITS)).astype(np.intp)
         counts = np.bincount(slot, minlength=1 << _SLOT_BITS)
         often = (counts >= min_count)[slot]  # other pairs never become frequent again
-        live[where[~often]] = False
+        flags[where[np.flatnonzero(~often)]] = 0
         if not often.any():
             break
         limit, full = per_round << min(done, _SLOT_BITS), counts[counts >= min_count]
         least = np.partition(full, -limit)[-limit] if len(full) > limit else min_count
         look = np.flatnonzero((counts >= least)[slot] if least > min_count else often)
         at = where[look]
-        pairs, back, n = np.unique(code[look], return_inverse=True, return_counts=True)
-        live[at[n[back] < min_count]] = False
+        pairs, back, n = _distinct(code[look], slot[look])
+        flags[at[n[back] < min_count]] = 0
         by_count = np.argsort(-n, kind="stable")
         by_count = by_count[n[by_count] >= min_count][:limit]
         rank = np.full(len(pairs), -1, np.int64)
         rank[by_count] = np.arange(len(by_count))
         r = rank[back]
-        at, r = at[r >= 0], r[r >= 0]
+        chosen = np.flatnonzero(r >= 0)
+        at, r = at[chosen], r[chosen]
         # a run of one repeated id: every other position
         same = np.concatenate(([False], (np.diff(at) == 1) & (r[1:] == r[:-1])))[:len(at)]
         offset = np.arange(len(at)) - np.maximum.accumulate(np.where(same, 0, np.arange(len(at))))
-        at, r = at[offset % 2 == 0], r[offset % 2 == 0]
+        even = np.flatnonzero(offset & 1 == 0)
+        at, r = at[even], r[even]
         touch = np.diff(at) == 1
         beaten = np.zeros(len(at), bool)
         beaten[1:] |= touch & (r[1:] > r[:-1])
         beaten[:-1] |= touch & (r[:-1] > r[1:])
-        at, r = at[~beaten], r[~beaten]
+        won = np.flatnonzero(~beaten)
+        at, r = at[won], r[won]
         # a pair that lost most of its places waits; the most frequent one loses none
-        enough = np.bincount(r, minlength=1)[r] >= min_count // 2
-        at, r = at[enough], r[enough]
-        used, r = np.unique(r, return_inverse=True)
+        enough = np.bincount(r, minlength=len(by_count)) >= max(min_count // 2, 1)
+        used, kept = np.flatnonzero(enough), np.flatnonzero(enough[r])
+        at, r = at[kept], (np.cumsum(enough) - 1)[r[kept]]
         symbols = [made.setdefault(c, base + len(made)) for c in pairs[by_count[used]].tolist()]
         seq[at] = np.array(symbols, np.uint32)[r]
-        last[at] = last[at + 1]
-        live[at] = live[at[at > 0] - 1] = True
+        flags[at] = flags[at + 1] | 2
+        flags[at[at > 0] - 1] |= 2
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        seq, last, live = seq[keep], last[keep], live[keep]
+        seq, flags = seq[keep], flags[keep]
     codes = np.array(list(made), np.uint64)
     table = np.stack((codes >> np.uint64(32), codes & np.uint64(0xFFFFFFFF)), 1).astype(np.uint32)
     return seq, table, rule_lengths(table, base)
 
 
+def _distinct(code: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct codes in ascending order, the place of each code among them and its count.
+    Only codes that share a slot with another one are sorted place by place."""
+    first, seen = np.zeros(1 << _SLOT_BITS, np.uint64), np.zeros(1 << _SLOT_BITS, bool)
+    first[slot], seen[slot] = code, True
+    slots = np.flatnonzero(seen)
+    number = np.zeros(1 << _SLOT_BITS, np.intp)
+    number[slots] = np.arange(len(slots))
+    back = number[slot]
+    other = np.flatnonzero(first[slot] != code)
+    more, place = np.unique(code[other], return_inverse=True)
+    back[other] = len(slots) + place
+    codes = np.concatenate((first[slots], more))
+    order = np.argsort(codes)
+    rank = np.empty(len(order), np.intp)
+    rank[order] = np.arange(len(order))
+    back = rank[back]
+    return codes[order], back, np.bincount(back, minlength=len(codes))
+
+
 def rule_lengths(rules: np.ndarray, base: int) -> np.ndarray:
     """Ids that each rule expands to; a rule refers to earlier rules only."""
     side = rules.astype(np.int64) - base
@@ -302,12 +324,10 @@ def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: in
         done[now] = True
     sym = symbols.astype(np.int64)
     is_rule = sym >= base
-    n = np.ones(len(sym), np.int64)
-    n[is_rule] = lengths[sym[is_rule] - base]
-    out = np.repeat(symbols.astype(np.uint32), n)
-    if is_rule.any():
-        _copy(out, (np.cumsum(n) - n)[is_rule], flat, start[sym[is_rule] - base], n[is_rule])
-    return out
+    n, at = np.ones(len(sym), np.int64), len(flat) + np.arange(len(sym))  # an id of its own follows the rules' ids
+    n[is_rule], at[is_rule] = lengths[sym[is_rule] - base], start[sym[is_rule] - base]
+    total = int(n.sum())
+    return np.concatenate((flat, symbols.astype(np.uint32)))[np.repeat(at - (np.cumsum(n) - n), n) + np.arange(total)]
 
 
 def _copy(to: np.ndarray, at: np.ndarray, source: np.ndarray, start: np.ndarray, n: np.ndarray) -> None:
