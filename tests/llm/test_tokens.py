@@ -168,3 +168,47 @@ def test_pairs_are_replaced_until_none_is_frequent():
     assert np.searchsorted(ends, copies.size) + 1 == 200
     inside = ~closes[ends[:-1] - 1]
     assert Counter(zip(symbols[:-1][inside].tolist(), symbols[1:][inside].tolist())).most_common(1)[0][1] < 16
+
+
+def test_plain_words_are_encoded_as_the_library_does():
+    """Words that go straight to the model: Latin-1 letters of both cases, any ASCII punctuation after them;
+    words that look like them but are not (marks, other letters, apostrophes, longer tails)."""
+    rng = random.Random(4)
+    letters = [chr(c) for c in [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x100)] if c not in (0xD7, 0xF7)]
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    words = ["".join(rng.choices(letters, k=rng.randrange(1, 9))) + "".join(rng.choices(marks, k=rng.randrange(6)))
+             for _ in range(4000)]
+    words += ["ét́e", "don't", "x'll", "ÿ÷", "×a", "İi", "Ÿa", "ſs", "a b", "b.c", "7th", "", "a" * 5000]
+    encoder = token_store.WordEncoder(public_tokenizers.path(token_store.TOKENIZER), cache=1500)
+    assert encoder.mapped is not None
+    for texts in (words, [" ".join(words), None, " ".join(words[:50])], words[::-1]):
+        ids, n = encoder.encode(texts)
+        want = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+        assert ids.tolist() == sum(want, []) and n.tolist() == [len(w) for w in want]
+
+
+def test_distinct_codes_that_share_slots():
+    rng = np.random.default_rng(2)
+    code = rng.integers(0, 1 << 60, 500).astype(np.uint64)[rng.integers(0, 500, 20_000)]
+    for slot in (code % np.uint64(7), code >> np.uint64(45), code % np.uint64(1 << 18)):
+        got = token_store._distinct(code, slot.astype(np.intp) % (1 << 18))
+        for a, b in zip(got, np.unique(code, return_inverse=True, return_counts=True)):
+            assert np.array_equal(a, b)
+    nothing = token_store._distinct(np.empty(0, np.uint64), np.empty(0, np.intp))
+    assert [len(x) for x in nothing] == [0, 0, 0]
+
+
+def test_nested_rules_expand_level_by_level():
+    base, rng = 10, np.random.default_rng(3)
+    rules = np.array([[rng.integers(0, base + k), rng.integers(max(0, base + k - 2), base + k)] for k in range(40)],
+                     np.uint32)
+    plain = [[i] for i in range(base)]
+    for a, b in rules.tolist():
+        plain.append(plain[a] + plain[b])
+        if len(plain[-1]) > 5000:
+            break
+    rules = rules[:len(plain) - base]
+    lengths = token_store.rule_lengths(rules, base)
+    assert lengths.tolist() == [len(p) for p in plain[base:]]
+    symbols = rng.integers(0, len(plain), 60).astype(np.uint32)
+    assert token_store.expand(symbols, rules, lengths, base).tolist() == sum((plain[s] for s in symbols), [])
