@@ -96,8 +96,10 @@ def host_verdicts(rows: DataFrame, host: str = "source", failed: str = "base_fai
 def judge_documents(docs: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
     """The rule counts, base_failed, host_kept and kept of every document.
 
-    A document is kept if it passes the base rules and its host is kept. An empty
-    table gives no rows. The texts are read once: the counts are written as a
+    A document is kept if it passes the base rules and its host is kept; a host whose
+    rate equals the limit is kept. NULL and repeated doc_ids and repeated rows give one
+    row each and count as often. Only doc_id, source and text are read, so other columns
+    may have any name. An empty table gives no rows. The texts are read once: the counts are written as a
     narrow table, which the host aggregation and the join back read.
     """
     rows = materialize(base_rules(docs), "rules")
