@@ -33,8 +33,8 @@ def q_elo_online(spark, d):
     return flat(R.elo_online(_anony(spark, d)).select("board", "model", F.round("rating", 6).alias("rating")))
 
 
-def _boot(spark, d):
-    return R.bootstrap_elo(_anony(spark, d), rounds=BOOT_ROUNDS, seed=42)
+def _boot(spark, d, lists=False):
+    return R.bootstrap_elo(_anony(spark, d), rounds=BOOT_ROUNDS, seed=42, lists=lists)
 
 
 def q_bootstrap_elo(spark, d):
@@ -42,11 +42,11 @@ def q_bootstrap_elo(spark, d):
 
 
 def q_elo_median(spark, d):
-    return flat(R.elo_median(_boot(spark, d)))
+    return flat(R.elo_median(_boot(spark, d, lists=True)))
 
 
 def q_elo_interval(spark, d):
-    i = R.elo_interval(_boot(spark, d))
+    i = R.elo_interval(_boot(spark, d, lists=True))
     return flat(i.select("board", "model", *[F.round(c, 6).alias(c) for c in
                                     ("lower", "rating", "upper", "error_y", "error_y_minus", "rating_rounded")]))
 
