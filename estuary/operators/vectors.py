@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,15 +41,37 @@ def recent_top_n(reviews: DataFrame, n: int = 1000, max_chars: int = 500, time_c
 
 
 SEARCH_BLOCK = 4096  # corpus rows, and queries, that meet in one task
+SEARCH_SLICE = 128  # queries of a block whose similarities are held at once
 
 
-def _unit_rows(column) -> np.ndarray:
-    """Rows scaled to length 1; NULL and zero vectors become NaN rows."""
-    rows = column.to_pylist()
-    dim = max((len(r) for r in rows if r is not None), default=1)
-    x = np.array([np.zeros(dim) if r is None else r for r in rows], np.float64).reshape(len(rows), dim)
-    length = np.sqrt((x * x).sum(1, keepdims=True))
-    return np.divide(x, length, out=np.full_like(x, np.nan), where=length > 0)
+def _width(column) -> int:
+    """Entries of the longest vector (0: none)."""
+    return pc.max(pc.list_value_length(column)).as_py() or 0
+
+
+def _unit_rows(column, dim: int) -> np.ndarray:
+    """Rows scaled to length 1; NULL and zero vectors become NaN rows. Taken from Arrow's buffers, no row becomes a list."""
+    if pc.any(pc.not_equal(pc.list_value_length(column), dim)).as_py():  # NULL vectors have no length
+        raise ValueError("vectors of different lengths")
+    x = np.zeros((len(column), dim))
+    x[pc.is_valid(column).to_numpy().astype(bool)] = pc.list_flatten(column).to_numpy().reshape(-1, dim)
+    length = np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+    np.divide(x, length, out=x, where=length > 0)
+    x[~(length[:, 0] > 0)] = np.nan
+    return x
+
+
+def _nearest(rows, asks, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each of ``asks`` the places and similarities of its k nearest rows, nearest first, ties by place, NaN last."""
+    dim = max(1, _width(rows), _width(asks))
+    units = _unit_rows(rows, dim).T
+    best, found = [], []
+    for x in range(0, len(asks), SEARCH_SLICE):
+        sim = _unit_rows(asks.slice(x, SEARCH_SLICE), dim) @ units
+        # a copy: a view of the first k places would keep the whole order alive
+        best.append(np.argsort(np.where(np.isnan(sim), np.inf, -sim), axis=1, kind="stable")[:, :k].copy())
+        found.append(np.take_along_axis(sim, best[-1], 1))
+    return np.concatenate(best), np.concatenate(found)
 
 
 def semantic_search(corpus: DataFrame, queries: DataFrame, k: int = 3, key: str = "vec_id",
@@ -57,8 +80,9 @@ def semantic_search(corpus: DataFrame, queries: DataFrame, k: int = 3, key: str
     go to the smaller key, undefined similarities come last as NULL.
 
     Corpus and queries are dealt into blocks whose number follows their row counts.
-    Each block of one meets each block of the other in one matrix product, which
-    keeps k rows a query; a window ranks the k-row lists of all blocks.
+    Each block of one meets each block of the other in a task, which takes the queries in slices of
+    SEARCH_SLICE and keeps k rows a query, so it holds the similarities of one slice only; a window
+    ranks the k-row lists of all blocks.
     """
     def dealt(df, name):
         n = df.agg(F.greatest(F.ceil(F.count(F.lit(1)) / SEARCH_BLOCK), F.lit(1)).cast("int").alias(name))
@@ -80,9 +104,8 @@ def semantic_search(corpus: DataFrame, queries: DataFrame, k: int = 3, key: str
         if not left.num_rows or not right.num_rows:
             return pa.table({n: pa.array([], t) for n, t in kinds})
         left = left.sort_by("_key")
-        sim = _unit_rows(right["qvec"]) @ _unit_rows(left["_vec"]).T
-        best = np.argsort(np.where(np.isnan(sim), np.inf, -sim), axis=1, kind="stable")[:, :k]
-        found = np.take_along_axis(sim, best, 1).ravel()
+        best, found = _nearest(left["_vec"], right["qvec"], k)
+        found = found.ravel()
         at = pa.array(np.repeat(np.arange(right.num_rows), best.shape[1]))
         out = (right["query_id"].take(at), left["_key"].take(pa.array(best.ravel())),
                pa.array(found, pa.float64(), mask=np.isnan(found)))

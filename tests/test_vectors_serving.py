@@ -1,5 +1,8 @@
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from estuary.operators import serving as SV
@@ -43,6 +46,31 @@ def test_semantic_search_matches_bruteforce(spark):
     assert got == [v for _, v in sims[:3]]
 
 
+def test_search_holds_one_slice_of_similarities():
+    """A full block of rows and queries: the nearest are those of the whole product, which is never held."""
+    rng = np.random.default_rng(3)
+    rows, asks = (rng.normal(size=(n, 8)) for n in (V.SEARCH_BLOCK, 1000))
+    lists = [pa.chunked_array([pa.array([None, *x.tolist()], pa.list_(pa.float64()))]) for x in (rows, asks)]
+    tracemalloc.start()
+    best, found = V._nearest(*lists, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < V.SEARCH_BLOCK * len(asks) * 8  # one product alone would take that
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    sim = unit(asks) @ unit(rows).T
+    want = np.argsort(-sim, axis=1, kind="stable")[:, :3]
+    assert (best[1:] == want + 1).all() and np.allclose(found[1:], np.take_along_axis(sim, want, 1))
+    assert best[0].tolist() == [0, 1, 2] and np.isnan(found[0]).all()
+
+
+def test_search_with_null_zero_and_empty_sides(spark):
+    e = spark.createDataFrame([(1, None), (2, [0.0, 0.0]), (3, [1.0, None]), (4, [1.0, 0.0])], "vec_id long, embedding array<float>")
+    q = spark.createDataFrame([(7, None), (8, [2.0, 0.0])], "query_id long, qvec array<float>")
+    got = sorted(tuple(r) for r in V.semantic_search(e, q, k=4).select("query_id", "rank", "vec_id", "similarity").collect())
+    assert got == [(7, 1, 1, None), (7, 2, 2, None), (7, 3, 3, None), (7, 4, 4, None),
+                   (8, 1, 4, 1.0), (8, 2, 1, None), (8, 3, 2, None), (8, 4, 3, None)]
+
+
 def test_deltas_reassemble_last_text(spark):
     chunks = spark.createDataFrame([(1, 1, "he", None), (1, 2, "hell�", None), (1, 3, "hello", None), (1, 4, "hello", "stop")],
                                    "stream_id long, seq int, text string, finish_reason string")
