@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
@@ -344,20 +344,18 @@ class _Delta(StatefulProcessor):
         self.head = handle.getValueState("head", "next int, length int, waiting int")
         self.waiting = handle.getMapState("waiting", "seq int", "text string, finish_reason string")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         at, length, n_waiting = self.head.get() or (self.first, 0, 0)
         stored = {k[0]: tuple(v) for k, v in self.waiting.iterator()} if n_waiting else {}
         held, was = dict(stored), set(stored)
-        out: list[tuple] = []
-        for pdf in rows:
-            for seq, text, finish in zip(pdf["seq"].tolist(), pdf["text"].tolist(), pdf["finish_reason"].tolist()):
-                if seq >= at:  # an earlier one was sent again
-                    held.setdefault(seq, ((text or "").replace("\ufffd", ""), finish if finish == finish else None))
+        for _, seq, text, finish in rows:
+            if seq is not None and seq >= at:  # an earlier one was sent again
+                held.setdefault(seq, ((text or "").replace("\ufffd", ""), finish))
             while at in held:
                 text, finish = held.pop(at)
                 delta = text[length:]
                 if delta or finish is not None:
-                    out.append((key[0], at, delta or None, finish))
+                    yield Row(stream_id=key[0], seq=at, delta=delta or None, finish_reason=finish)
                 length = len(text)
                 at += 1
         for seq in was - held.keys():
@@ -365,8 +363,6 @@ class _Delta(StatefulProcessor):
         for seq in held.keys() - was:
             self.waiting.updateValue((seq,), held[seq])
         self.head.update((at, length, len(held)))
-        yield pd.DataFrame({c: pd.Series([r[i] for r in out], dtype=t) for i, (c, t) in enumerate(
-            (("stream_id", "int64"), ("seq", "int32"), ("delta", "object"), ("finish_reason", "object")))})
 
     def close(self) -> None:
         pass
@@ -380,7 +376,7 @@ def stream_delta(chunks: DataFrame, first_seq: int = 1) -> DataFrame:
     ignored. State per stream: the next number, the length of the last text and the
     waiting chunks."""
     rows = chunks.select("stream_id", "seq", "text", "finish_reason")
-    return rows.groupBy("stream_id").transformWithStateInPandas(_Delta(first_seq), DELTA_OUT, "append", "None")
+    return rows.groupBy("stream_id").transformWithState(_Delta(first_seq), DELTA_OUT, "append", "None")
 
 
 def start_refresh(log_stream: DataFrame, counts_path: str, checkpoint: str, interval: str = "300 seconds"):
