@@ -102,9 +102,9 @@ def q_preview_profile(spark, d):
 
 def q_sink_cube(spark, d):
     path = scratch_path(spark, "cube")
-    files.sink_parquet(S.stack_cube(CS._dense(spark, d), chunk=16), path, partition_by=["site"])
+    files.sink_parquet_by_key(S.stack_cube(CS._dense(spark, d), chunk=16), path, "site", ["chunk"])
     c = spark.read.parquet(path)
-    e = c.select("n", F.col("site").cast("string").alias("site"), "chunk", F.posexplode("values").alias("i", "v"))
+    e = c.select("n", "site", "chunk", F.posexplode("values").alias("i", "v"))
     return flat(e.select("n", "site", "chunk", "i", F.col("v")[0].alias("sediment"), F.col("v")[1].alias("discharge")))
 
 

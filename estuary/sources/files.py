@@ -175,6 +175,17 @@ def sink_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None
     w.parquet(path)
 
 
+def sink_parquet_by_key(df: DataFrame, path: str, key: str, order: list[str], folders: int | None = None) -> None:
+    """Parquet partitioned by a key of any number of values: folders ``part=0..`` (as many as shuffle
+    partitions by default) of one file each, all rows of a key in one folder, side by side and in order, so a
+    reader of one key opens one file and skips by its statistics. A folder for each value would make
+    as many files as values, each opened, committed and listed on its own."""
+    folders = folders or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.withColumn("part", F.pmod(F.xxhash64(key), F.lit(folders)).cast("int"))
+    (dealt.repartition("part").sortWithinPartitions("part", key, *order).write.mode("overwrite")
+     .partitionBy("part").parquet(path))
+
+
 def sink_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 

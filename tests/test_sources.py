@@ -57,3 +57,13 @@ def test_conv_log_malformed_line_fails(spark):
     with pytest.raises(Exception):
         files.scan_conv_log(spark, root).collect()
     assert files.scan_conv_log(spark, root, mode="PERMISSIVE").count() == 2
+
+
+def test_parquet_by_key_makes_few_files(spark, tmp_path):
+    """Many keys lie in a bounded number of folders and files, a key in one file; every row comes back, a NULL key too."""
+    df = spark.range(3000).selectExpr("if(id % 300 = 7, null, cast(id % 300 as string)) site", "cast(id div 300 as int) chunk", "id v")
+    files.sink_parquet_by_key(df.repartition(16), str(tmp_path / "cube"), "site", ["chunk"], folders=5)
+    back = spark.read.parquet(str(tmp_path / "cube"))
+    assert sorted(map(repr, back.select(*df.columns).collect())) == sorted(map(repr, df.collect()))
+    assert len(list((tmp_path / "cube").glob("part=*/*.parquet"))) == 5
+    assert back.groupBy("site").agg(F.countDistinct(F.input_file_name()).alias("n")).where("n > 1").count() == 0
